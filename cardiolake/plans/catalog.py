@@ -202,3 +202,281 @@ def q_resting_hr_trend(spark, sf):
     """Daily resting HR with 30-day / 6-month / 12-month centred trends and a p25-p75 band."""
     from cardiolake.plans.datasets import resting_hr_trend
     return resting_hr_trend(hr_daily_lines(spark, sf), digits=D)
+
+
+# =========================================================== batch 2: tables
+from cardiolake.dims import SPORT_CATEGORY, values_sql  # noqa: E402
+from cardiolake.operators import aggregate as AG, calendar as C, stats as ST, topk as TK  # noqa: E402
+from cardiolake.plans import datasets as DS  # noqa: E402
+
+ACT = """act AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
+    CAST(CASE WHEN min(o_orderkey) % 17 <> 0 THEN count(*) * 1000 END AS BIGINT) AS steps,
+    CAST(avg(o_totalprice) / 100 AS DOUBLE) AS calories,
+    CAST(2.0 + min(o_orderkey) % 11 + (min(o_orderkey) % 4) * 0.25 AS DOUBLE) AS sleep_hours,
+    CAST((min(o_orderkey) % 10) / 10.0 AS DOUBLE) AS sleep_quality,
+    CAST(sum(o_totalprice) / 1000 AS DOUBLE) AS met_minutes
+  FROM orders GROUP BY 1, 2)"""
+
+TR = f"""tr_lines AS (
+  SELECT l_orderkey, sum(l_quantity) AS duration_min, sum(l_extendedprice) / 50000 AS distance_km,
+         sum(l_tax) * 1000 AS calories
+  FROM lineitem GROUP BY l_orderkey),
+tr_raw AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 'RUNNING' WHEN '2-HIGH' THEN 'CYCLING'
+      WHEN '3-MEDIUM' THEN 'HIKING' WHEN '4-NOT SPECIFIED' THEN 'WALKING'
+      WHEN '5-LOW' THEN 'TRAIL_RUNNING' ELSE 'UNKNOWN' END AS sport_raw,
+    CASE WHEN o_orderstatus = 'P' THEN 'Laufband' ELSE 'Session' END AS name,
+    duration_min, distance_km, CAST(100 + o_orderkey % 60 AS DOUBLE) AS hr_avg,
+    CAST(130 + o_orderkey % 50 AS DOUBLE) AS hr_max, calories
+  FROM orders JOIN tr_lines ON o_orderkey = l_orderkey),
+tr_s AS (
+  SELECT *, CASE WHEN sport_raw IN ('HIKING', 'WALKING') AND distance_km <> 0 AND duration_min <> 0
+                  AND duration_min / distance_km < 10 THEN 'RUNNING' ELSE sport_raw END AS s1,
+         lower(trim(coalesce(name, ''))) AS lname
+  FROM tr_raw),
+tr AS (
+  SELECT subject_id, day, CASE WHEN s1 = 'TRAIL_RUNNING' THEN 'RUNNING' ELSE s1 END AS sport,
+    CASE WHEN contains(lname, 'laufband') OR contains(lname, 'laufb.') OR contains(lname, 'treadmill')
+         THEN 'TREADMILL' WHEN s1 = 'TRAIL_RUNNING' THEN 'TRAIL' WHEN s1 = 'RUNNING' THEN 'OUTDOOR'
+         ELSE cat.dim_category END AS category,
+    duration_min, hr_avg, hr_max, distance_km, calories, dayname(day) AS weekday,
+    CAST(year(day) AS INTEGER) AS year
+  FROM tr_s LEFT JOIN {values_sql(SPORT_CATEGORY, 'sport', 'dim_category')} AS cat_dummy_ ON FALSE
+  LEFT JOIN {values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category')} ON c_sport = s1)"""
+TR = TR.replace(f"LEFT JOIN {values_sql(SPORT_CATEGORY, 'sport', 'dim_category')} AS cat_dummy_ ON FALSE\n  ", "")
+TR = TR.replace("ELSE cat.dim_category END", "ELSE t.dim_category END")
+TR = TR.replace(values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category'),
+                values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category'))
+
+TR_COLS = ["subject_id", "day", "sport", "category", "duration_min", "hr_avg", "hr_max",
+           "distance_km", "calories", "weekday", "year"]
+
+
+def act_s(spark, sf):
+    return A.activity_orders(spark, sf)
+
+
+def tr_s(spark, sf):
+    return A.training_orders(spark, sf).select(*TR_COLS)
+
+
+@register("training_sessions", f"WITH {TR} SELECT * FROM tr",
+          ["duration_min", "hr_avg", "hr_max", "distance_km", "calories"])
+def q_training_sessions(spark, sf):
+    """X04 + X05 (+ L17): sport relabel by pace, category rules, weekday/year."""
+    return tr_s(spark, sf)
+
+
+@register("monthly_activity", f"""
+WITH {ACT}
+SELECT subject_id, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
+  avg(steps) AS steps_avg, avg(calories) AS calories_avg, avg(sleep_hours) AS sleep_avg,
+  avg(sleep_quality) AS sleep_quality_avg, count(*) AS n_days
+FROM act WHERE steps IS NOT NULL GROUP BY ALL""",
+          ["steps_avg", "calories_avg", "sleep_avg", "sleep_quality_avg"])
+def q_monthly_activity(spark, sf):
+    """Monthly activity rollup."""
+    return AG.monthly_activity(act_s(spark, sf), digits=None)
+
+
+@register("trainings_per_year", f"""
+WITH {TR}
+SELECT subject_id, year, sport, count(*) AS n_sessions, sum(duration_min) / 60.0 AS hours
+FROM tr WHERE duration_min > 0 GROUP BY ALL""", ["hours"])
+def q_trainings_per_year(spark, sf):
+    """Sessions and hours per year and sport."""
+    return AG.trainings_per_year(tr_s(spark, sf), digits=None)
+
+
+@register("resting_hr_grid", f"""
+WITH {HR_DAILY_LI}
+SELECT subject_id, month, weekday_no, avg(resting_hr) AS hr_avg, count(*) AS n
+FROM hrl_d WHERE resting_hr IS NOT NULL GROUP BY ALL""", ["hr_avg"])
+def q_resting_hr_grid(spark, sf):
+    """Resting HR by month x weekday."""
+    return AG.resting_hr_grid(hr_daily_lines(spark, sf), digits=None)
+
+
+@register("yearly_stats", f"""
+WITH {HR_DAILY_LI}
+SELECT subject_id, CAST(year(day) AS INTEGER) AS year, avg(resting_hr) AS mean,
+  median(resting_hr) AS median, stddev_samp(resting_hr) AS std, min(resting_hr) AS min,
+  max(resting_hr) AS max, count(resting_hr) AS n
+FROM hrl_d WHERE resting_hr IS NOT NULL GROUP BY ALL""", ["mean", "median", "std", "min", "max"])
+def q_yearly_stats(spark, sf):
+    """Yearly resting-HR statistics."""
+    return AG.yearly_stats(hr_daily_lines(spark, sf), "resting_hr", digits=None)
+
+
+@register("monthly_mean_sem", f"""
+WITH {HRV_DAILY_LI}
+SELECT subject_id, CAST(month(day) AS INTEGER) AS month, avg(rmssd) AS mean,
+  stddev_samp(rmssd) / sqrt(count(rmssd)) AS sem, stddev_samp(rmssd) / sqrt(count(rmssd)) * 1.96 AS ci95,
+  count(rmssd) AS n
+FROM hrvl_d GROUP BY ALL""", ["mean", "sem", "ci95"])
+def q_monthly_mean_sem(spark, sf):
+    """RMSSD mean, SEM and 95% half-width per calendar month."""
+    return AG.monthly_mean_sem(hrv_daily_lines(spark, sf), "rmssd")
+
+
+@register("season_contrast_hr", f"""
+WITH {HR_DAILY_LI},
+m AS (SELECT subject_id, month(day) AS month, avg(resting_hr) AS m FROM hrl_d GROUP BY ALL)
+SELECT subject_id, avg(CASE WHEN month IN (6, 7, 8) THEN m END) AS summer,
+  avg(CASE WHEN month IN (12, 1, 2) THEN m END) AS winter,
+  avg(CASE WHEN month IN (6, 7, 8) THEN m END) - avg(CASE WHEN month IN (12, 1, 2) THEN m END) AS summer_minus_winter
+FROM m GROUP BY subject_id""", ["summer", "winter", "summer_minus_winter"])
+def q_season_contrast_hr(spark, sf):
+    """Summer vs winter resting HR (mean of monthly means)."""
+    return AG.season_contrast_of_monthly_means(hr_daily_lines(spark, sf), "resting_hr")
+
+
+@register("season_contrast_hrv", f"""
+WITH {HRV_DAILY_LI}
+SELECT subject_id, avg(CASE WHEN month(day) IN (6, 7, 8) THEN rmssd END) AS summer,
+  avg(CASE WHEN month(day) IN (12, 1, 2) THEN rmssd END) AS winter,
+  avg(CASE WHEN month(day) IN (6, 7, 8) THEN rmssd END) - avg(CASE WHEN month(day) IN (12, 1, 2) THEN rmssd END) AS summer_minus_winter
+FROM hrvl_d GROUP BY subject_id""", ["summer", "winter", "summer_minus_winter"])
+def q_season_contrast_hrv(spark, sf):
+    """Summer vs winter RMSSD (mean of days)."""
+    return AG.season_contrast_of_days(hrv_daily_lines(spark, sf), "rmssd")
+
+
+WEEKLY = f"""{TR},
+{HR_DAILY_LI},
+tw AS (SELECT subject_id, CAST(day + CAST(7 - isodow(day) AS INTEGER) AS DATE) AS period, sum(duration_min) AS training_min
+       FROM tr GROUP BY ALL),
+tw_sp AS (SELECT subject_id, CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS period
+          FROM (SELECT subject_id, min(period) AS lo, max(period) AS hi FROM tw GROUP BY subject_id)),
+hw AS (SELECT subject_id, CAST(day + CAST(7 - isodow(day) AS INTEGER) AS DATE) AS period, avg(resting_hr) AS resting_hr
+       FROM hrl_d GROUP BY ALL),
+hw_sp AS (SELECT subject_id, CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS period
+          FROM (SELECT subject_id, min(period) AS lo, max(period) AS hi FROM hw GROUP BY subject_id)),
+t_full AS (SELECT s.subject_id, s.period, CAST(coalesce(tw.training_min, 0) AS DOUBLE) AS training_min
+           FROM tw_sp s LEFT JOIN tw USING (subject_id, period)),
+h_full AS (SELECT s.subject_id, s.period, hw.resting_hr FROM hw_sp s LEFT JOIN hw USING (subject_id, period)),
+wk AS (SELECT subject_id, period, training_min, resting_hr FROM t_full JOIN h_full USING (subject_id, period)
+       WHERE training_min IS NOT NULL AND resting_hr IS NOT NULL)"""
+
+
+def corr_sql(src: str, x: str, y: str) -> str:
+    return f"""rk AS (
+  SELECT subject_id, {x}, {y},
+    rank() OVER (PARTITION BY subject_id ORDER BY round({x}, 9))
+      + (count(*) OVER (PARTITION BY subject_id, round({x}, 9)) - 1) / 2.0 AS rx,
+    rank() OVER (PARTITION BY subject_id ORDER BY round({y}, 9))
+      + (count(*) OVER (PARTITION BY subject_id, round({y}, 9)) - 1) / 2.0 AS ry
+  FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
+SELECT subject_id, count(*) AS n, corr({x}, {y}) AS r, regr_r2({y}, {x}) AS r2,
+  regr_slope({y}, {x}) AS slope, regr_intercept({y}, {x}) AS intercept, corr(rx, ry) AS rho
+FROM rk GROUP BY subject_id"""
+
+
+CORR_D = ["r", "r2", "slope", "intercept", "rho"]
+
+
+@register("weekly_training_hr", f"WITH {WEEKLY} SELECT * FROM wk", ["training_min", "resting_hr"])
+def q_weekly_training_hr(spark, sf):
+    """A12 + J09 + J02: weeks ending Sunday; training sum (empty week 0) with mean resting HR."""
+    return DS.weekly_training_hr(tr_s(spark, sf), hr_daily_lines(spark, sf))
+
+
+@register("hypothesis_training_hr", f"WITH {WEEKLY},\n{corr_sql('wk', 'training_min', 'resting_hr')}", CORR_D)
+def q_hypothesis_training_hr(spark, sf):
+    """Pearson, Spearman and the fit of weekly training vs resting HR."""
+    return DS.hypothesis_training_hr(tr_s(spark, sf), hr_daily_lines(spark, sf))
+
+
+SLEEP = f"""{ACT},
+{HR_DAILY_LI},
+j AS (SELECT h.subject_id, h.day, a.sleep_hours, h.resting_hr,
+        lead(h.resting_hr) OVER (PARTITION BY h.subject_id ORDER BY h.day) AS hr_next
+      FROM hrl_d h JOIN act a ON h.subject_id = a.subject_id AND h.day = a.day),
+sl AS (SELECT * FROM j WHERE sleep_hours IS NOT NULL AND resting_hr IS NOT NULL AND hr_next IS NOT NULL
+       AND sleep_hours BETWEEN 3 AND 12)"""
+
+
+@register("sleep_next_day_hr", f"WITH {SLEEP} SELECT * FROM sl", ["sleep_hours", "resting_hr", "hr_next"])
+def q_sleep_next_day_hr(spark, sf):
+    """J01 + W04 + F13: sleep vs next row's resting HR, 3 <= sleep <= 12."""
+    return DS.sleep_next_day_hr(act_s(spark, sf), hr_daily_lines(spark, sf))
+
+
+@register("hypothesis_sleep_hr", f"WITH {SLEEP},\n{corr_sql('sl', 'sleep_hours', 'hr_next')}", CORR_D)
+def q_hypothesis_sleep_hr(spark, sf):
+    """Correlation of sleep with next-day resting HR."""
+    return DS.hypothesis_sleep_hr(act_s(spark, sf), hr_daily_lines(spark, sf))
+
+
+@register("sleep_band_means", f"""
+WITH {SLEEP},
+b AS (SELECT *, CASE WHEN sleep_hours > 0 AND sleep_hours <= 5 THEN '<5h'
+  WHEN sleep_hours > 5 AND sleep_hours <= 6 THEN '5–6h' WHEN sleep_hours > 6 AND sleep_hours <= 7 THEN '6–7h'
+  WHEN sleep_hours > 7 AND sleep_hours <= 8 THEN '7–8h' WHEN sleep_hours > 8 AND sleep_hours <= 9 THEN '8–9h'
+  WHEN sleep_hours > 9 AND sleep_hours <= 99 THEN '>9h' END AS sleep_band FROM sl)
+SELECT subject_id, sleep_band, avg(hr_next) AS mean, count(*) AS n FROM b
+WHERE sleep_band IS NOT NULL GROUP BY ALL""", ["mean"])
+def q_sleep_band_means(spark, sf):
+    """F12 + A33: next-day resting HR by sleep band."""
+    return AG.sleep_band_means(DS.sleep_next_day_hr(act_s(spark, sf), hr_daily_lines(spark, sf)))
+
+
+HRV_MONTH = f"""{HRV_DAILY_LI},
+hm AS (SELECT subject_id, last_day(day) AS period, avg(rmssd) AS rmssd, avg(sdnn) AS sdnn FROM hrvl_d GROUP BY ALL),
+hm_sp AS (SELECT subject_id, last_day(CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE)) AS period
+          FROM (SELECT subject_id, date_trunc('month', min(period)) AS lo, date_trunc('month', max(period)) AS hi
+                FROM hm GROUP BY subject_id)),
+hmf AS (SELECT s.subject_id, s.period, hm.rmssd, hm.sdnn FROM hm_sp s LEFT JOIN hm USING (subject_id, period))"""
+
+
+@register("hrv_monthly_trend", f"""
+WITH {HRV_MONTH}
+SELECT subject_id, period, rmssd, sdnn,
+  CASE WHEN count(rmssd) OVER w >= 2 THEN avg(rmssd) OVER w END AS rmssd_trend
+FROM hmf WINDOW w AS (PARTITION BY subject_id ORDER BY period ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""",
+          ["rmssd", "sdnn", "rmssd_trend"])
+def q_hrv_monthly_trend(spark, sf):
+    """Month-end HRV means on a full month spine + trailing 6-month trend."""
+    return DS.hrv_monthly_trend(hrv_daily_lines(spark, sf))
+
+
+@register("hrv_hr_fit", f"""
+WITH {HRV_DAILY_LI},
+{HR_DAILY_LI}
+SELECT v.subject_id, count(*) AS n, corr(rmssd, resting_hr) AS r, regr_r2(resting_hr, rmssd) AS r2,
+  regr_slope(resting_hr, rmssd) AS slope, regr_intercept(resting_hr, rmssd) AS intercept
+FROM hrvl_d v JOIN hrl_d h ON v.subject_id = h.subject_id AND v.day = h.day
+WHERE rmssd IS NOT NULL AND resting_hr IS NOT NULL GROUP BY v.subject_id""", ["r", "r2", "slope", "intercept"])
+def q_hrv_hr_fit(spark, sf):
+    """J03 + A36 + A38: RMSSD vs resting HR on common days."""
+    return DS.hrv_hr_fit(hrv_daily_lines(spark, sf), hr_daily_lines(spark, sf))
+
+
+MONTHLY_ACT = f"""{ACT},
+ma AS (SELECT subject_id, CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month,
+  avg(steps) AS steps_avg, avg(sleep_hours) AS sleep_avg, avg(sleep_quality) AS sleep_quality_avg
+  FROM act WHERE steps IS NOT NULL GROUP BY ALL)"""
+
+
+@register("steps_monthly_trend", f"""
+WITH {MONTHLY_ACT}
+SELECT subject_id, make_date(year, month, 1) AS month_start, steps_avg,
+  CASE WHEN count(steps_avg) OVER w >= 2 THEN avg(steps_avg) OVER w END AS steps_trend, 10000 AS goal
+FROM ma WINDOW w AS (PARTITION BY subject_id ORDER BY year, month ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)""",
+          ["steps_avg", "steps_trend"])
+def q_steps_monthly_trend(spark, sf):
+    """Monthly steps with a centred 6-month trend and the goal line."""
+    return DS.steps_monthly_trend(act_s(spark, sf))
+
+
+@register("sleep_trend", f"""
+WITH {MONTHLY_ACT}
+SELECT subject_id, make_date(year, month, 1) AS month_start, sleep_avg,
+  CASE WHEN count(sleep_avg) OVER w >= 2 THEN avg(sleep_avg) OVER w END AS sleep_trend, sleep_quality_avg
+FROM ma WINDOW w AS (PARTITION BY subject_id ORDER BY year, month ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)""",
+          ["sleep_avg", "sleep_trend", "sleep_quality_avg"])
+def q_sleep_trend(spark, sf):
+    """Monthly sleep with a centred 6-month trend and sleep quality."""
+    return DS.sleep_trend(act_s(spark, sf))
