@@ -151,14 +151,14 @@ def describe(df: DataFrame, cols: list[str], group=("subject_id",)) -> DataFrame
     """Count, mean, std, min, quartiles (exact), max per column, long format."""
     g = list(group)
     stacked = df.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("_kv")).select(*g, "_kv.column", "_kv.value")
+        F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value")) for c in cols
+    ])).alias("_kv")).select(*g, "_kv.col_name", "_kv.value")
     q = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (stacked.groupBy(*g, "column")
+    return (stacked.groupBy(*g, "col_name")
             .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
                  F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
                  q.alias("_q"), F.max("value").alias("max"))
-            .select(*g, "column", "count", "mean", "std", "min",
+            .select(*g, "col_name", "count", "mean", "std", "min",
                     F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
                     F.col("_q")[2].alias("p75"), "max"))
 
@@ -196,13 +196,15 @@ def box_stats(df: DataFrame, value: str, by: str | Column, by_name: str = "grp",
          .agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
          .select(*g, by_name, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3")))
-    lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
-    hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+    # fences and values compared at 9 digits: a value on a fence stays on it
+    lo = F.round(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), 9)
+    hi = F.round(F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")), 9)
+    vr = F.round("v", 9)
     j = v.join(q, g + [by_name])
     return (j.groupBy(*g, by_name, "q1", "median", "q3")
-            .agg(F.min(F.when(F.col("v") >= lo, F.col("v"))).alias("whisker_lo"),
-                 F.max(F.when(F.col("v") <= hi, F.col("v"))).alias("whisker_hi"),
-                 F.count_if((F.col("v") < lo) | (F.col("v") > hi)).alias("n_outliers"),
+            .agg(F.min(F.when(vr >= lo, F.col("v"))).alias("whisker_lo"),
+                 F.max(F.when(vr <= hi, F.col("v"))).alias("whisker_hi"),
+                 F.count_if((vr < lo) | (vr > hi)).alias("n_outliers"),
                  F.count(F.lit(1)).alias("n")))
 
 
@@ -222,7 +224,8 @@ def histogram(df: DataFrame, value: str, bins: int = 40, group=("subject_id",))
     rng = v.groupBy(*g).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1)))
+        F.least(F.floor(F.round((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins, 9)),
+                F.lit(bins - 1)))
     return (v.join(rng, g).select(*g, idx.cast("int").alias("bin"), "_lo", width.alias("_w"))
             .groupBy(*g, "bin").agg(F.count(F.lit(1)).alias("n"), F.first("_lo").alias("_lo"),
                                      F.first("_w").alias("_w"))

@@ -480,3 +480,295 @@ FROM ma WINDOW w AS (PARTITION BY subject_id ORDER BY year, month ROWS BETWEEN 3
 def q_sleep_trend(spark, sf):
     """Monthly sleep with a centred 6-month trend and sleep quality."""
     return DS.sleep_trend(act_s(spark, sf))
+
+
+# ==================================================== batch 3: reports, top-k
+RANKED = f"""{TR},
+cnt AS (SELECT subject_id, sport, count(*) AS n FROM tr WHERE sport IS NOT NULL GROUP BY ALL),
+rk AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY n DESC, sport ASC) AS rank FROM cnt)"""
+
+
+@register("top_sports", f"WITH {RANKED} SELECT subject_id, sport, n, rank FROM rk WHERE rank <= 5")
+def q_top_sports(spark, sf):
+    """O02 + A19: the five most frequent sports per subject (ties by name)."""
+    return TK.top_k(tr_s(spark, sf), "sport", 5)
+
+
+@register("sport_value_counts", f"WITH {TR} SELECT subject_id, sport, count(*) AS n FROM tr WHERE sport IS NOT NULL GROUP BY ALL")
+def q_sport_value_counts(spark, sf):
+    """Sessions per sport."""
+    return AG.value_counts(tr_s(spark, sf), "sport")
+
+
+def _title_sql(c: str) -> str:
+    # SNAKE_CASE -> Snake_Case, for the fixed vocabulary of sport names
+    return (f"array_to_string(list_transform(string_split(lower({c}), '_'), "
+            f"lambda w: upper(w[1]) || w[2:]), '_')")
+
+
+@register("sport_share", f"""
+WITH {RANKED},
+lab AS (SELECT subject_id, CASE WHEN rank <= 7 THEN sport ELSE 'Other' END AS sport,
+          CASE WHEN rank <= 7 THEN rank ELSE 8 END AS rank, n FROM rk),
+agg AS (SELECT subject_id, sport, CAST(rank AS INTEGER) AS rank, sum(n) AS n FROM lab GROUP BY ALL)
+SELECT *, n / sum(n) OVER (PARTITION BY subject_id) AS share,
+  CASE WHEN sport = 'Other' THEN sport ELSE {_title_sql('sport')} END AS label
+FROM agg""", ["share"])
+def q_sport_share(spark, sf):
+    """Top-7 sports + Other with shares and title-cased labels."""
+    return DS.sport_share(tr_s(spark, sf)).withColumn("rank", F.col("rank").cast("int"))
+
+
+@register("trainings_by_year", f"""
+WITH {RANKED},
+top AS (SELECT subject_id, sport FROM rk WHERE rank <= 5)
+SELECT t.subject_id, t.year, CASE WHEN top.sport IS NOT NULL THEN t.sport ELSE 'Other' END AS sport, count(*) AS n
+FROM tr t LEFT JOIN top ON t.subject_id = top.subject_id AND t.sport = top.sport GROUP BY ALL""")
+def q_trainings_by_year(spark, sf):
+    """Sessions per year for the top-5 sports, the rest as Other."""
+    return DS.trainings_by_year(tr_s(spark, sf))
+
+
+@register("hours_year_top_sports", f"""
+WITH {RANKED},
+top AS (SELECT subject_id, sport, rank FROM rk WHERE rank <= 5),
+h AS (SELECT t.subject_id, t.year, top.rank, sum(t.duration_min) / 60.0 AS hours
+      FROM tr t JOIN top ON t.subject_id = top.subject_id AND t.sport = top.sport GROUP BY ALL)
+SELECT subject_id, year,
+  coalesce(max(CASE WHEN rank = 1 THEN hours END), 0.0) AS top1_hours,
+  coalesce(max(CASE WHEN rank = 2 THEN hours END), 0.0) AS top2_hours,
+  coalesce(max(CASE WHEN rank = 3 THEN hours END), 0.0) AS top3_hours,
+  coalesce(max(CASE WHEN rank = 4 THEN hours END), 0.0) AS top4_hours,
+  coalesce(max(CASE WHEN rank = 5 THEN hours END), 0.0) AS top5_hours
+FROM h GROUP BY subject_id, year""", [f"top{i}_hours" for i in range(1, 6)])
+def q_hours_year_top_sports(spark, sf):
+    """Hours per year for each of the top-5 sports (pivot, 0 when none)."""
+    return TK.hours_year_top(tr_s(spark, sf), "sport", 5)
+
+
+@register("running_per_year", f"""
+WITH {TR} SELECT subject_id, year, sum(distance_km) AS distance_km, count(*) AS n_runs
+FROM tr WHERE sport = 'RUNNING' GROUP BY ALL""", ["distance_km"])
+def q_running_per_year(spark, sf):
+    """Running distance and runs per year."""
+    return AG.running_per_year(tr_s(spark, sf))
+
+
+@register("frequency_year_month", f"""
+WITH {TR} SELECT subject_id, year, {", ".join(f"count(*) FILTER (WHERE month(day) = {m}) AS m{m:02d}" for m in range(1, 13))}
+FROM tr GROUP BY subject_id, year""")
+def q_frequency_year_month(spark, sf):
+    """Sessions per year x month (pivot, 0 filled)."""
+    t = tr_s(spark, sf).withColumn("month", F.month("day"))
+    return AG.frequency_year_month(t)
+
+
+@register("weekday_counts", f"""
+WITH {TR},
+c AS (SELECT subject_id, CAST(isodow(day) - 1 AS INTEGER) AS weekday_no, count(*) AS n FROM tr GROUP BY ALL),
+sp AS (SELECT subject_id, CAST(unnest(range(0, 7)) AS INTEGER) AS weekday_no FROM (SELECT DISTINCT subject_id FROM tr))
+SELECT sp.subject_id, sp.weekday_no, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM sp LEFT JOIN c USING (subject_id, weekday_no)""")
+def q_weekday_counts(spark, sf):
+    """Sessions per weekday, all seven present."""
+    return C.weekday_counts(tr_s(spark, sf))
+
+
+@register("resting_hr_heatmap", f"""
+WITH {HR_DAILY_LI},
+g AS (SELECT subject_id, month, weekday_no, avg(resting_hr) AS v FROM hrl_d WHERE resting_hr IS NOT NULL GROUP BY ALL),
+p AS (SELECT subject_id, month, {", ".join(f"max(CASE WHEN weekday_no = {i} THEN v END) AS {d}" for i, d in enumerate(["mon", "tue", "wed", "thu", "fri", "sat", "sun"]))}
+      FROM g GROUP BY subject_id, month),
+sp AS (SELECT subject_id, CAST(unnest(range(1, 13)) AS INTEGER) AS month FROM (SELECT DISTINCT subject_id FROM hrl_d))
+SELECT * FROM sp LEFT JOIN p USING (subject_id, month)""", ["mon", "tue", "wed", "thu", "fri", "sat", "sun"])
+def q_resting_hr_heatmap(spark, sf):
+    """12 x 7 month x weekday grid of mean resting HR."""
+    return DS.resting_hr_heatmap(hr_daily_lines(spark, sf))
+
+
+@register("hr_by_hour", f"""
+WITH {HR_EV}
+SELECT subject_id, CAST(floor(seconds_from_day_start / 3600) AS INTEGER) AS hour, avg(hr) AS hr_mean, count(*) AS n
+FROM hr_s GROUP BY ALL""", ["hr_mean"])
+def q_hr_by_hour(spark, sf):
+    """Mean HR by hour of day from the raw samples."""
+    return AG.hr_by_hour(A.hr_samples_events(spark, sf), digits=None)
+
+
+@register("kpi_cards", f"""
+WITH {ACT},
+{TR},
+{HR_DAILY_LI},
+{HRV_DAILY_LI},
+a AS (SELECT subject_id, datediff('day', min(day), max(day)) / 365.25 AS years, avg(steps) AS steps_avg,
+        avg(sleep_hours) AS sleep_avg FROM act GROUP BY subject_id),
+h AS (SELECT subject_id, avg(resting_hr) AS resting_hr_avg FROM hrl_d GROUP BY subject_id),
+t AS (SELECT subject_id, count(*) AS sessions, count(*) FILTER (WHERE sport = 'RUNNING') AS runs FROM tr GROUP BY subject_id),
+v AS (SELECT subject_id, avg(rmssd) AS rmssd_avg FROM hrvl_d GROUP BY subject_id)
+SELECT subject_id, coalesce(years, 0) AS years, coalesce(steps_avg, 0) AS steps_avg, coalesce(sleep_avg, 0) AS sleep_avg,
+  coalesce(resting_hr_avg, 0) AS resting_hr_avg, coalesce(sessions, 0) AS sessions, coalesce(runs, 0) AS runs,
+  coalesce(rmssd_avg, 0) AS rmssd_avg
+FROM a FULL JOIN h USING (subject_id) FULL JOIN t USING (subject_id) FULL JOIN v USING (subject_id)""",
+          ["years", "steps_avg", "sleep_avg", "resting_hr_avg", "rmssd_avg"])
+def q_kpi_cards(spark, sf):
+    """KPI row per subject (full precision; cards round for display)."""
+    return DS.kpi_cards(act_s(spark, sf), hr_daily_lines(spark, sf), tr_s(spark, sf),
+                        hrv_daily_lines(spark, sf), digits=False)
+
+
+DESCRIBE_COLS = ["steps", "calories", "sleep_hours", "sleep_quality", "met_minutes"]
+
+
+@register("describe_activity", f"""
+WITH {ACT},
+long AS ({" UNION ALL ".join(f"SELECT subject_id, '{c}' AS col_name, CAST({c} AS DOUBLE) AS value FROM act" for c in DESCRIBE_COLS)})
+SELECT subject_id, col_name, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+  quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75,
+  max(value) AS max
+FROM long GROUP BY ALL""", ["mean", "std", "min", "p25", "p50", "p75", "max"])
+def q_describe_activity(spark, sf):
+    """describe() of the activity columns with exact quartiles, per subject."""
+    return AG.describe(act_s(spark, sf), DESCRIBE_COLS)
+
+
+@register("quality_report", f"""
+WITH {ACT},
+{TR},
+{HR_DAILY_LI},
+{HRV_DAILY_LI}
+SELECT 'activity' AS table_name, 'steps' AS key_column, count(*) AS n_rows, min(day) AS min_day, max(day) AS max_day,
+  count(DISTINCT year(day)) AS n_years, count(*) FILTER (WHERE steps IS NULL) * 100.0 / count(*) AS pct_null FROM act
+UNION ALL
+SELECT 'training', 'duration_min', count(*), min(day), max(day), count(DISTINCT year(day)),
+  count(*) FILTER (WHERE duration_min IS NULL) * 100.0 / count(*) FROM tr
+UNION ALL
+SELECT 'heartrate', 'resting_hr', count(*), min(day), max(day), count(DISTINCT year(day)),
+  count(*) FILTER (WHERE resting_hr IS NULL) * 100.0 / count(*) FROM hrl_d
+UNION ALL
+SELECT 'hrv', 'rmssd', count(*), min(day), max(day), count(DISTINCT year(day)),
+  count(*) FILTER (WHERE rmssd IS NULL) * 100.0 / count(*) FROM hrvl_d""", ["pct_null"])
+def q_quality_report(spark, sf):
+    """Rows, day range, years and NULL share per table."""
+    return AG.quality_report({
+        "activity": (act_s(spark, sf), "steps"), "training": (tr_s(spark, sf), "duration_min"),
+        "heartrate": (hr_daily_lines(spark, sf), "resting_hr"), "hrv": (hrv_daily_lines(spark, sf), "rmssd")})
+
+
+@register("coverage", f"""
+WITH {ACT},
+o AS (SELECT DISTINCT subject_id, day FROM act)
+SELECT subject_id, count(*) AS days_present, min(day) AS first_day, max(day) AS last_day,
+  datediff('day', min(day), max(day)) + 1 AS span_days,
+  datediff('day', min(day), max(day)) + 1 - count(*) AS days_missing,
+  count(*) * 100.0 / (datediff('day', min(day), max(day)) + 1) AS pct_covered
+FROM o GROUP BY subject_id""", ["pct_covered"])
+def q_coverage(spark, sf):
+    """Share of days present per subject."""
+    return C.coverage(act_s(spark, sf)).withColumn("span_days", F.col("span_days").cast("long")) \
+        .withColumn("days_missing", F.col("days_missing").cast("long"))
+
+
+@register("missing_days_per_year", f"""
+WITH {ACT},
+o AS (SELECT DISTINCT subject_id, day FROM act),
+sp AS (SELECT subject_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day
+       FROM (SELECT subject_id, min(day) AS lo, max(day) AS hi FROM o GROUP BY subject_id)),
+miss AS (SELECT * FROM sp WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.subject_id = sp.subject_id AND o.day = sp.day))
+SELECT subject_id, CAST(year(day) AS INTEGER) AS year, count(*) AS days_missing FROM miss GROUP BY ALL""")
+def q_missing_days_per_year(spark, sf):
+    """Calendar days without activity, per year."""
+    return C.missing_per_year(act_s(spark, sf))
+
+
+@register("box_stats_by_year", f"""
+WITH {HR_DAILY_LI},
+v AS (SELECT subject_id, CAST(year(day) AS INTEGER) AS grp, resting_hr AS v FROM hrl_d WHERE resting_hr IS NOT NULL),
+q AS (SELECT subject_id, grp, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+        quantile_cont(v, 0.75) AS q3 FROM v GROUP BY ALL)
+SELECT v.subject_id, v.grp, q1, median, q3,
+  min(CASE WHEN round(v, 9) >= round(q1 - 1.5 * (q3 - q1), 9) THEN v END) AS whisker_lo,
+  max(CASE WHEN round(v, 9) <= round(q3 + 1.5 * (q3 - q1), 9) THEN v END) AS whisker_hi,
+  count(*) FILTER (WHERE round(v, 9) < round(q1 - 1.5 * (q3 - q1), 9)
+                      OR round(v, 9) > round(q3 + 1.5 * (q3 - q1), 9)) AS n_outliers, count(*) AS n
+FROM v JOIN q USING (subject_id, grp) GROUP BY ALL""", ["q1", "median", "q3", "whisker_lo", "whisker_hi"])
+def q_box_stats_by_year(spark, sf):
+    """Box-plot numbers of resting HR by year."""
+    return AG.box_stats(hr_daily_lines(spark, sf), "resting_hr", F.year("day"))
+
+
+@register("resting_hr_histogram", f"""
+WITH {HR_DAILY_LI},
+v AS (SELECT subject_id, resting_hr AS v FROM hrl_d WHERE resting_hr IS NOT NULL),
+r AS (SELECT subject_id, min(v) AS lo, max(v) AS hi FROM v GROUP BY subject_id),
+b AS (SELECT v.subject_id, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor(round((v - lo) / (hi - lo) * 40, 9)), 39) END AS INTEGER) AS bin,
+        lo, (hi - lo) / 40 AS w FROM v JOIN r USING (subject_id))
+SELECT subject_id, bin, any_value(lo) + bin * any_value(w) AS bin_start, any_value(lo) + (bin + 1) * any_value(w) AS bin_end,
+  count(*) AS n FROM b GROUP BY subject_id, bin""", ["bin_start", "bin_end"])
+def q_resting_hr_histogram(spark, sf):
+    """40 equal-width bins of resting HR."""
+    return AG.histogram(hr_daily_lines(spark, sf), "resting_hr", 40)
+
+
+@register("median_duration", f"""
+WITH {TR} SELECT subject_id, median(duration_min) AS median FROM tr WHERE duration_min < 300 GROUP BY subject_id""",
+          ["median"])
+def q_median_duration(spark, sf):
+    """Median session duration below 300 minutes."""
+    return AG.median_marker(tr_s(spark, sf).where(F.col("duration_min") < 300), "duration_min")
+
+
+@register("first_last_year", f"""
+WITH {HR_DAILY_LI},
+y AS (SELECT subject_id, CAST(year(day) AS INTEGER) AS year, avg(resting_hr) AS m FROM hrl_d GROUP BY ALL)
+SELECT subject_id, min(year) AS first_year, max(year) AS last_year, arg_min(m, year) AS first_mean,
+  arg_max(m, year) AS last_mean, arg_max(m, year) - arg_min(m, year) AS change
+FROM y GROUP BY subject_id""", ["first_mean", "last_mean", "change"])
+def q_first_last_year(spark, sf):
+    """Mean resting HR of the first and last year."""
+    return AG.first_last_year(hr_daily_lines(spark, sf), "resting_hr")
+
+
+@register("monthly_rmssd_profile", f"""
+WITH {HRV_DAILY_LI},
+m AS (SELECT subject_id, CAST(month(day) AS INTEGER) AS month, avg(rmssd) AS rmssd_mean FROM hrvl_d GROUP BY ALL),
+sp AS (SELECT subject_id, CAST(unnest(range(1, 13)) AS INTEGER) AS month FROM (SELECT DISTINCT subject_id FROM hrvl_d))
+SELECT * FROM sp LEFT JOIN m USING (subject_id, month)""", ["rmssd_mean"])
+def q_monthly_rmssd_profile(spark, sf):
+    """RMSSD mean per calendar month, all 12 months."""
+    return C.monthly_profile(hrv_daily_lines(spark, sf), "rmssd")
+
+
+@register("monthly_training_hours", f"""
+WITH {TR},
+m AS (SELECT subject_id, last_day(day) AS period, sum(duration_min) AS duration_min FROM tr GROUP BY ALL),
+sp AS (SELECT subject_id, last_day(CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE)) AS period
+       FROM (SELECT subject_id, date_trunc('month', min(period)) AS lo, date_trunc('month', max(period)) AS hi
+             FROM m GROUP BY subject_id))
+SELECT sp.subject_id, sp.period, CAST(coalesce(m.duration_min, 0) AS DOUBLE) / 60.0 AS hours
+FROM sp LEFT JOIN m USING (subject_id, period)""", ["hours"])
+def q_monthly_training_hours(spark, sf):
+    """Month-end training hours, empty months 0."""
+    m = C.resample(tr_s(spark, sf), "month", sums=["duration_min"])
+    return m.select("subject_id", "period", (F.col("duration_min") / 60.0).alias("hours"))
+
+
+@register("monthly_activity_means", f"""
+WITH {ACT},
+m AS (SELECT subject_id, last_day(day) AS period, avg(steps) AS steps, avg(calories) AS calories,
+        avg(sleep_hours) AS sleep_hours, avg(sleep_quality) AS sleep_quality FROM act GROUP BY ALL),
+sp AS (SELECT subject_id, last_day(CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE)) AS period
+       FROM (SELECT subject_id, date_trunc('month', min(period)) AS lo, date_trunc('month', max(period)) AS hi
+             FROM m GROUP BY subject_id))
+SELECT * FROM sp LEFT JOIN m USING (subject_id, period)""", ["steps", "calories", "sleep_hours", "sleep_quality"])
+def q_monthly_activity_means(spark, sf):
+    """A10: month-end means of steps, calories, sleep, quality (empty months NULL)."""
+    return C.resample(act_s(spark, sf), "month", means=["steps", "calories", "sleep_hours", "sleep_quality"])
+
+
+@register("hr_duration_pairs", f"""
+WITH {TR} SELECT subject_id, day, sport, duration_min, hr_avg, hr_max FROM tr
+WHERE hr_avg IS NOT NULL AND hr_max IS NOT NULL""", ["duration_min", "hr_avg", "hr_max"])
+def q_hr_duration_pairs(spark, sf):
+    """Sessions with both heart-rate values."""
+    from cardiolake.operators.extract import hr_duration_pairs
+    return hr_duration_pairs(tr_s(spark, sf))
