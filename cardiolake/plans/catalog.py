@@ -772,3 +772,149 @@ def q_hr_duration_pairs(spark, sf):
     """Sessions with both heart-rate values."""
     from cardiolake.operators.extract import hr_duration_pairs
     return hr_duration_pairs(tr_s(spark, sf))
+
+
+# ============================================= batch 4: files and incremental
+from cardiolake.dims import FILE_CATEGORY_RULES, OTHER_CATEGORY  # noqa: E402
+from cardiolake.operators import incremental as INC, upsert as UP  # noqa: E402
+from cardiolake.sources import archive as AR, json_docs as JD  # noqa: E402
+
+
+def _category_sql(name: str) -> str:
+    parts = []
+    for needles, cat in FILE_CATEGORY_RULES:
+        cond = " OR ".join(f"contains(lower({name}), '{n}')" for n in needles)
+        parts.append(f"WHEN {cond} THEN '{cat}'")
+    return f"CASE {' '.join(parts)} ELSE '{OTHER_CATEGORY}' END"
+
+
+_PREFIXES = "[" + ", ".join(f"'{p}'" for p in A.FILE_PREFIXES) + "]"
+FILES = f"""files AS (
+  SELECT CAST(doc_id % 5 AS BIGINT) AS subject_id,
+    {_PREFIXES}[CAST(doc_id % {len(A.FILE_PREFIXES)} AS INTEGER) + 1] || source || '_' || CAST(doc_id AS VARCHAR) || '.json' AS file_name,
+    text, md5(text) AS hash_md5, doc_id
+  FROM documents),
+prev_log AS (
+  SELECT subject_id, file_name,
+    CASE WHEN doc_id % 3 = 0 THEN md5(text) ELSE md5(text || '#old') END AS hash_md5
+  FROM files WHERE doc_id % 3 <> 2),
+status AS (
+  SELECT f.subject_id, f.file_name, f.hash_md5, f.text, {_category_sql('f.file_name')} AS category,
+    CASE WHEN p.hash_md5 IS NULL THEN 'new' WHEN p.hash_md5 <> f.hash_md5 THEN 'changed' ELSE 'unchanged' END AS status
+  FROM files f LEFT JOIN prev_log p ON f.subject_id = p.subject_id AND f.file_name = p.file_name)"""
+
+
+def status_s(spark, sf):
+    files = INC.with_category(INC.with_hash(A.files_documents(spark, sf)))
+    return INC.change_detection(files, A.previous_import_log(spark, sf))
+
+
+@register("file_categories", f"""
+WITH {FILES} SELECT category, count(*) AS n_files FROM status GROUP BY ROLLUP (category)""")
+def q_file_categories(spark, sf):
+    """Files per category with a total row (category NULL)."""
+    return AR.archive_summary(A.files_documents(spark, sf))
+
+
+@register("change_detection", f"""
+WITH {FILES} SELECT subject_id, file_name, hash_md5, category, status FROM status""")
+def q_change_detection(spark, sf):
+    """L02 + L04 + J05: MD5 of each file against the import log -> new / changed / unchanged."""
+    return status_s(spark, sf).select("subject_id", "file_name", "hash_md5", "category", "status")
+
+
+@register("change_preview", f"""
+WITH {FILES} SELECT status, category, count(*) AS n_files FROM status GROUP BY ALL""")
+def q_change_preview(spark, sf):
+    """Dry-run counts per status and category."""
+    return INC.change_preview(status_s(spark, sf))
+
+
+@register("import_report", f"""
+WITH {FILES}
+SELECT count(*) FILTER (WHERE status = 'new') AS n_new, count(*) FILTER (WHERE status = 'changed') AS n_changed,
+  count(*) FILTER (WHERE status = 'unchanged') AS n_unchanged, count(*) AS n_files,
+  count(*) FILTER (WHERE status IN ('new', 'changed') AND NOT json_valid(text)) AS n_errors
+FROM status""")
+def q_import_report(spark, sf):
+    """L18 + S03 + A40: run counts, with new/changed files that are not valid JSON."""
+    st = status_s(spark, sf)
+    parsed = JD.parse_documents(st, JD_ANY_SCHEMA)
+    return INC.import_report(parsed)
+
+
+JD_ANY_SCHEMA = "date string"
+
+
+@register("parse_error_counts", f"""
+WITH {FILES}
+SELECT category, count(*) AS n_files, count(*) FILTER (WHERE text IS NULL) AS n_invalid_utf8,
+  count(*) FILTER (WHERE text IS NOT NULL AND NOT json_valid(text)) AS n_malformed
+FROM status GROUP BY category""")
+def q_parse_error_counts(spark, sf):
+    """Files, invalid UTF-8 and malformed JSON per category."""
+    return JD.error_counts(A.files_documents(spark, sf))
+
+
+@register("new_log_entries", f"""
+WITH {FILES}
+SELECT subject_id, file_name, hash_md5, TIMESTAMP '2024-02-01 00:00:00' AS imported_at, category
+FROM status WHERE status IN ('new', 'changed')""")
+def q_new_log_entries(spark, sf):
+    """L06 + L14 source: log rows for new and changed files."""
+    return INC.new_log_entries(status_s(spark, sf), "2024-02-01 00:00:00")
+
+
+def _upsert_inputs(spark, sf):
+    act = act_s(spark, sf)
+    dom = F.dayofmonth("day")
+    tgt = (act.where(F.pmod(dom, F.lit(7)) != 0)
+           .withColumn("steps", F.when(F.pmod(dom, F.lit(5)) == 1, F.col("steps") + 1000)
+                       .when(F.pmod(dom, F.lit(5)) == 2, F.lit(None).cast("long")).otherwise(F.col("steps")))
+           .withColumn("calories", F.when(F.pmod(dom, F.lit(5)) == 3, F.col("calories") * 1.1)
+                       .otherwise(F.col("calories")))
+           .withColumn("sleep_quality", F.when(F.pmod(dom, F.lit(5)) == 4, F.lit(0.0))
+                       .otherwise(F.col("sleep_quality"))))
+    src = act.where(dom != 31)
+    return tgt, src
+
+
+UPSERT = f"""{ACT},
+tgt AS (SELECT subject_id, day,
+    CASE WHEN day(day) % 5 = 1 THEN steps + 1000 WHEN day(day) % 5 = 2 THEN NULL ELSE steps END AS steps,
+    CASE WHEN day(day) % 5 = 3 THEN calories * 1.1 ELSE calories END AS calories, sleep_hours,
+    CASE WHEN day(day) % 5 = 4 THEN 0.0 ELSE sleep_quality END AS sleep_quality, met_minutes
+  FROM act WHERE day(day) % 7 <> 0),
+src AS (SELECT * FROM act WHERE day(day) <> 31),
+j AS (SELECT coalesce(t.subject_id, s.subject_id) AS subject_id, coalesce(t.day, s.day) AS day,
+    CASE WHEN t.subject_id IS NULL THEN 'inserted' WHEN s.subject_id IS NULL THEN 'kept'
+      WHEN coalesce(t.steps <> s.steps, false) OR coalesce(t.calories <> s.calories, false)
+        OR coalesce(t.sleep_hours <> s.sleep_hours, false) THEN 'updated' ELSE 'unchanged' END AS action,
+    t.steps AS t_steps, s.steps AS s_steps, t.calories AS t_calories, s.calories AS s_calories,
+    t.sleep_hours AS t_sleep_hours, s.sleep_hours AS s_sleep_hours, t.sleep_quality AS t_sleep_quality,
+    s.sleep_quality AS s_sleep_quality, t.met_minutes AS t_met_minutes, s.met_minutes AS s_met_minutes
+  FROM tgt t FULL JOIN src s ON t.subject_id = s.subject_id AND t.day = s.day),
+merged AS (SELECT subject_id, day,
+    {", ".join(f"CASE WHEN action IN ('inserted', 'updated') THEN s_{c} ELSE t_{c} END AS {c}" for c in ["steps", "calories", "sleep_hours", "sleep_quality", "met_minutes"])},
+    action FROM j)"""
+
+
+@register("upsert_activity", f"WITH {UPSERT} SELECT * FROM merged",
+          ["calories", "sleep_hours", "sleep_quality", "met_minutes"])
+def q_upsert_activity(spark, sf):
+    """L07 + L15 + J06: merge by (subject, day), update only when steps, calories
+    or sleep differ (SQL ``<>``: NULL never differs); other rows kept as they are."""
+    tgt, src = _upsert_inputs(spark, sf)
+    m = UP.merge_plan(tgt, src, ["subject_id", "day"], ["steps", "calories", "sleep_hours"])
+    return m.withColumnRenamed("_action", "action")
+
+
+@register("upsert_activity_counts", f"""
+WITH {UPSERT}
+SELECT count(*) FILTER (WHERE action = 'inserted') AS inserted, count(*) FILTER (WHERE action = 'updated') AS updated,
+  count(*) FILTER (WHERE action = 'unchanged') AS unchanged, count(*) FILTER (WHERE action = 'kept') AS kept
+FROM merged""")
+def q_upsert_activity_counts(spark, sf):
+    """Rows inserted, updated, unchanged and kept by the activity merge."""
+    tgt, src = _upsert_inputs(spark, sf)
+    return UP.merge_counts(UP.merge_plan(tgt, src, ["subject_id", "day"], ["steps", "calories", "sleep_hours"]))
