@@ -12,7 +12,7 @@ def _part(s: Column, unit: str) -> Column:
     return F.coalesce(txt.try_cast("double"), F.lit(0.0))
 
 
-def iso_duration_minutes(col: Column | str, digits: int = 4) -> Column:
+def iso_duration_minutes(col: Column | str, digits: int | None = 4) -> Column:
     """Lenient form used for file exports.
 
     Each of ``<n>H``, ``<n>M``, ``<n>S`` is searched on its own and summed;
@@ -22,7 +22,8 @@ def iso_duration_minutes(col: Column | str, digits: int = 4) -> Column:
     s = F.col(col) if isinstance(col, str) else col
     t = F.when(F.instr(s, "T") > 0, F.substring_index(s, "T", -1)).otherwise(s)
     secs = _part(t, "H") * 3600 + _part(t, "M") * 60 + _part(t, "S")
-    return F.coalesce(F.round(secs / 60.0, digits), F.lit(0.0))
+    mins = secs / 60.0 if digits is None else F.round(secs / 60.0, digits)
+    return F.coalesce(mins, F.lit(0.0))
 
 
 def iso_duration_minutes_strict(col: Column | str) -> Column:

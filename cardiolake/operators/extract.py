@@ -64,23 +64,28 @@ def classify_training(df: DataFrame, sport: str = "sport_raw", name: str = "name
     return df.withColumn("category", cat).withColumn("sport", out)
 
 
-def flatten_activity(docs: DataFrame) -> DataFrame:
-    """One activity row per file with a date; one row kept per subject-day."""
+def _r(c: Column, digits: int, on: bool) -> Column:
+    return F.round(c, digits) if on else c
+
+
+def flatten_activity(docs: DataFrame, round_values: bool = True) -> DataFrame:
+    """One activity row per file with a date; one row kept per subject-day
+    (first file name). Sleep ``PT..S`` -> hours; zero or empty sleep -> NULL."""
     d = F.col("doc")
-    sleep_min = iso_duration_minutes(d["summary"]["sleepDuration"])
+    sleep_min = iso_duration_minutes(d["summary"]["sleepDuration"], 4 if round_values else None)
     rows = docs.select(
         "subject_id", "file_name",
         _day_of(d["date"]).alias("day"),
         safe_int(d["summary"]["stepCount"]).cast("long").alias("steps"),
         safe_double(d["summary"]["calories"]).alias("calories"),
-        F.when(sleep_min != 0, F.round(sleep_min / 60.0, 2)).alias("sleep_hours"),
+        F.when(sleep_min != 0, _r(sleep_min / 60.0, 2, round_values)).alias("sleep_hours"),
         safe_double(d["summary"]["sleepQuality"]).alias("sleep_quality"),
         safe_double(d["summary"]["dailyMetMinutes"]).alias("met_minutes"),
     ).where(F.col("day").isNotNull())
     return best_per_key(rows, ["subject_id", "day"], [F.col("file_name")]).drop("file_name")
 
 
-def explode_training(docs: DataFrame) -> DataFrame:
+def explode_training(docs: DataFrame, round_values: bool = True) -> DataFrame:
     """One row per exercise; a session without exercises gives one row
     from its own fields. Exercise values of 0/NULL fall back to the session's."""
     d = F.col("doc")
@@ -100,9 +105,10 @@ def explode_training(docs: DataFrame) -> DataFrame:
     ex_dist = falsy_fallback(safe_double(F.coalesce(ex["distanceMeters"], ex["distance"])), F.col("_dist_top"))
     ex_dur = falsy_fallback(safe_double(ex["durationMillis"]), F.col("_dur_top"))
     dist_m = F.when(no_ex, F.col("_dist_top")).otherwise(ex_dist)
-    dur_min = F.when(no_ex, F.when(F.col("_dur_top") != 0, F.round(F.col("_dur_top") / 60000.0, 2))) \
-        .otherwise(F.when(F.coalesce(ex_dur, F.lit(0.0)) != 0, F.round(ex_dur / 60000.0, 2))
-                   .otherwise(iso_duration_minutes(ex["duration"])))
+    rv = round_values
+    dur_min = F.when(no_ex, F.when(F.col("_dur_top") != 0, _r(F.col("_dur_top") / 60000.0, 2, rv))) \
+        .otherwise(F.when(F.coalesce(ex_dur, F.lit(0.0)) != 0, _r(ex_dur / 60000.0, 2, rv))
+                   .otherwise(iso_duration_minutes(ex["duration"], 4 if rv else None)))
     sport_v = F.when(no_ex, F.col("doc")["sport"]).otherwise(F.coalesce(ex["sport"], F.col("doc")["sport"]))
     rows = ex_rows.select(
         "subject_id", "file_name", "start_ts",
@@ -113,7 +119,7 @@ def explode_training(docs: DataFrame) -> DataFrame:
         dur_min.alias("duration_min"),
         F.when(no_ex, F.col("_hra_top")).otherwise(falsy_fallback(safe_double(ex["heartRate"]["average"]), F.col("_hra_top"))).alias("hr_avg"),
         F.when(no_ex, F.col("_hrm_top")).otherwise(falsy_fallback(safe_double(ex["heartRate"]["maximum"]), F.col("_hrm_top"))).alias("hr_max"),
-        F.when(F.coalesce(dist_m, F.lit(0.0)) != 0, F.round(dist_m / 1000.0, 3)).alias("distance_km"),
+        F.when(F.coalesce(dist_m, F.lit(0.0)) != 0, _r(dist_m / 1000.0, 3, rv)).alias("distance_km"),
         F.when(no_ex, F.col("_kcal_top")).otherwise(falsy_fallback(safe_double(ex["calories"]), F.col("_kcal_top"))).alias("calories"),
     )
     t = classify_training(rows)

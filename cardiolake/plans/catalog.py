@@ -918,3 +918,184 @@ def q_upsert_activity_counts(spark, sf):
     """Rows inserted, updated, unchanged and kept by the activity merge."""
     tgt, src = _upsert_inputs(spark, sf)
     return UP.merge_counts(UP.merge_plan(tgt, src, ["subject_id", "day"], ["steps", "calories", "sleep_hours"]))
+
+
+# ===================================== batch 5: export documents -> tables
+from cardiolake import schemas as S  # noqa: E402
+from cardiolake.operators import extract as X  # noqa: E402
+from cardiolake.plans import documents as DOC  # noqa: E402
+
+
+def parsed(files: DataFrame, schema: str) -> DataFrame:
+    return JD.good(JD.parse_documents(files, schema))
+
+
+@register("hr_daily_from_json", f"""
+WITH hr_s AS (
+  SELECT CAST(user_id % 5 AS BIGINT) AS subject_id, CAST(ts AS DATE) AS day, CAST(floor(value) AS INTEGER) AS hr
+  FROM events WHERE event_id % 4 <> 3 AND CAST(floor(value) AS INTEGER) BETWEEN 20 AND 250),
+{daily_hr_sql('hr_d', 'hr_s')}
+SELECT * FROM hr_d""", HRD)
+def q_hr_daily_from_json(spark, sf):
+    """S03 + X07 + A01: 24/7 heart-rate documents (numbers, numeric strings,
+    decimal strings) -> samples within 20..250 -> daily resting HR, mean, max."""
+    samples = X.explode_hr_samples(parsed(DOC.hr_documents(spark, sf), S.HR_DOC))
+    return daily.daily_hr(samples, digits=D)
+
+
+@register("hrv_daily_from_json", f"""
+WITH {PPI_EV},
+{daily_hrv_sql('hrv_d', 'ppi_s', 'event_id')}
+SELECT * FROM hrv_d""", HRVD)
+def q_hrv_daily_from_json(spark, sf):
+    """X08 + A02: pulse-interval documents with list or object roots -> daily HRV,
+    samples ordered by (file, entry, device, position)."""
+    s = X.explode_ppi_samples(parsed(DOC.ppi_documents(spark, sf), S.PPI_DOC))
+    return daily.daily_hrv(s, order=("file_name", "entry", "device", "pos"), chunk=DOC.ppi_file_chunk(),
+                           digits=D, mean_digits=D, hr_digits=D)
+
+
+def _list_sql(xs):
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+
+
+def classify_sql(src: str) -> str:
+    """SQL twin of ``classify_training`` over ``src`` with columns sport_raw, name, duration_min, distance_km."""
+    return f"""(SELECT *, CASE WHEN s1 = 'TRAIL_RUNNING' THEN 'RUNNING' ELSE s1 END AS sport,
+    CASE WHEN contains(lname, 'laufband') OR contains(lname, 'laufb.') OR contains(lname, 'treadmill') THEN 'TREADMILL'
+         WHEN s1 = 'TRAIL_RUNNING' THEN 'TRAIL' WHEN s1 = 'RUNNING' THEN 'OUTDOOR' ELSE t.dim_category END AS category
+  FROM (SELECT *, CASE WHEN sport_raw IN ('HIKING', 'WALKING') AND distance_km <> 0 AND duration_min <> 0
+                       AND duration_min / distance_km < 10 THEN 'RUNNING' ELSE sport_raw END AS s1,
+               lower(trim(coalesce(name, ''))) AS lname FROM {src}) AS x
+  LEFT JOIN {values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category')} ON c_sport = x.s1)"""
+
+
+from cardiolake.dims import SPORT_IDS  # noqa: E402
+
+TRAINING_DOCS = f"""li AS (
+  SELECT l.*, o.o_custkey, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+f AS (SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id,
+    'training-session-' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '-' || CAST(l_linenumber AS VARCHAR)
+      || '-' || CAST(l_partkey AS VARCHAR) || '.json' AS file_name,
+    o_orderdate + to_hours(CAST(l_linenumber * 3 - 4 AS BIGINT)) AS start_ts,
+    l_linenumber % 3 <> 1 AS has_ex,
+    replace(trim({_list_sql(DOC.DOC_SPORT_NAMES)}[CAST(l_partkey % 8 AS INTEGER) + 1]), '''', '') AS top_name,
+    CASE WHEN l_suppkey % 7 <> 0 THEN {_list_sql(DOC.DOC_SPORT_IDS)}[CAST(l_suppkey % 8 AS INTEGER) + 1] END AS ex_id,
+    CASE WHEN l_partkey % 10 = 0 THEN 0.0 ELSE l_quantity * 50000 END AS dur_top,
+    l_extendedprice / 25 AS dist_top, l_tax * 10000 AS kcal_top,
+    CAST(90 + l_linenumber AS DOUBLE) AS hra_top, CAST(150 + l_linenumber AS DOUBLE) AS hrm_top,
+    CASE WHEN l_partkey % 5 = 0 THEN 0.0 ELSE l_quantity * 60000 END AS ex_dur,
+    CAST(CAST(l_quantity AS INTEGER) AS DOUBLE) + 0.5 AS iso_min,
+    CASE WHEN l_suppkey % 6 <> 0 THEN l_extendedprice / 20 END AS ex_dist,
+    l_tax * 20000 AS ex_kcal, 100 + l_quantity AS ex_hra,
+    CASE WHEN l_partkey % 4 = 0 THEN 0.0 ELSE 160 + l_quantity END AS ex_hrm,
+    CASE WHEN l_returnflag = 'R' THEN 'Laufband Session' ELSE 'Run' END AS name
+  FROM li),
+g AS (SELECT f.*, CAST(start_ts AS DATE) AS day,
+    CASE WHEN has_ex THEN coalesce(nullif(ex_dist, 0), dist_top) ELSE dist_top END AS dist_m,
+    CASE WHEN has_ex THEN CASE WHEN coalesce(nullif(ex_dur, 0), dur_top, 0) <> 0
+                               THEN coalesce(nullif(ex_dur, 0), dur_top) / 60000.0 ELSE iso_min END
+         ELSE CASE WHEN dur_top <> 0 THEN dur_top / 60000.0 END END AS duration_min,
+    CASE WHEN has_ex THEN coalesce(nullif(ex_hra, 0), hra_top) ELSE hra_top END AS hr_avg,
+    CASE WHEN has_ex THEN coalesce(nullif(ex_hrm, 0), hrm_top) ELSE hrm_top END AS hr_max,
+    CASE WHEN has_ex THEN coalesce(nullif(ex_kcal, 0), kcal_top) ELSE kcal_top END AS calories,
+    CASE WHEN has_ex AND ex_id IS NOT NULL THEN coalesce(sid.sport_name, 'ID_' || ex_id)
+         WHEN top_name = '' THEN 'UNKNOWN' ELSE top_name END AS sport_raw
+  FROM f LEFT JOIN {values_sql(SPORT_IDS, 'sport_id', 'sport_name')} AS sid ON sid.sport_id = f.ex_id),
+h AS (SELECT *, CASE WHEN coalesce(dist_m, 0) <> 0 THEN dist_m / 1000.0 END AS distance_km FROM g)"""
+TRAINING_DOCS = TRAINING_DOCS.replace(
+    f"{values_sql(SPORT_IDS, 'sport_id', 'sport_name')} AS sid ON",
+    values_sql(SPORT_IDS, 'sport_id', 'sport_name').replace(" AS t(sport_id, sport_name)",
+                                                             " AS sid(sport_id, sport_name)") + " ON")
+
+
+@register("training_from_json", f"""
+WITH {TRAINING_DOCS}
+SELECT subject_id, file_name, day, CAST(hour(start_ts) AS INTEGER) AS start_hour, 0 AS ordinal, sport, category,
+  duration_min, hr_avg, hr_max, distance_km, calories, dayname(day) AS weekday, CAST(year(day) AS INTEGER) AS year
+FROM {classify_sql('h')}""", ["duration_min", "hr_avg", "hr_max", "distance_km", "calories"])
+def q_training_from_json(spark, sf):
+    """S03 + X02 + X03 + X04 + X05 + F01a + F03 + F04: training documents -> one row per
+    exercise (or per session without exercises), sport decoded, relabelled, categorised."""
+    t = X.explode_training(parsed(DOC.training_documents(spark, sf), S.TRAINING_DOC), round_values=False)
+    return t.select("subject_id", "file_name", "day", F.hour("start_ts").alias("start_hour"), "ordinal",
+                    "sport", "category", "duration_min", "hr_avg", "hr_max", "distance_km", "calories",
+                    "weekday", "year")
+
+
+@register("activity_from_json", """
+WITH a AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
+    'activity-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
+    CASE WHEN o_orderkey % 4 = 1 THEN NULL ELSE CAST(floor(o_totalprice / 10) AS BIGINT) END AS steps,
+    o_totalprice / 100 AS calories,
+    CASE WHEN o_orderkey % 6 IN (0, 1) THEN NULL
+         ELSE CAST(18000 + o_orderkey % 20000 AS DOUBLE) / 60.0 / 60.0 END AS sleep_hours,
+    CAST(o_orderkey % 10 AS DOUBLE) / 10.0 AS sleep_quality, o_totalprice / 1000 AS met_minutes
+  FROM orders)
+SELECT subject_id, day, steps, calories, sleep_hours, sleep_quality, met_minutes FROM a
+QUALIFY row_number() OVER (PARTITION BY subject_id, day ORDER BY file_name) = 1""",
+          ["calories", "sleep_hours", "sleep_quality", "met_minutes"])
+def q_activity_from_json(spark, sf):
+    """X01 + F01a + F02 + L20: activity documents -> one activity row per subject-day."""
+    return X.flatten_activity(parsed(DOC.activity_documents(spark, sf), S.ACTIVITY_DOC), round_values=False)
+
+
+FITNESS_SQL = """ft AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
+    'fitness-test-results-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
+    CASE WHEN o_orderkey % 11 <> 0 THEN CAST(20 + o_orderkey % 60 AS DOUBLE) END AS own_index,
+    CAST(60 + o_orderkey % 30 AS DOUBLE) AS avg_hr, o_orderpriority AS fitness_class,
+    CAST(120 AS INTEGER) AS timezone_offset,
+    CAST(DATE '1970-01-01' + CAST(o_custkey % 3650 + 3650 AS INTEGER) AS DATE) AS birthday,
+    CASE WHEN o_custkey % 2 = 0 THEN 'MALE' ELSE 'FEMALE' END AS sex,
+    CAST(160 + o_custkey % 35 AS DOUBLE) AS height, CAST(55.5 + o_custkey % 40 AS DOUBLE) AS weight,
+    CAST(175 + o_custkey % 20 AS INTEGER) AS max_hr, CAST(45 + o_custkey % 15 AS INTEGER) AS resting_hr,
+    CAST(NULL AS INTEGER) AS aerobic_threshold, CAST(NULL AS INTEGER) AS anaerobic_threshold,
+    CASE WHEN o_orderkey % 9 <> 0 AND o_orderkey % 11 <> 0 THEN CAST(20 + o_orderkey % 60 AS DOUBLE) * 0.9 END AS vo2max,
+    'REGULAR' AS training_background, 'USER' AS weight_source, CAST(28800 AS BIGINT) AS sleep_goal
+  FROM orders),
+best AS (SELECT * EXCLUDE (file_name) FROM ft
+  QUALIFY row_number() OVER (PARTITION BY subject_id, day ORDER BY own_index DESC NULLS LAST, file_name) = 1)"""
+
+
+def fitness_s(spark, sf):
+    return X.flatten_fitness(parsed(DOC.fitness_documents(spark, sf), S.FITNESS_DOC))
+
+
+@register("fitness_tests_from_json", f"WITH {FITNESS_SQL} SELECT * FROM best",
+          ["own_index", "avg_hr", "height", "weight", "vo2max"])
+def q_fitness_tests_from_json(spark, sf):
+    """X09 + W05 + L11: fitness documents -> 17 columns, best own index per day."""
+    return fitness_s(spark, sf)
+
+
+@register("fitness_stats", f"""
+WITH {FITNESS_SQL}
+SELECT subject_id, count(*) AS n_tests, avg(own_index) AS own_index_mean, max(own_index) AS own_index_max,
+  avg(vo2max) AS vo2max_mean, max(vo2max) AS vo2max_max FROM best GROUP BY subject_id""",
+          ["own_index_mean", "own_index_max", "vo2max_mean", "vo2max_max"])
+def q_fitness_stats(spark, sf):
+    """Tests, mean/max own index and VO2max per subject."""
+    return AG.fitness_stats(fitness_s(spark, sf))
+
+
+@register("raw_documents_from_json", """
+WITH d AS (
+  SELECT CAST(doc_id % 5 AS BIGINT) AS subject_id, 'account-' || source || '-' || CAST(doc_id AS VARCHAR) || '.json' AS file_name,
+    doc_id % 3 AS m, DATE '2024-01-01' + CAST(doc_id % 366 AS INTEGER) AS d0 FROM documents)
+SELECT subject_id, file_name, 'account' AS category,
+  CAST(CASE WHEN m = 0 THEN d0 WHEN m = 1 THEN d0 END AS DATE) AS day
+FROM d""")
+def q_raw_documents_from_json(spark, sf):
+    """X10 + L13: documents kept whole; day = first parseable of startTime, created, date."""
+    files = INC.with_category(DOC.other_documents(spark, sf))
+    return X.keep_document(files).select("subject_id", "file_name", "category", "day")
+
+
+@register("expand_props", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def q_expand_props(spark, sf):
+    """JSON text column -> typed columns."""
+    e = A.table(spark, sf, "events").select("event_id", "props")
+    return X.expand_json_column(e, "props", "k int")
