@@ -19,27 +19,34 @@ def decode_text(content: str = "content"):
     return F.when(F.is_valid_utf8(c.cast("string")), c.cast("string"))
 
 
+def _once(col):
+    """Evaluate an expensive expression once per row.
+
+    The value comes out of a one-element ``explode``: filters on its fields
+    stay above the generator instead of being pushed below it with their
+    own copy of the expression (which would parse each document again).
+    """
+    return F.explode(F.array(col))
+
+
 def parse_documents(files: DataFrame, schema: str, content: str = "content") -> DataFrame:
     """Add ``doc`` (typed by ``schema``) and ``parse_error`` (NULL when fine).
 
     Struct schemas use PERMISSIVE mode with a corrupt-record column; array
     schemas (list-or-object roots) flag a NULL result for non-null text.
+    Each document is parsed exactly once.
     """
     text = decode_text(content) if dict(files.dtypes).get(content) == "binary" else F.col(content)
-    is_array = schema.strip().lower().startswith("array")
-    if is_array:
-        doc = F.from_json(text, schema)
-        err = (F.when(text.isNull(), F.lit("invalid_utf8"))
-               .when(F.try_parse_json(text).isNull(), F.lit("malformed_json")))
-        base = files.withColumn("_text", text)
-        return base.select("*", doc.alias("doc")).withColumn(
-            "parse_error", F.when(F.col("_text").isNull(), F.lit("invalid_utf8"))
-            .when(F.col("doc").isNull(), F.lit("malformed_json"))).drop("_text")
-    full = f"{schema}, {CORRUPT} string"
-    doc = F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = files.withColumn("_text", text).withColumn("doc", doc)
-    err = (F.when(F.col("_text").isNull(), F.lit("invalid_utf8"))
-           .when(F.col("doc").isNull() | F.col("doc")[CORRUPT].isNotNull(), F.lit("malformed_json")))
+    base = files.withColumn("_text", text)
+    if schema.strip().lower().startswith("array"):
+        doc = F.from_json(F.col("_text"), schema)
+        bad_json = F.col("doc").isNull()
+    else:
+        doc = F.from_json(F.col("_text"), f"{schema}, {CORRUPT} string",
+                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        bad_json = F.col("doc").isNull() | F.col("doc")[CORRUPT].isNotNull()
+    out = base.select("*", _once(doc).alias("doc"))
+    err = F.when(F.col("_text").isNull(), F.lit("invalid_utf8")).when(bad_json, F.lit("malformed_json"))
     return out.withColumn("parse_error", err).drop("_text")
 
 
