@@ -1099,3 +1099,31 @@ def q_expand_props(spark, sf):
     """JSON text column -> typed columns."""
     e = A.table(spark, sf, "events").select("event_id", "props")
     return X.expand_json_column(e, "props", "k int")
+
+
+# ============================================================ batch 6: streams
+@register("streaming_daily_hr", f"""
+WITH {HR_EV}
+SELECT subject_id, CAST(ts AS DATE) AS day, quantile_cont(hr, 0.05) AS resting_hr, avg(hr) AS hr_mean,
+  CAST(max(hr) AS INTEGER) AS hr_max, count(*) AS n_samples
+FROM hr_s
+WHERE CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM hr_s) - INTERVAL 2 DAY
+GROUP BY ALL""", HRD)
+def q_streaming_daily_hr(spark, sf):
+    """Events read as a file stream -> samples -> watermark 2 days -> daily
+    resting HR / mean / max in append mode (availableNow), written as Parquet
+    under the shared checkpoint directory. Days whose window end is not yet
+    behind the watermark are not emitted."""
+    import uuid
+
+    from cardiolake.session import ensure_checkpoint_dir
+    from cardiolake.streaming import jobs as J
+
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    st = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    hr = F.floor("value").cast("int")
+    samples = (st.select(F.pmod("user_id", F.lit(A.N_SUBJECTS)).cast("long").alias("subject_id"), "ts",
+                         hr.alias("hr")).where(F.col("hr").between(20, 250)))
+    run = uuid.uuid4().hex
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/results/streaming_daily_hr/{run}"
+    return J.daily_hr_stream(spark, samples, out, name=f"daily_hr_{run}")

@@ -50,6 +50,14 @@ def parse_documents(files: DataFrame, schema: str, content: str = "content") ->
     return out.withColumn("parse_error", err).drop("_text")
 
 
+def with_parse_error(files: DataFrame, content: str = "content") -> DataFrame:
+    """Flag files that are not UTF-8 or not JSON (any root), without typing them."""
+    text = decode_text(content) if dict(files.dtypes).get(content) == "binary" else F.col(content)
+    err = (F.when(text.isNull(), F.lit("invalid_utf8"))
+           .when(F.try_parse_json(text).isNull(), F.lit("malformed_json")))
+    return files.withColumn("parse_error", err)
+
+
 def good(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("parse_error").isNull())
 
