@@ -20,7 +20,9 @@ def iso_duration_minutes(col: Column | str, digits: int | None = 4) -> Column:
     so that a month (``P1M``) is not taken for minutes. NULL/empty -> 0.0.
     """
     s = F.col(col) if isinstance(col, str) else col
-    t = F.when(F.instr(s, "T") > 0, F.substring_index(s, "T", -1)).otherwise(s)
+    # time part: after "T"; a "P..." duration without "T" has none (P1M is a month)
+    t = (F.when(F.instr(s, "T") > 0, F.substring_index(s, "T", -1))
+         .when(F.startswith(s, F.lit("P")), F.lit("")).otherwise(s))
     secs = _part(t, "H") * 3600 + _part(t, "M") * 60 + _part(t, "S")
     mins = secs / 60.0 if digits is None else F.round(secs / 60.0, digits)
     return F.coalesce(mins, F.lit(0.0))
