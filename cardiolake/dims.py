@@ -120,12 +120,15 @@ def sport_category_dim(spark: SparkSession) -> DataFrame:
 
 
 def map_expr(pairs, col, default=None):
-    """Fixed mapping as a CASE expression (keeps tiny lookups inside codegen)."""
-    e = None
+    """Fixed mapping as a literal map lookup (one lookup per row, JVM-side).
+
+    A literal map is folded to a constant, so the key expression is
+    evaluated once, unlike a CASE chain that Catalyst may expand per branch.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    for k, v in pairs:
-        e = F.when(c == F.lit(k), F.lit(v)) if e is None else e.when(c == F.lit(k), F.lit(v))
-    return e.otherwise(default if default is None else F.lit(default)) if default is not None else e
+    m = F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+    e = F.try_element_at(m, c)
+    return e if default is None else F.coalesce(e, F.lit(default))
 
 
 def values_sql(pairs, key: str, value: str) -> str:
