@@ -9,28 +9,22 @@ def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
 
-def _variant_or(col, typ):
-    # variant input -> try_variant_get, anything else -> try_cast
-    c = _c(col)
-    return F.try_variant_get(c, "$", typ)
-
-
 def safe_double(col) -> Column:
-    """float(x) or NULL. Works on variant fields (numbers or numeric strings)."""
-    return _variant_or(col, "double")
+    """float(x) or NULL, from JSON text, a number or a variant."""
+    return _c(col).try_cast("double")
 
 
 def safe_int(col) -> Column:
-    """int(x) or NULL: ``"12"`` -> 12, ``"1.5"`` -> NULL, ``1.9`` -> 1."""
-    return _variant_or(col, "int")
+    """int(x) or NULL. On a variant: ``"12"`` -> 12, ``"1.5"`` -> NULL, ``1.9`` -> 1."""
+    return _c(col).try_cast("int")
 
 
 def safe_long(col) -> Column:
-    return _variant_or(col, "bigint")
+    return _c(col).try_cast("bigint")
 
 
 def safe_string(col) -> Column:
-    return _variant_or(col, "string")
+    return _c(col).try_cast("string")
 
 
 def falsy_fallback(a, b) -> Column:

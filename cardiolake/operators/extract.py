@@ -22,20 +22,19 @@ def _day_of(text: Column) -> Column:
     return F.to_date(utc_timestamp(text))
 
 
-def decode_sport(v: Column) -> Column:
-    """Sport given as a name or as ``{"id": ..}`` (variant) -> sport name.
+def decode_sport(s: Column) -> Column:
+    """Sport given as a name or as ``{"id": ..}`` -> sport name.
 
-    Ids map through the fixed id table, unknown ids become ``ID_<id>``; a
-    name has blanks and single quotes stripped; empty or absent -> UNKNOWN.
+    The field is read as text: an object arrives as its JSON text. Ids map
+    through the fixed id table, unknown ids become ``ID_<id>``; a name has
+    blanks and single quotes stripped; empty or absent -> UNKNOWN.
     """
-    is_obj = F.schema_of_variant(v).startswith("OBJECT")
-    sid = F.coalesce(F.try_variant_get(v, "$.id", "string"),
-                     F.try_variant_get(v, "$.ID", "string"), F.lit(""))
-    name = F.replace(F.trim(F.try_variant_get(v, "$", "string")), F.lit("'"), F.lit(""))
-    by_id = F.coalesce(map_expr(SPORT_IDS, sid), F.concat(F.lit("ID_"), sid))
-    return (F.when(v.isNull(), F.lit("UNKNOWN"))
-            .when(is_obj, by_id)
-            .when(F.coalesce(name, F.lit("")) == "", F.lit("UNKNOWN"))
+    sid = F.coalesce(F.get_json_object(s, "$.id"), F.get_json_object(s, "$.ID"), F.lit(""))
+    name = F.replace(F.trim(s), F.lit("'"), F.lit(""))
+    return (F.when(s.isNull(), F.lit("UNKNOWN"))
+            .when(F.startswith(s, F.lit("{")),
+                  F.coalesce(map_expr(SPORT_IDS, sid), F.concat(F.lit("ID_"), sid)))
+            .when(name == "", F.lit("UNKNOWN"))
             .otherwise(name))
 
 
@@ -46,22 +45,23 @@ def classify_training(df: DataFrame, sport: str = "sport_raw", name: str = "name
     HIKING/WALKING slower than 10 min/km stays, faster becomes RUNNING;
     a treadmill name wins the category; TRAIL_RUNNING becomes RUNNING/TRAIL;
     RUNNING is OUTDOOR; the rest comes from the fixed category table.
+    The relabelled sport is a named column so the CASE is generated once.
     """
     s0, dur, dist = F.col(sport), F.col(duration), F.col(distance)
-    pace = F.try_divide(dur, dist)
     fast = (s0.isin(*PACE_RELABEL_SPORTS) & (dist != 0) & (dur != 0)
-            & (pace < PACE_LIMIT_MIN_PER_KM))
-    s1 = F.when(fast, F.lit("RUNNING")).otherwise(s0)
+            & (F.try_divide(dur, dist) < PACE_LIMIT_MIN_PER_KM))
     nm = F.lower(F.trim(F.coalesce(F.col(name), F.lit(""))))
     tread = None
     for m in TREADMILL_MARKERS:
         tread = nm.contains(m) if tread is None else (tread | nm.contains(m))
-    cat = (F.when(tread, F.lit("TREADMILL"))
+    staged = df.withColumn("_s1", F.when(fast, F.lit("RUNNING")).otherwise(s0)).withColumn("_tread", tread)
+    s1 = F.col("_s1")
+    cat = (F.when(F.col("_tread"), F.lit("TREADMILL"))
            .when(s1 == "TRAIL_RUNNING", F.lit("TRAIL"))
            .when(s1 == "RUNNING", F.lit("OUTDOOR"))
            .otherwise(map_expr(SPORT_CATEGORY, s1)))
     out = F.when(s1 == "TRAIL_RUNNING", F.lit("RUNNING")).otherwise(s1)
-    return df.withColumn("category", cat).withColumn("sport", out)
+    return staged.withColumn("category", cat).withColumn("sport", out).drop("_s1", "_tread")
 
 
 def _r(c: Column, digits: int, on: bool) -> Column:
@@ -98,29 +98,45 @@ def explode_training(docs: DataFrame, round_values: bool = True) -> DataFrame:
         safe_double(d["calories"]).alias("_kcal_top"),
         safe_double(d["hrAvg"]).alias("_hra_top"),
         safe_double(d["hrMax"]).alias("_hrm_top"),
+        decode_sport(d["sport"]).alias("_sport_top"),  # once per document, before the explode
     ).where(F.col("start_ts").isNotNull())
     ex_rows = base.select("*", F.posexplode_outer(F.col("doc")["exercises"]).alias("_pos", "_ex"))
     ex = F.col("_ex")
     no_ex = ex.isNull()
-    ex_dist = falsy_fallback(safe_double(F.coalesce(ex["distanceMeters"], ex["distance"])), F.col("_dist_top"))
-    ex_dur = falsy_fallback(safe_double(ex["durationMillis"]), F.col("_dur_top"))
-    dist_m = F.when(no_ex, F.col("_dist_top")).otherwise(ex_dist)
     rv = round_values
-    dur_min = F.when(no_ex, F.when(F.col("_dur_top") != 0, _r(F.col("_dur_top") / 60000.0, 2, rv))) \
-        .otherwise(F.when(F.coalesce(ex_dur, F.lit(0.0)) != 0, _r(ex_dur / 60000.0, 2, rv))
-                   .otherwise(iso_duration_minutes(ex["duration"], 4 if rv else None)))
-    sport_v = F.when(no_ex, F.col("doc")["sport"]).otherwise(F.coalesce(ex["sport"], F.col("doc")["sport"]))
-    rows = ex_rows.select(
+    # stage 1: per-exercise values after the session fallback, each computed once
+    st1 = ex_rows.select(
+        "subject_id", "file_name", "start_ts", "_pos", no_ex.alias("_no_ex"),
+        F.col("doc")["name"].alias("name"),
+        F.when(no_ex, F.col("_dist_top")).otherwise(
+            falsy_fallback(safe_double(F.coalesce(ex["distanceMeters"], ex["distance"])), F.col("_dist_top"))
+        ).alias("_dist_m"),
+        F.when(no_ex, F.col("_dur_top")).otherwise(
+            F.coalesce(falsy_fallback(safe_double(ex["durationMillis"]), F.col("_dur_top")), F.lit(0.0))
+        ).alias("_dur_ms"),
+        ex["duration"].alias("_iso"),
+        F.when(no_ex | ex["sport"].isNull(), F.col("_sport_top")).otherwise(decode_sport(ex["sport"]))
+        .alias("sport_raw"),
+        F.when(no_ex, F.col("_hra_top")).otherwise(
+            falsy_fallback(safe_double(ex["heartRate"]["average"]), F.col("_hra_top"))).alias("hr_avg"),
+        F.when(no_ex, F.col("_hrm_top")).otherwise(
+            falsy_fallback(safe_double(ex["heartRate"]["maximum"]), F.col("_hrm_top"))).alias("hr_max"),
+        F.when(no_ex, F.col("_kcal_top")).otherwise(
+            falsy_fallback(safe_double(ex["calories"]), F.col("_kcal_top"))).alias("calories"),
+    )
+    dur_ms, dist_m = F.col("_dur_ms"), F.col("_dist_m")
+    dur_min = (F.when(dur_ms != 0, _r(dur_ms / 60000.0, 2, rv))
+               .when(F.col("_no_ex"), F.lit(None).cast("double"))
+               .otherwise(iso_duration_minutes(F.col("_iso"), 4 if rv else None)))
+    rows = st1.select(
         "subject_id", "file_name", "start_ts",
         F.to_date("start_ts").alias("day"),
         F.coalesce(F.col("_pos"), F.lit(0)).alias("ordinal"),
-        decode_sport(sport_v).alias("sport_raw"),
-        F.col("doc")["name"].alias("name"),
+        "sport_raw", "name",
         dur_min.alias("duration_min"),
-        F.when(no_ex, F.col("_hra_top")).otherwise(falsy_fallback(safe_double(ex["heartRate"]["average"]), F.col("_hra_top"))).alias("hr_avg"),
-        F.when(no_ex, F.col("_hrm_top")).otherwise(falsy_fallback(safe_double(ex["heartRate"]["maximum"]), F.col("_hrm_top"))).alias("hr_max"),
+        "hr_avg", "hr_max",
         F.when(F.coalesce(dist_m, F.lit(0.0)) != 0, _r(dist_m / 1000.0, 3, rv)).alias("distance_km"),
-        F.when(no_ex, F.col("_kcal_top")).otherwise(falsy_fallback(safe_double(ex["calories"]), F.col("_kcal_top"))).alias("calories"),
+        "calories",
     )
     t = classify_training(rows)
     return t.select("subject_id", "day", "start_ts", "ordinal", "sport", "category", "duration_min",

@@ -1,8 +1,11 @@
 """Schemas of the incoming JSON documents and of the target tables.
 
-Document schemas use ``variant`` for fields whose JSON type varies between
-exports (numbers sent as strings, sport as a name or as ``{"id": ..}``); the
-extract operators turn them into typed columns with ``try_variant_get``.
+Document schemas read float-valued fields as JSON text (``string``: a number
+or a numeric string both arrive as text and ``try_cast`` to double; an object
+in a string field arrives as its JSON text, which is how ``sport`` -- a name or
+``{"id": ..}`` -- is read). ``variant`` is used only where the JSON type
+decides the value: integer fields (``1.9`` -> 1 but ``"1.9"`` -> NULL).
+Variant extraction costs far more per value than a string cast.
 Every table carries ``subject_id`` so that all work partitions by person.
 """
 
@@ -11,16 +14,16 @@ from pyspark.sql import types as T
 # --- documents (schema-on-read, narrow: only fields the extractors use) ---
 
 ACTIVITY_DOC = (
-    "date string, summary struct<stepCount: variant, calories: variant, "
-    "sleepDuration: string, sleepQuality: variant, dailyMetMinutes: variant>"
+    "date string, summary struct<stepCount: variant, calories: string, "
+    "sleepDuration: string, sleepQuality: string, dailyMetMinutes: string>"
 )
 
 TRAINING_DOC = (
-    "startTime string, sport variant, name string, durationMillis variant, "
-    "distanceMeters variant, calories variant, hrAvg variant, hrMax variant, "
-    "exercises array<struct<sport: variant, durationMillis: variant, duration: string, "
-    "distanceMeters: variant, distance: variant, calories: variant, "
-    "heartRate: struct<average: variant, maximum: variant>>>"
+    "startTime string, sport string, name string, durationMillis string, "
+    "distanceMeters string, calories string, hrAvg string, hrMax string, "
+    "exercises array<struct<sport: string, durationMillis: string, duration: string, "
+    "distanceMeters: string, distance: string, calories: string, "
+    "heartRate: struct<average: string, maximum: string>>>"
 )
 
 HR_DOC = (
@@ -35,10 +38,10 @@ PPI_DOC = (
 )
 
 FITNESS_DOC = (
-    "startTime string, fitnessTestResult struct<ownIndex: variant, averageHeartRate: variant, "
+    "startTime string, fitnessTestResult struct<ownIndex: string, averageHeartRate: string, "
     "fitnessClass: string, timezoneOffsetMinutes: int, physicalInformation: struct<"
-    "birthday: string, sex: string, height: variant, weight: variant, maximumHeartRate: int, "
-    "restingHeartRate: int, aerobicThreshold: int, anaerobicThreshold: int, vo2Max: variant, "
+    "birthday: string, sex: string, height: string, weight: string, maximumHeartRate: int, "
+    "restingHeartRate: int, aerobicThreshold: int, anaerobicThreshold: int, vo2Max: string, "
     "trainingBackground: string, weightSource: string, sleepGoal: bigint>>"
 )
 
