@@ -15,9 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # HotSpot does not JIT methods above 8000 bytes of bytecode; past that a
-    # fused stage runs interpreted, so fall back to per-operator code instead
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
