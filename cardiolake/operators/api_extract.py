@@ -28,7 +28,9 @@ def api_activity(p: DataFrame) -> DataFrame:
         F.lit(None).cast("double").alias("sleep_quality"),
         F.coalesce(safe_double("`active-calories`"), F.lit(0.0)).alias("met_minutes"),
     ).where(F.col("day").isNotNull())
-    return best_per_key(rows, ["subject_id", "day"], [F.col("steps").desc()])
+    # one row per day; deterministic choice among repeated payloads of a day
+    return best_per_key(rows, ["subject_id", "day"],
+                        [F.col("steps").desc(), F.col("calories").desc(), F.col("met_minutes").desc()])
 
 
 def api_sleep(p: DataFrame, digits: int | None = 2) -> DataFrame:
@@ -39,7 +41,8 @@ def api_sleep(p: DataFrame, digits: int | None = 2) -> DataFrame:
     rows = n.select("subject_id", _day10(F.col("date")).alias("day"),
                     F.when(F.coalesce(mins, F.lit(0.0)) != 0, hours).alias("sleep_hours"),
                     F.col("continuous_rating").alias("sleep_quality")).where(F.col("day").isNotNull())
-    return best_per_key(rows, ["subject_id", "day"], [F.col("sleep_hours").desc_nulls_last()])
+    return best_per_key(rows, ["subject_id", "day"],
+                        [F.col("sleep_hours").desc_nulls_last(), F.col("sleep_quality").desc_nulls_last()])
 
 
 def activity_with_sleep(activity: DataFrame, sleep: DataFrame) -> DataFrame:

@@ -1127,3 +1127,115 @@ def q_streaming_daily_hr(spark, sf):
     run = uuid.uuid4().hex
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/results/streaming_daily_hr/{run}"
     return J.daily_hr_stream(spark, samples, out, name=f"daily_hr_{run}")
+
+
+# ====================================================== batch 7: API, scans
+from cardiolake.dims import API_CATEGORY, API_SPORT  # noqa: E402
+from cardiolake.operators import api_extract as AX  # noqa: E402
+from cardiolake.sources import tables as TB  # noqa: E402
+
+API_ACT = """aa AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
+    CAST(CASE WHEN o_orderkey % 7 <> 0 THEN floor(o_totalprice / 10) ELSE 0 END AS BIGINT) AS steps,
+    o_totalprice / 100 AS calories,
+    CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice / 500 ELSE 0.0 END AS met_minutes
+  FROM orders),
+aa1 AS (SELECT * FROM aa QUALIFY row_number() OVER (PARTITION BY subject_id, day
+         ORDER BY steps DESC, calories DESC, met_minutes DESC) = 1),
+sl AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) + 1 AS day,
+    CASE WHEN o_orderkey % 9 <> 0 THEN (300 + o_orderkey % 240) / 60.0 END AS sleep_hours,
+    CAST(o_orderkey % 5 + 1 AS DOUBLE) AS sleep_quality
+  FROM orders),
+sl1 AS (SELECT * FROM sl QUALIFY row_number() OVER (PARTITION BY subject_id, day
+         ORDER BY sleep_hours DESC NULLS LAST, sleep_quality DESC NULLS LAST) = 1)"""
+
+
+@register("api_activity_with_sleep", f"""
+WITH {API_ACT}
+SELECT a.subject_id, a.day, a.steps, a.calories, s.sleep_hours, s.sleep_quality, a.met_minutes
+FROM aa1 a LEFT JOIN sl1 s ON a.subject_id = s.subject_id AND a.day = s.day""",
+          ["calories", "sleep_hours", "sleep_quality", "met_minutes"])
+def q_api_activity_with_sleep(spark, sf):
+    """S14 + X11 + X12 + J04: API activity days (defaults 0) left-joined with API sleep nights."""
+    act = AX.api_activity(DOC.api_activity_payloads(spark, sf))
+    slp = AX.api_sleep(DOC.api_sleep_payloads(spark, sf), digits=None)
+    return AX.activity_with_sleep(act, slp)
+
+
+@register("api_exercises", f"""
+WITH e AS (
+  SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
+    {_list_sql(DOC.API_DOC_SPORTS)}[CAST(o_orderkey % 8 AS INTEGER) + 1] AS sport_in,
+    upper({_list_sql(DOC.API_DOC_DETAILS)}[CAST(o_custkey % 3 AS INTEGER) + 1]) AS det,
+    CAST(o_orderkey % 3 AS DOUBLE) * 60 + CAST(o_orderkey % 60 AS DOUBLE) AS dur,
+    CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice / 10 END AS dist,
+    CAST(120 + o_orderkey % 40 AS DOUBLE) AS hr_avg,
+    CASE WHEN o_orderkey % 6 <> 0 THEN CAST(160 + o_orderkey % 30 AS DOUBLE) END AS hr_max,
+    o_totalprice / 300 AS calories
+  FROM orders),
+e2 AS (SELECT e.*, CASE WHEN sport_in = 'OTHER' AND det <> '' AND dm.s IS NOT NULL THEN det ELSE sport_in END AS eff
+       FROM e LEFT JOIN {values_sql(API_SPORT, 'k', 's').replace(' AS t(k, s)', ' AS dm(k, s)')} ON dm.k = e.det),
+e3 AS (SELECT e2.*, coalesce(sm.s, eff) AS sport0, coalesce(cm.c, 'OUTDOOR') AS cat0
+       FROM e2 LEFT JOIN {values_sql(API_SPORT, 'k', 's').replace(' AS t(k, s)', ' AS sm(k, s)')} ON sm.k = e2.eff
+       LEFT JOIN {values_sql(API_CATEGORY, 'k', 'c').replace(' AS t(k, c)', ' AS cm(k, c)')} ON cm.k = e2.eff),
+e4 AS (SELECT *, sport0 IN ('WALKING', 'HIKING') AND coalesce(dist, 0) <> 0 AND dur > 0
+                 AND dur / (dist / 1000.0) < 10 AS fast FROM e3)
+SELECT subject_id, day, CASE WHEN fast THEN 'RUNNING' ELSE sport0 END AS sport,
+  CASE WHEN fast THEN 'OUTDOOR' ELSE cat0 END AS category, dur AS duration_min, hr_avg, hr_max,
+  CASE WHEN coalesce(dist, 0) <> 0 THEN dist / 1000.0 END AS distance_km, calories,
+  dayname(day) AS weekday, CAST(year(day) AS INTEGER) AS year, 'api' AS source
+FROM e4""", ["duration_min", "hr_avg", "hr_max", "distance_km", "calories"])
+def q_api_exercises(spark, sf):
+    """S14 + X06 + X13 + F01b + X05: API exercise payloads -> training rows."""
+    return AX.api_exercise(DOC.api_exercise_payloads(spark, sf), round_values=False)
+
+
+@register("scan_training_running", f"""
+WITH {TR}
+SELECT subject_id, day, sport, category, duration_min, hr_avg, hr_max, distance_km, calories, weekday, year
+FROM tr WHERE day >= DATE '1996-01-01' AND upper(sport) = 'RUNNING'""",
+          ["duration_min", "hr_avg", "hr_max", "distance_km", "calories"])
+def q_scan_training_running(spark, sf):
+    """S07 + F17: training from 1996 on (open upper bound), sport matched case-insensitively."""
+    return TB.scan_training(tr_s(spark, sf), start="1996-01-01", sport="running")
+
+
+@register("scan_heartrate_range", f"""
+WITH {HR_DAILY_LI}
+SELECT subject_id, day, resting_hr, hr_mean, hr_max, weekday_no, month FROM hrl_d
+WHERE day BETWEEN DATE '1994-01-01' AND DATE '1997-06-30'""", HRD)
+def q_scan_heartrate_range(spark, sf):
+    """S08 + F17: daily heart rate within an inclusive date range."""
+    return TB.scan_heartrate(hr_daily_lines(spark, sf), "1994-01-01", "1997-06-30")
+
+
+@register("import_log_overview", f"""
+WITH {FILES}
+SELECT {_category_sql('file_name')} AS category, count(*) AS n_files, TIMESTAMP '2024-01-01 00:00:00' AS last_import
+FROM prev_log GROUP BY 1""")
+def q_import_log_overview(spark, sf):
+    """Files and last import per category in the import log."""
+    return AG.import_log_overview(A.previous_import_log(spark, sf))
+
+
+@register("document_overview", """
+WITH d AS (
+  SELECT doc_id % 3 AS m, DATE '2024-01-01' + CAST(doc_id % 366 AS INTEGER) AS d0 FROM documents)
+SELECT 'account' AS category, count(*) AS n_docs, CAST(min(CASE WHEN m < 2 THEN d0 END) AS DATE) AS min_day,
+  CAST(max(CASE WHEN m < 2 THEN d0 END) AS DATE) AS max_day FROM d""")
+def q_document_overview(spark, sf):
+    """A09 + X10: kept documents and their first/last day per category."""
+    files = INC.with_category(DOC.other_documents(spark, sf))
+    return AG.document_overview(X.keep_document(files))
+
+
+@register("year_span", f"""
+WITH {HR_DAILY_LI}
+SELECT subject_id, CAST(min(year(day)) AS INTEGER) AS first_year, CAST(max(year(day)) AS INTEGER) AS last_year,
+  min(day) AS first_day, max(day) AS last_day, datediff('day', min(day), max(day)) AS span_days
+FROM hrl_d GROUP BY subject_id""")
+def q_year_span(spark, sf):
+    """A41 + X18: first/last year and day of each subject's heart-rate series."""
+    hr = hr_daily_lines(spark, sf)
+    return AG.year_span(hr).join(X.date_span(hr), "subject_id")

@@ -163,3 +163,58 @@ def other_documents(spark, sf_dir) -> DataFrame:
     content = F.when(m == 0, obj0).when(m == 1, obj1).otherwise(arr)
     name = F.concat(F.lit("account-"), F.col("source"), F.lit("-"), _s("doc_id"), F.lit(".json"))
     return d.select(_subject("doc_id"), name.alias("file_name"), content.alias("text"))
+
+
+# ---------------------------------------------------------------- API payloads
+# FIXED VALUES (generator): API sport strings and detail strings written into payloads
+API_DOC_SPORTS = ["RUNNING", "TRAIL_RUNNING", "TREADMILL_RUNNING", "WALKING", "OTHER", "INDOOR_CYCLING",
+                  "HIKING", "YOGA"]
+API_DOC_DETAILS = ["MOBILITY_DYNAMIC", "not_a_sport", ""]
+
+
+def _payloads(df: DataFrame, text: Column, schema: str) -> DataFrame:
+    return df.select(_subject("o_custkey"), text.alias("json_text")).select(
+        "subject_id", "json_text", F.from_json("json_text", schema).alias("p")).select("subject_id", "json_text", "p.*")
+
+
+def api_activity_payloads(spark, sf_dir) -> DataFrame:
+    """orders -> one activity-day payload per order (some fields absent)."""
+    from cardiolake import schemas as S
+    o = table(spark, sf_dir, "orders")
+    doc = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+                   F.when(F.pmod("o_orderkey", F.lit(7)) != 0, F.floor(F.col("o_totalprice") / 10)).alias("steps"),
+                   (F.col("o_totalprice") / 100).alias("calories"),
+                   F.when(F.pmod("o_orderkey", F.lit(5)) != 0, F.col("o_totalprice") / 500).alias("active-calories"))
+    return _payloads(o, F.to_json(doc), S.API_ACTIVITY)
+
+
+def api_sleep_payloads(spark, sf_dir) -> DataFrame:
+    """orders -> one sleep payload (one night) per order."""
+    from cardiolake import schemas as S
+    o = table(spark, sf_dir, "orders")
+    night = F.struct(F.date_format(F.date_add(F.to_date("o_orderdate"), 1), "yyyy-MM-dd").alias("date"),
+                     F.when(F.pmod("o_orderkey", F.lit(9)) != 0,
+                            (F.lit(300) + F.pmod("o_orderkey", F.lit(240))).cast("double")).alias("total_sleep_minutes"),
+                     (F.pmod("o_orderkey", F.lit(5)) + 1).cast("double").alias("continuous_rating"))
+    return _payloads(o, F.to_json(F.struct(F.array(night).alias("nights"))), S.API_SLEEP)
+
+
+def api_exercise_payloads(spark, sf_dir) -> DataFrame:
+    """orders -> one exercise payload per order."""
+    from cardiolake import schemas as S
+    o = table(spark, sf_dir, "orders")
+    sports = F.array(*[F.lit(x) for x in API_DOC_SPORTS])
+    details = F.array(*[F.lit(x) for x in API_DOC_DETAILS])
+    k = F.col("o_orderkey")
+    dur = F.concat(F.lit("PT"), _s(F.pmod(k, F.lit(3))), F.lit("H"), _s(F.pmod(k, F.lit(60))), F.lit("M"))
+    doc = F.struct(
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T07:30:00")).alias("start-time"),
+        F.get(sports, F.pmod(k, F.lit(len(API_DOC_SPORTS))).cast("int")).alias("sport"),
+        F.get(details, F.pmod("o_custkey", F.lit(len(API_DOC_DETAILS))).cast("int")).alias("detailed-sport-info"),
+        dur.alias("duration"),
+        F.when(F.pmod(k, F.lit(4)) != 0, F.col("o_totalprice") / 10).alias("distance"),
+        (F.col("o_totalprice") / 300).alias("calories"),
+        F.struct((F.lit(120) + F.pmod(k, F.lit(40))).cast("double").alias("average"),
+                 F.when(F.pmod(k, F.lit(6)) != 0, (F.lit(160) + F.pmod(k, F.lit(30))).cast("double")).alias("maximum"))
+        .alias("heart-rate"))
+    return _payloads(o, F.to_json(doc), S.API_EXERCISE)
