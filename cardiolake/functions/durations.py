@@ -8,8 +8,9 @@ _NUM = r"(\d+(?:\.\d+)?)"
 
 
 def _part(s: Column, unit: str) -> Column:
+    # the regex only runs when the unit letter is present at all
     txt = F.regexp_extract(s, _NUM + unit, 1)
-    return F.coalesce(txt.try_cast("double"), F.lit(0.0))
+    return F.when(F.instr(s, unit) > 0, F.coalesce(txt.try_cast("double"), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def iso_duration_minutes(col: Column | str, digits: int | None = 4) -> Column:
@@ -20,9 +21,9 @@ def iso_duration_minutes(col: Column | str, digits: int | None = 4) -> Column:
     so that a month (``P1M``) is not taken for minutes. NULL/empty -> 0.0.
     """
     s = F.col(col) if isinstance(col, str) else col
-    # time part: after "T"; a "P..." duration without "T" has none (P1M is a month).
-    # The regex drops everything up to the last "T" (or the whole "P..." date part).
-    t = F.regexp_replace(s, r"^(.*T|P[^T]*$)", "")
+    # time part: after "T"; a "P..." duration without "T" has none (P1M is a month)
+    t = (F.when(F.instr(s, "T") > 0, F.substring_index(s, "T", -1))
+         .when(F.startswith(s, F.lit("P")), F.lit("")).otherwise(s))
     secs = _part(t, "H") * 3600 + _part(t, "M") * 60 + _part(t, "S")
     mins = secs / 60.0 if digits is None else F.round(secs / 60.0, digits)
     return F.coalesce(mins, F.lit(0.0))

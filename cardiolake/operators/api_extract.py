@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardiolake.dims import API_CATEGORY, API_SPORT, map_expr
 from cardiolake.functions.convert import safe_double, safe_long
 from cardiolake.functions.durations import iso_duration_minutes_strict
-from cardiolake.operators.windows import best_per_key
+from cardiolake.operators.windows import best_per_key, first_per_key
 
 
 def _day10(c: Column) -> Column:
@@ -29,8 +29,8 @@ def api_activity(p: DataFrame) -> DataFrame:
         F.coalesce(safe_double("`active-calories`"), F.lit(0.0)).alias("met_minutes"),
     ).where(F.col("day").isNotNull())
     # one row per day; deterministic choice among repeated payloads of a day
-    return best_per_key(rows, ["subject_id", "day"],
-                        [F.col("steps").desc(), F.col("calories").desc(), F.col("met_minutes").desc()])
+    return first_per_key(rows, ["subject_id", "day"],
+                         [("steps", True, True), ("calories", True, True), ("met_minutes", True, True)])
 
 
 def api_sleep(p: DataFrame, digits: int | None = 2) -> DataFrame:
@@ -41,8 +41,7 @@ def api_sleep(p: DataFrame, digits: int | None = 2) -> DataFrame:
     rows = n.select("subject_id", _day10(F.col("date")).alias("day"),
                     F.when(F.coalesce(mins, F.lit(0.0)) != 0, hours).alias("sleep_hours"),
                     F.col("continuous_rating").alias("sleep_quality")).where(F.col("day").isNotNull())
-    return best_per_key(rows, ["subject_id", "day"],
-                        [F.col("sleep_hours").desc_nulls_last(), F.col("sleep_quality").desc_nulls_last()])
+    return first_per_key(rows, ["subject_id", "day"], [("sleep_hours", True, True), ("sleep_quality", True, True)])
 
 
 def activity_with_sleep(activity: DataFrame, sleep: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from cardiolake.dims import (PACE_LIMIT_MIN_PER_KM, PACE_RELABEL_SPORTS, SPORT_C
 from cardiolake.functions.convert import falsy_fallback, round_to, safe_double, safe_int
 from cardiolake.functions.dates import utc_timestamp, weekday_name
 from cardiolake.functions.durations import iso_duration_minutes
-from cardiolake.operators.windows import best_per_key
+from cardiolake.operators.windows import first_per_key
 
 
 def _day_of(text: Column) -> Column:
@@ -82,7 +82,7 @@ def flatten_activity(docs: DataFrame, round_values: bool = True) -> DataFrame:
         safe_double(d["summary"]["sleepQuality"]).alias("sleep_quality"),
         safe_double(d["summary"]["dailyMetMinutes"]).alias("met_minutes"),
     ).where(F.col("day").isNotNull())
-    return best_per_key(rows, ["subject_id", "day"], [F.col("file_name")]).drop("file_name")
+    return first_per_key(rows, ["subject_id", "day"], [("file_name", False, False)]).drop("file_name")
 
 
 def explode_training(docs: DataFrame, round_values: bool = True) -> DataFrame:
@@ -203,8 +203,7 @@ def flatten_fitness(docs: DataFrame) -> DataFrame:
         p["sleepGoal"].alias("sleep_goal"),
         "file_name",
     ).where(F.col("day").isNotNull())
-    best = best_per_key(rows, ["subject_id", "day"],
-                        [F.col("own_index").desc_nulls_last(), F.col("file_name")])
+    best = first_per_key(rows, ["subject_id", "day"], [("own_index", True, True), ("file_name", False, False)])
     return best.drop("file_name")
 
 

@@ -55,6 +55,26 @@ def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def first_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, bool, bool]]) -> DataFrame:
+    """One row per key: the first by ``order`` = [(column, descending, nulls_last)].
+
+    A hash aggregate (``min_by`` over an order struct) instead of a window:
+    duplicates collapse map-side before the shuffle, nothing is sorted, and a
+    hot key is combined in many tasks. Descending order needs numeric
+    columns (negated); remaining ties fall back to all other columns.
+    """
+    others = [c for c in df.columns if c not in keys]
+    okey = []
+    for c, desc, nulls_last in order:
+        col = F.col(c)
+        okey.append(col.isNull() if nulls_last else col.isNotNull())
+        okey.append(-col if desc else col)
+    okey += [F.col(c) for c in others]
+    packed = F.struct(*[F.col(c) for c in others])
+    agg = df.groupBy(*keys).agg(F.min_by(packed, F.struct(*okey)).alias("_row"))
+    return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
+
+
 def successive_difference(col: str, partition, order) -> Column:
     w = Window.partitionBy(*partition).orderBy(*order)
     return F.col(col) - F.lag(col).over(w)
