@@ -170,7 +170,7 @@ def quality_report(tables: dict[str, tuple[DataFrame, str]], day: str = "day") -
         parts.append(df.agg(
             F.count(F.lit(1)).alias("n_rows"), F.min(day).alias("min_day"), F.max(day).alias("max_day"),
             F.countDistinct(F.year(day)).alias("n_years"),
-            (F.count_if(F.col(col).isNull()) * 100.0 / F.count(F.lit(1))).alias("pct_null"),
+            F.try_divide(F.count_if(F.col(col).isNull()) * 100.0, F.count(F.lit(1))).alias("pct_null"),
         ).select(F.lit(name).alias("table_name"), F.lit(col).alias("key_column"), "*"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -73,7 +73,7 @@ def coverage(df: DataFrame, day: str = "day", group=("subject_id",)) -> DataFram
                  F.min("day").alias("first_day"), F.max("day").alias("last_day"))
             .withColumn("span_days", F.datediff("last_day", "first_day") + 1)
             .withColumn("days_missing", F.col("span_days") - F.col("days_present"))
-            .withColumn("pct_covered", F.col("days_present") * 100.0 / F.col("span_days")))
+            .withColumn("pct_covered", F.try_divide(F.col("days_present") * 100.0, F.col("span_days"))))
 
 
 def missing_per_year(df: DataFrame, day: str = "day", group=("subject_id",)) -> DataFrame:

@@ -9,9 +9,10 @@ Scale notes
 * Successive differences (RMSSD) need the samples in order. A window over a
   whole subject-day would put a hot day into one task, so the order is cut
   into *chunks* (default: one minute of ``ts``). Differences inside a chunk
-  come from a window over ``(group, chunk)``; the few differences across chunk
+  come from a window over ``(group, chunk)``; the differences across chunk
   borders come from the first/last sample of each chunk, ordered over the
-  chunk rows of a day (at most 1440 per day). The sum of squares is exact.
+  chunk rows of a day (at most 1440 minutes; order-key chunks use several
+  levels of chunks instead). The sum of squares is exact.
 """
 
 from __future__ import annotations
@@ -47,44 +48,43 @@ def minute_chunk(ts: str = "ts", seconds: int = 60) -> Column:
 
 
 def successive_diff_stats(samples: DataFrame, group: list[str], order: list[str],
-                          chunk: Column, value: str) -> DataFrame:
+                          chunk: Column | list[Column], value: str) -> DataFrame:
     """Per group: ``n``, mean, sample std, and sum/count of squared successive differences.
 
-    ``order`` sorts samples inside a group; ``chunk`` must be non-decreasing in
-    that order. Returns ``group + [n, mean, sd, ssd, n_diff]``.
+    ``order`` sorts samples inside a group. ``chunk`` is one chunk key or a
+    list of ever coarser keys (each constant within the previous one, all
+    non-decreasing in ``order``). Level 1 windows over one chunk; level k
+    orders only the chunks of one level-k parent and adds the differences
+    across their borders (first sample of a chunk minus last of the one
+    before); the top level orders the top chunks of a group. With a time
+    chunk (minutes of a day) one level suffices; order-key chunks get more
+    levels so that no single window holds a growing number of rows.
+    n, mean and std come from a plain aggregate (merged map-side).
     """
-    keys = group + ["_chunk"]
+    levels = chunk if isinstance(chunk, list) else [chunk]
+    names = [f"_c{i}" for i in range(len(levels))]
     s = samples.select(*group, *order, F.col(value).cast("double").alias("_v"),
-                       chunk.alias("_chunk"))
-    w_in = Window.partitionBy(*keys).orderBy(*order)
-    d = F.col("_v") - F.lag("_v").over(w_in)
+                       *[c.alias(n) for c, n in zip(levels, names)])
+    keys = group + [names[0]]
+    d = F.col("_v") - F.lag("_v").over(Window.partitionBy(*keys).orderBy(*order))
     ordkey = F.struct(*order)
-    per_chunk = (s.select(*keys, *order, "_v", d.alias("_d"))
-                 .groupBy(*keys)
-                 .agg(F.count("_v").alias("_n"),
-                      F.avg("_v").alias("_mean"),
-                      (F.var_pop("_v") * F.count("_v")).alias("_m2"),
-                      F.sum(F.col("_d") * F.col("_d")).alias("_ssd"),
-                      F.count("_d").alias("_nd"),
-                      F.min_by("_v", ordkey).alias("_first"),
-                      F.max_by("_v", ordkey).alias("_last")))
-    w_ch = Window.partitionBy(*group).orderBy("_chunk")
-    w_all = Window.partitionBy(*group)
-    border = F.col("_first") - F.lag("_last").over(w_ch)
-    tot_n = F.sum("_n").over(w_all)
-    tot_mean = F.sum(F.col("_n") * F.col("_mean")).over(w_all) / tot_n
-    c = per_chunk.select(*group, "_n", "_mean", "_m2", "_ssd", "_nd",
-                         border.alias("_b"), tot_mean.alias("_gmean"))
-    out = c.groupBy(*group).agg(
-        F.sum("_n").alias("n"),
-        F.first("_gmean").alias("mean"),
-        (F.sum("_m2") + F.sum(F.col("_n") * F.pow(F.col("_mean") - F.col("_gmean"), 2))).alias("_M2"),
-        (F.coalesce(F.sum("_ssd"), F.lit(0.0)) + F.coalesce(F.sum(F.col("_b") * F.col("_b")), F.lit(0.0))).alias("ssd"),
-        (F.sum("_nd") + F.count("_b")).alias("n_diff"),
-    )
-    return out.select(*group, "n", "mean",
-                      F.when(F.col("n") > 1, F.sqrt(F.greatest(F.col("_M2"), F.lit(0.0)) / (F.col("n") - 1))).alias("sd"),
-                      "ssd", "n_diff")
+    cur = (s.select(*group, *names, *order, "_v", d.alias("_d"))
+           .groupBy(*group, *names)
+           .agg(F.sum(F.col("_d") * F.col("_d")).alias("_ssd"), F.count("_d").alias("_nd"),
+                F.min_by("_v", ordkey).alias("_first"), F.max_by("_v", ordkey).alias("_last")))
+    for i in range(1, len(names) + 1):
+        child, parents = names[i - 1], names[i:]
+        part = group + parents[:1]
+        border = F.col("_first") - F.lag("_last").over(Window.partitionBy(*part).orderBy(child))
+        b = cur.select(*group, *parents, child, "_ssd", "_nd", "_first", "_last", border.alias("_b"))
+        cur = (b.groupBy(*group, *parents)
+               .agg((F.coalesce(F.sum("_ssd"), F.lit(0.0))
+                     + F.coalesce(F.sum(F.col("_b") * F.col("_b")), F.lit(0.0))).alias("_ssd"),
+                    (F.sum("_nd") + F.count("_b")).alias("_nd"),
+                    F.min_by("_first", child).alias("_first"), F.max_by("_last", child).alias("_last")))
+    basic = samples.groupBy(*group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
+                                        F.stddev_samp(value).alias("sd"))
+    return basic.join(cur.select(*group, F.col("_ssd").alias("ssd"), F.col("_nd").alias("n_diff")), group)
 
 
 def daily_hrv(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),
@@ -99,7 +99,8 @@ def daily_hrv(samples: DataFrame, group=("subject_id", "day"), order=("ts", "eve
     hr_base = round_to(mean, hr_mean_digits) if hr_from_rounded_mean else mean
     return st.select(
         *g,
-        round_to(F.sqrt(F.col("ssd") / F.col("n_diff")), digits).alias("rmssd"),
+        # try_divide: filters on rmssd may be pushed where n_diff = 0 is still present
+        round_to(F.sqrt(F.try_divide(F.col("ssd"), F.col("n_diff"))), digits).alias("rmssd"),
         round_to(F.col("sd"), digits).alias("sdnn"),
         round_to(mean, mean_digits).alias("ppi_mean_ms"),
         F.when(hr_base > 0, round_to(F.lit(60000.0) / hr_base, hr_digits)).alias("hr_from_ppi"),

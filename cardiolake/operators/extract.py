@@ -172,9 +172,11 @@ def explode_ppi_samples(docs: DataFrame, lo: int = 300, hi: int = 2000) -> DataF
             .where(F.col("day").isNotNull() & F.col("ppi").between(lo, hi)))
 
 
-def ppi_chunk(block: int = 4096) -> Column:
-    """Chunk key for document-ordered pulse intervals (monotone in sample order)."""
-    return F.struct("file_name", "entry", "device", F.floor(F.col("pos") / block).alias("blk"))
+def ppi_chunk(block: int = 4096) -> list[Column]:
+    """Chunk levels for document-ordered pulse intervals (monotone in sample order):
+    blocks of positions within a device list, then whole files."""
+    return [F.struct("file_name", "entry", "device", F.floor(F.col("pos") / block).alias("blk")),
+            F.col("file_name")]
 
 
 def flatten_fitness(docs: DataFrame) -> DataFrame:

@@ -117,7 +117,8 @@ def hr_daily_lines(spark, sf) -> DataFrame:
 def hrv_daily_lines(spark, sf) -> DataFrame:
     s = A.ppi_samples_lines(spark, sf)
     return daily.daily_hrv(s, order=("l_orderkey", "l_linenumber", "l_partkey", "ppi"),
-                           chunk=F.floor(F.col("l_orderkey") / 4096), digits=D,
+                           chunk=[F.floor(F.col("l_orderkey") / 4096), F.floor(F.col("l_orderkey") / 4096 ** 2)],
+                           digits=D,
                            mean_digits=D, hr_digits=D)
 
 
@@ -951,7 +952,7 @@ def q_hrv_daily_from_json(spark, sf):
     """X08 + A02: pulse-interval documents with list or object roots -> daily HRV,
     samples ordered by (file, entry, device, position)."""
     s = X.explode_ppi_samples(parsed(DOC.ppi_documents(spark, sf), S.PPI_DOC))
-    return daily.daily_hrv(s, order=("file_name", "entry", "device", "pos"), chunk=DOC.ppi_file_chunk(),
+    return daily.daily_hrv(s, order=("file_name", "entry", "device", "pos"), chunk=DOC.ppi_file_chunks(),
                            digits=D, mean_digits=D, hr_digits=D)
 
 

@@ -60,9 +60,9 @@ def ppi_documents(spark, sf_dir) -> DataFrame:
     return e.select(_subject("user_id"), name.alias("file_name"), content.alias("content"))
 
 
-def ppi_file_chunk() -> Column:
-    """Chunk of document-ordered samples for one-sample files: 1,000 consecutive files."""
-    return F.substring("file_name", 1, 13)
+def ppi_file_chunks() -> list[Column]:
+    """Chunk levels for one-sample files: 1,000 consecutive files, then 1,000,000."""
+    return [F.substring("file_name", 1, 13), F.substring("file_name", 1, 10)]
 
 
 def training_documents(spark, sf_dir) -> DataFrame:

@@ -136,6 +136,14 @@ def test_hrv_chunked_equals_single_window(spark):
     v = pdf.ppi.to_numpy(dtype=float)
     assert abs(a.rmssd - float(np.sqrt(np.mean(np.diff(v) ** 2)))) < 1e-9
     assert abs(a.sdnn - float(np.std(v, ddof=1))) < 1e-9
+    # order-key chunks on three levels give the same result
+    pdf2 = pdf.sort_values("event_id")
+    v2 = pdf2.ppi.to_numpy(dtype=float)
+    levels = [F.floor(F.col("event_id") / 7), F.floor(F.col("event_id") / 49), F.floor(F.col("event_id") / 343)]
+    b = daily.daily_hrv(df, order=("event_id",), chunk=levels, digits=None, mean_digits=None,
+                        hr_digits=None).collect()[0]
+    assert abs(b.rmssd - float(np.sqrt(np.mean(np.diff(v2) ** 2)))) < 1e-9
+    assert b.n_samples == 3000
 
 
 def test_first_n_per_group(spark):
