@@ -14,17 +14,23 @@ import os
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 
 
 def dedupe_source(source: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
-    """One source row per key (first by ``order``; default all other columns)."""
+    """One source row per key, deterministic.
+
+    ``order`` is a list of ``(column, descending, nulls_last)``; by default
+    all other columns ascending, NULLs last. Done as a hash aggregate, so a
+    key repeated by a third of the source is combined map-side.
+    """
+    from cardiolake.operators.windows import first_per_key
+
     others = [c for c in source.columns if c not in keys]
-    order = order or [F.col(c).asc_nulls_last() for c in others]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return source.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    order = order or [(c, False, True) for c in others]
+    return first_per_key(source, keys, order).select(*source.columns)
 
 
 def _differs(t: str, s: str, null_safe: bool):
