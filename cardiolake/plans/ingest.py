@@ -1,9 +1,10 @@
 """End-to-end load of export files into the tables (the batch form of T01).
 
 files -> hash + category -> change detection against the import log ->
-parse new/changed files by category -> silver sample tables (replaced per
-file) -> re-aggregate the *affected days* from silver -> upsert gold tables
--> import log written last (a crash before it re-imports; every step is an
+parse new/changed files by category -> silver sample tables (partitioned
+by day; only the day partitions a changed file touches are rewritten) ->
+re-aggregate the *affected days* from silver -> upsert gold tables ->
+import log written last (a crash before it re-imports; every step is an
 idempotent upsert, so a re-run converges).
 
 Each table write is a new version directory (see ``TableStore``); the change
@@ -53,14 +54,50 @@ class Ingest:
         # reused by every category below; recomputed from the files if an executor is lost
         return JD.with_parse_error(status).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def _replace_files(self, table: str, changed: DataFrame, rows: DataFrame) -> None:
-        """Silver table: drop all rows of changed files, add their new rows."""
-        old = self.store.read(table)
-        keep = (old.join(changed.select("subject_id", "file_name"), ["subject_id", "file_name"], "left_anti")
-                if old is not None else None)
-        merged = rows if keep is None else keep.unionByName(rows.select(*keep.columns))
-        ver = self.store._versions(table)
-        merged.write.mode("errorifexists").parquet(f"{self.store.root}/{table}/v={(ver[-1] + 1) if ver else 0}")
+    def silver_path(self, table: str) -> str:
+        return f"{self.store.root}/silver/{table}"
+
+    def read_silver(self, table: str) -> DataFrame | None:
+        return _read_if_exists(self.spark, self.silver_path(table))
+
+    def _replace_files(self, table: str, changed: DataFrame, rows: DataFrame) -> DataFrame:
+        """Silver table, partitioned by ``day``: replace all rows of the changed files.
+
+        Only day partitions touched by a changed file (before or after the
+        change, from the small file->day index) are rewritten, with dynamic
+        partition overwrite; the new content is staged with ``checkpoint()``
+        (shared checkpoint dir) so no partition is overwritten while read.
+        Returns the affected ``(subject_id, day)`` pairs.
+        """
+        keys = ["subject_id", "file_name"]
+        index_table = f"{table}_files"
+        old_index = self.store.read(index_table)
+        new_index = rows.select("subject_id", "file_name", "day").distinct()
+        touched_old = (old_index.join(changed.select(*keys), keys, "left_semi")
+                       if old_index is not None else None)
+        affected = new_index.select("subject_id", "day")
+        if touched_old is not None:
+            affected = affected.unionByName(touched_old.select("subject_id", "day"))
+        affected = affected.distinct().checkpoint()
+        days = affected.select("day").distinct()
+        silver = self.read_silver(table)
+        if silver is None:
+            rows.write.mode("errorifexists").partitionBy("day").parquet(self.silver_path(table))
+        else:
+            # day partitions of affected days only (dynamic partition pruning on the join)
+            keep = (silver.join(days, "day", "left_semi")
+                    .join(changed.select(*keys), keys, "left_anti"))
+            staged = keep.unionByName(rows.select(*keep.columns)).checkpoint()
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("day").parquet(self.silver_path(table)))
+        # file -> day index: small (one row per file and day), rewritten as a new version
+        kept_index = (old_index.join(changed.select(*keys), keys, "left_anti")
+                      if old_index is not None else None)
+        full_index = new_index if kept_index is None else kept_index.unionByName(new_index)
+        ver = self.store._versions(index_table)
+        full_index.write.mode("errorifexists").parquet(
+            f"{self.store.root}/{index_table}/v={(ver[-1] + 1) if ver else 0}")
+        return affected
 
     def run(self, files: DataFrame) -> dict:
         st = self.detect(files)
@@ -82,10 +119,9 @@ class Ingest:
         for cat, (table, schema, fn) in SAMPLE_TABLES.items():
             docs = JD.good(JD.parse_documents(changed.where(F.col("category") == cat), schema))
             samples = fn(docs)
-            self._replace_files(table, changed.where(F.col("category") == cat), samples)
-            days = INC.affected_days(samples)
-            silver = self.store.read(table)
-            affected = INC.rows_of_affected_days(silver, days)
+            days = self._replace_files(table, changed.where(F.col("category") == cat), samples)
+            silver = self.read_silver(table)
+            affected = INC.rows_of_affected_days(silver.select(*samples.columns), days)
             if table == "hr_samples":
                 gold = daily.daily_hr(affected)
                 report["heartrate"] = self.store.upsert("heartrate", gold, ["subject_id", "day"], ["resting_hr"])
@@ -105,6 +141,15 @@ class Ingest:
         return report
 
 
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    jvm = spark._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        return None
+    return spark.read.parquet(path)
+
+
 def _schema_of(table: str):
     return S.TABLES[table][0]
 

@@ -123,6 +123,23 @@ def test_archive_ingest_idempotent_and_affected_days(spark, tmpdir_path):
     assert len(hr) == 1 and hr[0].hr_max == 50 and hr[0].resting_hr == 30.8
     assert hr[0].hr_mean == 38.8  # (30 + 35 + 40 + 50) / 4 = 38.75: both files of the day
 
+    # the file moves to another day: its old day keeps only the other file's samples
+    docs3 = dict(docs2)
+    docs3["247ohr_b.json"] = json.dumps({"deviceDays": [{"date": "2024-01-16", "samples": [
+        {"heartRate": 30}, {"heartRate": 35}]}]})
+    os.makedirs(os.path.join(tmpdir_path, "inbox3", "subject_id=3"))
+    _zip(os.path.join(tmpdir_path, "inbox3", "subject_id=3", "export3.zip"), docs3)
+    ing = Ingest(spark, store)
+    rep4 = ing.run(AR.archive_source(spark, os.path.join(tmpdir_path, "inbox3")))
+    assert rep4["changed"] == 1
+    silver = ing.read_silver("hr_samples")
+    by_day = {}
+    for r in silver.collect():
+        by_day.setdefault(r.day, []).append(r.hr)
+    assert sorted(by_day[D(2024, 1, 15)]) == [40, 50] and sorted(by_day[D(2024, 1, 16)]) == [30, 35]
+    hr = {r.day: r for r in store.read("heartrate").collect()}
+    assert hr[D(2024, 1, 15)].hr_max == 50 and hr[D(2024, 1, 16)].hr_max == 35
+
 
 def test_folder_source(spark, tmpdir_path):
     d = os.path.join(tmpdir_path, "folder")
