@@ -34,7 +34,18 @@ FILE_PREFIXES = ["activity-", "training-session-", "247ohr_", "ppi_", "fitness-t
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in PARALLEL_SCANS:
+        n = spark.sparkContext.defaultParallelism
+        return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    return df
+
+
+# Tables whose rows feed per-row work heavy enough to want every core. A
+# Parquet row group is read by one task, so a small file can arrive as a
+# single partition; only then are its rows dealt round-robin (a large input
+# already has many splits and is left as it is).
+PARALLEL_SCANS = {"lineitem"}
 
 
 def _subject(col: str):

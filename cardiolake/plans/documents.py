@@ -13,7 +13,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardiolake.plans.adapters import N_SUBJECTS, table
+from cardiolake.plans.adapters import N_SUBJECTS, table as _scan
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster before CPU-heavy per-row work.
+
+    A Parquet row group is read by one task; a small input can therefore
+    arrive in fewer partitions than there are cores. Only then the rows are
+    dealt round-robin; a large input (many splits) is left untouched.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
+def table(spark, sf_dir, name) -> DataFrame:
+    return ensure_parallelism(_scan(spark, sf_dir, name))
 
 # FIXED VALUES (generator): sport names and ids written into training documents
 DOC_SPORT_NAMES = ["RUNNING", "HIKING", "WALKING", "CYCLING", "'TRAIL_RUNNING'", " SWIMMING ", "", "YOGA"]
