@@ -45,6 +45,8 @@ def register(name: str, sql: str | None = None, doubles: list[str] | None = None
     """Register a query; ``doubles`` are the double columns rounded at the end."""
     def deco(fn):
         def run(spark, sf):
+            # results are defined on UTC days (start times are normalised to UTC)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fin(fn(spark, sf))
         run.__doc__, run.__name__ = fn.__doc__, fn.__name__
         QUERIES[name] = run
