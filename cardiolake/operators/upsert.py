@@ -139,6 +139,26 @@ class TableStore:
         w.parquet(out)
         return {k: int(x) for k, x in obs.get.items()}
 
+    def create_tables(self, tables: dict | None = None) -> list[str]:
+        """An empty version 0 for every table that does not exist yet."""
+        from cardiolake.schemas import TABLES
+        made = []
+        for name, (schema, _keys, _watched) in (tables or TABLES).items():
+            if self.current_path(name) is None:
+                self.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(
+                    f"{self.root}/{name}/v=0")
+                made.append(name)
+        return made
+
+    def check_not_null(self, table: str, schema: T.StructType) -> DataFrame:
+        """Rows violating the NOT NULL columns of ``schema`` (empty when fine)."""
+        df = self.read(table, schema)
+        req = [f.name for f in schema.fields if not f.nullable]
+        cond = None
+        for c in req:
+            cond = F.col(c).isNull() if cond is None else (cond | F.col(c).isNull())
+        return df.where(cond) if cond is not None else df.limit(0)
+
     def append_new(self, table: str, rows: DataFrame, keys: list[str]) -> int:
         """Append rows whose key is not yet present (as a new version)."""
         return self.upsert(table, rows, keys, watched=[])["inserted"]

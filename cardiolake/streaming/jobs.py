@@ -31,12 +31,21 @@ def _ckpt(spark: SparkSession, name: str) -> str:
 
 
 def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str = "files",
-                glob: str = "*.json", default_subject: int = 0, imported_at: str | None = None):
-    """Ingest every new JSON file under ``folder`` (availableNow run)."""
+                glob: str = "*.json", default_subject: int = 0, imported_at: str | None = None,
+                archive_dir: str | None = None):
+    """Ingest every new JSON file under ``folder`` (availableNow run).
+
+    L19: with ``archive_dir`` the source moves processed files there
+    (``cleanSource=archive``); Spark does this lazily after later batches, so
+    the import log, not the move, is what marks a file as processed.
+    """
     from cardiolake.plans.ingest import Ingest
 
-    src = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-           .option("pathGlobFilter", glob).load(folder))
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", glob))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    src = reader.load(folder)
     files = src.select(F.lit(default_subject).cast("long").alias("subject_id"),
                        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content")
     reports = []
