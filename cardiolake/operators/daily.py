@@ -88,7 +88,7 @@ def successive_diff_stats(samples: DataFrame, group: list[str], order: list[str]
 
 
 def daily_hrv(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),
-              chunk: Column | None = None, ppi: str = "ppi", min_samples: int = 5,
+              chunk: Column | list[Column] | None = None, ppi: str = "ppi", min_samples: int = 5,
               digits: int | None = 2, mean_digits: int | None = 1, hr_digits: int | None = 1,
               hr_from_rounded_mean: bool = False, hr_mean_digits: int | None = 1) -> DataFrame:
     """Per subject-day with at least ``min_samples``: RMSSD, SDNN, mean PPI, HR, n."""
@@ -108,13 +108,15 @@ def daily_hrv(samples: DataFrame, group=("subject_id", "day"), order=("ts", "eve
     )
 
 
-def first_n_per_group(samples: DataFrame, group: list[str], order: list[str], chunk: Column,
+def first_n_per_group(samples: DataFrame, group: list[str], order: list[str], chunk: Column | list[Column],
                       n: int) -> DataFrame:
     """Keep the first ``n`` samples of each group in ``order`` (W08), skew-safe.
 
     Position = rows in earlier chunks (a window over per-chunk counts) + row
     number inside the chunk, so no window ever spans a whole group.
     """
+    if isinstance(chunk, list):  # positions come from the finest chunk level
+        chunk = chunk[0]
     s = samples.withColumn("_chunk", chunk)
     keys = group + ["_chunk"]
     counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -130,7 +132,7 @@ def first_n_per_group(samples: DataFrame, group: list[str], order: list[str], ch
 
 
 def daily_hrv_capped(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),
-                     chunk: Column | None = None, ppi: str = "ppi", cap: int = 50_000,
+                     chunk: Column | list[Column] | None = None, ppi: str = "ppi", cap: int = 50_000,
                      known_days: DataFrame | None = None, digits: int | None = 2,
                      mean_digits: int | None = 1, hr_digits: int | None = 1,
                      hr_mean_digits: int | None = 1) -> DataFrame:
