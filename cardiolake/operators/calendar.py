@@ -1,13 +1,14 @@
 """Calendar spines, resampling and gap reports.
 
-A spine is generated per subject with ``sequence(first, last)`` over that
-subject's own observed range, so it is bounded by the calendar (days, weeks,
-months), never by data volume, and needs no cross join.
+A spine covers each subject's own first..last period, so it is bounded by
+the calendar (days, weeks, months), never by data volume. It is generated
+from the observed periods themselves (each one emits the empty periods up to
+the next), which needs neither a cross join nor a self-join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardiolake.functions.dates import week_end_sunday
 
@@ -38,11 +39,27 @@ def period_spine(df: DataFrame, period: str, key: str = "period", group=("subjec
     return out
 
 
+def _gap_periods(period: str, key: Column, nxt: Column) -> Column:
+    """Periods from ``key`` up to (not including) ``nxt``; just ``key`` when last."""
+    if period == "month":
+        end = F.last_day(F.add_months(nxt, -1))
+    else:
+        end = F.date_sub(nxt, 7 if period == "week" else 1)
+    seq = F.sequence(key, F.coalesce(end, key), F.expr(PERIOD_STEP[period]))
+    if period == "month":  # month steps from a month end: take each month's end
+        seq = F.transform(seq, lambda d: F.last_day(d))
+    return seq
+
+
 def resample(df: DataFrame, period: str, sums=(), means=(), day: str = "day",
              key: str = "period", group=("subject_id",), fill_spine: bool = True) -> DataFrame:
     """Calendar resample: sums fill empty periods with 0, means leave them NULL.
 
-    The spine spans the first..last period of *this* table per subject.
+    The spine spans the first..last period of *this* table per subject. It
+    is built in one pass over the aggregated periods: each period emits
+    itself and the empty periods up to the next observed one (``lead`` over
+    the subject's periods, then ``sequence``), so there is no second
+    aggregation and no self-join.
     """
     g = list(group)
     keyed = df.withColumn(key, period_key(period, day))
@@ -50,18 +67,25 @@ def resample(df: DataFrame, period: str, sums=(), means=(), day: str = "day",
     agg = keyed.groupBy(*g, key).agg(*aggs)
     if not fill_spine:
         return agg
-    spine = period_spine(agg, period, key, g)
-    out = spine.join(agg, g + [key], "left")
-    return out.select(*g, key, *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in sums],
-                      *[F.col(c) for c in means])
+    with_next = agg.withColumn("_next", F.lead(key).over(Window.partitionBy(*g).orderBy(key)))
+    filled = with_next.select("*", F.explode(_gap_periods(period, F.col(key), F.col("_next"))).alias("_p"))
+    own = F.col("_p") == F.col(key)
+    return filled.select(
+        *g, F.col("_p").alias(key),
+        *[F.when(own, F.coalesce(F.col(c), F.lit(0))).otherwise(F.lit(0)).cast("double").alias(c) for c in sums],
+        *[F.when(own, F.col(c)).alias(c) for c in means])
 
 
 def missing_days(df: DataFrame, day: str = "day", group=("subject_id",)) -> DataFrame:
-    """Days in each subject's first..last range that have no row."""
+    """Days in each subject's first..last range that have no row,
+    generated directly as the gaps between consecutive observed days."""
     g = list(group)
     obs = df.select(*g, F.col(day).alias("day")).distinct()
-    spine = period_spine(obs, "day", "day", g)
-    return spine.join(obs, g + ["day"], "left_anti")
+    nxt = F.col("_next")
+    gap = F.when(F.datediff(nxt, F.col("day")) > 1,
+                 F.sequence(F.date_add("day", 1), F.date_sub(nxt, 1), F.expr("INTERVAL 1 DAY")))
+    with_next = obs.withColumn("_next", F.lead("day").over(Window.partitionBy(*g).orderBy("day")))
+    return with_next.select(*g, F.explode(gap).alias("day"))
 
 
 def coverage(df: DataFrame, day: str = "day", group=("subject_id",)) -> DataFrame:

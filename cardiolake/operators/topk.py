@@ -65,3 +65,13 @@ def hours_year_top(df: DataFrame, label: str, k: int, value: str = "duration_min
     for i in range(1, k + 1):
         p = p.withColumn(str(i), F.coalesce(F.col(str(i)), F.lit(0.0))).withColumnRenamed(str(i), f"top{i}_hours")
     return p
+
+
+def preview(df: DataFrame, n: int, order: list | None = None) -> DataFrame:
+    """The first ``n`` rows in a stated order (a limit is the feature here)."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
+def distinct_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct values of the given columns (e.g. the years present)."""
+    return df.select(*cols).distinct()

@@ -81,3 +81,10 @@ def test_fit_line_and_kpis(spark):
     k = AG.kpis(act, hr, _training(spark)).collect()[0]
     assert (round(k.years, 3), k.steps_avg, k.sleep_avg, k.resting_hr_avg, k.sessions, k.runs) == \
         (1.002, 2000.0, 7.0, 50.0, 10, 5)  # 366 days / 365.25
+
+
+def test_preview_and_distinct(spark):
+    from cardiolake.operators import topk as TK
+    tr = _training(spark)
+    assert [r.day.day for r in TK.preview(tr, 3, ["day"]).collect()] == [1, 2, 3]
+    assert [r.year for r in TK.distinct_values(tr, ["year"]).collect()] == [2024]
