@@ -57,8 +57,8 @@ class Ingest:
     def silver_path(self, table: str) -> str:
         return f"{self.store.root}/silver/{table}"
 
-    def read_silver(self, table: str) -> DataFrame | None:
-        return _read_if_exists(self.spark, self.silver_path(table))
+    def read_silver(self, table: str, schema=None) -> DataFrame | None:
+        return _read_if_exists(self.spark, self.silver_path(table), schema)
 
     def _replace_files(self, table: str, changed: DataFrame, rows: DataFrame) -> DataFrame:
         """Silver table, partitioned by ``day``: replace all rows of the changed files.
@@ -80,7 +80,7 @@ class Ingest:
             affected = affected.unionByName(touched_old.select("subject_id", "day"))
         affected = affected.distinct().checkpoint()
         days = affected.select("day").distinct()
-        silver = self.read_silver(table)
+        silver = self.read_silver(table, rows.schema)
         if silver is None:
             rows.write.mode("errorifexists").partitionBy("day").parquet(self.silver_path(table))
         else:
@@ -110,17 +110,23 @@ class Ingest:
         if report["new"] + report["changed"] == 0:
             st.unpersist()
             return report
+        # categories present in this run (at most a few dozen values)
+        present = {r["category"] for r in changed.select("category").distinct().collect()}
         for cat, (table, schema, fn, keys, watched) in ROW_TABLES.items():
+            if cat not in present:
+                continue
             docs = JD.good(JD.parse_documents(changed.where(F.col("category") == cat), schema))
             rows = fn(docs)
             if table == "training":
                 rows = rows.drop("file_name")
             report[table] = self.store.upsert(table, X.typed_projection(rows, _schema_of(table)), keys, watched)
         for cat, (table, schema, fn) in SAMPLE_TABLES.items():
+            if cat not in present:
+                continue
             docs = JD.good(JD.parse_documents(changed.where(F.col("category") == cat), schema))
             samples = fn(docs)
             days = self._replace_files(table, changed.where(F.col("category") == cat), samples)
-            silver = self.read_silver(table)
+            silver = self.read_silver(table, samples.schema)
             affected = INC.rows_of_affected_days(silver.select(*samples.columns), days)
             if table == "hr_samples":
                 gold = daily.daily_hr(affected)
@@ -130,10 +136,11 @@ class Ingest:
                                        chunk=X.ppi_chunk())
                 report["hrv"] = self.store.upsert("hrv", gold, ["subject_id", "day"], ["rmssd"])
         known = list(ROW_TABLES) + list(SAMPLE_TABLES)
-        other = changed.where(~F.col("category").isin(*known))
-        docs = X.keep_document(other.withColumn("text", JD.decode_text("content")))
-        report["raw_documents"] = self.store.upsert(
-            "raw_documents", X.typed_projection(docs, S.RAW_DOCUMENTS), ["subject_id", "file_name"], None)
+        if present - set(known):
+            other = changed.where(~F.col("category").isin(*known))
+            docs = X.keep_document(other.withColumn("text", JD.decode_text("content")))
+            report["raw_documents"] = self.store.upsert(
+                "raw_documents", X.typed_projection(docs, S.RAW_DOCUMENTS), ["subject_id", "file_name"], None)
         # every new/changed file is logged, unparseable ones too (they are counted as errors)
         log_rows = INC.new_log_entries(INC.changed_only(st), self.imported_at)
         report["import_log"] = self.store.upsert("import_log", log_rows, ["subject_id", "file_name"], None)
@@ -141,13 +148,14 @@ class Ingest:
         return report
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     jvm = spark._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hp):
         return None
-    return spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def _schema_of(table: str):
