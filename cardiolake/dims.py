@@ -131,7 +131,7 @@ def map_expr(pairs, col, default=None):
     return e if default is None else F.coalesce(e, F.lit(default))
 
 
-def values_sql(pairs, key: str, value: str) -> str:
+def values_sql(pairs, key: str, value: str, alias: str = "t") -> str:
     """The same fixed mapping as an SQL ``VALUES`` relation (used by oracles)."""
     rows = ", ".join(f"('{k}', '{v}')" for k, v in pairs)
-    return f"(VALUES {rows}) AS t({key}, {value})"
+    return f"(VALUES {rows}) AS {alias}({key}, {value})"

@@ -246,12 +246,7 @@ tr AS (
          ELSE cat.dim_category END AS category,
     duration_min, hr_avg, hr_max, distance_km, calories, dayname(day) AS weekday,
     CAST(year(day) AS INTEGER) AS year
-  FROM tr_s LEFT JOIN {values_sql(SPORT_CATEGORY, 'sport', 'dim_category')} AS cat_dummy_ ON FALSE
-  LEFT JOIN {values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category')} ON c_sport = s1)"""
-TR = TR.replace(f"LEFT JOIN {values_sql(SPORT_CATEGORY, 'sport', 'dim_category')} AS cat_dummy_ ON FALSE\n  ", "")
-TR = TR.replace("ELSE cat.dim_category END", "ELSE t.dim_category END")
-TR = TR.replace(values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category'),
-                values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category'))
+  FROM tr_s LEFT JOIN {values_sql(SPORT_CATEGORY, 'c_sport', 'dim_category', 'cat')} ON c_sport = s1)"""
 
 TR_COLS = ["subject_id", "day", "sport", "category", "duration_min", "hr_avg", "hr_max",
            "distance_km", "calories", "weekday", "year"]
@@ -842,11 +837,7 @@ FROM status""")
 def q_import_report(spark, sf):
     """L18 + S03 + A40: run counts, with new/changed files that are not valid JSON."""
     st = status_s(spark, sf)
-    parsed = JD.parse_documents(st, JD_ANY_SCHEMA)
-    return INC.import_report(parsed)
-
-
-JD_ANY_SCHEMA = "date string"
+    return INC.import_report(JD.with_parse_error(st))
 
 
 @register("parse_error_counts", f"""
@@ -1004,12 +995,8 @@ g AS (SELECT f.*, CAST(start_ts AS DATE) AS day,
     CASE WHEN has_ex THEN coalesce(nullif(ex_kcal, 0), kcal_top) ELSE kcal_top END AS calories,
     CASE WHEN has_ex AND ex_id IS NOT NULL THEN coalesce(sid.sport_name, 'ID_' || ex_id)
          WHEN top_name = '' THEN 'UNKNOWN' ELSE top_name END AS sport_raw
-  FROM f LEFT JOIN {values_sql(SPORT_IDS, 'sport_id', 'sport_name')} AS sid ON sid.sport_id = f.ex_id),
+  FROM f LEFT JOIN {values_sql(SPORT_IDS, 'sport_id', 'sport_name', 'sid')} ON sid.sport_id = f.ex_id),
 h AS (SELECT *, CASE WHEN coalesce(dist_m, 0) <> 0 THEN dist_m / 1000.0 END AS distance_km FROM g)"""
-TRAINING_DOCS = TRAINING_DOCS.replace(
-    f"{values_sql(SPORT_IDS, 'sport_id', 'sport_name')} AS sid ON",
-    values_sql(SPORT_IDS, 'sport_id', 'sport_name').replace(" AS t(sport_id, sport_name)",
-                                                             " AS sid(sport_id, sport_name)") + " ON")
 
 
 @register("training_from_json", f"""
@@ -1178,10 +1165,10 @@ WITH e AS (
     o_totalprice / 300 AS calories
   FROM orders),
 e2 AS (SELECT e.*, CASE WHEN sport_in = 'OTHER' AND det <> '' AND dm.s IS NOT NULL THEN det ELSE sport_in END AS eff
-       FROM e LEFT JOIN {values_sql(API_SPORT, 'k', 's').replace(' AS t(k, s)', ' AS dm(k, s)')} ON dm.k = e.det),
+       FROM e LEFT JOIN {values_sql(API_SPORT, 'k', 's', 'dm')} ON dm.k = e.det),
 e3 AS (SELECT e2.*, coalesce(sm.s, eff) AS sport0, coalesce(cm.c, 'OUTDOOR') AS cat0
-       FROM e2 LEFT JOIN {values_sql(API_SPORT, 'k', 's').replace(' AS t(k, s)', ' AS sm(k, s)')} ON sm.k = e2.eff
-       LEFT JOIN {values_sql(API_CATEGORY, 'k', 'c').replace(' AS t(k, c)', ' AS cm(k, c)')} ON cm.k = e2.eff),
+       FROM e2 LEFT JOIN {values_sql(API_SPORT, 'k', 's', 'sm')} ON sm.k = e2.eff
+       LEFT JOIN {values_sql(API_CATEGORY, 'k', 'c', 'cm')} ON cm.k = e2.eff),
 e4 AS (SELECT *, sport0 IN ('WALKING', 'HIKING') AND coalesce(dist, 0) <> 0 AND dur > 0
                  AND dur / (dist / 1000.0) < 10 AS fast FROM e3)
 SELECT subject_id, day, CASE WHEN fast THEN 'RUNNING' ELSE sport0 END AS sport,
