@@ -1229,3 +1229,23 @@ def q_year_span(spark, sf):
     """A41 + X18: first/last year and day of each subject's heart-rate series."""
     hr = hr_daily_lines(spark, sf)
     return AG.year_span(hr).join(X.date_span(hr), "subject_id")
+
+
+# ==================================== batch 8: statistics without SQL oracle
+NO_ORACLE = {"hypothesis_p_values"}
+
+
+@register("hypothesis_p_values")
+def q_hypothesis_p_values(spark, sf):
+    """U02 + A36 + F16: both hypotheses per subject with Pearson r, two-sided p
+    (t-test, n - 2 df, regularised incomplete beta in a pandas UDF over the
+    one-row-per-subject result), significance at 0.05 and the effect label.
+    No SQL oracle: SQL engines here lack the incomplete beta function; the
+    p-value itself is unit-tested against t-table values."""
+    tr, hr, act = tr_s(spark, sf), hr_daily_lines(spark, sf), act_s(spark, sf)
+    h1 = ST.pearson(DS.weekly_training_hr(tr, hr), "training_min", "resting_hr") \
+        .withColumn("hypothesis", F.lit("training_vs_resting_hr"))
+    h2 = ST.pearson(DS.sleep_next_day_hr(act, hr), "sleep_hours", "hr_next") \
+        .withColumn("hypothesis", F.lit("sleep_vs_next_day_resting_hr"))
+    return ST.with_p_values(h1.unionByName(h2)).select(
+        "subject_id", "hypothesis", "n", "r", "p_value", "significant", "effect")
