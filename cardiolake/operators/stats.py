@@ -9,15 +9,22 @@ it to the small one-row-per-subject result only.
 
 from __future__ import annotations
 
+import sys
+
 import math
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from cardiolake.functions.labels import effect_label
 from cardiolake.operators.windows import average_rank
 
+# Python code of this module runs in Spark's Python workers; ship it with the
+# task so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def pearson(df: DataFrame, x: str, y: str, group=("subject_id",)) -> DataFrame:
     """A36 + A38: n, r, R^2, slope and intercept of y ~ x (rows with both values)."""

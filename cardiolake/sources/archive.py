@@ -8,14 +8,21 @@ that the many small entries of one archive spread over the cluster.
 
 from __future__ import annotations
 
+import sys
+
 import io
 import zipfile
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardiolake.functions.labels import file_category
 
+# Python code of this module runs in Spark's Python workers; ship it with the
+# task so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ENTRY_SCHEMA = "subject_id long, archive string, file_name string, content binary"
 
 
