@@ -6,7 +6,6 @@ import datetime as _dt
 
 from pyspark.sql import Column, functions as F
 
-from cardiolake.dims import WEEKDAY_SHORT  # noqa: F401  (re-exported for callers)
 
 
 def _c(col):
