@@ -7,7 +7,6 @@ import datetime as _dt
 from pyspark.sql import Column, functions as F
 
 
-
 def _c(col):
     return F.col(col) if isinstance(col, str) else col
 
