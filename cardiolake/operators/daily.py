@@ -112,23 +112,33 @@ def first_n_per_group(samples: DataFrame, group: list[str], order: list[str], ch
                       n: int) -> DataFrame:
     """Keep the first ``n`` samples of each group in ``order`` (W08), skew-safe.
 
-    Position = rows in earlier chunks (a window over per-chunk counts) + row
-    number inside the chunk, so no window ever spans a whole group.
+    Position = rows in earlier chunks + row number inside the chunk. With
+    several chunk levels (finest first, each constant within the previous
+    one) the offset of a chunk is summed over the levels: at each level a
+    window orders only the sub-chunks of one parent, so no window spans a
+    growing number of rows.
     """
-    if isinstance(chunk, list):  # positions come from the finest chunk level
-        chunk = chunk[0]
-    s = samples.withColumn("_chunk", chunk)
-    keys = group + ["_chunk"]
-    counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    # skip whole chunks that start beyond the cap before touching samples
-    offs = offs.where(F.col("_off") < n)
+    levels = chunk if isinstance(chunk, list) else [chunk]
+    names = [f"_c{i}" for i in range(len(levels))]
+    s = samples.select("*", *[c.alias(nm) for c, nm in zip(levels, names)])
+    cur = s.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_cnt"))
+    finest = cur.select(*group, *names)
+    for i, child in enumerate(names):
+        parents = names[i + 1:]
+        w = (Window.partitionBy(*group, *parents).orderBy(child)
+             .rowsBetween(Window.unboundedPreceding, -1))
+        off = cur.select(*group, child, *parents, F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias(f"_off{i}"))
+        finest = finest.join(off, group + names[i:])
+        if parents:
+            cur = cur.groupBy(*group, *parents).agg(F.sum("_cnt").alias("_cnt"))
+    total = sum((F.col(f"_off{i}") for i in range(len(names))), F.lit(0))
+    offs = finest.select(*group, *names, total.alias("_off")).where(F.col("_off") < n)
+    keys = group + names
     pos = F.col("_off") + F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (s.join(offs, keys, "inner")
             .withColumn("_pos", pos)
             .where(F.col("_pos") <= n)
-            .drop("_chunk", "_off", "_pos"))
+            .drop(*names, "_off", "_pos"))
 
 
 def daily_hrv_capped(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),

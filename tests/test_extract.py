@@ -151,6 +151,9 @@ def test_first_n_per_group(spark):
     df = spark.createDataFrame(rows, "subject_id long, day date, ts timestamp, event_id long, ppi int")
     kept = daily.first_n_per_group(df, ["subject_id", "day"], ["ts", "event_id"], daily.minute_chunk("ts"), 130)
     assert sorted(r.event_id for r in kept.collect()) == list(range(130))
+    levels = [F.floor(F.col("event_id") / 7), F.floor(F.col("event_id") / 49), F.floor(F.col("event_id") / 343)]
+    kept3 = daily.first_n_per_group(df, ["subject_id", "day"], ["event_id"], levels, 401)
+    assert sorted(r.event_id for r in kept3.collect()) == list(range(401))
 
 
 def test_fitness_best_per_day(spark):
