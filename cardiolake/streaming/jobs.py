@@ -46,7 +46,10 @@ def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str =
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     src = reader.load(folder)
-    files = src.select(F.lit(default_subject).cast("long").alias("subject_id"),
+    # subject from a ``subject_id=<n>/`` directory in the path, else the default
+    subject = F.coalesce(F.regexp_extract("path", r"subject_id=(\d+)/", 1).try_cast("long"),
+                         F.lit(default_subject).cast("long"))
+    files = src.select(subject.alias("subject_id"),
                        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content")
     reports = []
 

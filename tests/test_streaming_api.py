@@ -47,6 +47,13 @@ def test_file_stream_runs_once_per_file(spark, tmpdir_path):
         json.dump({"date": "2024-01-16", "summary": {"stepCount": 5}}, f)
     r3 = J.file_stream(spark, inbox, store, name=name)
     assert sum(r["new"] for r in r3) == 1 and store.read("activity").count() == 2
+    # subject taken from a subject_id=<n> directory
+    sub = os.path.join(tmpdir_path, "inbox2", "subject_id=7")
+    os.makedirs(sub)
+    with open(os.path.join(sub, "activity-2024-01-17.json"), "w") as f:
+        json.dump({"date": "2024-01-17", "summary": {"stepCount": 9}}, f)
+    J.file_stream(spark, os.path.join(tmpdir_path, "inbox2", "*"), store, name=uuid.uuid4().hex)
+    assert store.read("activity").where("subject_id = 7").count() == 1
 
 
 def _land(root, endpoint, payloads):
