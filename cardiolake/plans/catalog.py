@@ -22,11 +22,16 @@ TIE = 1e-9  # deterministic tie-break: exact half-way values round the same in b
 
 
 def fin(df: DataFrame) -> DataFrame:
-    """Round every double column of a query result to ``OUT_DIGITS``."""
+    """Round every double column of a query result to ``OUT_DIGITS``; report
+    instants as UTC wall-clock ``timestamp_ntz`` (collecting a ``timestamp``
+    would convert it to the client's local zone)."""
     cols = []
     for f in df.schema.fields:
-        if f.dataType.typeName() == "double":
+        t = f.dataType.typeName()
+        if t == "double":
             cols.append(F.round(F.col(f.name) + F.lit(TIE), OUT_DIGITS).alias(f.name))
+        elif t == "timestamp":
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
