@@ -139,11 +139,11 @@ class Ingest:
         if present - set(known):
             other = changed.where(~F.col("category").isin(*known))
             docs = X.keep_document(other.withColumn("text", JD.decode_text("content")))
-            report["raw_documents"] = self.store.upsert(
+            report["raw_documents"] = self.store.upsert_bucketed(
                 "raw_documents", X.typed_projection(docs, S.RAW_DOCUMENTS), ["subject_id", "file_name"], None)
         # every new/changed file is logged, unparseable ones too (they are counted as errors)
         log_rows = INC.new_log_entries(INC.changed_only(st), self.imported_at)
-        report["import_log"] = self.store.upsert("import_log", log_rows, ["subject_id", "file_name"], None)
+        report["import_log"] = self.store.upsert_bucketed("import_log", log_rows, ["subject_id", "file_name"], None)
         st.unpersist()
         return report
 

@@ -150,3 +150,22 @@ def test_folder_source(spark, tmpdir_path):
     files = AR.folder_source(spark, d, default_subject=1)
     assert files.count() == 8 and files.where(F.col("subject_id") == 1).count() == 8
     assert AR.route_by_name(files, "heartrate").count() == 2
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmpdir_path):
+    import glob
+    store = UP.TableStore(spark, os.path.join(tmpdir_path, "b"))
+    schema = "subject_id long, file_name string, hash_md5 string"
+    rows = [(s, f"f{s}_{i}.json", "h") for s in range(4) for i in range(3)]
+    c1 = store.upsert_bucketed("log", spark.createDataFrame(rows, schema), ["subject_id", "file_name"], None, n_buckets=8)
+    assert c1["inserted"] == 12
+    before = {p: os.path.getmtime(p) for p in glob.glob(os.path.join(tmpdir_path, "b", "log", "current", "_bucket=*", "*.parquet"))}
+    change = spark.createDataFrame([(1, "f1_0.json", "h2"), (1, "f1_9.json", "h")], schema)
+    c2 = store.upsert_bucketed("log", change, ["subject_id", "file_name"], None, n_buckets=8)
+    assert (c2["inserted"], c2["updated"], c2["kept"]) == (1, 1, 2)  # kept: other files of subject 1
+    after = {p: os.path.getmtime(p) for p in glob.glob(os.path.join(tmpdir_path, "b", "log", "current", "_bucket=*", "*.parquet"))}
+    untouched = [p for p in before if p in after and after[p] == before[p]]
+    assert len(untouched) >= len(before) - 2  # only subject 1's bucket was rewritten
+    t = store.read("log")
+    assert t.count() == 13 and "_bucket" not in t.columns
+    assert t.where("file_name = 'f1_0.json'").first().hash_md5 == "h2"
