@@ -177,12 +177,22 @@ class TableStore:
         w.parquet(out)
         return {k: int(x) for k, x in obs.get.items()}
 
+    def merge_table(self, table: str, source: DataFrame) -> dict[str, int]:
+        """Merge into one of the known tables with its keys, watched columns and layout."""
+        from cardiolake.schemas import BUCKETED_TABLES, TABLES
+        _schema, keys, watched = TABLES[table]
+        if table in BUCKETED_TABLES:
+            return self.upsert_bucketed(table, source, keys, watched)
+        return self.upsert(table, source, keys, watched)
+
     def create_tables(self, tables: dict | None = None) -> list[str]:
-        """An empty version 0 for every table that does not exist yet."""
-        from cardiolake.schemas import TABLES
+        """An empty version 0 for every versioned table that does not exist
+        yet. Bucketed tables are created by their first merge; until then
+        ``read(table, schema)`` returns an empty frame of the table's schema."""
+        from cardiolake.schemas import BUCKETED_TABLES, TABLES
         made = []
         for name, (schema, _keys, _watched) in (tables or TABLES).items():
-            if self.current_path(name) is None:
+            if name not in BUCKETED_TABLES and self.current_path(name) is None:
                 self.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(
                     f"{self.root}/{name}/v=0")
                 made.append(name)

@@ -119,7 +119,7 @@ class Ingest:
             rows = fn(docs)
             if table == "training":
                 rows = rows.drop("file_name")
-            report[table] = self.store.upsert(table, X.typed_projection(rows, _schema_of(table)), keys, watched)
+            report[table] = self.store.merge_table(table, X.typed_projection(rows, _schema_of(table)))
         for cat, (table, schema, fn) in SAMPLE_TABLES.items():
             if cat not in present:
                 continue
@@ -130,20 +130,20 @@ class Ingest:
             affected = INC.rows_of_affected_days(silver.select(*samples.columns), days)
             if table == "hr_samples":
                 gold = daily.daily_hr(affected)
-                report["heartrate"] = self.store.upsert("heartrate", gold, ["subject_id", "day"], ["resting_hr"])
+                report["heartrate"] = self.store.merge_table("heartrate", gold)
             else:
                 gold = daily.daily_hrv(affected, order=("file_name", "entry", "device", "pos"),
                                        chunk=X.ppi_chunk())
-                report["hrv"] = self.store.upsert("hrv", gold, ["subject_id", "day"], ["rmssd"])
+                report["hrv"] = self.store.merge_table("hrv", gold)
         known = list(ROW_TABLES) + list(SAMPLE_TABLES)
         if present - set(known):
             other = changed.where(~F.col("category").isin(*known))
             docs = X.keep_document(other.withColumn("text", JD.decode_text("content")))
-            report["raw_documents"] = self.store.upsert_bucketed(
-                "raw_documents", X.typed_projection(docs, S.RAW_DOCUMENTS), ["subject_id", "file_name"], None)
+            report["raw_documents"] = self.store.merge_table(
+                "raw_documents", X.typed_projection(docs, S.RAW_DOCUMENTS))
         # every new/changed file is logged, unparseable ones too (they are counted as errors)
         log_rows = INC.new_log_entries(INC.changed_only(st), self.imported_at)
-        report["import_log"] = self.store.upsert_bucketed("import_log", log_rows, ["subject_id", "file_name"], None)
+        report["import_log"] = self.store.merge_table("import_log", X.typed_projection(log_rows, S.IMPORT_LOG))
         st.unpersist()
         return report
 

@@ -106,6 +106,9 @@ IMPORT_LOG = _st(("subject_id", _L, False), ("file_name", _S, False), ("hash_md5
 HR_SAMPLES = _st(("subject_id", _L, False), ("day", _DT, False), ("ts", _TS, True),
                  ("seconds_from_day_start", _I, True), ("hr", _I, False))
 
+# tables that grow with the number of files/sessions: bucketed, partition-scoped merges
+BUCKETED_TABLES = {"training", "raw_documents", "import_log"}
+
 # table name -> (schema, merge keys, watched columns or None = unconditional update)
 TABLES = {
     "activity": (ACTIVITY, ["subject_id", "day"], ["steps", "calories", "sleep_hours"]),

@@ -90,8 +90,7 @@ def payload_stream(spark: SparkSession, root: str, endpoint: str, store: TableSt
             rows, table = AX.api_recharge(df), "raw_documents"
         else:
             raise ValueError(f"no table for endpoint {endpoint}")
-        schema, keys, watched = S.TABLES[table]
-        counts.append(store.upsert(table, typed_projection(rows, schema), keys, watched))
+        counts.append(store.merge_table(table, typed_projection(rows, S.TABLES[table][0])))
 
     q = (p.writeStream.foreachBatch(batch).option("checkpointLocation", _ckpt(spark, name or endpoint))
          .trigger(availableNow=True).start())
