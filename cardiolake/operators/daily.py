@@ -42,7 +42,8 @@ def daily_hr(samples: DataFrame, group=("subject_id", "day"), hr: str = "hr",
 
 
 def minute_chunk(ts: str = "ts", seconds: int = 60) -> Column:
-    """Chunk id that grows with ``ts`` (monotone, so chunk order = sample order)."""
+    """Chunk id that grows with ``ts`` (monotone, so chunk order = sample order);
+    ``seconds`` is 1, 60 or 3600."""
     unit = {1: "second", 60: "minute", 3600: "hour"}[seconds]
     return F.date_trunc(unit, F.col(ts))
 
