@@ -147,13 +147,26 @@ def hr_by_hour(samples: DataFrame, digits: int | None = 1, group=("subject_id",)
             .agg(round_to(F.avg("hr"), digits).alias("hr_mean"), F.count(F.lit(1)).alias("n")))
 
 
-def describe(df: DataFrame, cols: list[str], group=("subject_id",)) -> DataFrame:
-    """Count, mean, std, min, quartiles (exact), max per column, long format."""
+def _quartiles(v: Column, approx_accuracy: int | None) -> Column:
+    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    if approx_accuracy is None:
+        return F.percentile(v, qs)
+    return F.percentile_approx(v, qs, approx_accuracy)
+
+
+def describe(df: DataFrame, cols: list[str], group=("subject_id",),
+             approx_accuracy: int | None = None) -> DataFrame:
+    """Count, mean, std, min, quartiles, max per column, long format.
+
+    Quartiles are exact (``percentile`` keeps each distinct value of a group),
+    which suits daily tables; for a hot group of raw samples pass
+    ``approx_accuracy`` to use bounded-memory ``percentile_approx``.
+    """
     g = list(group)
     stacked = df.select(*g, F.explode(F.array(*[
         F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value")) for c in cols
     ])).alias("_kv")).select(*g, "_kv.col_name", "_kv.value")
-    q = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = _quartiles(F.col("value"), approx_accuracy)
     return (stacked.groupBy(*g, "col_name")
             .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
                  F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
@@ -185,7 +198,7 @@ def fitness_stats(ft: DataFrame, group=("subject_id",)) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, by: str | Column, by_name: str = "grp",
-              group=("subject_id",)) -> DataFrame:
+              group=("subject_id",), approx_accuracy: int | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (furthest values inside the fences)
     and the number of outliers per group. Quartiles come from one aggregate,
     then a join back to the rows; no window spans a whole group."""
@@ -193,7 +206,7 @@ def box_stats(df: DataFrame, value: str, by: str | Column, by_name: str = "grp",
     b = F.col(by) if isinstance(by, str) else by
     v = df.select(*g, b.alias(by_name), F.col(value).alias("v")).where(F.col("v").isNotNull())
     q = (v.groupBy(*g, by_name)
-         .agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+         .agg(_quartiles(F.col("v"), approx_accuracy).alias("_q"))
          .select(*g, by_name, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3")))
     # fences and values compared at 9 digits: a value on a fence stays on it

@@ -72,3 +72,10 @@ def test_season_contrast(spark):
     d = AG.season_contrast_of_days(df, "v").collect()[0]
     assert (m.summer, m.winter) == (27.5, 5.0)
     assert abs(d.summer - 70.0 / 3) < 1e-12
+
+
+def test_approximate_quartiles_option(spark):
+    rows = [(0, float(i)) for i in range(1001)]
+    df = spark.createDataFrame(rows, "subject_id long, v double")
+    r = AG.describe(df, ["v"], approx_accuracy=10000).collect()[0]
+    assert abs(r.p50 - 500.0) <= 1.0 and abs(r.p25 - 250.0) <= 1.0
