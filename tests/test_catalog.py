@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from cardiolake.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,14 +20,16 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle():
     from cardiolake.plans.catalog import NO_ORACLE
-    q, o = E.queries(), E.oracle_sql()
+
+    q, o = catalog.QUERIES, catalog.ORACLE
+    assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql())
     assert set(o) <= set(q)
     assert set(q) - set(o) == NO_ORACLE
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 def test_all_queries_run_small(spark):
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         df = fn(spark, SF)
         assert df.count() >= 0, name
         assert len(df.columns) == len(set(df.columns)), name
