@@ -65,6 +65,26 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], list]], schema:
     return df.mapInArrow(run, schema)
 
 
+def add_column(df: DataFrame, make: Callable[[], Callable[[list], list]], from_col: str, name: str,
+               kind: str) -> DataFrame:
+    """``df`` with one more column computed from ``from_col``; the others pass through as Arrow columns."""
+    from pyspark.sql.types import StructType
+
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(f"{name} {kind}").fields])
+    arrow = _arrow_schema(df.sparkSession, f"{name} {kind}").field(0)
+    at = df.columns.index(from_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = make()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2000):
+                part = batch.slice(lo, 2000)
+                new = pa.array(each(part.column(at).to_pylist()), type=arrow.type)
+                yield pa.RecordBatch.from_arrays([*part.columns, new], names=[*part.schema.names, name])
+
+    return df.mapInArrow(run, schema)
+
+
 def _batch(rows: list, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)

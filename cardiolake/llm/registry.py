@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cardiolake.llm import exact_dedup, fingerprint, licenses, minhash_dedup, mixing, pieces, sharding
+from cardiolake.llm import exact_dedup, fingerprint, language_id, licenses, minhash_dedup, mixing, pieces, sharding, toxicity
 
-MODULES = [minhash_dedup, sharding, exact_dedup, licenses, pieces, mixing, fingerprint]
+MODULES = [minhash_dedup, language_id, toxicity, sharding, exact_dedup, licenses, pieces, mixing, fingerprint]
 
 QUERIES = {k: q for m in MODULES for k, q in m.QUERIES.items()}
 ORACLE = {k: s for m in MODULES for k, s in m.ORACLE.items()}
