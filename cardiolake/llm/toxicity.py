@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardiolake.llm.common import add_column, fold, map_rows, read_table, settle
 
 THRESHOLD = 0.7
-LEAST, RATIO, MOST_FEATURES, MOST_LABELLED = 3, 25.0, 50_000, 200_000
+LEAST, RATIO, MOST_FEATURES, MOST_LABELLED = 5, 50.0, 50_000, 200_000
 FLUSH = 300_000
 #: Letters a sign may stand for. Fixed values.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -183,32 +183,37 @@ class Model:
         return score
 
 
-def toxic_places(rows: DataFrame) -> DataFrame:
-    """(feature, toxic): behind how many different words a feature stands. Copies of a text and
-    near copies add nothing, so their rare words do not look like insults."""
+def toxic_counts(rows: DataFrame) -> DataFrame:
+    """(feature, toxic): the number of texts it stands in or, if fewer, of different words it stands
+    behind. Copies and near copies of a text add no such words, so their rare words do not look like insults."""
     def make():
         seen: set = set()
+        texts: Counter = Counter()
 
         def drain():
-            out = [(f, zlib.crc32(b.encode())) for f, b in seen]
+            out = [(f, zlib.crc32(b.encode()), None) for f, b in seen] + [(f, None, n) for f, n in texts.items()]
             seen.clear()
+            texts.clear()
             return out
 
         def each(c):
             out = []
             for t in c["text"]:
-                before = ""
+                before, own = "", set()
                 for w in WORD.findall((t or "").lower()):
-                    seen.update([(f, before) for f in features(w)])
+                    own.update([(f, before) for f in features(w)])
                     before = w
+                seen.update(own)
+                texts.update({f for f, _ in own})
                 if len(seen) > FLUSH:
                     out += drain()
             return out
         each.close = drain
         return each
 
-    return (map_rows(rows, make, "feature string, before long", rows_per_output=200).distinct()
-            .groupBy("feature").agg(F.count("*").alias("toxic")))
+    return (map_rows(rows, make, "feature string, before long, n long", rows_per_output=200)
+            .groupBy("feature", "before").agg(F.sum("n").alias("n"))
+            .groupBy("feature").agg(F.least(F.count("before"), F.sum("n")).alias("toxic")))
 
 
 def _counted(rows: DataFrame, name: str, passing: np.ndarray | None = None) -> DataFrame:
@@ -306,7 +311,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     tri, bi = letter_counts(docs, text_col)
     if not toxic:
         return Model(-1000.0, {}, tri, bi)
-    often = settle(toxic_places(rows.where("toxic = 1")).where(F.col("toxic") >= LEAST))
+    often = settle(toxic_counts(rows.where("toxic = 1")).where(F.col("toxic") >= LEAST))
     passing = np.zeros(FILTER, bool)
     places = often.select((F.crc32(F.encode("feature", "UTF-8")) % FILTER).cast("int").alias("p")).distinct()
     passing[places.toPandas()["p"].to_numpy(dtype=np.int64)] = True  # at most FILTER rows
