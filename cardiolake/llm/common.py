@@ -8,6 +8,7 @@ are read twice go through ``checkpoint()`` into ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -29,6 +30,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``settle`` for many narrow rows: a compressed table in the shared folder, read back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus`` (a null counts as '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus

@@ -1,26 +1,25 @@
 """Language identification with spans of mixed-language text.
 
-Training counts character n-grams (1 to 4, with word edges) of each language's
-words into hashed tables of fixed size, over all training documents, and how
-many letters of each script a language uses. For a text:
+Training counts character n-grams (1 to 3, with word edges) of each language's
+texts in hashed tables of fixed size, over all training documents, and how
+many words of each script a language has. Words are runs of letters. For a text:
 
 * the script of a word (by Unicode ranges) narrows its candidate languages to
-  those that wrote at least ``SHARE`` of their training letters in that script
-  (all languages, if none did);
+  those with at least ``SHARE`` of their training words in that script (all
+  languages, if there is none);
 * each word has a log-probability under each candidate;
-* Viterbi decoding over the words with a price ``SWITCH`` for changing language
-  labels every word; equal neighbours form the spans.
+* Viterbi decoding over the words, with a price ``SWITCH`` for changing
+  language, labels every word; equal neighbours form the spans.
 
 ``lang_pred`` is the language with the most letters in its spans (the smaller
 name wins a tie) and ``score`` its share of the letters. Null text, and text
 without a letter, is ``und`` with score 0, as is every text if nothing was
-learned. Rows without a language are not learned from.
+learned. Rows without a language are not learned from; rows that repeat a
+doc_id are labelled alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardiolake.llm.common import fold, map_rows, read_table
 
-WORD = re.compile(r"[^\W\d_]+")
-SIZES = (1, 2, 3, 4)
-BUCKETS, FLUSH, CACHE = 1 << 15, 200_000, 200_000
+SIZES = (1, 2, 3)
+BUCKETS = 1 << 15
 SWITCH, SHARE, SMOOTH = 12.0, 0.01, 0.3
-#: Languages learned at most: the most frequent ones (the model is this many tables of fixed size).
+#: Languages learned at most: the most frequent ones (the model is one column of fixed length for each).
 MOST_LANGUAGES = 200
+#: Code points looked up for being a letter; those above count as none.
+TOP = 0x33000
 #: First code points of script ranges, ascending, with their script; fixed values.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -46,32 +46,59 @@ SCRIPTS = [
     (0x20000, "han"),
 ]
 STARTS = np.array([s for s, _ in SCRIPTS])
+NAMES = sorted({n for _, n in SCRIPTS})
+SCRIPT_AT = np.array([NAMES.index(n) for _, n in SCRIPTS])
 
 
-def script(word: str) -> str:
-    """Script of the word's first letter."""
-    return SCRIPTS[int(np.searchsorted(STARTS, ord(word[0]), side="right")) - 1][1]
+@dataclass
+class Words:
+    """The words of a text as arrays; ``x`` holds letters, and 0 for anything else (one 0 at either end)."""
+
+    x: np.ndarray
+    starts: np.ndarray     # place of each word's first letter in x
+    stops: np.ndarray      # behind its last letter
+    scripts: np.ndarray    # number of the script of its first letter
+
 
+class Letters:
+    def __init__(self):
+        self.is_letter = np.fromiter((chr(i).isalpha() for i in range(TOP)), bool, TOP)
+        self.is_letter[0xD800:0xE000] = False
 
-def grams(word: str) -> np.ndarray:
-    """Places of the word's n-grams in a hashed table."""
-    x = np.frombuffer(f"\x02{word[:40]}\x03".encode("utf-32-le"), "<u4").astype(np.uint64)
-    out = []
+    def __call__(self, text: str | None) -> Words:
+        x = np.frombuffer(f"\0{(text or '').lower()}\0".encode("utf-32-le"), "<u4")
+        ok = self.is_letter[np.minimum(x, TOP - 1)]
+        x = np.where(ok, x, 0)
+        step = np.diff(ok.astype(np.int8))
+        starts, stops = np.flatnonzero(step == 1) + 1, np.flatnonzero(step == -1) + 1
+        scripts = SCRIPT_AT[np.searchsorted(STARTS, x[starts], side="right") - 1]
+        return Words(x, starts, stops, scripts)
+
+
+def grams(x: np.ndarray):
+    """For each size, the table place of the n-gram that starts at each place of ``x``; ``BUCKETS`` where
+    there is none (an n-gram may begin or end with a word's edge but not hold one inside)."""
     for n in SIZES:
-        if len(x) >= n:
-            h = np.full(len(x) - n + 1, n, np.uint64)
-            for k in range(n):
-                h = (h ^ x[k:len(x) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-                h ^= h >> np.uint64(29)
-            out.append(h[1:-1] if n == 1 else h)
-    return (np.concatenate(out) & np.uint64(BUCKETS - 1)).astype(np.int64)
+        m = len(x) - n + 1
+        if m <= 0:
+            continue
+        h = np.full(m, n, np.uint32)
+        for k in range(n):
+            h = (h ^ x[k:m + k].astype(np.uint32)) * np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(15)
+        ok = (x[:m] != 0) | (x[n - 1:] != 0)
+        for k in range(1, n - 1):
+            ok &= x[k:m + k] != 0
+        if n == 2:
+            ok = (x[:m] != 0) | (x[1:] != 0)
+        yield np.where(ok, (h & np.uint32(BUCKETS - 1)).astype(np.int32), BUCKETS)
 
 
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray                  # (place, language): log-probability
-    allowed: dict[str, np.ndarray]     # script -> candidate languages as a mask
+    table: np.ndarray      # (place, language): log-probability; a last row of zeros
+    allowed: np.ndarray    # (script, language): candidates
 
     def reader(self) -> "Reader":
         return Reader(self)
@@ -79,32 +106,24 @@ class Model:
 
 class Reader:
     def __init__(self, model: Model):
-        self.m, self.known = model, {}
+        self.m, self.letters = model, Letters()
 
-    def scores(self, words: list[str]) -> np.ndarray:
+    def scores(self, w: Words) -> np.ndarray:
         """(word, language): log-probabilities; -1e6 for languages the script rules out."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known, out = self.known, []
-        for w in words:
-            x = known.get(w)
-            if x is None:
-                x = self.m.table[grams(w)].sum(axis=0)
-                mask = self.m.allowed.get(script(w))
-                if mask is not None:
-                    x = np.where(mask, x, np.float32(-1e6))
-                known[w] = x
-            out.append(x)
-        return np.array(out, dtype=np.float32)
+        total = np.zeros((len(w.x), len(self.m.languages)), np.float32)
+        for h in grams(w.x):
+            total[:len(h)] += self.m.table[h]
+        # a word owns the places from the edge before it; what follows its last letter is 0 or the next word's edge
+        out = np.add.reduceat(total, w.starts - 1, axis=0)
+        return np.where(self.m.allowed[w.scripts], out, np.float32(-1e6))
 
     def spans(self, text: str | None) -> list[tuple[str, int, int, int]]:
-        """(language, first, stop, letters): spans of the text in code points."""
-        found = [(m.group().lower(), *m.span()) for m in WORD.finditer(text or "")]
-        if not found or not self.m.languages:
+        """(language, first, stop, letters): spans of the lower-cased text in code points."""
+        w = self.letters(text)
+        if not len(w.starts) or not self.m.languages:
             return []
-        path = viterbi(self.scores([w for w, _, _ in found]))
         out: list[list] = []
-        for k, (_, a, b) in zip(path.tolist(), found, strict=True):
+        for k, a, b in zip(viterbi(self.scores(w)).tolist(), (w.starts - 1).tolist(), (w.stops - 1).tolist(), strict=True):
             if out and out[-1][0] == k:
                 out[-1][2], out[-1][3] = b, out[-1][3] + b - a
             else:
@@ -113,12 +132,11 @@ class Reader:
 
     def label(self, text: str | None) -> tuple[str, float, int]:
         """(language, share of letters, number of spans)."""
-        found = WORD.findall((text or "").lower())
-        if not found or not self.m.languages:
+        w = self.letters(text)
+        if not len(w.starts) or not self.m.languages:
             return "und", 0.0, 0
-        path = viterbi(self.scores(found))
-        letters = np.bincount(path, weights=np.fromiter(map(len, found), np.int64, len(found)),
-                              minlength=len(self.m.languages))
+        path = viterbi(self.scores(w))
+        letters = np.bincount(path, weights=w.stops - w.starts, minlength=len(self.m.languages))
         best = int(letters.argmax())
         return self.m.languages[best], float(letters[best] / letters.sum()), 1 + int((path[1:] != path[:-1]).sum())
 
@@ -126,19 +144,16 @@ class Reader:
 def viterbi(score: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Likeliest language of each word when a change costs ``switch``.
 
-    A text in which one language leads by no more than ``switch`` anywhere else
-    needs no search: if for every other language the best sum over a stretch of
-    words stays below the price of leaving and returning, the leader keeps all.
+    Without search where none is needed: if no language beats the leader by
+    more than ``switch`` over any stretch of words, the leader keeps them all.
     """
     n, k = score.shape
     lead = int(score.sum(axis=0).argmax())
     gain = np.cumsum(score - score[:, lead:lead + 1], axis=0, dtype=np.float64)
-    before = np.vstack([np.zeros((1, k)), gain[:-1]])
-    low = np.minimum.accumulate(before, axis=0)
-    # a stretch at either end is left once, one inside twice: the cheaper price is the safe bound
+    low = np.minimum.accumulate(np.vstack([np.zeros((1, k)), gain[:-1]]), axis=0)
     if float((gain - low).max()) <= switch:
         return np.full(n, lead)
-    value, back = score[0].astype(np.float64), np.empty((n, k), np.int64)
+    value, back = score[0].astype(np.float64), np.empty((n, k), np.int16)
     own = np.arange(k)
     for i in range(1, n):
         top = int(value.argmax())
@@ -158,57 +173,38 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
     most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     languages = sorted(r["lang"] for r in most.collect())  # at most MOST_LANGUAGES rows
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), {})
+        return Model([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros((len(NAMES), 0), bool))
     at = {x: i for i, x in enumerate(languages)}
 
     def make():
-        seen: Counter = Counter()
+        letters = Letters()
         total: dict[int, np.ndarray] = {}
-        letters: Counter = Counter()
-
-        def drain():
-            by: dict[int, list] = {}
-            for (k, w), n in seen.items():
-                by.setdefault(k, []).append((w, n))
-                letters[k, script(w)] += len(w) * n
-            for k, found in by.items():
-                table = total.setdefault(k, np.zeros(BUCKETS, np.int64))
-                places = [grams(w) for w, _ in found]
-                weight = np.repeat([n for _, n in found], [len(p) for p in places])
-                table += np.bincount(np.concatenate(places), weights=weight, minlength=BUCKETS).astype(np.int64)
-            seen.clear()
 
         def each(c):
+            by: dict[int, list[str]] = {}
             for t, lang in zip(c["text"], c["lang"], strict=True):
-                k = at.get(lang)
-                if k is not None and t:
-                    # a word counts once per text: repeated lines do not outweigh the rest
-                    seen.update([(k, w) for w in set(WORD.findall(t.lower()))])
-                    if len(seen) > FLUSH:
-                        drain()
+                if lang in at and t:
+                    by.setdefault(at[lang], []).append(t)
+            for k, texts in by.items():
+                w = letters("\n".join(texts))
+                table = total.setdefault(k, np.zeros(BUCKETS + 1 + len(NAMES), np.int64))
+                for h in grams(w.x):
+                    table[:BUCKETS + 1] += np.bincount(h, minlength=BUCKETS + 1)
+                table[BUCKETS + 1:] += np.bincount(w.scripts, minlength=len(NAMES))
             return []
-
-        def close():
-            drain()
-            return ([(k, int(p), None, int(t[p])) for k, t in total.items() for p in np.flatnonzero(t)]
-                    + [(k, None, s, n) for (k, s), n in letters.items()])
-        each.close = close
+        each.close = lambda: [(k, int(p), int(t[p])) for k, t in total.items() for p in np.flatnonzero(t)]
         return each
 
-    # at most (BUCKETS + scripts) rows per language
-    counts = (map_rows(rows, make, "k int, place int, script string, n long", rows_per_output=500)
-              .groupBy("k", "place", "script").agg(F.sum("n").alias("n")).toPandas())
-    table = np.zeros((BUCKETS, len(languages)))
-    part = counts[counts["place"].notna()]
-    table[part["place"].astype(int), part["k"]] = part["n"]
-    table = np.log((table + SMOOTH) / (table.sum(axis=0) + SMOOTH * BUCKETS)).astype(np.float32)
-    part = counts[counts["script"].notna()]
-    allowed: dict[str, np.ndarray] = {}
-    letters_of = part.groupby("k")["n"].sum()
-    for k, s, n in zip(part["k"], part["script"], part["n"], strict=True):
-        if n >= SHARE * letters_of[k]:
-            allowed.setdefault(s, np.zeros(len(languages), bool))[k] = True
-    return Model(languages, table, allowed)
+    # at most (BUCKETS + scripts + 1) rows per language
+    counts = (map_rows(rows, make, "k int, place int, n long", rows_per_output=200)
+              .groupBy("k", "place").agg(F.sum("n").alias("n")).toPandas())
+    table = np.zeros((BUCKETS + 1 + len(NAMES), len(languages)))
+    table[counts["place"].to_numpy(dtype=int), counts["k"].to_numpy(dtype=int)] = counts["n"].to_numpy(dtype=float)
+    seen, scripts = table[:BUCKETS], table[BUCKETS + 1:]
+    logs = np.log((seen + SMOOTH) / (seen.sum(axis=0) + SMOOTH * BUCKETS))
+    allowed = scripts >= np.maximum(1, SHARE * scripts.sum(axis=0))
+    allowed[~allowed.any(axis=1)] = True
+    return Model(languages, np.vstack([logs, np.zeros((1, len(languages)))]).astype(np.float32), allowed)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,7 +230,8 @@ def language_spans(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir)
     model = fit(docs.where(fold("doc_id", 4) != 2))
-    return identify(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "n_spans")
+    return (identify(docs, model).withColumn("held_out", fold("doc_id", 4) == 2)
+            .select("doc_id", "held_out", "lang_pred", "score", "n_spans"))
 
 
 QUERIES = {"op2_language_id": op2_language_id}

@@ -26,7 +26,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardiolake.llm.common import attach, fold, map_rows, read_table, settle, words
+from cardiolake.llm.common import attach, fold, map_rows, read_table, stored, words
 from cardiolake.llm.pieces import MARK, Model, default_model
 
 FREQUENT, FLUSH, CACHE = 1 << 17, 200_000, 150_000
@@ -94,43 +94,105 @@ def piece_log10(counts: DataFrame, blob: bytes) -> list[float]:
 
 
 class Lattice:
-    """Marginal log10 probability of a word: all its segmentations, summed from left to right."""
+    """Marginal log10 probability of words: all segmentations, summed from left to right.
+
+    Words of one length go through the recursion together: place by place, each
+    piece that starts there carries the sum up to its start to its end. Pieces
+    are found by a 64-bit hash of their characters in two tables.
+    """
+
+    PRIME = np.uint64(0x100000001B3)
+    BITS = 18
 
     def __init__(self, blob: bytes, log10: list[float]):
         lib = Model(blob).library
-        self.byte = [0.0] * 256
-        self.piece: dict[str, float] = {}
+        self.byte = np.zeros(256)
+        piece: dict[str, float] = {}
         for i, p in enumerate(log10):
             if lib.is_byte(i):
                 self.byte[int(lib.id_to_piece(i)[3:5], 16)] = p
             elif not (lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)):
-                self.piece[lib.id_to_piece(i)] = p
-        self.longest = max(map(len, self.piece), default=1)
-
-    def __call__(self, word: str) -> float:
-        """``word`` with its mark; a character may also be spelled by its bytes."""
-        n, piece, longest = len(word), self.piece, self.longest
-        # probabilities relative to the last place's best, so that nothing underflows
-        alpha = [0.0] + [-math.inf] * n
-        for j in range(1, n + 1):
-            terms = []
-            for i in range(max(0, j - longest), j):
-                p = piece.get(word[i:j])
-                if p is not None:
-                    terms.append(alpha[i] + p)
-            terms.append(alpha[j - 1] + sum(self.byte[b] for b in word[j - 1].encode()))
-            top = max(terms)
-            alpha[j] = top if len(terms) == 1 else top + math.log10(sum(10.0 ** (x - top) for x in terms))
-        return alpha[n]
+                piece[lib.id_to_piece(i)] = p
+        self.longest = max(map(len, piece), default=1)
+        self.keys = [np.zeros(1 << self.BITS, np.uint64) for _ in range(2)]
+        self.logs = [np.full(1 << self.BITS, -np.inf) for _ in range(2)]
+        self.rest: dict[int, float] = {}
+        for text, p in piece.items():
+            h = self._hash(text)
+            for k in range(2):
+                at = self._place(h, k)
+                if not self.keys[k][at]:
+                    self.keys[k][at], self.logs[k][at] = h, p
+                    break
+            else:
+                self.rest[int(h)] = p
+
+    def _hash(self, text: str) -> np.uint64:
+        h = np.zeros(1, np.uint64)
+        for ch in text:
+            h = self._step(h, np.array([ord(ch)], np.uint64))
+        return h[0]
+
+    def _step(self, h: np.ndarray, ch: np.ndarray) -> np.ndarray:
+        h = (h ^ (ch + np.uint64(0x9E3779B97F4A7C15))) * self.PRIME
+        return h ^ (h >> np.uint64(29))
+
+    def _place(self, h, k):
+        return (h * np.uint64(0xBF58476D1CE4E5B9 if k else 0x94D049BB133111EB)) >> np.uint64(64 - self.BITS)
+
+    def _lookup(self, h: np.ndarray) -> np.ndarray:
+        a, b = self._place(h, 0), self._place(h, 1)
+        out = np.where(self.keys[0][a] == h, self.logs[0][a], np.where(self.keys[1][b] == h, self.logs[1][b], -np.inf))
+        for key, p in self.rest.items():
+            out[h == np.uint64(key)] = p
+        return out
+
+    def spelled(self, codes: np.ndarray) -> np.ndarray:
+        """log10 probability of characters spelled by their bytes."""
+        each, at = np.unique(codes, return_inverse=True)
+        return np.array([self.byte[list(chr(int(x)).encode())].sum() for x in each])[at].reshape(codes.shape)
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros(len(texts))
+        by: dict[int, list[int]] = {}
+        for i, t in enumerate(texts):
+            by.setdefault(len(t), []).append(i)
+        for n, rows in by.items():
+            if n:
+                for lo in range(0, len(rows), 4096):
+                    part = rows[lo:lo + 4096]
+                    codes = np.frombuffer("".join([texts[i] for i in part]).encode("utf-32-le"), "<u4").reshape(-1, n)
+                    out[part] = self._sums(codes.astype(np.uint64))
+        return out
+
+    def _sums(self, codes: np.ndarray) -> np.ndarray:
+        m, n = codes.shape
+        ln = math.log(10)
+        alpha = np.full((n + 1, m), -np.inf)
+        alpha[0] = 0
+        spell = self.spelled(codes)
+        for i in range(n):
+            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + spell[:, i] * ln)
+            h = np.zeros(m, np.uint64)
+            for j in range(i + 1, min(n, i + self.longest) + 1):
+                h = self._step(h, codes[:, j - 1])
+                p = self._lookup(h)
+                hit = np.flatnonzero(p > -np.inf)
+                if len(hit):
+                    alpha[j, hit] = np.logaddexp(alpha[j, hit], alpha[i, hit] + p[hit] * ln)
+        return alpha[n] / ln
 
 
 def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None = None, id_col: str = "doc_id",
                     text_col: str = "text", carry: dict | None = None) -> DataFrame:
-    """Per input row: doc_id, n_tokens, n_known, train_tokens, base_score, score (and the ``carry`` columns)."""
+    """Per input row: doc_id, n_tokens, n_known, train_tokens, base_score, score (and the ``carry`` columns).
+
+    ``docs`` must come from files or a checkpoint: rows are told apart by scan position.
+    """
     with open(model_path or default_model(), "rb") as f:
         blob = f.read()
     spark = docs.sparkSession
-    counts = settle(word_counts(train, text_col))
+    counts = stored(word_counts(train, text_col))
     ends = train.count()
     sums = counts.agg(F.sum("c"), F.count("*")).first()
     n_train = (sums[0] or 0) + ends
@@ -138,58 +200,56 @@ def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None =
     least, known = frequent(counts)
     # at most FREQUENT words and one number for each piece
     shared = spark.sparkContext.broadcast((known, piece_log10(counts, blob)))
-    stop = math.log10((ends + 1) / (n_train + ends + 1))  # the lattice's end of text: once for each text of N tokens
-    unseen = math.log10(1 / (n_train + n_kinds + 1))
-
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                      *[c.alias(n) for n, c in (carry or {}).items()])
+    room = math.log10(n_train + n_kinds + 1)
+    stop = math.log10((ends + 1) / (n_train + ends + 2))  # end of text against going on
     extra = list(carry or {})
+    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+                      F.col(text_col).alias("text"), *[c.alias(n) for n, c in (carry or {}).items()])
     kinds = dict(src.dtypes)
 
     def make():
         common, log10 = shared.value
         lattice, score_of = Lattice(blob, log10), {}
+        gain_of = {w: math.log10(c + 1) for w, c in common.items()}
 
         def each(c):
+            if len(score_of) > CACHE:
+                score_of.clear()
+            texts = [Counter(words(t)) for t in c["text"]]
+            new = list({w for t in texts for w in t if w not in score_of})
+            cut = [(k, s[i:i + LONGEST]) for k, w in enumerate(new) for s in [MARK + w.decode()]
+                   for i in range(0, len(s), LONGEST)]
+            value = np.bincount([k for k, _ in cut], weights=lattice([s for _, s in cut]), minlength=len(new)) if cut else []
+            score_of.update(zip(new, value, strict=True))
             out = []
-            for k in range(len(c["doc_id"])):
-                tokens = Counter(words(c["text"][k]))
-                if len(score_of) > CACHE:
-                    score_of.clear()
-                n, hit, base, total, rest = 1, int(ends > 0), math.log10((ends + 1) / (n_train + n_kinds + 1)), stop, []
+            for k, tokens in enumerate(texts):
+                n, hit, base, total = 1, int(ends > 0), math.log10(ends + 1), stop
+                row = c["row"][k]
                 for w, tf in tokens.items():
                     n += tf
-                    x = score_of.get(w)
+                    total += tf * score_of[w]
+                    x = gain_of.get(w)
                     if x is None:
-                        s = MARK + w.decode()
-                        x = sum(lattice(s[i:i + LONGEST]) for i in range(0, len(s), LONGEST))
-                        score_of[w] = x
-                    total += tf * x
-                    count = common.get(w)
-                    if count is None:
-                        rest.append((w, tf))
+                        out.append((row, w, tf, None, None, None, None, None, *[None] * len(extra)))
                     else:
                         hit += tf
-                        base += tf * math.log10((count + 1) / (n_train + n_kinds + 1))
-                out.append((c["doc_id"][k], n, hit, base, total, [w for w, _ in rest], [t for _, t in rest],
+                        base += tf * x
+                # the document itself, under a key that spreads: no word holds white space
+                out.append((row, b" %d" % row, None, c["doc_id"][k], n, hit, base - n * room, float(total),
                             *[c[x][k] for x in extra]))
             return out
         return each
 
-    first = settle(map_rows(src, make, "doc_id long, n_tokens long, hit long, base double, score double, "
-                            "rest array<binary>, times array<int>"
-                            + "".join(f", {x} {kinds[x]}" for x in extra), rows_per_output=200)
-                   .withColumn("_row", F.monotonically_increasing_id()))
-    tail = (first.select("_row", F.explode(F.arrays_zip("rest", "times")).alias("e"))
-            .select("_row", F.col("e.rest").alias("word"), F.col("e.times").alias("tf")))
-    met = (attach(tail, counts.where(F.col("c") < least), "word")
-           .groupBy("_row").agg(F.sum("tf").alias("hits"), F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)).alias("gain")))
-    # a word without a count adds log10(1 / ...); one with a count adds log10(c + 1) to that
-    unmet = F.lit(unseen) * F.aggregate("times", F.lit(0).cast("long"), lambda a, t: a + t)
-    return (first.join(met, "_row", "left")
-            .select("doc_id", "n_tokens", (F.col("hit") + F.coalesce("hits", F.lit(0))).alias("n_known"),
-                    F.lit(n_train).cast("long").alias("train_tokens"),
-                    (F.col("base") + unmet + F.coalesce("gain", F.lit(0.0))).alias("base_score"), "score", *extra))
+    flat = map_rows(src, make, "row long, word binary, tf long, doc_id long, n_tokens long, hit long, base double, "
+                    "score double" + "".join(f", {x} {kinds[x]}" for x in extra), rows_per_output=100)
+    met = attach(flat, counts.where(F.col("c") < least), "word", "left")
+    more = [F.max(x).alias(x) for x in extra]
+    out = met.groupBy("row").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.max("score").alias("score"),
+        (F.max("hit") + F.coalesce(F.sum(F.when(F.col("c").isNotNull(), F.col("tf"))), F.lit(0))).alias("n_known"),
+        (F.max("base") + F.coalesce(F.sum(F.col("tf") * F.log10(F.col("c") + 1.0)), F.lit(0.0))).alias("base_score"), *more)
+    return out.select("doc_id", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"),
+                      "base_score", "score", *extra)
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
