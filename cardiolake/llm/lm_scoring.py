@@ -70,7 +70,7 @@ def frequent(counts: DataFrame, most: int = FREQUENT) -> tuple[int, dict[bytes,
 
 
 def piece_log10(counts: DataFrame, blob: bytes) -> list[float]:
-    """log10 probability of each piece of the vocabulary, and of the end of a text behind the last."""
+    """log10 probability of each piece of the vocabulary."""
     def make():
         lib = Model(blob).library
         total = np.zeros(lib.get_piece_size(), np.int64)
@@ -102,7 +102,7 @@ class Lattice:
     """
 
     PRIME = np.uint64(0x100000001B3)
-    BITS = 18
+    BITS = 20
 
     def __init__(self, blob: bytes, log10: list[float]):
         lib = Model(blob).library
@@ -116,22 +116,25 @@ class Lattice:
         self.longest = max(map(len, piece), default=1)
         self.keys = [np.zeros(1 << self.BITS, np.uint64) for _ in range(2)]
         self.logs = [np.full(1 << self.BITS, -np.inf) for _ in range(2)]
-        self.rest: dict[int, float] = {}
-        for text, p in piece.items():
-            h = self._hash(text)
-            for k in range(2):
-                at = self._place(h, k)
-                if not self.keys[k][at]:
-                    self.keys[k][at], self.logs[k][at] = h, p
-                    break
-            else:
-                self.rest[int(h)] = p
-
-    def _hash(self, text: str) -> np.uint64:
-        h = np.zeros(1, np.uint64)
-        for ch in text:
-            h = self._step(h, np.array([ord(ch)], np.uint64))
-        return h[0]
+        by: dict[int, list[str]] = {}
+        for text in piece:
+            by.setdefault(len(text), []).append(text)
+        h, logs = [], []
+        for n, texts in by.items():
+            codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").reshape(-1, n).astype(np.uint64)
+            x = np.zeros(len(texts), np.uint64)
+            for j in range(n):
+                x = self._step(x, codes[:, j])
+            h.append(x)
+            logs.append(np.array([piece[t] for t in texts]))
+        h, logs = np.concatenate(h), np.concatenate(logs)
+        for k in range(2):  # what finds its place taken goes to the second table
+            at = self._place(h, k)
+            self.keys[k][at] = h
+            self.logs[k][at] = logs
+            out = self.keys[k][at] != h
+            h, logs = h[out], logs[out]
+        self.rest: dict[int, float] = dict(zip(h.tolist(), logs.tolist(), strict=True))
 
     def _step(self, h: np.ndarray, ch: np.ndarray) -> np.ndarray:
         h = (h ^ (ch + np.uint64(0x9E3779B97F4A7C15))) * self.PRIME
