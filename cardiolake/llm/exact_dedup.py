@@ -128,8 +128,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def keep_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
     """The rows of ``docs`` at the scan positions ``keep._row``."""
-    return (docs.withColumn("_row", F.monotonically_increasing_id())
-            .join(keep, "_row", "left_semi").drop("_row"))
+    # the row travels as one value, so its columns cannot clash
+    return (docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc"))
+            .join(keep, "_row", "left_semi").select("_doc.*"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,7 +63,7 @@ class Scanner:
         import ahocorasick
         import regex
 
-        self.phrases = {tuple(p.encode().split()): label for p, label in (phrases or PHRASES).items()}
+        self.phrases = {tuple(p.encode().split()): label for p, label in (PHRASES if phrases is None else phrases).items()}
         self.notices = [(t, label, e, regex.compile(f"(?b)(?:{regex.escape(t)}){{e<={e}}}"))
                         for t, label, e in (NOTICES if notices is None else notices)]
         at: dict[str, list[tuple[int, int]]] = {}

@@ -31,6 +31,7 @@ from cardiolake.llm.pieces import MARK, Model, default_model
 
 FREQUENT, FLUSH, CACHE = 1 << 17, 200_000, 150_000
 SMOOTH = 0.5
+LN10 = math.log(10)
 #: Words longer than this are cut for the lattice (pieces do not cross the cuts).
 LONGEST = 256
 
@@ -112,8 +113,10 @@ class Lattice:
             if lib.is_byte(i):
                 self.byte[int(lib.id_to_piece(i)[3:5], 16)] = p
             elif not (lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)):
-                piece[lib.id_to_piece(i)] = p
-        self.longest = max(map(len, piece), default=1)
+                piece[lib.id_to_piece(i)] = p * LN10
+        for text in list(piece):  # a beginning of a piece says that it may go on
+            for k in range(1, len(text)):
+                piece.setdefault(text[:k], -math.inf)
         self.keys = [np.zeros(1 << self.BITS, np.uint64) for _ in range(2)]
         self.logs = [np.full(1 << self.BITS, -np.inf) for _ in range(2)]
         by: dict[int, list[str]] = {}
@@ -143,12 +146,18 @@ class Lattice:
     def _place(self, h, k):
         return (h * np.uint64(0xBF58476D1CE4E5B9 if k else 0x94D049BB133111EB)) >> np.uint64(64 - self.BITS)
 
-    def _lookup(self, h: np.ndarray) -> np.ndarray:
-        a, b = self._place(h, 0), self._place(h, 1)
-        out = np.where(self.keys[0][a] == h, self.logs[0][a], np.where(self.keys[1][b] == h, self.logs[1][b], -np.inf))
-        for key, p in self.rest.items():
-            out[h == np.uint64(key)] = p
-        return out
+    def _lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(is it a piece or its beginning, natural log of its probability)."""
+        at = self._place(h, 0)
+        found, p = self.keys[0][at] == h, self.logs[0][at]
+        miss = np.flatnonzero(~found)
+        at = self._place(h[miss], 1)
+        also = self.keys[1][at] == h[miss]
+        found[miss[also]], p[miss[also]] = True, self.logs[1][at[also]]
+        for key, value in self.rest.items():
+            same = h == np.uint64(key)
+            found[same], p[same] = True, value
+        return found, p
 
     def spelled(self, codes: np.ndarray) -> np.ndarray:
         """log10 probability of characters spelled by their bytes."""
@@ -170,20 +179,22 @@ class Lattice:
 
     def _sums(self, codes: np.ndarray) -> np.ndarray:
         m, n = codes.shape
-        ln = math.log(10)
         alpha = np.full((n + 1, m), -np.inf)
         alpha[0] = 0
-        spell = self.spelled(codes)
+        spell, codes = self.spelled(codes).T * LN10, np.ascontiguousarray(codes.T)
         for i in range(n):
-            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + spell[:, i] * ln)
-            h = np.zeros(m, np.uint64)
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                h = self._step(h, codes[:, j - 1])
-                p = self._lookup(h)
-                hit = np.flatnonzero(p > -np.inf)
-                if len(hit):
-                    alpha[j, hit] = np.logaddexp(alpha[j, hit], alpha[i, hit] + p[hit] * ln)
-        return alpha[n] / ln
+            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + spell[i])
+            live, h = np.arange(m), np.zeros(m, np.uint64)
+            for j in range(i + 1, n + 1):
+                h = self._step(h, codes[j - 1][live])
+                found, p = self._lookup(h)
+                live, h, p = live[found], h[found], p[found]
+                if not len(live):
+                    break
+                hit = p > -np.inf
+                to = live[hit]
+                alpha[j, to] = np.logaddexp(alpha[j, to], alpha[i, to] + p[hit])
+        return alpha[n] / LN10
 
 
 def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None = None, id_col: str = "doc_id",
@@ -244,7 +255,7 @@ def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None =
         return each
 
     flat = map_rows(src, make, "row long, word binary, tf long, doc_id long, n_tokens long, hit long, base double, "
-                    "score double" + "".join(f", {x} {kinds[x]}" for x in extra), rows_per_output=100)
+                    "score double" + "".join(f", {x} {kinds[x]}" for x in extra), rows_per_output=400)
     met = attach(flat, counts.where(F.col("c") < least), "word", "left")
     more = [F.max(x).alias(x) for x in extra]
     out = met.groupBy("row").agg(

@@ -202,14 +202,19 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = (parts.groupBy("_row", "round").agg(
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_spans"), F.sum(F.col("hi") - F.col("lo")).alias("_got"))
         .join(rows.select("_row", F.col("size").alias("_size")), "_row"))
-    out = docs.withColumn("_row", F.monotonically_increasing_id()).join(spans, "_row")
-    tokens = F.filter(F.split(F.col(text_col), SPACES), lambda w: w != "")
-    cut = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(tokens, s["lo"].cast("int") + 1, (s["hi"] - s["lo"]).cast("int")))), " ")
-    out = out.withColumn(text_col, F.when(F.col("_got") == F.col("_size"), F.col(text_col)).otherwise(cut))
+    # the row travels as one value, so its columns cannot clash
+    out = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")).join(spans, "_row")
+    text = F.col("_doc")[text_col]
+    tokens = F.filter(F.split(text, SPACES), lambda w: w != "")
+    cut = F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(
+        tokens, s["lo"].cast("int") + 1, (s["hi"] - s["lo"]).cast("int")))), " ")
+    whole = F.col("_got") == F.col("_size")
+    out = out.select("_doc", whole.alias("_whole"), F.when(whole, text).otherwise(cut).alias("_text"))
+    put = {text_col: F.col("_text")}
     if chars_col in docs.columns:
-        out = out.withColumn(chars_col, F.when(F.col("_got") == F.col("_size"), F.col(chars_col))
-                             .otherwise(F.length(text_col).cast(docs.schema[chars_col].dataType)))
-    return out.select(*docs.columns)
+        put[chars_col] = F.when(F.col("_whole"), F.col("_doc")[chars_col]).otherwise(
+            F.length("_text").cast(docs.schema[chars_col].dataType))
+    return out.select(*[put.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
