@@ -15,7 +15,7 @@ from cardiolake.operators.aggregate import (  # noqa: E402,F401
     season_contrast_of_days, season_contrast_of_monthly_means, trainings_per_year, yearly_stats,
 )
 from cardiolake.operators.calendar import coverage, grid_pivot, missing_days, resample  # noqa: E402,F401
-from cardiolake.operators.daily import daily_hr, daily_hrv, daily_hrv_capped  # noqa: E402,F401
+from cardiolake.operators.daily import daily_hr, daily_hrv, daily_hrv_new_days  # noqa: E402,F401
 from cardiolake.operators.stats import correlation_report, pearson, spearman, with_p_values  # noqa: E402,F401
 from cardiolake.operators.topk import top_k, top_k_plus_rest  # noqa: E402,F401
 from cardiolake.operators.upsert import TableStore, merge_plan  # noqa: E402,F401

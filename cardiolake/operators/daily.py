@@ -109,50 +109,15 @@ def daily_hrv(samples: DataFrame, group=("subject_id", "day"), order=("ts", "eve
     )
 
 
-def first_n_per_group(samples: DataFrame, group: list[str], order: list[str], chunk: Column | list[Column],
-                      n: int) -> DataFrame:
-    """Keep the first ``n`` samples of each group in ``order`` (W08), skew-safe.
-
-    Position = rows in earlier chunks + row number inside the chunk. With
-    several chunk levels (finest first, each constant within the previous
-    one) the offset of a chunk is summed over the levels: at each level a
-    window orders only the sub-chunks of one parent, so no window spans a
-    growing number of rows.
-    """
-    levels = chunk if isinstance(chunk, list) else [chunk]
-    names = [f"_c{i}" for i in range(len(levels))]
-    s = samples.select("*", *[c.alias(nm) for c, nm in zip(levels, names)])
-    cur = s.groupBy(*group, *names).agg(F.count(F.lit(1)).alias("_cnt"))
-    finest = cur.select(*group, *names)
-    for i, child in enumerate(names):
-        parents = names[i + 1:]
-        w = (Window.partitionBy(*group, *parents).orderBy(child)
-             .rowsBetween(Window.unboundedPreceding, -1))
-        off = cur.select(*group, child, *parents, F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias(f"_off{i}"))
-        finest = finest.join(off, group + names[i:])
-        if parents:
-            cur = cur.groupBy(*group, *parents).agg(F.sum("_cnt").alias("_cnt"))
-    total = sum((F.col(f"_off{i}") for i in range(len(names))), F.lit(0))
-    offs = finest.select(*group, *names, total.alias("_off")).where(F.col("_off") < n)
-    keys = group + names
-    pos = F.col("_off") + F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return (s.join(offs, keys, "inner")
-            .withColumn("_pos", pos)
-            .where(F.col("_pos") <= n)
-            .drop(*names, "_off", "_pos"))
-
-
-def daily_hrv_capped(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),
-                     chunk: Column | list[Column] | None = None, ppi: str = "ppi", cap: int = 50_000,
-                     known_days: DataFrame | None = None, digits: int | None = 2,
-                     mean_digits: int | None = 1, hr_digits: int | None = 1,
-                     hr_mean_digits: int | None = 1) -> DataFrame:
-    """HRV on the first ``cap`` samples per day, HR from the rounded mean,
-    skipping days already present in ``known_days`` (left anti join)."""
+def daily_hrv_new_days(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),
+                       chunk: Column | list[Column] | None = None, ppi: str = "ppi",
+                       known_days: DataFrame | None = None, digits: int | None = 2,
+                       mean_digits: int | None = 1, hr_digits: int | None = 1,
+                       hr_mean_digits: int | None = 1) -> DataFrame:
+    """HRV on all samples of a day, HR from the rounded mean, skipping days
+    already present in ``known_days`` (left anti join)."""
     g, o = list(group), list(order)
-    ch = chunk if chunk is not None else minute_chunk(o[0])
     if known_days is not None:
         samples = samples.join(known_days.select(*g).distinct(), g, "left_anti")
-    capped = first_n_per_group(samples, g, o, ch, cap)
-    return daily_hrv(capped, g, o, ch, ppi, digits=digits, mean_digits=mean_digits,
+    return daily_hrv(samples, g, o, chunk, ppi, digits=digits, mean_digits=mean_digits,
                      hr_digits=hr_digits, hr_from_rounded_mean=True, hr_mean_digits=hr_mean_digits)

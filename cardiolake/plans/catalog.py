@@ -147,24 +147,21 @@ def q_daily_hrv(spark, sf):
     return daily.daily_hrv(s, order=("ts", "event_id"), digits=D, mean_digits=D, hr_digits=D)
 
 
-@register("daily_hrv_capped", f"""
+@register("daily_hrv_rounded_mean", f"""
 WITH {PPI_EV},
-capped AS (
-  SELECT * FROM ppi_s
-  QUALIFY row_number() OVER (PARTITION BY subject_id, day ORDER BY ts, event_id) <= 50000),
 cd AS (
   SELECT subject_id, day, ppi,
          ppi - lag(ppi) OVER (PARTITION BY subject_id, day ORDER BY ts, event_id) AS d
-  FROM capped)
+  FROM ppi_s)
 SELECT subject_id, day, sqrt(avg(d * d)) AS rmssd,
        stddev_samp(ppi) AS sdnn, avg(ppi) AS ppi_mean_ms,
        60000.0 / round(avg(ppi), 1) AS hr_from_ppi, count(*) AS n_samples
 FROM cd GROUP BY subject_id, day HAVING count(*) >= 5""", HRVD)
-def q_daily_hrv_capped(spark, sf):
-    """A03 + W08: HRV on the first 50,000 samples of each day; HR from the rounded mean."""
+def q_daily_hrv_rounded_mean(spark, sf):
+    """HRV on all samples of each day; HR from the rounded mean."""
     s = A.ppi_samples_events(spark, sf)
-    return daily.daily_hrv_capped(s, order=("ts", "event_id"), cap=50_000, digits=D,
-                                  mean_digits=D, hr_digits=D, hr_mean_digits=1)
+    return daily.daily_hrv_new_days(s, order=("ts", "event_id"), digits=D,
+                                    mean_digits=D, hr_digits=D, hr_mean_digits=1)
 
 
 @register("daily_hrv_long", f"WITH {HRV_DAILY_LI} SELECT * FROM hrvl_d", HRVD)
@@ -974,7 +971,7 @@ from cardiolake.dims import SPORT_IDS  # noqa: E402
 TRAINING_DOCS = f"""li AS (
   SELECT l.*, o.o_custkey, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 f AS (SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id,
-    'training-session-' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') || '-' || CAST(l_linenumber AS VARCHAR)
+    'training-session-' || lpad(CAST(l_orderkey AS VARCHAR), 19, '0') || '-' || CAST(l_linenumber AS VARCHAR)
       || '-' || CAST(l_partkey AS VARCHAR) || '.json' AS file_name,
     o_orderdate + to_hours(CAST(l_linenumber * 3 - 4 AS BIGINT)) AS start_ts,
     l_linenumber % 3 <> 1 AS has_ex,
@@ -1021,7 +1018,7 @@ def q_training_from_json(spark, sf):
 @register("activity_from_json", """
 WITH a AS (
   SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
-    'activity-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
+    'activity-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') || '.json' AS file_name,
     CASE WHEN o_orderkey % 4 = 1 THEN NULL ELSE CAST(floor(o_totalprice / 10) AS BIGINT) END AS steps,
     o_totalprice / 100 AS calories,
     CASE WHEN o_orderkey % 6 IN (0, 1) THEN NULL
@@ -1038,7 +1035,7 @@ def q_activity_from_json(spark, sf):
 
 FITNESS_SQL = """ft AS (
   SELECT CAST(o_custkey % 5 AS BIGINT) AS subject_id, CAST(o_orderdate AS DATE) AS day,
-    'fitness-test-results-' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '.json' AS file_name,
+    'fitness-test-results-' || lpad(CAST(o_orderkey AS VARCHAR), 19, '0') || '.json' AS file_name,
     CASE WHEN o_orderkey % 11 <> 0 THEN CAST(20 + o_orderkey % 60 AS DOUBLE) END AS own_index,
     CAST(60 + o_orderkey % 30 AS DOUBLE) AS avg_hr, o_orderpriority AS fitness_class,
     CAST(120 AS INTEGER) AS timezone_offset,

@@ -16,19 +16,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from cardiolake.plans.adapters import N_SUBJECTS, table as _scan
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster before CPU-heavy per-row work.
+def table(spark, sf_dir, name) -> DataFrame:
+    return _scan(spark, sf_dir, name)
 
-    A Parquet row group is read by one task; a small input can therefore
-    arrive in fewer partitions than there are cores. Only then the rows are
-    dealt round-robin; a large input (many splits) is left untouched.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
+#: Digits of the widest bigint: ids padded to it are never cut and sort as numbers.
+ID_DIGITS = 19
 
-def table(spark, sf_dir, name) -> DataFrame:
-    return ensure_parallelism(_scan(spark, sf_dir, name))
 
 # FIXED VALUES (generator): sport names and ids written into training documents
 DOC_SPORT_NAMES = ["RUNNING", "HIKING", "WALKING", "CYCLING", "'TRAIL_RUNNING'", " SWIMMING ", "", "YOGA"]
@@ -59,7 +53,7 @@ def hr_documents(spark, sf_dir) -> DataFrame:
     content = F.concat(F.lit('{"deviceDays":[{"date":"'), F.date_format("ts", "yyyy-MM-dd"),
                        F.lit('","samples":[{"heartRate":'), hr_txt,
                        F.lit(',"secondsFromDayStart":'), _s(sec), F.lit("}]}]}"))
-    name = F.concat(F.lit("247ohr_"), F.lpad(_s("event_id"), 12, "0"), F.lit(".json"))
+    name = F.concat(F.lit("247ohr_"), F.lpad(_s("event_id"), ID_DIGITS, "0"), F.lit(".json"))
     return e.select(_subject("user_id"), name.alias("file_name"), content.alias("content"))
 
 
@@ -71,13 +65,14 @@ def ppi_documents(spark, sf_dir) -> DataFrame:
                    F.lit('","devicePpiSamplesList":[{"ppiSamples":[{"pulseLength":'), _s(ppi),
                    F.lit("}]}]}"))
     content = F.when(F.pmod("event_id", F.lit(2)) == 0, F.concat(F.lit("["), obj, F.lit("]"))).otherwise(obj)
-    name = F.concat(F.lit("ppi_"), F.lpad(_s("event_id"), 12, "0"), F.lit(".json"))
+    name = F.concat(F.lit("ppi_"), F.lpad(_s("event_id"), ID_DIGITS, "0"), F.lit(".json"))
     return e.select(_subject("user_id"), name.alias("file_name"), content.alias("content"))
 
 
 def ppi_file_chunks() -> list[Column]:
     """Chunk levels for one-sample files: 1,000 consecutive files, then 1,000,000."""
-    return [F.substring("file_name", 1, 13), F.substring("file_name", 1, 10)]
+    prefix = len("ppi_") + ID_DIGITS
+    return [F.substring("file_name", 1, prefix - 3), F.substring("file_name", 1, prefix - 6)]
 
 
 def training_documents(spark, sf_dir) -> DataFrame:
@@ -112,7 +107,7 @@ def training_documents(spark, sf_dir) -> DataFrame:
         (F.lit(150) + F.col("l_linenumber")).alias("hrMax"),
         F.when(F.pmod("l_linenumber", F.lit(3)) != 1, F.array(exercise))
         .otherwise(F.array().cast("array<" + _EX_TYPE + ">")).alias("exercises"))
-    name = F.concat(F.lit("training-session-"), F.lpad(_s("l_orderkey"), 10, "0"), F.lit("-"),
+    name = F.concat(F.lit("training-session-"), F.lpad(_s("l_orderkey"), ID_DIGITS, "0"), F.lit("-"),
                     _s("l_linenumber"), F.lit("-"), _s("l_partkey"), F.lit(".json"))
     return j.select(_subject("o_custkey"), name.alias("file_name"), F.to_json(doc).alias("content"))
 
@@ -136,7 +131,7 @@ def activity_documents(spark, sf_dir) -> DataFrame:
         F.lit(',"calories":'), _s(F.col("o_totalprice") / 100), F.lit(',"sleepDuration":'), sleep,
         F.lit(',"sleepQuality":'), _s(F.pmod("o_orderkey", F.lit(10)) / 10.0),
         F.lit(',"dailyMetMinutes":'), _s(F.col("o_totalprice") / 1000), F.lit("}}"))
-    name = F.concat(F.lit("activity-"), F.lpad(_s("o_orderkey"), 10, "0"), F.lit(".json"))
+    name = F.concat(F.lit("activity-"), F.lpad(_s("o_orderkey"), ID_DIGITS, "0"), F.lit(".json"))
     return o.select(_subject("o_custkey"), name.alias("file_name"), content.alias("content"))
 
 
@@ -160,7 +155,7 @@ def fitness_documents(spark, sf_dir) -> DataFrame:
                    phys.alias("physicalInformation"))
     doc = F.struct(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("startTime"),
                    res.alias("fitnessTestResult"))
-    name = F.concat(F.lit("fitness-test-results-"), F.lpad(_s("o_orderkey"), 10, "0"), F.lit(".json"))
+    name = F.concat(F.lit("fitness-test-results-"), F.lpad(_s("o_orderkey"), ID_DIGITS, "0"), F.lit(".json"))
     return o.select(_subject("o_custkey"), name.alias("file_name"), F.to_json(doc).alias("content"))
 
 

@@ -146,14 +146,26 @@ def test_hrv_chunked_equals_single_window(spark):
     assert b.n_samples == 3000
 
 
-def test_first_n_per_group(spark):
-    rows = [(0, D(2024, 1, 1), dt.datetime(2024, 1, 1, 0, i // 60, i % 60), i, 800 + i % 7) for i in range(500)]
+def test_hrv_of_new_days_has_no_cap(spark):
+    rows = [(0, D(2024, 1, 1 + i // 60_000), dt.datetime(2024, 1, 1 + i // 60_000) + dt.timedelta(seconds=i % 60_000), i, 800 + i % 7)
+            for i in range(60_100)]
     df = spark.createDataFrame(rows, "subject_id long, day date, ts timestamp, event_id long, ppi int")
-    kept = daily.first_n_per_group(df, ["subject_id", "day"], ["ts", "event_id"], daily.minute_chunk("ts"), 130)
-    assert sorted(r.event_id for r in kept.collect()) == list(range(130))
-    levels = [F.floor(F.col("event_id") / 7), F.floor(F.col("event_id") / 49), F.floor(F.col("event_id") / 343)]
-    kept3 = daily.first_n_per_group(df, ["subject_id", "day"], ["event_id"], levels, 401)
-    assert sorted(r.event_id for r in kept3.collect()) == list(range(401))
+    got = {r.day: r.n_samples for r in daily.daily_hrv_new_days(df).collect()}
+    assert got == {D(2024, 1, 1): 60_000, D(2024, 1, 2): 100}
+    known = df.where("event_id < 60000").select("subject_id", "day")
+    assert [r.day for r in daily.daily_hrv_new_days(df, known_days=known).collect()] == [D(2024, 1, 2)]
+
+
+def test_document_names_keep_wide_ids(spark):
+    from cardiolake.plans import documents as DOC
+
+    ids = [5, 600000000001, 600000000099, 2**63 - 1]
+    df = spark.createDataFrame([(i,) for i in ids], "event_id long").select(
+        F.concat(F.lit("ppi_"), F.lpad(F.col("event_id").cast("string"), DOC.ID_DIGITS, "0"), F.lit(".json")).alias("file_name"))
+    rows = df.select("file_name", *[c.alias(f"c{k}") for k, c in enumerate(DOC.ppi_file_chunks())]).collect()
+    names = [r.file_name for r in rows]
+    assert len(set(names)) == len(ids) and names == sorted(names)
+    assert [r.c0[4:].lstrip("0") or "0" for r in rows] == [str(i // 1000) if i >= 1000 else "0" for i in ids]
 
 
 def test_fitness_best_per_day(spark):
