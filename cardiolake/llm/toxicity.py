@@ -8,8 +8,8 @@ dropped, and a run of equal letters may be one or two. Viterbi decoding takes
 the likeliest path under the language model, and the restored word is scored
 along with the words of the text.
 
-Score: features are words and their first 4, 5 and 6 characters, once per
-document. From the labelled training documents (a sample of at most
+Score: features are words and, of longer words, the first 4, 5 and 6
+characters, once per document. From the labelled training documents (a sample of at most
 ``MOST_LABELLED``, by hash of the id, so that its ids can be broadcast) a feature
 has a smoothed log-likelihood ratio, toxic against clean; those in at least
 ``LEAST`` toxic documents with a ratio of at least ``RATIO`` make the lexicon, at
@@ -56,10 +56,10 @@ FAVOUR = 0.0005
 
 
 def features(word: str) -> list[str]:
+    """The word and its beginnings. A beginning stands for a stem with an ending of two letters or more,
+    else a plain word would lend its weight to every word that it nearly begins."""
     n = len(word)
-    out = [word]
-    out += [f"{word[:k]}~" for k in (4, 5, 6) if n > k]
-    return out
+    return [word, *[f"{word[:k]}~" for k in (4, 5, 6) if n > k + 1]]
 
 
 def suspects(text: str) -> list[str]:
