@@ -6,19 +6,15 @@ character is copied; white space is escaped and the dummy prefix put in front
 as the model says. Every normalised byte remembers the original byte it came
 from, so a piece is projected to the span of the original text that made it.
 
-The normalised text is cut before each word mark that follows another
-character. Where no piece of the vocabulary holds a mark after another
-character (checked on the vocabulary), merges never cross these cuts, so the
-library segments each part alone and repeated parts are remembered; otherwise
-the whole text is one part. Results equal ``SentencePieceProcessor.encode`` of
-the whole text (tests compare them).
+The library, with its own normaliser switched off, segments the whole normalised
+text; results equal ``SentencePieceProcessor.encode`` and ``decode`` (tests
+compare them).
 
 Null counts as empty text, which has the begin and end ids alone.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 from hashlib import sha256
 
@@ -28,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardiolake.llm.common import map_rows, read_table
 
 MARK = "▁"
-CACHE = 150_000
 
 
 def default_model() -> str:
@@ -108,18 +103,14 @@ class Model:
     def __init__(self, blob: bytes):
         import sentencepiece
 
-        spec, held = {}, False
+        spec = {}
         for number, value in _fields(blob):
             if number == 3:
                 spec = dict(_fields(value))
-            elif number == 1 and not held:
-                piece = dict(_fields(value)).get(1, b"").decode()
-                held = MARK in piece.lstrip(MARK)
         self.map = CharMap(spec.get(2, b""))
         self.dummy_prefix = bool(spec.get(3, 1))
         self.strip = bool(spec.get(4, 1))
         self.escape = bool(spec.get(5, 1))
-        self.cut = None if held else re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         # a message put behind another overrides its fields: no map, no prefix, no stripping
         self.library = sentencepiece.SentencePieceProcessor(model_proto=blob + b"\x1a\x06\x12\x00\x18\x00\x20\x00")
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
@@ -159,67 +150,35 @@ class Model:
         norm = bytes(out).decode()
         return norm.replace(" ", MARK) if self.escape else norm, np.array([*origin, len(data)], dtype=np.int64)
 
-    def parts(self, norm: str) -> list[str]:
-        return self.cut.findall(norm) if self.cut else [norm] if norm else []
-
 
 class Encoder:
     """Text -> (ids as little-endian 32-bit integers, ends of the pieces in normalised bytes, decoded text)."""
 
     def __init__(self, blob: bytes):
-        self.model, self.known = Model(blob), {}
+        self.model = Model(blob)
+        self.width = np.zeros(self.model.library.get_piece_size(), np.int64)  # of pieces met so far, -1 for unknown
 
-    def _part(self, part: str) -> tuple[bytes, bytes, str]:
+    def _widths(self, norm: str, ids: np.ndarray) -> np.ndarray:
+        """Normalised bytes under each id."""
         lib = self.model.library
-        ids = lib.encode(part)
-        sizes, decoded, raw = [], [], bytearray()
-        at = 0
-        whole = part.encode()
-        for i in ids:
-            if lib.is_byte(i):
-                raw.append(int(lib.id_to_piece(i)[3:5], 16))
-                sizes.append(1)
-                at += 1
-                continue
-            if raw:
-                decoded.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            if lib.is_unknown(i):  # one run of characters without piece: up to the next known piece
-                sizes.append(-1)
-                decoded.append(" ⁇ ")
-            else:
-                piece = lib.id_to_piece(i)
-                sizes.append(len(piece.encode()))
-                decoded.append(piece.replace(MARK, " "))
-        if raw:
-            decoded.append(raw.decode("utf-8", "replace"))
-        if -1 in sizes:
-            spread = (len(whole) - sum(s for s in sizes if s > 0)) // sizes.count(-1)
-            sizes = [spread if s < 0 else s for s in sizes]
-            sizes[-1] += len(whole) - sum(sizes)
-        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(sizes)}I", *sizes), "".join(decoded)
+        for i in np.unique(ids[self.width[ids] == 0]).tolist():
+            self.width[i] = 1 if lib.is_byte(i) else -1 if lib.is_unknown(i) else len(lib.id_to_piece(i).encode())
+        out = self.width[ids]
+        if (out < 0).any():  # a run of characters without piece: as long as the library says
+            out = np.array([len(x.surface.encode()) for x in lib.encode(norm, out_type="immutable_proto").pieces], np.int64)
+        return out
 
     def __call__(self, text: str | None) -> tuple[bytes, np.ndarray, np.ndarray | None, str]:
         """(ids with begin and end, piece ends in normalised bytes, origin, decoded text)."""
-        m, known = self.model, self.known
+        m = self.model
         norm, origin = m.normalise(text or "")
-        parts = m.parts(norm)
-        if len(known) > CACHE:
-            known.clear()
-        found = []
-        for p in parts:
-            x = known.get(p)
-            if x is None:
-                x = self._part(p)
-                if len(p) < 64:
-                    known[p] = x
-            found.append(x)
-        ids = struct.pack("<I", m.begin) + b"".join([x[0] for x in found]) + struct.pack("<I", m.end)
-        ends = np.cumsum(np.frombuffer(b"".join([x[1] for x in found]), "<u4"), dtype=np.int64)
-        decoded = "".join([x[2] for x in found])
+        found = m.library.encode(norm)
+        ids = np.array([m.begin, *found, m.end], "<u4")
+        ends = np.cumsum(self._widths(norm, ids[1:-1]), dtype=np.int64)
+        decoded = m.library.decode(found)
         if m.dummy_prefix and decoded.startswith(" "):
             decoded = decoded[1:]
-        return ids, ends, origin, decoded
+        return ids.tobytes(), ends, origin, decoded
 
     def spans(self, text: str | None) -> list[tuple[int, int, int]]:
         """(id, first, last): each piece with its span [first, last) of the original UTF-8 bytes."""
