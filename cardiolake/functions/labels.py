@@ -31,9 +31,8 @@ def label_at(labels: list[str], idx, base: int = 0) -> Column:
 
 
 def title_case(col) -> Column:
-    """Python ``str.title`` for SNAKE_CASE names: TRAIL_RUNNING -> Trail_Running."""
-    c = _c(col)
-    return F.replace(F.initcap(F.replace(c, F.lit("_"), F.lit(" "))), F.lit(" "), F.lit("_"))
+    """Python ``str.title`` for names of words: TRAIL_RUNNING -> Trail_Running, NORDIC WALKING -> Nordic Walking."""
+    return F.array_join(F.transform(F.split(_c(col), "_"), F.initcap), "_")
 
 
 # FIXED VALUES: sleep bands (right-closed) and their labels

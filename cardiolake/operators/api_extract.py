@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardiolake.dims import API_CATEGORY, API_SPORT, map_expr
 from cardiolake.functions.convert import safe_double, safe_long
+from cardiolake.functions.dates import utc_timestamp
 from cardiolake.functions.durations import iso_duration_minutes_strict
 from cardiolake.operators.windows import best_per_key, first_per_key
 
 
 def _day10(c: Column) -> Column:
-    return F.to_date(F.substring(c, 1, 10))
+    return F.substring(c, 1, 10).try_cast("date")
 
 
 def api_activity(p: DataFrame) -> DataFrame:
@@ -36,11 +37,11 @@ def api_activity(p: DataFrame) -> DataFrame:
 def api_sleep(p: DataFrame, digits: int | None = 2) -> DataFrame:
     """Nights -> hours (``digits``) and rating (1-5 scale)."""
     n = p.select("subject_id", F.inline("nights"))
-    mins = F.col("total_sleep_minutes")
+    mins = safe_double("total_sleep_minutes")
     hours = mins / 60.0 if digits is None else F.round(mins / 60.0, digits)
     rows = n.select("subject_id", _day10(F.col("date")).alias("day"),
                     F.when(F.coalesce(mins, F.lit(0.0)) != 0, hours).alias("sleep_hours"),
-                    F.col("continuous_rating").alias("sleep_quality")).where(F.col("day").isNotNull())
+                    safe_double("continuous_rating").alias("sleep_quality")).where(F.col("day").isNotNull())
     return first_per_key(rows, ["subject_id", "day"], [("sleep_hours", True, True), ("sleep_quality", True, True)])
 
 
@@ -62,18 +63,23 @@ def api_sport(sport_raw: Column, detail: Column) -> tuple[Column, Column]:
     return sport, cat
 
 
-def api_exercise(p: DataFrame, round_values: bool = True) -> DataFrame:
-    """One training row per exercise payload (X06 + X05 + F01b)."""
+def api_exercise(p: DataFrame, round_values: bool = True, with_start: bool = False) -> DataFrame:
+    """One training row per exercise payload (X06 + X05 + F01b). Numbers may come as text.
+
+    ``with_start`` adds ``start_ts``, the table's key beside the subject; it is
+    midnight of the day where the payload names no readable time."""
     sport, cat = api_sport(F.col("sport"), F.col("`detailed-sport-info`"))
     dur = iso_duration_minutes_strict(F.coalesce(F.col("duration"), F.lit("")))
-    dist = F.col("distance")
+    dist = safe_double("distance")
     hr = F.col("`heart-rate`")
+    hr_avg, hr_max = safe_double(hr["average"]), safe_double(hr["maximum"])
+    start = F.coalesce(utc_timestamp("`start-time`"), _day10(F.col("`start-time`")).cast("timestamp"))
     base = p.select("subject_id", _day10(F.col("`start-time`")).alias("day"),
                     sport.alias("_s"), cat.alias("_c"), dur.alias("_dur"), dist.alias("_dist"),
-                    F.when(F.coalesce(hr["average"], F.lit(0.0)) != 0, hr["average"]).alias("hr_avg"),
-                    F.when(F.coalesce(hr["maximum"], F.lit(0.0)) != 0, hr["maximum"]).alias("hr_max"),
-                    F.coalesce(F.col("calories"), F.lit(0.0)).alias("calories")
-                    ).where(F.col("day").isNotNull())
+                    F.when(F.coalesce(hr_avg, F.lit(0.0)) != 0, hr_avg).alias("hr_avg"),
+                    F.when(F.coalesce(hr_max, F.lit(0.0)) != 0, hr_max).alias("hr_max"),
+                    F.coalesce(safe_double("calories"), F.lit(0.0)).alias("calories"),
+                    start.alias("start_ts")).where(F.col("day").isNotNull())
     fast = (F.col("_s").isin("WALKING", "HIKING") & (F.coalesce(F.col("_dist"), F.lit(0.0)) != 0)
             & (F.col("_dur") > 0) & (F.col("_dur") / (F.col("_dist") / 1000.0) < 10))
     r1 = (lambda c: F.round(c, 1)) if round_values else (lambda c: c)
@@ -85,7 +91,7 @@ def api_exercise(p: DataFrame, round_values: bool = True) -> DataFrame:
         r1(F.col("_dur")).alias("duration_min"), "hr_avg", "hr_max",
         F.when(F.coalesce(F.col("_dist"), F.lit(0.0)) != 0, r3(F.col("_dist") / 1000.0)).alias("distance_km"),
         "calories", F.date_format("day", "EEEE").alias("weekday"), F.year("day").alias("year"),
-        F.lit("api").alias("source"))
+        F.lit("api").alias("source"), *(["start_ts"] if with_start else []))
 
 
 def api_physical_info(p: DataFrame, ingest_date: str) -> DataFrame:

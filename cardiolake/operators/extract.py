@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardiolake.dims import (PACE_LIMIT_MIN_PER_KM, PACE_RELABEL_SPORTS, SPORT_CATEGORY,
                              SPORT_IDS, TREADMILL_MARKERS, map_expr)
-from cardiolake.functions.convert import falsy_fallback, round_to, safe_double, safe_int
+from cardiolake.functions.convert import falsy_fallback, round_to, safe_double, safe_int, safe_long
 from cardiolake.functions.dates import utc_timestamp, weekday_name
 from cardiolake.functions.durations import iso_duration_minutes
 from cardiolake.operators.windows import first_per_key
@@ -153,7 +153,7 @@ def explode_hr_samples(docs: DataFrame, lo: int = 20, hi: int = 250) -> DataFram
                     F.posexplode(F.col("dd")["samples"]).alias("pos", "s"))
     hr = safe_int(F.col("s")["heartRate"])
     return (s.select("subject_id", "day", "file_name", "day_idx", "pos",
-                     F.col("s")["secondsFromDayStart"].alias("seconds_from_day_start"),
+                     F.floor(safe_double(F.col("s")["secondsFromDayStart"])).try_cast("int").alias("seconds_from_day_start"),
                      hr.alias("hr"))
             .where(F.col("day").isNotNull() & F.col("hr").between(lo, hi)))
 
@@ -190,19 +190,19 @@ def flatten_fitness(docs: DataFrame) -> DataFrame:
         safe_double(r["ownIndex"]).alias("own_index"),
         safe_double(r["averageHeartRate"]).alias("avg_hr"),
         F.coalesce(r["fitnessClass"], F.lit("")).alias("fitness_class"),
-        r["timezoneOffsetMinutes"].alias("timezone_offset"),
+        safe_int(r["timezoneOffsetMinutes"]).alias("timezone_offset"),
         F.to_date(utc_timestamp(p["birthday"])).alias("birthday"),
         F.coalesce(p["sex"], F.lit("")).alias("sex"),
         safe_double(p["height"]).alias("height"),
         safe_double(p["weight"]).alias("weight"),
-        p["maximumHeartRate"].alias("max_hr"),
-        p["restingHeartRate"].alias("resting_hr"),
-        p["aerobicThreshold"].alias("aerobic_threshold"),
-        p["anaerobicThreshold"].alias("anaerobic_threshold"),
+        safe_int(p["maximumHeartRate"]).alias("max_hr"),
+        safe_int(p["restingHeartRate"]).alias("resting_hr"),
+        safe_int(p["aerobicThreshold"]).alias("aerobic_threshold"),
+        safe_int(p["anaerobicThreshold"]).alias("anaerobic_threshold"),
         safe_double(p["vo2Max"]).alias("vo2max"),
         F.coalesce(p["trainingBackground"], F.lit("")).alias("training_background"),
         F.coalesce(p["weightSource"], F.lit("")).alias("weight_source"),
-        p["sleepGoal"].alias("sleep_goal"),
+        safe_long(p["sleepGoal"]).alias("sleep_goal"),
         "file_name",
     ).where(F.col("day").isNotNull())
     best = first_per_key(rows, ["subject_id", "day"], [("own_index", True, True), ("file_name", False, False)])

@@ -20,6 +20,10 @@ INSERTED, UPDATED, UNCHANGED, KEPT = "inserted", "updated", "unchanged", "kept"
 BUCKET = "_bucket"
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
+
+
 def dedupe_source(source: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
     """One source row per key, deterministic.
 
@@ -43,13 +47,16 @@ def _differs(t: str, s: str, null_safe: bool):
 
 def merge_plan(target: DataFrame | None, source: DataFrame, keys: list[str],
                watched: list[str] | None = None, null_safe: bool = False,
-               dedupe: bool = True) -> DataFrame:
+               dedupe: bool = True, fill: tuple[str, ...] = (), whole: tuple[str, ...] = ()) -> DataFrame:
     """Merged table plus an ``_action`` column.
 
     ``watched=None``: matched rows are always replaced (``UPDATE SET *``).
     ``watched=[]``: insert-only (``WHEN NOT MATCHED THEN INSERT``).
     ``watched=[c, ..]``: replaced only when one of them differs (``<>``,
     NULL-safe if ``null_safe``).
+    ``fill``: columns where a NULL of the source keeps the target's value.
+    ``whole``: columns (of the keys) whose groups the source gives whole; target rows of such a
+    group that the source does not have are left out.
     """
     cols = source.columns
     src = dedupe_source(source, keys) if dedupe else source
@@ -70,8 +77,16 @@ def merge_plan(target: DataFrame | None, source: DataFrame, keys: list[str],
               .when(upd, F.lit(UPDATED)).otherwise(F.lit(UNCHANGED)))
     take_src = F.col("_action").isin(INSERTED, UPDATED)
     out = j.withColumn("_action", action)
+    if whole:
+        given = src.select(*whole).distinct().withColumn("_given", F.lit(True))
+        out = (out.join(given, list(whole), "left")
+               .where((F.col("_action") != KEPT) | F.col("_given").isNull()))
+
+    def taken(c):
+        return F.coalesce(F.col(f"_s_{c}"), F.col(f"_t_{c}")) if c in fill else F.col(f"_s_{c}")
+
     return out.select(*[F.col(c) if c in keys else
-                        F.when(take_src, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c)
+                        F.when(take_src, taken(c)).otherwise(F.col(f"_t_{c}")).alias(c)
                         for c in cols], "_action")
 
 
@@ -97,7 +112,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _versions(self, table: str) -> list[int]:
+    def _versions(self, table: str, complete: bool = True) -> list[int]:
         path = f"{self.root}/{table}"
         jvm = self.spark._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -107,10 +122,15 @@ class TableStore:
         out = []
         for st in fs.listStatus(hpath):
             m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if m and (not complete or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
                 out.append(int(m.group(1)))
         return sorted(out)
 
+    def next_path(self, table: str) -> str:
+        """Folder of the next version: behind every folder there is, also those a lost run left incomplete."""
+        v = self._versions(table, complete=False)
+        return f"{self.root}/{table}/v={(v[-1] + 1) if v else 0}"
+
     BUCKETED = "current"  # directory of bucketed (partition-scoped) tables
 
     def _exists(self, path: str) -> bool:
@@ -133,7 +153,8 @@ class TableStore:
         return df.drop(BUCKET) if BUCKET in df.columns else df
 
     def upsert_bucketed(self, table: str, source: DataFrame, keys: list[str], watched: list[str] | None = None,
-                        null_safe: bool = False, n_buckets: int = 256, by: str = "subject_id") -> dict[str, int]:
+                        null_safe: bool = False, n_buckets: int = 256, by: str = "subject_id",
+                        fill: tuple[str, ...] = (), whole: tuple[str, ...] = ()) -> dict[str, int]:
         """Partition-scoped merge for tables that grow with the number of files.
 
         Rows live in ``n_buckets`` partitions by a hash of ``by``. Only the
@@ -146,12 +167,13 @@ class TableStore:
         path = f"{self.root}/{table}/{self.BUCKETED}"
         src = source.withColumn(BUCKET, F.pmod(F.xxhash64(by), F.lit(n_buckets)).cast("int"))
         if self._exists(path):
-            full = self.spark.read.parquet(path)
+            # a stated schema also reads the folder of a first run that was lost before it wrote any row
+            full = self.spark.read.schema(f"{_ddl(source)}, {BUCKET} int").parquet(path)
             target = full.join(src.select(BUCKET).distinct(), BUCKET, "left_semi").drop(BUCKET)
             target = target.select(*[c for c in source.columns])
         else:
             target = None
-        merged = merge_plan(target, source, keys, watched, null_safe)
+        merged = merge_plan(target, source, keys, watched, null_safe, fill=fill, whole=whole)
         merged = merged.withColumn(BUCKET, F.pmod(F.xxhash64(by), F.lit(n_buckets)).cast("int")).checkpoint()
         counts = merge_counts(merged).collect()[0].asDict()
         (merged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -159,31 +181,36 @@ class TableStore:
         return {k: int(v) for k, v in counts.items()}
 
     def upsert(self, table: str, source: DataFrame, keys: list[str], watched: list[str] | None = None,
-               null_safe: bool = False, partition_by: list[str] | None = None) -> dict[str, int]:
-        """Merge ``source`` into ``table``; returns counts per action."""
+               null_safe: bool = False, partition_by: list[str] | None = None, fill: tuple[str, ...] = (),
+               whole: tuple[str, ...] = (), remove: DataFrame | None = None) -> dict[str, int]:
+        """Merge ``source`` into ``table``; returns counts per action. Target rows whose
+        key is in ``remove`` go first."""
         target = self.read(table)
         if target is not None:
             source = source.select(*target.columns)
-        merged = merge_plan(target, source, keys, watched, null_safe)
+            if remove is not None:
+                target = target.join(remove.select(*keys), keys, "left_anti")
+        merged = merge_plan(target, source, keys, watched, null_safe, fill=fill, whole=whole)
         obs = Observation(f"upsert_{table}")
         a = F.col("_action")
         merged = merged.observe(obs, *[F.count_if(a == x).alias(x)
                                        for x in (INSERTED, UPDATED, UNCHANGED, KEPT)])
-        v = self._versions(table)
-        out = f"{self.root}/{table}/v={(v[-1] + 1) if v else 0}"
+        out = self.next_path(table)
         w = merged.drop("_action").write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(out)
         return {k: int(x) for k, x in obs.get.items()}
 
-    def merge_table(self, table: str, source: DataFrame) -> dict[str, int]:
-        """Merge into one of the known tables with its keys, watched columns and layout."""
+    def merge_table(self, table: str, source: DataFrame, **how) -> dict[str, int]:
+        """Merge into one of the known tables with its keys, watched columns and layout
+        (``how``: arguments of the merge that differ from the table's)."""
         from cardiolake.schemas import BUCKETED_TABLES, TABLES
         _schema, keys, watched = TABLES[table]
+        how = {"watched": watched, **how}
         if table in BUCKETED_TABLES:
-            return self.upsert_bucketed(table, source, keys, watched)
-        return self.upsert(table, source, keys, watched)
+            return self.upsert_bucketed(table, source, keys, **how)
+        return self.upsert(table, source, keys, **how)
 
     def create_tables(self, tables: dict | None = None) -> list[str]:
         """An empty version 0 for every versioned table that does not exist

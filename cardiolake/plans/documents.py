@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cardiolake.sources.json_docs import once
 from cardiolake.plans.adapters import N_SUBJECTS, table as _scan
 
 
@@ -184,7 +185,7 @@ API_DOC_DETAILS = ["MOBILITY_DYNAMIC", "not_a_sport", ""]
 
 def _payloads(df: DataFrame, text: Column, schema: str) -> DataFrame:
     return df.select(_subject("o_custkey"), text.alias("json_text")).select(
-        "subject_id", "json_text", F.from_json("json_text", schema).alias("p")).select("subject_id", "json_text", "p.*")
+        "subject_id", "json_text", once(F.from_json("json_text", schema)).alias("p")).select("subject_id", "json_text", "p.*")
 
 
 def api_activity_payloads(spark, sf_dir) -> DataFrame:

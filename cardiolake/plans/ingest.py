@@ -15,6 +15,7 @@ executor recomputes only its partitions from the files.
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,20 +23,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardiolake import schemas as S
 from cardiolake.operators import daily, extract as X, incremental as INC
 from cardiolake.operators.upsert import TableStore, merge_plan
+from cardiolake.operators.windows import best_per_key
 from cardiolake.session import ensure_checkpoint_dir
 from cardiolake.sources import json_docs as JD
 
-ROW_TABLES = {  # category -> (table, schema, extractor, keys, watched)
-    "activity": ("activity", S.ACTIVITY_DOC, X.flatten_activity, ["subject_id", "day"],
-                 ["steps", "calories", "sleep_hours"]),
-    "training": ("training", S.TRAINING_DOC, X.explode_training, ["subject_id", "start_ts", "ordinal"], []),
-    "fitness_test": ("fitness_tests", S.FITNESS_DOC, X.flatten_fitness, ["subject_id", "day"], None),
+ROW_TABLES = {  # category -> (table, schema, extractor, how its merge differs from the table's)
+    # a file without sleep does not erase the sleep another source gave for the day
+    "activity": ("activity", S.ACTIVITY_DOC, X.flatten_activity,
+                 {"null_safe": True, "fill": ("sleep_hours", "sleep_quality")}),
+    # a file gives all exercises of its session
+    "training": ("training", S.TRAINING_DOC, X.explode_training, {"whole": ("subject_id", "start_ts")}),
+    "fitness_test": ("fitness_tests", S.FITNESS_DOC, X.flatten_fitness, {}),
 }
 SAMPLE_TABLES = {  # category -> (silver table, schema, extractor)
     "heartrate": ("hr_samples", S.HR_DOC, X.explode_hr_samples),
     "hrv": ("ppi_samples", S.PPI_DOC, X.explode_ppi_samples),
 }
-DOC_CATEGORIES = "raw_documents"
+DOC_SCHEMAS = {c: t[1] for c, t in (ROW_TABLES | SAMPLE_TABLES).items()}
 
 
 class Ingest:
@@ -48,11 +52,20 @@ class Ingest:
 
     # -- steps -------------------------------------------------------------
     def detect(self, files: DataFrame) -> DataFrame:
-        f = INC.with_category(INC.with_hash(files.select("subject_id", "file_name", "content")))
+        """One row per ``(subject_id, file_name)``: of entries that several archives repeat, the one
+        of the newest archive (``modified_at``, then ``archive``; then the smallest hash)."""
+        age = [c for c in ("modified_at", "archive") if c in files.columns]
+        f = INC.with_category(INC.with_hash(files.select("subject_id", "file_name", "content", *age)))
+        f = best_per_key(f, ["subject_id", "file_name"],
+                         [*[F.col(c).desc_nulls_last() for c in age], F.col("hash_md5")]).drop(*age)
         log = self.store.read("import_log", S.IMPORT_LOG)
         status = INC.change_detection(f, log)
+        # bytes are kept of what this run loads
+        status = status.withColumn("content", F.when(F.col("status") != INC.UNCHANGED, F.col("content")))
         # reused by every category below; recomputed from the files if an executor is lost
-        return JD.with_parse_error(status).persist(StorageLevel.MEMORY_AND_DISK)
+        return JD.with_parse_error(status, schemas=DOC_SCHEMAS).withColumn(
+            "parse_error", F.when(F.col("status") != INC.UNCHANGED, F.col("parse_error"))
+        ).persist(StorageLevel.MEMORY_AND_DISK)
 
     def silver_path(self, table: str) -> str:
         return f"{self.store.root}/silver/{table}"
@@ -90,16 +103,35 @@ class Ingest:
             staged = keep.unionByName(rows.select(*keep.columns)).checkpoint()
             (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("day").parquet(self.silver_path(table)))
+            # days left without rows: the overwrite does not reach them (a calendar's days at most)
+            empty = days.join(staged.select("day").distinct(), "day", "left_anti").collect()
+            for r in empty:
+                _delete(self.spark, f"{self.silver_path(table)}/day={r['day']}")
         # file -> day index: small (one row per file and day), rewritten as a new version
         kept_index = (old_index.join(changed.select(*keys), keys, "left_anti")
                       if old_index is not None else None)
         full_index = new_index if kept_index is None else kept_index.unionByName(new_index)
-        ver = self.store._versions(index_table)
-        full_index.write.mode("errorifexists").parquet(
-            f"{self.store.root}/{index_table}/v={(ver[-1] + 1) if ver else 0}")
+        full_index.write.mode("errorifexists").parquet(self.store.next_path(index_table))
         return affected
 
+    def _merge_days(self, table: str, gold: DataFrame, days: DataFrame) -> dict[str, int]:
+        """Merge re-aggregated days; affected days that have no row any more go."""
+        gold, keys = gold.checkpoint(), ["subject_id", "day"]
+        return self.store.merge_table(table, gold, remove=days.join(gold.select(*keys), keys, "left_anti"))
+
+    def _reported(self, report: dict, began: float) -> dict:
+        """The run's counts and seconds, also appended to the table ``import_runs``."""
+        report["seconds"] = round(time.monotonic() - began, 3)
+        row = (self.imported_at, report["seconds"], *[report[k] for k in ("new", "changed", "unchanged", "errors")])
+        names = ["imported_at", *S.IMPORT_RUNS.names[1:]]
+        run = self.spark.createDataFrame([row], ", ".join(
+            f"{n} {t}" for n, t in zip(names, ["string", "double"] + ["long"] * 4, strict=True)))
+        (X.typed_projection(run, S.IMPORT_RUNS).write.mode("append")
+         .parquet(f"{self.store.root}/import_runs/{self.store.BUCKETED}"))
+        return report
+
     def run(self, files: DataFrame) -> dict:
+        began = time.monotonic()
         st = self.detect(files)
         changed = INC.changed_only(st).where(F.col("parse_error").isNull())
         counts = {r["status"]: r["n"] for r in st.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -109,17 +141,17 @@ class Ingest:
                                      & F.col("status").isin("new", "changed")).count()}
         if report["new"] + report["changed"] == 0:
             st.unpersist()
-            return report
+            return self._reported(report, began)
         # categories present in this run (at most a few dozen values)
         present = {r["category"] for r in changed.select("category").distinct().collect()}
-        for cat, (table, schema, fn, keys, watched) in ROW_TABLES.items():
+        for cat, (table, schema, fn, how) in ROW_TABLES.items():
             if cat not in present:
                 continue
             docs = JD.good(JD.parse_documents(changed.where(F.col("category") == cat), schema))
             rows = fn(docs)
             if table == "training":
                 rows = rows.drop("file_name")
-            report[table] = self.store.merge_table(table, X.typed_projection(rows, _schema_of(table)))
+            report[table] = self.store.merge_table(table, X.typed_projection(rows, _schema_of(table)), **how)
         for cat, (table, schema, fn) in SAMPLE_TABLES.items():
             if cat not in present:
                 continue
@@ -130,22 +162,34 @@ class Ingest:
             affected = INC.rows_of_affected_days(silver.select(*samples.columns), days)
             if table == "hr_samples":
                 gold = daily.daily_hr(affected)
-                report["heartrate"] = self.store.merge_table("heartrate", gold)
+                report["heartrate"] = self._merge_days("heartrate", gold, days)
             else:
                 gold = daily.daily_hrv(affected, order=("file_name", "entry", "device", "pos"),
                                        chunk=X.ppi_chunk())
-                report["hrv"] = self.store.merge_table("hrv", gold)
+                report["hrv"] = self._merge_days("hrv", gold, days)
         known = list(ROW_TABLES) + list(SAMPLE_TABLES)
         if present - set(known):
             other = changed.where(~F.col("category").isin(*known))
             docs = X.keep_document(other.withColumn("text", JD.decode_text("content")))
             report["raw_documents"] = self.store.merge_table(
                 "raw_documents", X.typed_projection(docs, S.RAW_DOCUMENTS))
+        # files that could not be loaded, with the reason; those that now could leave the quarantine
+        keys = ["subject_id", "file_name"]
+        if report["errors"] or self.store.current_path("quarantine"):
+            bad = INC.changed_only(st).where(F.col("parse_error").isNotNull()).withColumn(
+                "imported_at", F.lit(self.imported_at))
+            report["quarantine"] = self.store.upsert(
+                "quarantine", X.typed_projection(bad, S.QUARANTINE), keys, remove=changed.select(*keys))
         # every new/changed file is logged, unparseable ones too (they are counted as errors)
         log_rows = INC.new_log_entries(INC.changed_only(st), self.imported_at)
         report["import_log"] = self.store.merge_table("import_log", X.typed_projection(log_rows, S.IMPORT_LOG))
         st.unpersist()
-        return report
+        return self._reported(report, began)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hp, True)
 
 
 def _read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:

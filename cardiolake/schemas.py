@@ -28,7 +28,7 @@ TRAINING_DOC = (
 
 HR_DOC = (
     "deviceDays array<struct<date: string, "
-    "samples: array<struct<heartRate: variant, secondsFromDayStart: int>>>>"
+    "samples: array<struct<heartRate: variant, secondsFromDayStart: string>>>>"
 )
 
 # array root: an object root becomes a one-element array in from_json
@@ -39,19 +39,19 @@ PPI_DOC = (
 
 FITNESS_DOC = (
     "startTime string, fitnessTestResult struct<ownIndex: string, averageHeartRate: string, "
-    "fitnessClass: string, timezoneOffsetMinutes: int, physicalInformation: struct<"
-    "birthday: string, sex: string, height: string, weight: string, maximumHeartRate: int, "
-    "restingHeartRate: int, aerobicThreshold: int, anaerobicThreshold: int, vo2Max: string, "
-    "trainingBackground: string, weightSource: string, sleepGoal: bigint>>"
+    "fitnessClass: string, timezoneOffsetMinutes: variant, physicalInformation: struct<"
+    "birthday: string, sex: string, height: string, weight: string, maximumHeartRate: variant, "
+    "restingHeartRate: variant, aerobicThreshold: variant, anaerobicThreshold: variant, vo2Max: string, "
+    "trainingBackground: string, weightSource: string, sleepGoal: variant>>"
 )
 
 # --- API payloads (landed JSON) ---
 
 API_ACTIVITY = "date string, steps variant, calories variant, `active-calories` variant"
-API_SLEEP = "nights array<struct<date: string, total_sleep_minutes: double, continuous_rating: double>>"
+API_SLEEP = "nights array<struct<date: string, total_sleep_minutes: string, continuous_rating: string>>"
 API_EXERCISE = (
     "`start-time` string, sport string, `detailed-sport-info` string, duration string, "
-    "distance double, calories double, `heart-rate` struct<average: double, maximum: double>"
+    "distance string, calories string, `heart-rate` struct<average: string, maximum: string>"
 )
 API_PHYSICAL = "created string"
 API_RECHARGE = (
@@ -103,6 +103,12 @@ RAW_DOCUMENTS = _st(("subject_id", _L, False), ("file_name", _S, False), ("categ
 IMPORT_LOG = _st(("subject_id", _L, False), ("file_name", _S, False), ("hash_md5", _S, False),
                  ("imported_at", _TS, True), ("category", _S, True))
 
+QUARANTINE = _st(("subject_id", _L, False), ("file_name", _S, False), ("category", _S, True),
+                 ("hash_md5", _S, False), ("parse_error", _S, False), ("imported_at", _TS, True))
+
+IMPORT_RUNS = _st(("imported_at", _TS, True), ("seconds", _D, True), ("n_new", _L, True), ("n_changed", _L, True),
+                  ("n_unchanged", _L, True), ("n_errors", _L, True))
+
 HR_SAMPLES = _st(("subject_id", _L, False), ("day", _DT, False), ("ts", _TS, True),
                  ("seconds_from_day_start", _I, True), ("hr", _I, False))
 
@@ -112,7 +118,7 @@ BUCKETED_TABLES = {"training", "raw_documents", "import_log"}
 # table name -> (schema, merge keys, watched columns or None = unconditional update)
 TABLES = {
     "activity": (ACTIVITY, ["subject_id", "day"], ["steps", "calories", "sleep_hours"]),
-    "training": (TRAINING, ["subject_id", "start_ts", "ordinal"], []),
+    "training": (TRAINING, ["subject_id", "start_ts", "ordinal"], None),
     "heartrate": (HEARTRATE, ["subject_id", "day"], ["resting_hr"]),
     "hrv": (HRV, ["subject_id", "day"], ["rmssd"]),
     "fitness_tests": (FITNESS_TESTS, ["subject_id", "day"], None),

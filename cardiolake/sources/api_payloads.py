@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardiolake import schemas as S
+from cardiolake.sources.json_docs import once
 
 ENDPOINT_SCHEMAS = {
     "activity": S.API_ACTIVITY,
@@ -28,4 +29,4 @@ def read_payloads(spark: SparkSession, root: str, endpoint: str, default_subject
     subj = (F.col("subject_id").cast("long") if "subject_id" in raw.columns
             else F.lit(default_subject).cast("long"))
     return raw.select(subj.alias("subject_id"), "json_text",
-                      F.from_json("json_text", schema).alias("p")).select("subject_id", "json_text", "p.*")
+                      once(F.from_json("json_text", schema)).alias("p")).select("subject_id", "json_text", "p.*")

@@ -23,7 +23,9 @@ from cardiolake.functions.labels import file_category
 # task so executors need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ENTRY_SCHEMA = "subject_id long, archive string, file_name string, content binary"
+ENTRY_SCHEMA = "subject_id long, archive string, modified_at timestamp, file_name string, content binary"
+#: A batch of entries is passed on at so many entries or bytes.
+BATCH_ENTRIES, BATCH_BYTES = 512, 32 << 20
 
 
 def _subject_col(df: DataFrame, default_subject: int):
@@ -41,25 +43,30 @@ def archive_listing(spark: SparkSession, path: str, glob: str = "*.zip") -> Data
 
 
 def _unzip(batches):
+    names = ["subject_id", "archive", "modified_at", "file_name", "content"]
     for pdf in batches:
-        out = []
-        for subject, path, content in zip(pdf["subject_id"], pdf["path"], pdf["content"]):
+        out, held = [], 0
+        for subject, path, modified, content in zip(pdf["subject_id"], pdf["path"], pdf["modified_at"], pdf["content"]):
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for info in zf.infolist():
                     if info.is_dir():
                         continue
-                    out.append((int(subject), path, info.filename, zf.read(info)))
-                    if len(out) >= 512:
-                        yield pd.DataFrame(out, columns=["subject_id", "archive", "file_name", "content"])
-                        out = []
+                    out.append((int(subject), path, modified, info.filename, zf.read(info)))
+                    held += info.file_size
+                    if len(out) >= BATCH_ENTRIES or held >= BATCH_BYTES:
+                        yield pd.DataFrame(out, columns=names)
+                        out, held = [], 0
         if out:
-            yield pd.DataFrame(out, columns=["subject_id", "archive", "file_name", "content"])
+            yield pd.DataFrame(out, columns=names)
 
 
 def unzip_entries(archives: DataFrame, default_subject: int = 0,
                   partitions: int | None = None) -> DataFrame:
-    """Rows ``(path, content[, subject_id])`` of ZIP files -> one row per entry."""
-    src = archives.select(_subject_col(archives, default_subject).alias("subject_id"), "path", "content")
+    """Rows ``(path, modificationTime, content[, subject_id])`` of ZIP files -> one row
+    per entry. An archive is one value of Spark's binary file source, which ends the job beyond 2 GiB:
+    larger archives must be unpacked into a folder (``folder_source``)."""
+    src = archives.select(_subject_col(archives, default_subject).alias("subject_id"), "path",
+                          F.col("modificationTime").alias("modified_at"), "content")
     entries = src.mapInPandas(_unzip, ENTRY_SCHEMA)
     n = partitions or archives.sparkSession.sparkContext.defaultParallelism
     return entries.repartition(n, "subject_id", "file_name")
@@ -67,7 +74,7 @@ def unzip_entries(archives: DataFrame, default_subject: int = 0,
 
 def archive_source(spark: SparkSession, path: str, default_subject: int = 0,
                    json_only: bool = True) -> DataFrame:
-    """ZIP archives under ``path`` -> ``(subject_id, archive, file_name, content)``."""
+    """ZIP archives under ``path`` -> ``(subject_id, archive, modified_at, file_name, content)``."""
     arch = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
     e = unzip_entries(arch, default_subject)
     return e.where(F.lower("file_name").endswith(".json")) if json_only else e
@@ -79,6 +86,7 @@ def folder_source(spark: SparkSession, path: str, default_subject: int = 0) -> D
           .option("recursiveFileLookup", "false").load(path))
     return df.select(_subject_col(df, default_subject).alias("subject_id"),
                      F.lit(None).cast("string").alias("archive"),
+                     F.col("modificationTime").alias("modified_at"),
                      F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                      "content")
 

@@ -19,7 +19,7 @@ def decode_text(content: str = "content"):
     return F.when(F.is_valid_utf8(c.cast("string")), c.cast("string"))
 
 
-def _once(col):
+def once(col):
     """Evaluate an expensive expression once per row.
 
     The value comes out of a one-element ``explode``: filters on its fields
@@ -29,6 +29,21 @@ def _once(col):
     return F.explode(F.array(col))
 
 
+def _is_array(schema: str) -> bool:
+    return schema.strip().lower().startswith("array")
+
+
+def _typed(text, schema: str):
+    if _is_array(schema):
+        return F.from_json(text, schema)
+    return F.from_json(text, f"{schema}, {CORRUPT} string",
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _unfit(doc, schema: str):
+    return doc.isNull() if _is_array(schema) else doc.isNull() | doc[CORRUPT].isNotNull()
+
+
 def parse_documents(files: DataFrame, schema: str, content: str = "content") -> DataFrame:
     """Add ``doc`` (typed by ``schema``) and ``parse_error`` (NULL when fine).
 
@@ -38,23 +53,23 @@ def parse_documents(files: DataFrame, schema: str, content: str = "content") ->
     """
     text = decode_text(content) if dict(files.dtypes).get(content) == "binary" else F.col(content)
     base = files.withColumn("_text", text)
-    if schema.strip().lower().startswith("array"):
-        doc = F.from_json(F.col("_text"), schema)
-        bad_json = F.col("doc").isNull()
-    else:
-        doc = F.from_json(F.col("_text"), f"{schema}, {CORRUPT} string",
-                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-        bad_json = F.col("doc").isNull() | F.col("doc")[CORRUPT].isNotNull()
-    out = base.select("*", _once(doc).alias("doc"))
-    err = F.when(F.col("_text").isNull(), F.lit("invalid_utf8")).when(bad_json, F.lit("malformed_json"))
+    out = base.select("*", once(_typed(F.col("_text"), schema)).alias("doc"))
+    err = (F.when(F.col("_text").isNull(), F.lit("invalid_utf8"))
+           .when(_unfit(F.col("doc"), schema), F.lit("malformed_json")))
     return out.withColumn("parse_error", err).drop("_text")
 
 
-def with_parse_error(files: DataFrame, content: str = "content") -> DataFrame:
-    """Flag files that are not UTF-8 or not JSON (any root), without typing them."""
+def with_parse_error(files: DataFrame, content: str = "content", schemas: dict[str, str] | None = None) -> DataFrame:
+    """Flag files that are not UTF-8 or not JSON (any root). Files of a ``category`` in
+    ``schemas`` must also fit its schema, so that none is lost unseen when it is parsed."""
     text = decode_text(content) if dict(files.dtypes).get(content) == "binary" else F.col(content)
-    err = (F.when(text.isNull(), F.lit("invalid_utf8"))
-           .when(F.try_parse_json(text).isNull(), F.lit("malformed_json")))
+    err = F.when(text.isNull(), F.lit("invalid_utf8"))
+    for category, schema in (schemas or {}).items():
+        here = F.col("category") == category
+        err = (err.when(here & _unfit(_typed(text, schema), schema),
+                        F.when(F.try_parse_json(text).isNull(), F.lit("malformed_json")).otherwise(F.lit("unfit_json")))
+               .when(here, F.lit(None).cast("string")))
+    err = err.when(F.try_parse_json(text).isNull(), F.lit("malformed_json"))
     return files.withColumn("parse_error", err)
 
 

@@ -30,31 +30,41 @@ def _ckpt(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
 
 
+def _subject_of(path, default: int):
+    """Subject from a ``subject_id=<n>/`` directory of the path, else the default."""
+    return F.coalesce(F.regexp_extract(path, r"subject_id=(\d+)/", 1).try_cast("long"), F.lit(default).cast("long"))
+
+
 def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str = "files",
-                glob: str = "*.json", default_subject: int = 0, imported_at: str | None = None,
+                glob: str = "*.{json,zip}", default_subject: int = 0, imported_at: str | None = None,
                 archive_dir: str | None = None):
-    """Ingest every new JSON file under ``folder`` (availableNow run).
+    """Ingest every new JSON file and every entry of every new ZIP archive under ``folder``
+    (availableNow run).
 
     L19: with ``archive_dir`` the source moves processed files there
     (``cleanSource=archive``); Spark does this lazily after later batches, so
     the import log, not the move, is what marks a file as processed.
     """
     from cardiolake.plans.ingest import Ingest
+    from cardiolake.sources.archive import unzip_entries
 
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     src = reader.load(folder)
-    # subject from a ``subject_id=<n>/`` directory in the path, else the default
-    subject = F.coalesce(F.regexp_extract("path", r"subject_id=(\d+)/", 1).try_cast("long"),
-                         F.lit(default_subject).cast("long"))
-    files = src.select(subject.alias("subject_id"),
-                       F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content")
+    files = src.select(_subject_of(F.col("path"), default_subject).alias("subject_id"), "path", "modificationTime",
+                       "content")
     reports = []
 
     def batch(df: DataFrame, epoch: int):
-        reports.append(Ingest(spark, store, imported_at).run(df))
+        zipped = F.lower("path").endswith(".zip")
+        names = ["subject_id", "archive", "modified_at", "file_name", "content"]
+        plain = df.where(~zipped).select(
+            "subject_id", F.lit(None).cast("string").alias("archive"), F.col("modificationTime").alias("modified_at"),
+            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content")
+        entries = unzip_entries(df.where(zipped), default_subject).where(F.lower("file_name").endswith(".json"))
+        reports.append(Ingest(spark, store, imported_at).run(plain.unionByName(entries.select(*names))))
 
     q = (files.writeStream.foreachBatch(batch).option("checkpointLocation", _ckpt(spark, name))
          .trigger(availableNow=True).start())
@@ -63,34 +73,41 @@ def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str =
 
 
 def payload_stream(spark: SparkSession, root: str, endpoint: str, store: TableStore, name: str | None = None,
-                   ingest_date: str = "1970-01-01"):
-    """Landed payloads of one endpoint -> rows -> upsert (availableNow run)."""
+                   ingest_date: str = "1970-01-01", default_subject: int = 0):
+    """Landed payloads of one endpoint -> rows -> upsert (availableNow run).
+
+    Subjects come from ``subject_id=<n>/`` directories as in the batch read. A NULL of a
+    payload never erases a value of another source: activity days and nights of sleep meet
+    in one row of ``activity``, whichever comes first."""
     from cardiolake import schemas as S
     from cardiolake.operators import api_extract as AX
     from cardiolake.operators.extract import typed_projection
     from cardiolake.sources.api_payloads import ENDPOINT_SCHEMAS
+    from cardiolake.sources.json_docs import once
 
     raw = (spark.readStream.format("text").option("wholetext", "true")
            .load(f"{root.rstrip('/')}/{endpoint}"))
-    p = raw.select(F.lit(0).cast("long").alias("subject_id"), F.col("value").alias("json_text"),
-                   F.from_json("value", ENDPOINT_SCHEMAS[endpoint]).alias("p")).select(
+    subject = _subject_of(F.col("_metadata.file_path"), default_subject)
+    p = raw.select(subject.alias("subject_id"), F.col("value").alias("json_text"),
+                   once(F.from_json("value", ENDPOINT_SCHEMAS[endpoint])).alias("p")).select(
         "subject_id", "json_text", "p.*")
     counts = []
 
     def batch(df: DataFrame, epoch: int):
-        if endpoint == "activity":
-            rows, table = AX.api_activity(df), "activity"
+        how = {}
+        if endpoint in ("activity", "sleep"):
+            rows, table = (AX.api_activity(df) if endpoint == "activity" else AX.api_sleep(df)), "activity"
+            how = {"watched": None, "fill": tuple(S.ACTIVITY.names[2:])}
         elif endpoint == "exercise":
-            t = AX.api_exercise(df)
-            rows = t.withColumn("start_ts", F.col("day").cast("timestamp")).withColumn("ordinal", F.lit(0))
-            table = "training"
+            rows = AX.api_exercise(df, with_start=True).withColumn("ordinal", F.lit(0))
+            table, how = "training", {"fill": ("hr_avg", "hr_max", "distance_km")}
         elif endpoint == "physical_info":
             rows, table = AX.api_physical_info(df, ingest_date), "physical_info"
         elif endpoint == "nightly_recharge":
             rows, table = AX.api_recharge(df), "raw_documents"
         else:
             raise ValueError(f"no table for endpoint {endpoint}")
-        counts.append(store.merge_table(table, typed_projection(rows, S.TABLES[table][0])))
+        counts.append(store.merge_table(table, typed_projection(rows, S.TABLES[table][0]), **how))
 
     q = (p.writeStream.foreachBatch(batch).option("checkpointLocation", _ckpt(spark, name or endpoint))
          .trigger(availableNow=True).start())

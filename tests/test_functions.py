@@ -37,7 +37,8 @@ def test_falsy_fallback(spark):
 
 
 def test_title_case(spark):
-    assert one(spark, title_case("x"), [("TRAIL_RUNNING",), ("RUNNING",)]) == ["Trail_Running", "Running"]
+    assert one(spark, title_case("x"), [("TRAIL_RUNNING",), ("RUNNING",), ("NORDIC WALKING",)]) == ["Trail_Running", "Running",
+                                                                                                        "Nordic Walking"]
 
 
 def test_sleep_band(spark):

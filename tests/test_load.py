@@ -169,3 +169,84 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmpdir_path):
     t = store.read("log")
     assert t.count() == 13 and "_bucket" not in t.columns
     assert t.where("file_name = 'f1_0.json'").first().hash_md5 == "h2"
+
+
+def _load(spark, store, docs, name, base, subject=3):
+    """One archive with ``docs`` in a folder of its own -> run of the load."""
+    folder = os.path.join(base, name, f"subject_id={subject}")
+    os.makedirs(folder)
+    _zip(os.path.join(folder, f"{name}.zip"), docs)
+    return Ingest(spark, store).run(AR.archive_source(spark, os.path.join(base, name)))
+
+
+def _hr(day, values):
+    return json.dumps({"deviceDays": [{"date": day, "samples": [{"heartRate": v, "secondsFromDayStart": 1.5}
+                                                                for v in values]}]})
+
+
+def test_entries_repeated_by_archives_count_once_newest_wins(spark, tmpdir_path):
+    docs = _fixture_docs()
+    inbox = os.path.join(tmpdir_path, "in", "subject_id=3")
+    os.makedirs(inbox)
+    ppi = {"ppi_1.json": docs["ppi_1.json"]}
+    act = lambda n: {"activity-2024-01-15.json": json.dumps({"date": "2024-01-15", "summary": {"stepCount": n}})}
+    _zip(os.path.join(inbox, "z_old.zip"), {**ppi, **act(1)})
+    _zip(os.path.join(inbox, "a_new.zip"), {**ppi, **act(2)})
+    os.utime(os.path.join(inbox, "z_old.zip"), (1_700_000_000, 1_700_000_000))
+    store = UP.TableStore(spark, os.path.join(tmpdir_path, "t"))
+    rep = Ingest(spark, store).run(AR.archive_source(spark, os.path.join(tmpdir_path, "in")))
+    assert (rep["new"], rep["errors"]) == (2, 0)
+    hrv = store.read("hrv").collect()
+    assert [(r.n_samples, r.rmssd) for r in hrv] == [(5, 20.77)]
+    assert store.read("activity").first().steps == 2
+    runs = store.read("import_runs").collect()
+    assert len(runs) == 1 and runs[0].n_new == 2 and runs[0].seconds > 0
+
+
+def test_only_file_of_a_day_moves_and_numbers_of_any_form_load(spark, tmpdir_path):
+    store = UP.TableStore(spark, os.path.join(tmpdir_path, "t"))
+    fit = json.dumps({"startTime": "2024-01-15T08:00:00Z", "fitnessTestResult": {
+        "ownIndex": 45, "physicalInformation": {"maximumHeartRate": 180.5, "sleepGoal": 28800000}}})
+    rep = _load(spark, store, {"247ohr_a.json": _hr("2024-01-15", [40, 50]), "fitness-test-results-1.json": fit}, "one", tmpdir_path)
+    assert rep["errors"] == 0 and store.read("fitness_tests").first().max_hr == 180
+    assert [r.hr_max for r in store.read("heartrate").collect()] == [50]
+    _load(spark, store, {"247ohr_a.json": _hr("2024-01-16", [60, 61])}, "two", tmpdir_path)
+    silver = Ingest(spark, store).read_silver("hr_samples")
+    assert {r.day for r in silver.collect()} == {D(2024, 1, 16)}
+    assert [(r.day, r.hr_max) for r in store.read("heartrate").collect()] == [(D(2024, 1, 16), 61)]
+    # the file has no sample left: neither has the table
+    _load(spark, store, {"247ohr_a.json": json.dumps({"deviceDays": []})}, "three", tmpdir_path)
+    assert store.read("heartrate").count() == 0
+
+
+def test_corrected_session_replaces_all_its_exercises(spark, tmpdir_path):
+    def session(*millis):
+        return {"training-session-1.json": json.dumps({
+            "startTime": "2024-01-15T07:00:00Z", "sport": "RUNNING",
+            "exercises": [{"sport": "RUNNING", "durationMillis": m} for m in millis]})}
+
+    store = UP.TableStore(spark, os.path.join(tmpdir_path, "t"))
+    _load(spark, store, session(1_800_000, 600_000), "one", tmpdir_path)
+    assert sorted(r.duration_min for r in store.read("training").collect()) == [10.0, 30.0]
+    _load(spark, store, session(3_600_000), "two", tmpdir_path)
+    assert [r.duration_min for r in store.read("training").collect()] == [60.0]
+
+
+def test_quarantine_names_files_and_lets_mended_ones_go(spark, tmpdir_path):
+    store = UP.TableStore(spark, os.path.join(tmpdir_path, "t"))
+    rep = _load(spark, store, {"activity-1.json": '{"date": "2024-01-15", "summary": [1]}', "247ohr_x.json": "{nope"},
+                "one", tmpdir_path)
+    assert rep["errors"] == 2
+    assert {(r.file_name, r.parse_error) for r in store.read("quarantine").collect()} == {
+        ("activity-1.json", "unfit_json"), ("247ohr_x.json", "malformed_json")}
+    rep = _load(spark, store, {"activity-1.json": '{"date": "2024-01-15", "summary": {"stepCount": 3}}'}, "two", tmpdir_path)
+    assert rep["errors"] == 0 and [r.file_name for r in store.read("quarantine").collect()] == ["247ohr_x.json"]
+
+
+def test_folder_of_a_lost_run_does_not_block_a_table(spark, tmpdir_path):
+    store = UP.TableStore(spark, os.path.join(tmpdir_path, "t"))
+    rows = _df(spark, [(0, D(2024, 1, 1), 10, 1.0, "a")])
+    os.makedirs(os.path.join(tmpdir_path, "t", "x", "v=0"))
+    os.makedirs(os.path.join(tmpdir_path, "t", "y", "current"))
+    assert store.upsert("x", rows, ["subject_id", "day"])["inserted"] == 1 and store.current_path("x").endswith("v=1")
+    assert store.upsert_bucketed("y", rows, ["subject_id", "day"])["inserted"] == 1 and store.read("y").count() == 1

@@ -109,3 +109,39 @@ def test_payload_stream_upserts(spark, tmpdir_path):
     t = store.read("training").collect()[0]
     assert (t.sport, t.category, t.distance_km) == ("CYCLING", "OUTDOOR", 30.0)
     assert store.read("training").where(F.col("day") == D(2024, 1, 15)).count() == 1
+
+
+def test_payload_stream_keeps_sessions_subjects_sleep_and_text_numbers(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "landing3")
+    store = TableStore(spark, os.path.join(tmpdir_path, "tables3"))
+    for subject in (7, 8):
+        _land(root, f"exercise/subject_id={subject}", [
+            {"start-time": "2024-01-15T07:00:00", "sport": "RUNNING", "duration": "PT1H", "distance": "5000.0",
+             "calories": "300", "heart-rate": {"average": "140", "maximum": 170}},
+            {"start-time": "2024-01-15T18:00:00", "sport": "CYCLING", "duration": "PT2H", "distance": 1000},
+            {"start-time": "15.01.2024", "sport": "RUNNING"}])
+    J.payload_stream(spark, root, "exercise", store, name=uuid.uuid4().hex)
+    t = {(r.subject_id, r.start_ts.hour): r for r in store.read("training").collect()}
+    assert set(t) == {(7, 7), (7, 18), (8, 7), (8, 18)}
+    r = t[(7, 7)]
+    assert (r.distance_km, r.calories, r.hr_avg, r.hr_max) == (5.0, 300.0, 140.0, 170.0)
+    # a night, then its day without sleep, then a day with a date of another form
+    _land(root, "sleep/subject_id=7", [{"nights": [{"date": "2024-01-15", "total_sleep_minutes": "420"}]}])
+    J.payload_stream(spark, root, "sleep", store, name=uuid.uuid4().hex)
+    _land(root, "activity/subject_id=7", [{"date": "2024-01-15", "steps": 9000}, {"date": "15.01.2024", "steps": 1}])
+    J.payload_stream(spark, root, "activity", store, name=uuid.uuid4().hex)
+    assert [(r.subject_id, r.steps, r.sleep_hours) for r in store.read("activity").collect()] == [(7, 9000, 7.0)]
+
+
+def test_file_stream_reads_archives(spark, tmpdir_path):
+    import zipfile
+
+    inbox = os.path.join(tmpdir_path, "zips", "subject_id=5")
+    os.makedirs(inbox)
+    with zipfile.ZipFile(os.path.join(inbox, "export.zip"), "w") as z:
+        z.writestr("activity-2024-01-15.json", json.dumps({"date": "2024-01-15", "summary": {"stepCount": 12}}))
+        z.writestr("readme.txt", "no")
+    store = TableStore(spark, os.path.join(tmpdir_path, "tables4"))
+    r = J.file_stream(spark, os.path.join(tmpdir_path, "zips", "*"), store, name=uuid.uuid4().hex)
+    assert sum(x["new"] for x in r) == 1
+    assert [(x.subject_id, x.steps) for x in store.read("activity").collect()] == [(5, 12)]
