@@ -154,7 +154,9 @@ def multiplicities(plan: DataFrame, seed: int = SEED) -> DataFrame:
             return out
         return each
 
-    spread = drawn.repartition(F.xxhash64("source", "shard"))
+    # a row here stands for many slots, so the number of tasks is not left to the bytes measured
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = drawn.repartition(tasks, F.xxhash64("source", "shard"))
     return map_rows(spread, take, "source string, block long, round long, shard long", rows_per_output=1)
 
 
@@ -173,7 +175,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
               .select("_row", "source", "block",
                       F.greatest(F.lit(0), F.col("block") * block - F.col("start")).alias("lo"),
                       F.least(F.col("size"), (F.col("block") + 1) * block - F.col("start")).alias("hi")))
-    a, b = pieces.alias("a"), slots.alias("b")
+    # slots grow with the corpus but look small before they are drawn: never broadcast
+    a, b = pieces.alias("a"), slots.hint("merge").alias("b")
     parts = a.join(b, F.expr("a.block = b.block AND a.source <=> b.source")).select(
         "a._row", "b.round", "b.shard", "a.lo", "a.hi")
     return rows, plan, parts
