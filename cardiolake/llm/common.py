@@ -27,13 +27,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str = "documents") -> Dat
 def settle(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: later reads do not recompute."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _release(df.sparkSession)
+    return out
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Spark does so when the driver's memory is collected, which a driver with
+    little to do puts off; operators of many short jobs would fill the disks.
+    """
+    spark.sparkContext._jvm.System.gc()
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Like ``settle`` for many narrow rows: a compressed table in the shared folder, read back."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
