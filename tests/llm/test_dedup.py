@@ -86,6 +86,34 @@ def test_near_dedup_of_a_large_family(make_docs, monkeypatch):
     assert got == sorted(brute_components(texts, ids, 4), key=repr)
 
 
+def _own_values(template, text):
+    """Of the retained hashes of ``text``, how many the template does not hold."""
+    s = M.Shingler(4)
+    return len(set(s(text.encode().split())[:M.LISTS].tolist()) - set(s(template.encode().split()).tolist()))
+
+
+@pytest.mark.parametrize("copies,least", [(90, 10), (0, 13)])
+def test_near_dedup_of_a_template_with_own_text(make_docs, copies, least):
+    """Texts that hold a template and a fifth of their own words are linked to it alone. Kept are those
+    whose smallest hashes are their own more often than most: with a large family, and without one."""
+    rng = random.Random(11)
+    template = max((noise(rng, 203) for _ in range(500)), key=lambda x: M.Shingler(4)(x.encode().split())[11])
+    texts, unlucky = [template], 0
+    for _ in range(40_000):
+        if unlucky == 4 and len(texts) > copies:
+            break
+        text = f"{template} {noise(rng, 50)}"
+        own = _own_values(template, text) if unlucky < 4 else 0
+        unlucky += own >= least
+        if own >= least or len(texts) <= copies:
+            texts.append(text)
+    assert unlucky == 4
+    texts += [noise(rng, 100) for _ in range(5)]
+    ids = rng.sample(range(10_000), len(texts))
+    got = rows_of(M.near_dedup(make_docs(texts, ids), shingle=4), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute_components(texts, ids, 4), key=repr)
+
+
 def test_near_dedup_empty_null_ids_and_stage(make_docs):
     assert M.near_dedup(make_docs([])).count() == 0
     docs = make_docs(["a b c d e f", "a b c d e f", None, ""], [None, None, 4, None])
