@@ -3,10 +3,13 @@
 A character language model (letter trigrams, hashed into tables of fixed size)
 is counted over all documents. Text is read as words; a word that may hide
 another (digits or signs that stand for letters, letters set apart, letters
-repeated) opens a lattice: each sign may be any letter it stands for or be
-dropped, and a run of equal letters may be one or two. Viterbi decoding takes
-the likeliest path under the language model, and the restored word is scored
-along with the words of the text.
+repeated) opens a lattice, however long it is and however few letters it has;
+only numbers and dates do not. Each sign may be any letter it stands for or be
+dropped, a separator may be nothing or a word's end, and a run of equal letters
+may be one or two. A word is read with and without the signs at its edges.
+Viterbi decoding takes the likeliest path under the language model, and the
+restored words are scored along with the words of the text, by the reading that
+weighs most.
 
 Score: features are words and, of longer words, the first 4, 5 and 6
 characters, once per document. From the labelled training documents (a sample of at most
@@ -38,15 +41,21 @@ from cardiolake.llm.common import add_column, fold, map_rows, read_table, settle
 THRESHOLD = 0.7
 LEAST, RATIO, MOST_FEATURES, MOST_LABELLED = 5, 50.0, 50_000, 200_000
 FLUSH = 300_000
+#: Readings up to this length are decoded once and kept; longer ones (rare and seldom repeated) are decoded each time.
+KEPT = 64
 #: Letters a sign may stand for. Fixed values.
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "€": "e", "£": "l", "#": "h",
          "*": "aeiou", "¡": "i", "§": "s"}
 WORD = re.compile(r"[^\W\d_]+")
-#: A token that may hide a word: a sign between or beside letters, or a letter three times in a row.
+#: What may hide a word: a letter three times in a row, or letters set apart.
 REPEAT = re.compile(r"([^\W\d_])\1\1")
 SET_APART = re.compile(r"(?<![^\W_])[^\W_](?:[\s.\-_*'·,/\\|~]{1,2}[^\W_]){2,}(?![^\W_])")
 EDGE = " .,;:?\"'()[]{}<>|-_~`"
+#: The edges that stand for no letter.
+MARKS = "".join(c for c in EDGE if c not in SIGNS)
+#: Numbers, dates and times hide nothing.
+NUMBER = re.compile(r"[-+#$£€(]{0,2}\d+(?:[-.,:/()'–]{1,2}\d+)*[%+$£€)]{0,2}")
 #: Sizes of the hashed tables of the language model and of the feature filter: fixed, whatever the corpus.
 BUCKETS, FILTER = 1 << 16, 1 << 20
 #: Fixed odd multipliers of the trigram hash.
@@ -62,25 +71,24 @@ def features(word: str) -> list[str]:
     return [word, *[f"{word[:k]}~" for k in (4, 5, 6) if n > k + 1]]
 
 
-def suspects(text: str) -> list[str]:
-    """Pieces of a lower-case text that may hide a word."""
-    out = []
+def suspects(text: str) -> set[tuple[str, ...]]:
+    """Pieces of a lower-case text that may hide a word, each as its readings: with and without signs at the edges."""
+    out = set()
     for token in set(text.split()):
-        if not 3 <= len(token) <= 64:
-            continue
         if token.isalpha():
             if REPEAT.search(token):
-                out.append(token)
-            continue
-        core = token.strip(EDGE).rstrip("!*%&$#+")
-        if len(core) < 3:
+                out.add((token,))
             continue
-        if core.isalpha():
-            if REPEAT.search(core):
-                out.append(core)
-        elif sum(map(str.isalpha, core)) * 2 >= len(core):
-            out.append(core)
-    out += [m.group() for m in SET_APART.finditer(text) if len(m.group()) <= 80]
+        whole = token.strip(MARKS)
+        core = token.strip(EDGE)
+        if not NUMBER.fullmatch(core):
+            readings = dict.fromkeys((whole, core, core.rstrip("!*%&$#+")))
+            out.add(tuple(r for r in readings if r and (not r.isalpha() or REPEAT.search(r))))
+    for m in SET_APART.finditer(text):
+        if WORD.search(m.group()):
+            # of the separators, these two are also signs
+            out.add(tuple(dict.fromkeys((m.group(), m.group().replace("*", "-").replace("|", "-")))))
+    out.discard(())
     return out
 
 
@@ -99,7 +107,7 @@ class Decoder:
         return x
 
     def lattice(self, token: str) -> list[list[str]]:
-        """Alternatives per place; an alternative is a string of 0 to 2 letters, or the run itself."""
+        """Alternatives per place; an alternative is a string of 0 to 2 letters, or a space: the end of a word."""
         out, i = [], 0
         while i < len(token):
             c, j = token[i], i + 1
@@ -110,7 +118,9 @@ class Decoder:
                 out.append([c] if n == 1 else [c, c * 2] if n > 2 else [c * 2, c])
             else:
                 letters = SIGNS.get(c, "")
-                if n > 1 or not letters:
+                if not letters:
+                    out.append(["", " "])
+                elif n > 1:
                     out.append(["", *[x for x in letters], *[x * 2 for x in letters]])
                 elif c.isdigit():
                     out.append(list(letters))
@@ -120,22 +130,31 @@ class Decoder:
         return out
 
     def __call__(self, token: str) -> str:
-        # state: the last two letters; value: (cost, restored)
-        states = {("", ""): (0.0, "")}
+        # state: the last two letters; value: (cost, restored as a chain from its end)
+        states: dict[tuple[str, str], tuple[float, tuple | None]] = {("", ""): (0.0, None)}
         for options in self.lattice(token):
-            new: dict[tuple[str, str], tuple[float, str]] = {}
+            new: dict[tuple[str, str], tuple[float, tuple | None]] = {}
             for (a, b), (cost, done) in states.items():
                 for option in options:
                     x, y, c = a, b, cost
-                    for ch in option:
-                        c += self._cost(x, y, ch)
-                        x, y = y, ch
-                    if not option:
-                        c += 0.5
+                    if option == " ":
+                        c += 0.5 + (self._cost(a, b, "") if b else 0.0)
+                        x = y = ""
+                    else:
+                        for ch in option:
+                            c += self._cost(x, y, ch)
+                            x, y = y, ch
+                        if not option:
+                            c += 0.5
                     if (x, y) not in new or c < new[x, y][0]:
-                        new[x, y] = (c, done + option)
+                        new[x, y] = (c, (done, option) if option else done)
             states = new
-        return min((c + self._cost(a, b, ""), w) for (a, b), (c, w) in states.items())[1]
+        chain = min((c + (self._cost(a, b, "") if b else 0.0), i, w) for i, ((a, b), (c, w)) in enumerate(states.items()))[2]
+        out = []
+        while chain:
+            chain, option = chain
+            out.append(option)
+        return "".join(reversed(out))
 
 
 def bucket(a: str, b: str, c: str) -> int:
@@ -153,11 +172,22 @@ class Model:
 
     def scorer(self):
         decode, lexicon, known = Decoder(self.tri, self.bi), self.lexicon, {}
-        prior = self.prior
+        prior, hidden = self.prior, {}
 
         def best(word: str) -> float:
             return max((lexicon.get(f, 0.0) for f in features(word)), default=0.0)
 
+        def restored(reading: str) -> tuple[tuple[str, float], ...]:
+            """The words a reading decodes to that weigh something, with their weight."""
+            x = hidden.get(reading)
+            if x is None:
+                each = {w: max([0.0, *(lexicon.get(f, 0.0) for f in features(w) if len(f) != 5 or f[-1] != "~")])
+                        for w in WORD.findall(decode(reading))}
+                x = tuple((w, v) for w, v in each.items() if v)
+                if len(reading) <= KEPT:
+                    hidden[reading] = x
+            return x
+
         def score(text: str | None) -> float:
             low = (text or "").lower()
             got = set(WORD.findall(low))
@@ -170,14 +200,10 @@ class Model:
                     x = known[w] = best(w)
                 total += x
             if lexicon:
-                for token in set(suspects(low)):
-                    x = known.get("\0" + token)
-                    if x is None:
-                        x = 0.0
-                        for w in set(WORD.findall(decode(token))) - got:
-                            x = max([x, *(lexicon.get(f, 0.0) for f in features(w) if len(f) != 5 or f[-1] != "~")])
-                        known["\0" + token] = x
-                    total += x
+                if len(hidden) > FLUSH:
+                    hidden.clear()
+                for readings in suspects(low):
+                    total += max(sum(v for w, v in restored(r) if w not in got) for r in readings)
             return 0.0 if prior < -100 else 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, prior + total))))
 
         return score

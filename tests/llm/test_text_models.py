@@ -99,6 +99,32 @@ def test_toxicity_on_held_out_and_disguised_documents(toxic, make_docs):
     assert left.columns == odd.columns and left.count() == len(clean)
 
 
+def test_toxicity_of_signs_long_runs_and_spaced_sentences(toxic, make_docs):
+    docs, labels, _ = toxic
+    model = T.fit(docs, labels)
+    rng = random.Random(4)
+    plain = words_in("aa", rng, 20)
+    spaced = " ".join("".join(["toka", "snotface", *words_in("aa", rng, 30)]))
+    assert len(spaced) > 80
+    hidden = [" ".join([*plain, x]) for x in (
+        "5n07f4(3", "(10dp01e", "d1mwi773n", "$n07f4c3!!", "snotf" + "a" * 80 + "ce", "t o k a s n o t f a c e t o k a",
+        "toka.toka.snotface", "toka-" * 20 + "sn0tface")] + [spaced]
+    clean = [" ".join([*plain, x]) for x in ("2024-01-03", "$1,000.50", "+1-555-123-4567", "10:30", "1 2 3 4", "455", "k a t o m i",
+                                              "t0ka", "ka!!", "(mito)", "#rami", "ka" * 3000 + "1", "1a" * 3000)]
+    score = {r["doc_id"]: r["score"] for r in T.scored(make_docs([*hidden, *clean]).drop("score"), model).collect()}
+    assert all(score[i] >= T.THRESHOLD for i in range(len(hidden))), score
+    assert all(score[i] < T.THRESHOLD for i in range(len(hidden), len(hidden) + len(clean))), score
+
+
+def test_toxicity_reads_a_disguise_whatever_came_before(toxic):
+    """A restored word that one text also holds plainly still counts in the next text."""
+    docs, labels, _ = toxic
+    score = T.fit(docs, labels).scorer()
+    alone = T.fit(docs, labels).scorer()("kato sn0tface")
+    score("kato snotface sn0tface")
+    assert score("kato sn0tface") == alone > score("kato")
+
+
 def test_toxicity_without_labels(spark, make_docs):
     docs = make_docs(["a b", None], [None, 2])
     none = spark.createDataFrame([(2, None), (None, 1)], "doc_id long, toxic int")
