@@ -2,13 +2,18 @@
 
 A text is split into paragraphs (at line breaks, and after ``.``, ``!`` or ``?``
 before a space, so that single-line texts have several). Each paragraph hashes
-to a wide vector of ``LANES`` numbers modulo ``2**BITS`` that is 0 but in
-one lane, and the fingerprint is the sum of these vectors modulo that
-power. Hence the order of paragraphs does not matter, equal multisets have
-equal fingerprints, and paragraphs are inserted by adding and deleted by
-subtracting their vectors (``combined``, ``removed``). Likeness of two
-fingerprints: of the lanes that are not 0 in both, the share that agree
-(1.0 for two empty ones).
+to a wide vector of ``LANES`` numbers modulo ``2**BITS``, and the fingerprint is
+the sum of these vectors modulo that power. Hence the order of paragraphs does
+not matter, equal multisets have equal fingerprints, and paragraphs are inserted
+by adding and deleted by subtracting their vectors (``combined``, ``removed``).
+
+Every entry has a hashed +1 or -1 in its ``SIGN_BITS`` low bits and hashed bits
+above them, so the low bits of a lane hold a sum of signs (below ``2**31`` in
+amount, as a text has fewer paragraphs). Likeness of two fingerprints is the
+cosine of these sums, which estimates the cosine of the two multisets (the
+share of paragraphs in common, for texts of equal size) whatever their length,
+with a standard error of at most about ``1 / sqrt(LANES)``. Below 0 it counts as
+0; equal fingerprints have 1.0 (also two empty ones).
 
 Null counts as empty text; the fingerprint of a text without paragraphs is all
 zeros. Documents are ordered by descending doc_id, null last, equal ids by text
@@ -21,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardiolake.llm.common import read_table
 
-LANES, BITS = 64, 48
+LANES, BITS, SIGN_BITS = 64, 48, 32
 MASK = (1 << BITS) - 1
 PARAGRAPH = r"\n|(?<=[.!?]) "
 #: Ranges of doc_id the documents are dealt into, at most (bounds the literal list of limits).
@@ -31,13 +36,17 @@ MOST_RANGES, ROWS_PER_RANGE = 2048, 4096
 def fingerprint(text: Column) -> Column:
     """Text -> array of ``LANES`` numbers below 2**BITS."""
     units = F.filter(F.split(text, PARAGRAPH), lambda p: F.length(F.trim(p)) > 0)
-    # one hash gives the lane (low bits) and the entry (high bits)
     hashes = F.transform(units, lambda p: F.xxhash64(F.trim(p)))
-    return F.aggregate(
-        hashes, F.array_repeat(F.lit(0).cast("long"), LANES),
-        lambda acc, h: F.transform(acc, lambda x, i: F.when(
-            i == h.bitwiseAND(F.lit(LANES - 1)),
-            (x + F.shiftrightunsigned(h, 64 - BITS)).bitwiseAND(F.lit(MASK))).otherwise(x)))
+    wide = F.lit((MASK >> SIGN_BITS) << SIGN_BITS)
+
+    def entry(h: Column, lane: Column) -> Column:
+        x = F.xxhash64(h, lane)  # its high bits fill the lane's, its lowest bit is the sign
+        return x.bitwiseAND(wide) + F.lit(1) - x.bitwiseAND(F.lit(1)) * 2
+
+    lanes = F.array(*[F.lit(i) for i in range(LANES)])
+    # the outer transform, over one element, keeps the hashes from being computed again for each lane
+    return F.transform(F.array(hashes), lambda own: F.transform(lanes, lambda lane: F.aggregate(
+        own, F.lit(0).cast("long"), lambda acc, h: (acc + entry(h, lane)).bitwiseAND(F.lit(MASK)))))[0]
 
 
 def combined(a: Column, b: Column) -> Column:
@@ -54,12 +63,21 @@ def as_hex(print_: Column) -> Column:
     return F.lower(F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x), BITS // 4, "0")), ""))
 
 
+def signs(print_: Column) -> Column:
+    """The sums of signs of a fingerprint's lanes."""
+    half = 1 << (SIGN_BITS - 1)
+    return F.transform(print_, lambda x: ((x + F.lit(half)).bitwiseAND(F.lit((1 << SIGN_BITS) - 1)) - F.lit(half)).cast("double"))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of agreeing lanes among those that are not 0 in both."""
-    both = F.arrays_zip(a.alias("a"), b.alias("b"))
-    used = F.filter(both, lambda e: (e["a"] != 0) | (e["b"] != 0))
-    same = F.filter(used, lambda e: e["a"] == e["b"])
-    return F.when(F.size(used) == 0, F.lit(1.0)).otherwise(F.size(same) / F.size(used)).cast("double")
+    """Cosine of the sums of signs, at least 0; 1.0 for equal fingerprints."""
+    def product(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
+
+    x, y = signs(a), signs(b)
+    norm = F.sqrt(product(x, x)) * F.sqrt(product(y, y))
+    return (F.when(a == b, F.lit(1.0)).when(norm == 0, F.lit(0.0))
+            .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), product(x, y) / norm))))
 
 
 def with_next(docs: DataFrame, columns: list[str], key: str) -> DataFrame:

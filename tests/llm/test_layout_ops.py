@@ -247,3 +247,23 @@ def test_fingerprint_is_homomorphic(spark):
                   P.likeness(F.col("a"), F.col("turned")).alias("one"), P.as_hex(F.col("a")).alias("hex")).first()
     assert r["sum"] == r["both"] and r["less"] == r["a"] == r["turned"] and r["one"] == 1.0
     assert len(r["hex"]) == P.LANES * P.BITS // 4
+
+
+def test_likeness_estimates_the_shared_part_at_any_length(spark):
+    rows = []
+    for n in (60, 300, 1500, 4000):
+        p = [f"{n} sentence {i}." for i in range(n)]
+        for keep in (0.0, 1 / 3, 2 / 3, 0.9):
+            k = round(keep * n)
+            rows.append((n, k / n, " ".join(p), " ".join(p[:k] + [f"{n} other {i}." for i in range(n - k)])))
+    got = spark.createDataFrame(rows, "n int, kept double, a string, b string").select(
+        "n", "kept", P.likeness(P.fingerprint(F.col("a")), P.fingerprint(F.col("b"))).alias("near")).collect()
+    for r in got:  # three standard errors
+        assert abs(r["near"] - r["kept"]) <= 3 * (1 - r["kept"] ** 2) / P.LANES ** 0.5, r
+    assert min(r["near"] for r in got if r["kept"] > 0.6) > max(r["near"] for r in got if r["kept"] == 0)
+
+
+def test_every_paragraph_fills_all_lanes(spark):
+    one = spark.range(1).select(P.fingerprint(F.lit("one paragraph")).alias("p"), P.fingerprint(F.lit("")).alias("z"),
+                                P.signs(P.fingerprint(F.lit("one paragraph"))).alias("s")).first()
+    assert all(one["p"]) and not any(one["z"]) and {abs(x) for x in one["s"]} == {1.0}
