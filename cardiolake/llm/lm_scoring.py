@@ -32,8 +32,8 @@ from cardiolake.llm.pieces import MARK, Model, default_model
 FREQUENT, FLUSH, CACHE = 1 << 17, 200_000, 150_000
 SMOOTH = 0.5
 LN10 = math.log(10)
-#: Words longer than this are cut for the lattice (pieces do not cross the cuts).
-LONGEST = 256
+#: Words longer than this are summed one by one, with the pieces of so many places looked up at once.
+LONG, PLACES = 64, 1 << 14
 
 
 def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
@@ -99,7 +99,9 @@ class Lattice:
 
     Words of one length go through the recursion together: place by place, each
     piece that starts there carries the sum up to its start to its end. Pieces
-    are found by a 64-bit hash of their characters in two tables.
+    are found by a 64-bit hash of their characters in two tables. A long word goes
+    alone, whole: its pieces are looked up for many places together, and sums are
+    handed on from block to block for as many places as the longest piece has.
     """
 
     PRIME = np.uint64(0x100000001B3)
@@ -114,6 +116,7 @@ class Lattice:
                 self.byte[int(lib.id_to_piece(i)[3:5], 16)] = p
             elif not (lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i)):
                 piece[lib.id_to_piece(i)] = p * LN10
+        self.longest = max(map(len, piece), default=1)
         for text in list(piece):  # a beginning of a piece says that it may go on
             for k in range(1, len(text)):
                 piece.setdefault(text[:k], -math.inf)
@@ -168,7 +171,10 @@ class Lattice:
         out = np.zeros(len(texts))
         by: dict[int, list[int]] = {}
         for i, t in enumerate(texts):
-            by.setdefault(len(t), []).append(i)
+            if len(t) > LONG:
+                out[i] = self._long(np.frombuffer(t.encode("utf-32-le"), "<u4").astype(np.uint64))
+            else:
+                by.setdefault(len(t), []).append(i)
         for n, rows in by.items():
             if n:
                 for lo in range(0, len(rows), 4096):
@@ -196,6 +202,36 @@ class Lattice:
                 alpha[j, to] = np.logaddexp(alpha[j, to], alpha[i, to] + p[hit])
         return alpha[n] / LN10
 
+    def _long(self, codes: np.ndarray) -> float:
+        n, scale = len(codes), 0.0
+        sums = [1.0] + [0.0] * self.longest  # times e ** scale, from the block's first place on
+        for lo in range(0, n, PLACES):
+            size = min(PLACES, n - lo)
+            live, h = np.arange(size), np.zeros(size, np.uint64)
+            starts, stops, logs = [live], [live + 1], [self.spelled(codes[lo:lo + size]) * LN10]
+            for k in range(self.longest):
+                live, h = live[live + k < n - lo], h[live + k < n - lo]
+                found, p = self._lookup(h := self._step(h, codes[lo + live + k]))
+                live, h, p = live[found], h[found], p[found]
+                if not len(live):
+                    break
+                hit = p > -np.inf
+                starts.append(live[hit])
+                stops.append(live[hit] + k + 1)
+                logs.append(p[hit])
+            at = np.concatenate(starts)
+            order = np.argsort(at, kind="stable")
+            sums += [0.0] * size
+            for i, j, p in zip(at[order].tolist(), np.concatenate(stops)[order].tolist(),
+                               np.exp(np.concatenate(logs))[order].tolist(), strict=True):
+                if sums[i] < 1e-150 and (top := max(sums[i:i + self.longest + 1])) < 1e-100:
+                    for x in range(i, i + self.longest + 1):
+                        sums[x] /= top
+                    scale += math.log(top)
+                sums[j] += sums[i] * p
+            sums = sums[size:]
+        return (math.log(sums[0]) + scale) / LN10
+
 
 def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None = None, id_col: str = "doc_id",
                     text_col: str = "text", carry: dict | None = None) -> DataFrame:
@@ -231,10 +267,7 @@ def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None =
                 score_of.clear()
             texts = [Counter(words(t)) for t in c["text"]]
             new = list({w for t in texts for w in t if w not in score_of})
-            cut = [(k, s[i:i + LONGEST]) for k, w in enumerate(new) for s in [MARK + w.decode()]
-                   for i in range(0, len(s), LONGEST)]
-            value = np.bincount([k for k, _ in cut], weights=lattice([s for _, s in cut]), minlength=len(new)) if cut else []
-            score_of.update(zip(new, value, strict=True))
+            score_of.update(zip(new, lattice([MARK + w.decode() for w in new]), strict=True))
             out = []
             for k, tokens in enumerate(texts):
                 n, hit, base, total = 1, int(ends > 0), math.log10(ends + 1), stop

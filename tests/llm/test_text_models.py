@@ -177,6 +177,45 @@ def test_lattice_sums_all_segmentations():
     assert np.allclose(lattice(texts), [math.log10(total(t)) for t in texts])
 
 
+def test_lattice_of_long_words_is_not_cut(monkeypatch):
+    """Words of several lengths, far over 256 characters, against a plain recursion; scores of documents use whole words."""
+    with open(default_model(), "rb") as f:
+        blob = f.read()
+    rng = random.Random(2)
+    log10 = np.log10(np.random.default_rng(1).dirichlet(np.ones(32000))).tolist()
+    lattice = S.Lattice(blob, log10)
+    lib = S.Model(blob).library
+    piece = {lib.id_to_piece(i): log10[i] for i in range(32000) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))}
+    byte = {int(lib.id_to_piece(i)[3:5], 16): log10[i] for i in range(32000) if lib.is_byte(i)}
+    longest = max(map(len, piece))
+
+    def total(w):
+        sums = [0.0]
+        for j in range(1, len(w) + 1):
+            ways = [sums[j - 1] + sum(byte[b] for b in w[j - 1].encode())]
+            ways += [sums[i] + piece[w[i:j]] for i in range(max(0, j - longest), j) if w[i:j] in piece]
+            top = max(ways)
+            sums.append(top + math.log10(sum(10 ** (x - top) for x in ways)))
+        return sums[-1]
+
+    texts = [MARK + "".join(rng.choice(["the", "ing", "ation", "é", "日", "q", "----"]) for _ in range(n))
+             for n in (0, 1, 5, 40, 41, 90, 200, 700, 701, 3)]
+    assert max(map(len, texts)) > 1000
+    assert np.allclose(lattice(texts), [total(t) for t in texts], rtol=1e-9)
+    monkeypatch.setattr(S, "PLACES", 50)
+    assert np.allclose(lattice(texts), [total(t) for t in texts], rtol=1e-9)
+
+
+def test_lm_scores_whole_words(make_docs):
+    docs = make_docs(["ab" * 5, "international" * 40])
+    with open(default_model(), "rb") as f:
+        blob = f.read()
+    got = {r["doc_id"]: r["score"] for r in S.score_documents(docs, docs).collect()}
+    lattice = S.Lattice(blob, S.piece_log10(S.word_counts(docs), blob))
+    stop = math.log10((2 + 1) / (4 + 2 + 2))  # two ends among four tokens
+    assert math.isclose(got[1], lattice([MARK + "international" * 40])[0] + stop, rel_tol=1e-9)
+
+
 def test_lm_empty_tables(make_docs):
     docs = make_docs(["a b", None])
     assert S.score_documents(docs.limit(0), docs).count() == 0
