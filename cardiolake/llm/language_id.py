@@ -144,15 +144,25 @@ class Reader:
 def viterbi(score: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Likeliest language of each word when a change costs ``switch``.
 
-    Without search where none is needed: if no language beats the leader by
-    more than ``switch`` over any stretch of words, the leader keeps them all.
+    Without search where the leader (best over all words, so no single language
+    gains on it there) keeps them all. A path that leaves it for k stretches of
+    one language each pays for at least k - 1 changes, and for k = 1 for one unless
+    it gains nothing. So it is enough that no stretch gains more than
+    ``switch / 2``; or that no run of words gains more than ``switch`` over the
+    leader even with free changes among the others.
     """
     n, k = score.shape
     lead = int(score.sum(axis=0).argmax())
     gain = np.cumsum(score - score[:, lead:lead + 1], axis=0, dtype=np.float64)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, k)), gain[:-1]]), axis=0)
-    if float((gain - low).max()) <= switch:
+    most = float((gain - low).max())
+    if most <= switch / 2:
         return np.full(n, lead)
+    if most <= switch:
+        others = np.delete(score, lead, axis=1).max(axis=1) - score[:, lead]
+        free = np.cumsum(others, dtype=np.float64)
+        if float((free - np.minimum.accumulate(np.concatenate([[0.0], free[:-1]]))).max()) <= switch:
+            return np.full(n, lead)
     value, back = score[0].astype(np.float64), np.empty((n, k), np.int16)
     own = np.arange(k)
     for i in range(1, n):

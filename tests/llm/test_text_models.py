@@ -62,6 +62,19 @@ def test_viterbi_equals_brute_force():
         assert math.isclose(sum(score[i, own[i]] for i in range(n)) - price * int((own[1:] != own[:-1]).sum()), max(worth))
 
 
+def test_viterbi_without_the_leader():
+    """Two languages that each win one stretch, by less than a change costs, against a third that leads."""
+    assert L.viterbi(np.array([[0.0, 10, -15], [0, -15, 10]]), 12.0).tolist() == [1, 2]
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        n, k = int(rng.integers(2, 7)), 4
+        score, price = rng.normal(0, 6, (n, k)), float(rng.uniform(4, 16))
+        paths = np.stack(np.meshgrid(*[range(k)] * n, indexing="ij"), -1).reshape(-1, n)
+        worth = score[np.arange(n), paths].sum(axis=1) - price * (paths[:, 1:] != paths[:, :-1]).sum(axis=1)
+        own = L.viterbi(score, price)
+        assert math.isclose(score[np.arange(n), own].sum() - price * int((own[1:] != own[:-1]).sum()), worth.max())
+
+
 INSULTS = ["blarghead", "snotface", "dimwitten", "clodpole"]
 
 
