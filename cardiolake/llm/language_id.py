@@ -14,7 +14,8 @@ many words of each script a language has. Words are runs of letters. For a text:
 ``lang_pred`` is the language with the most letters in its spans (the smaller
 name wins a tie) and ``score`` its share of the letters. Null text, and text
 without a letter, is ``und`` with score 0, as is every text if nothing was
-learned. Rows without a language are not learned from; rows that repeat a
+learned. Every language is learned (the model holds 128 KB for each).
+Rows without a language are not learned from; rows that repeat a
 doc_id are labelled alike; an empty table gives an empty result.
 """
 
@@ -25,13 +26,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardiolake.llm.common import fold, map_rows, read_table
+from cardiolake.llm.common import fold, map_rows, read_table, settle
 
 SIZES = (1, 2, 3)
 BUCKETS = 1 << 15
 SWITCH, SHARE, SMOOTH = 12.0, 0.01, 0.3
-#: Languages learned at most: the most frequent ones (the model is one column of fixed length for each).
-MOST_LANGUAGES = 200
+#: Languages whose counts come to the driver at once, and cells (letter, language) scored at once.
+TOGETHER, CELLS = 200, 1 << 24
 #: Code points looked up for being a letter; those above count as none.
 TOP = 0x33000
 #: First code points of script ranges, ascending, with their script; fixed values.
@@ -110,11 +111,20 @@ class Reader:
 
     def scores(self, w: Words) -> np.ndarray:
         """(word, language): log-probabilities; -1e6 for languages the script rules out."""
-        total = np.zeros((len(w.x), len(self.m.languages)), np.float32)
-        for h in grams(w.x):
-            total[:len(h)] += self.m.table[h]
+        at, many = w.starts - 1, len(self.m.languages)
         # a word owns the places from the edge before it; what follows its last letter is 0 or the next word's edge
-        out = np.add.reduceat(total, w.starts - 1, axis=0)
+        hashes, out, step = list(grams(w.x)), [], max(1, CELLS // many)
+        first = 0
+        while first < len(at):  # words whose places fit, at least one
+            last = max(first + 1, int(np.searchsorted(at, at[first] + step)))
+            lo, hi = int(at[first]), int(at[last]) if last < len(at) else len(w.x)
+            total = np.zeros((hi - lo, many), np.float32)
+            for h in hashes:
+                part = h[lo:hi]
+                total[:len(part)] += self.m.table[part]
+            out.append(np.add.reduceat(total, at[first:last] - lo, axis=0))
+            first = last
+        out = out[0] if len(out) == 1 else np.concatenate(out)
         return np.where(self.m.allowed[w.scripts], out, np.float32(-1e6))
 
     def spans(self, text: str | None) -> list[tuple[str, int, int, int]]:
@@ -163,7 +173,7 @@ def viterbi(score: np.ndarray, switch: float = SWITCH) -> np.ndarray:
         free = np.cumsum(others, dtype=np.float64)
         if float((free - np.minimum.accumulate(np.concatenate([[0.0], free[:-1]]))).max()) <= switch:
             return np.full(n, lead)
-    value, back = score[0].astype(np.float64), np.empty((n, k), np.int16)
+    value, back = score[0].astype(np.float64), np.empty((n, k), np.int16 if k < 1 << 15 else np.int32)
     own = np.arange(k)
     for i in range(1, n):
         top = int(value.argmax())
@@ -180,8 +190,7 @@ def viterbi(score: np.ndarray, switch: float = SWITCH) -> np.ndarray:
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Counts over all rows of ``docs`` that have a language; the model is small and of fixed size per language."""
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    languages = sorted(r["lang"] for r in most.collect())  # at most MOST_LANGUAGES rows
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())  # a row for each language
     if not languages:
         return Model([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros((len(NAMES), 0), bool))
     at = {x: i for i, x in enumerate(languages)}
@@ -205,16 +214,22 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mode
         each.close = lambda: [(k, int(p), int(t[p])) for k, t in total.items() for p in np.flatnonzero(t)]
         return each
 
-    # at most (BUCKETS + scripts + 1) rows per language
+    # at most (BUCKETS + scripts + 1) rows per language, of TOGETHER languages at once
     counts = (map_rows(rows, make, "k int, place int, n long", rows_per_output=200)
-              .groupBy("k", "place").agg(F.sum("n").alias("n")).toPandas())
-    table = np.zeros((BUCKETS + 1 + len(NAMES), len(languages)))
-    table[counts["place"].to_numpy(dtype=int), counts["k"].to_numpy(dtype=int)] = counts["n"].to_numpy(dtype=float)
-    seen, scripts = table[:BUCKETS], table[BUCKETS + 1:]
-    logs = np.log((seen + SMOOTH) / (seen.sum(axis=0) + SMOOTH * BUCKETS))
+              .groupBy("k", "place").agg(F.sum("n").alias("n")))
+    if len(languages) > TOGETHER:
+        counts = settle(counts)
+    logs, scripts = np.zeros((BUCKETS + 1, len(languages)), np.float32), np.zeros((len(NAMES), len(languages)))
+    for lo in range(0, len(languages), TOGETHER):
+        hi = min(lo + TOGETHER, len(languages))
+        some = (counts if len(languages) <= TOGETHER else counts.where(F.col("k").between(lo, hi - 1))).toPandas()
+        table = np.zeros((BUCKETS + 1 + len(NAMES), hi - lo))
+        table[some["place"].to_numpy(dtype=int), some["k"].to_numpy(dtype=int) - lo] = some["n"].to_numpy(dtype=float)
+        seen, scripts[:, lo:hi] = table[:BUCKETS], table[BUCKETS + 1:]
+        logs[:BUCKETS, lo:hi] = np.log((seen + SMOOTH) / (seen.sum(axis=0) + SMOOTH * BUCKETS))
     allowed = scripts >= np.maximum(1, SHARE * scripts.sum(axis=0))
     allowed[~allowed.any(axis=1)] = True
-    return Model(languages, np.vstack([logs, np.zeros((1, len(languages)))]).astype(np.float32), allowed)
+    return Model(languages, logs, allowed)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

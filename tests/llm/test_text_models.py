@@ -51,6 +51,22 @@ def test_spans_of_mixed_text_and_odd_cases(languages, make_docs):
     assert {r["lang_pred"] for r in L.identify(odd, L.fit(odd)).collect()} == {"und"}
 
 
+def test_every_language_is_learned(make_docs, monkeypatch):
+    """More than 200 languages, each of its own words; the rarer ones are told apart too, also in small batches."""
+    rng = random.Random(8)
+    names = [f"l{i:03d}" for i in range(230)]
+    own = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(4)] for _ in names]
+    docs = make_docs([" ".join(w * (1 if i % 2 else 2)) for i, w in enumerate(own)] + [" ".join(w) for w in own[:200]],
+                     langs=names + names[:200])
+    model = L.fit(docs)
+    got = dict(rows_of(L.identify(docs, model), "doc_id", "lang_pred"))
+    assert [got[i] for i in range(len(names))] == names
+    letters, reader = L.Letters()(" ".join(own[0] + own[229])), model.reader()
+    whole = reader.scores(letters)
+    monkeypatch.setattr(L, "CELLS", 3000)
+    assert np.allclose(whole, reader.scores(letters), atol=1e-3)
+
+
 def test_viterbi_equals_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(60):
