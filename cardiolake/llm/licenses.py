@@ -7,7 +7,8 @@ Texts are lower-cased (A-Z) and read as words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\
   into ``edits + 1`` pieces; by the pigeonhole principle any such match holds one
   piece unchanged, so one automaton over all pieces finds every candidate place.
   The regex library then matches the notice with bounded errors (best match)
-  in a window around the piece, and the match is reported as a span of the text.
+  in a window around the piece, and again in what the match leaves before and
+  behind it; the matches are reported as spans of the text.
 
 Labels are the base labels and those of the matched notices. Null counts as
 empty text: no words, no labels, score 0. score: 1 with a base phrase, otherwise
@@ -106,15 +107,15 @@ class Scanner:
                 t, _, e, _ = self.notices[k]
                 lo, hi = max(0, start - offset - e), start - offset + len(t) + e
                 spans = windows.setdefault(k, [])
-                if spans and lo <= spans[-1][1]:  # seeds come in text order: windows merge
-                    spans[-1][1] = max(spans[-1][1], hi)
-                else:
-                    spans.append([lo, hi])
+                while spans and lo <= spans[-1][1]:  # windows merge; a later seed's may start before earlier ones
+                    a, b = spans.pop()
+                    lo, hi = min(lo, a), max(hi, b)
+                spans.append([lo, hi])
         hits = {}
         for k, spans in windows.items():
             t, label, e, pattern = self.notices[k]
             for lo, hi in spans:
-                for m in pattern.finditer(line, lo, hi):
+                for m in _matches(pattern, line, lo, hi, len(t) - e):
                     edits = sum(m.fuzzy_counts)
                     key = (label, m.start(), m.end())
                     hits[key] = min(edits, hits.get(key, edits))
@@ -135,6 +136,16 @@ class Scanner:
         return out
 
 
+def _matches(pattern, line, lo, hi, least):
+    """Best match of a stretch, then those of what is left on either side (``least``: size of the shortest match)."""
+    todo = [(lo, min(hi, len(line)))]
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo >= least and (m := pattern.search(line, lo, hi)):
+            yield m
+            todo += [(lo, m.start()), (m.end(), hi)]
+
+
 def _places(tokens, phrase):
     """Word numbers where ``phrase`` starts."""
     out, i = [], -1

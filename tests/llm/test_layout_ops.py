@@ -105,6 +105,24 @@ def test_pigeonhole_misses_no_bounded_match():
             assert label == "mit" and 0 <= a < b <= len(text)
 
 
+def test_license_spans_of_neighbours_are_all_found():
+    """Worse matches before, between and behind better ones; windows that start before the ones seen earlier."""
+    scan = C.Scanner({}, [("the mit license", "mit", 1)])
+    text = "the mjt license the mit license the mit licens the mit license tha mit license"
+    assert [text[s[1]:s[2]] for s in scan(text)[1]] == ["the mjt license", "the mit license", "the mit licens",
+                                                        "the mit license", "tha mit license"]
+    target = "released under the mit license"
+    scan, rng = C.Scanner({}, [(target, "mit", 3)]), random.Random(5)
+    for _ in range(100):
+        parts = []
+        for _ in range(4):
+            w = list(target)
+            for i in rng.sample([i for i, c in enumerate(w) if c != " "][1:-1], rng.randint(0, 3)):
+                w[i] = "z"
+            parts.append("".join(w))
+        assert len(scan(" xx ".join(parts))[1]) == 4, parts
+
+
 def test_license_spans_point_into_the_text():
     n, spans = C.Scanner()("Ünïcode: the MIT License.")
     assert n == 4 and ("mit", 13, 24, 2, 0, True) in spans
