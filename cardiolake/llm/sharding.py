@@ -3,7 +3,9 @@
 Records hash into ``SLOTS`` virtual slots for good. A slot-to-shard map, a table
 of ``SLOTS`` rows with a version, says where a slot lives; rebalancing edits the
 map and gives the edit the next version, so a record moves only if its slot
-does. Loads are bytes per slot (an aggregate with map-side sums); the map is
+does. The query keeps the maps of each input in the shared folder: it goes on from
+the newest one and stores an edit as the next version (without a move, no new
+version). Loads are bytes per slot (an aggregate with map-side sums); the map is
 edited on the driver, which sees ``SLOTS`` numbers whatever the size of the data.
 
 Law: ``bytes``. ``rebalanced`` moves slots from shards above the mean to shards
@@ -20,9 +22,13 @@ text hash), so no window holds more than a slot.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardiolake.llm.common import read_table, settle
+from cardiolake.session import ensure_checkpoint_dir
 
 SLOTS, SHARDS = 4096, 8
 
@@ -101,6 +107,16 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> tupl
     return version, [r[0] for r in rows]
 
 
+def newest_map(spark: SparkSession, path: str) -> tuple[int, list[int]] | None:
+    """(version, placing) of the newest version, None if there is none."""
+    try:
+        return load_map(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """Narrow records: doc_id, size, text_crc32, virtual_slot, _tie."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -116,20 +132,31 @@ def slot_loads(records: DataFrame) -> DataFrame:
 
 
 def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
-               id_col: str = "doc_id", text_col: str = "text", placing: list[int] | None = None) -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", placing: list[int] | None = None,
+               version: int = 0, maps: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version.
 
-    ``placing`` continues a stored map; without one, version 0 deals slots round-robin.
+    ``placing`` continues the map of that ``version``, and ``maps`` the newest one stored in that folder, where
+    an edit is stored as the next version; without one, version 0 deals slots round-robin.
     """
     spark = docs.sparkSession
     records = settle(slotted(docs, id_col, text_col, slots))
     loads = {r["virtual_slot"]: (r["bytes"], r["rows"]) for r in slot_loads(records).collect()}  # at most `slots` rows
-    placing = rebalanced(placing or first_map(shards, slots), {s: b for s, (b, _) in loads.items()}, shards)
+    if maps and (stored := newest_map(spark, maps)):
+        version, placing = stored
+    before = placing or first_map(shards, slots)
+    if len(before) != slots:
+        raise ValueError(f"the map has {len(before)} slots, not {slots}")
+    placing = rebalanced(before, {s: b for s, (b, _) in loads.items()}, shards)
+    if placing != before or version == 0:
+        version += 1
+        if maps:
+            save_map(spark, placing, version, maps)
     offset, filled = [], [0] * shards
     for s, k in enumerate(placing):
         offset.append(filled[k])
         filled[k] += loads.get(s, (0, 0))[1]
-    places = map_table(spark, placing, 1).withColumn(
+    places = map_table(spark, placing, version).withColumn(
         "offset", F.element_at(F.array(*[F.lit(o).cast("long") for o in offset]), F.col("virtual_slot") + 1))
     within = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(F.col("doc_id").asc_nulls_first(), "_tie"))
     # the map has `slots` rows by construction
@@ -140,7 +167,9 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_rows(read_table(spark, sf_dir))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    maps = f"{shared}/shard-maps/{blake2b(sf_dir.encode(), digest_size=8).hexdigest()}"
+    return shard_rows(read_table(spark, sf_dir), maps=maps)
 
 
 QUERIES = {"op4_sharding": op4_sharding}

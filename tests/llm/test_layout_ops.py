@@ -58,6 +58,29 @@ def test_map_versions(spark, tmp_path):
         H.save_map(spark, first, 1, path)
 
 
+def test_runs_store_their_maps_and_go_on_from_the_newest(make_docs, tmp_path):
+    path = str(tmp_path / "maps")
+    docs, more = make_docs(texts_of(3)), make_docs(texts_of(3) + texts_of(4))
+    places = lambda rows: {r["virtual_slot"]: r["shard"] for r in rows}
+    spark = docs.sparkSession
+    assert H.newest_map(spark, path) is None
+    first = H.shard_rows(docs, maps=path).collect()
+    assert {r["map_version"] for r in first} == {1} and H.load_map(spark, path)[0] == 1
+    assert H.shard_rows(docs, maps=path).collect() and H.load_map(spark, path)[0] == 1  # no move, no version
+    grown = H.shard_rows(more, shards=9, maps=path).collect()
+    version, placing = H.load_map(spark, path)
+    assert version == 2 and {r["map_version"] for r in grown} == {2}
+    assert all(placing[s] == k for s, k in places(grown).items()) and 8 in places(grown).values()
+    assert all(H.load_map(spark, path, 1)[1][s] == k for s, k in places(first).items())
+    assert {r["map_version"] for r in H.shard_rows(more, placing=H.first_map(), version=4).collect()} == {5}
+
+
+def test_the_query_stores_its_map(make_docs, spark, tmp_path):
+    make_docs(texts_of(6)).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = [H.op4_sharding(spark, str(tmp_path)).select("doc_id", "shard", "slot", "map_version").collect() for _ in range(2)]
+    assert sorted(rows[0], key=repr) == sorted(rows[1], key=repr) and {r["map_version"] for r in rows[0]} == {1}
+
+
 def brute_license(text):
     word = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     w = word.findall((text or "").translate({65 + i: 97 + i for i in range(26)}))
