@@ -1,7 +1,9 @@
 """Rollups and descriptive statistics.
 
 All are hash aggregates with map-side partial aggregation; exact quantiles
-use ``percentile`` (value->count maps, merged across tasks).
+use ``percentile`` (value->count maps, merged across tasks), which suits daily
+tables; with ``spread=True`` they come from ``operators.ranking``, which holds
+no group's values together.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardiolake.functions.convert import round_to
 from cardiolake.functions.labels import sleep_band
+from cardiolake.operators.ranking import exact_quantiles, skew_join
 
 SUMMER = (6, 7, 8)
 WINTER = (12, 1, 2)
@@ -154,24 +157,30 @@ def _quartiles(v: Column, approx_accuracy: int | None) -> Column:
     return F.percentile_approx(v, qs, approx_accuracy)
 
 
+QUARTILES = [0.25, 0.5, 0.75]
+
+
 def describe(df: DataFrame, cols: list[str], group=("subject_id",),
-             approx_accuracy: int | None = None) -> DataFrame:
+             approx_accuracy: int | None = None, spread: bool = False) -> DataFrame:
     """Count, mean, std, min, quartiles, max per column, long format.
 
     Quartiles are exact (``percentile`` keeps each distinct value of a group),
-    which suits daily tables; for a hot group of raw samples pass
-    ``approx_accuracy`` to use bounded-memory ``percentile_approx``.
+    which suits daily tables; for a hot group of raw samples pass ``spread``
+    (exact, by value ranges) or ``approx_accuracy`` (``percentile_approx``).
     """
     g = list(group)
     stacked = df.select(*g, F.explode(F.array(*[
         F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value")) for c in cols
     ])).alias("_kv")).select(*g, "_kv.col_name", "_kv.value")
-    q = _quartiles(F.col("value"), approx_accuracy)
-    return (stacked.groupBy(*g, "col_name")
-            .agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                 F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                 q.alias("_q"), F.max("value").alias("max"))
-            .select(*g, "col_name", "count", "mean", "std", "min",
+    base = [F.count("value").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    keys = [*g, "col_name"]
+    if spread:
+        q = exact_quantiles(stacked, "value", QUARTILES, keys, "_q").drop("n")
+        rows = skew_join(stacked.groupBy(*keys).agg(*base), q, keys, "left")
+    else:
+        rows = stacked.groupBy(*keys).agg(*base, _quartiles(F.col("value"), approx_accuracy).alias("_q"))
+    return (rows.select(*g, "col_name", "count", "mean", "std", "min",
                     F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
                     F.col("_q")[2].alias("p75"), "max"))
 
@@ -198,27 +207,32 @@ def fitness_stats(ft: DataFrame, group=("subject_id",)) -> DataFrame:
 
 
 def box_stats(df: DataFrame, value: str, by: str | Column, by_name: str = "grp",
-              group=("subject_id",), approx_accuracy: int | None = None) -> DataFrame:
+              group=("subject_id",), approx_accuracy: int | None = None, spread: bool = False) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (furthest values inside the fences)
-    and the number of outliers per group. Quartiles come from one aggregate,
-    then a join back to the rows; no window spans a whole group."""
+    and the number of outliers per group. Quartiles come from one aggregate
+    (``spread``: from value ranges, for raw samples), then a join back to the
+    rows; no window spans a whole group."""
     g = list(group)
     b = F.col(by) if isinstance(by, str) else by
     v = df.select(*g, b.alias(by_name), F.col(value).alias("v")).where(F.col("v").isNotNull())
-    q = (v.groupBy(*g, by_name)
-         .agg(_quartiles(F.col("v"), approx_accuracy).alias("_q"))
-         .select(*g, by_name, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+    found = (exact_quantiles(v, "v", QUARTILES, [*g, by_name], "_q") if spread else
+             v.groupBy(*g, by_name).agg(_quartiles(F.col("v"), approx_accuracy).alias("_q")))
+    q = (found.select(*g, by_name, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3")))
     # fences and values compared at 9 digits: a value on a fence stays on it
     lo = F.round(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), 9)
     hi = F.round(F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")), 9)
     vr = F.round("v", 9)
-    j = v.join(q, g + [by_name])
+    if spread:  # equal values travel as one row with their number
+        v = v.groupBy(*g, by_name, "v").agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        v = v.withColumn("_n", F.lit(1).cast("long"))
+    j = skew_join(v, q, g + [by_name])
     return (j.groupBy(*g, by_name, "q1", "median", "q3")
             .agg(F.min(F.when(vr >= lo, F.col("v"))).alias("whisker_lo"),
                  F.max(F.when(vr <= hi, F.col("v"))).alias("whisker_hi"),
-                 F.count_if((vr < lo) | (vr > hi)).alias("n_outliers"),
-                 F.count(F.lit(1)).alias("n")))
+                 F.coalesce(F.sum(F.when((vr < lo) | (vr > hi), F.col("_n"))), F.lit(0)).alias("n_outliers"),
+                 F.sum("_n").alias("n")))
 
 
 def sleep_band_means(df: DataFrame, sleep: str = "sleep_hours", value: str = "hr_next",
@@ -246,9 +260,11 @@ def histogram(df: DataFrame, value: str, bins: int = 40, group=("subject_id",))
                     (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_end"), "n"))
 
 
-def median_marker(df: DataFrame, value: str, group=("subject_id",)) -> DataFrame:
+def median_marker(df: DataFrame, value: str, group=("subject_id",), spread: bool = False) -> DataFrame:
     """A35."""
     g = list(group)
+    if spread:
+        return exact_quantiles(df, value, [0.5], g, "_q").select(*g, F.col("_q")[0].alias("median"))
     return df.groupBy(*g).agg(F.median(value).alias("median"))
 
 

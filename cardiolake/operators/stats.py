@@ -1,30 +1,20 @@
 """Correlation and regression per subject.
 
 Pearson r, slope, intercept and R^2 are built-in aggregates (partial
-aggregation, no sort). Spearman ranks with ties averaged inside each
-subject's series (bounded by the calendar). The two-sided p-value needs the
-regularised incomplete beta function, which SQL lacks: a pandas UDF applies
-it to the small one-row-per-subject result only.
+aggregation, no sort). Spearman ranks a subject's daily or weekly series in a
+window, and series of any size by counting values (``operators.ranking``). The
+two-sided p-value is a native expression.
 """
 
 from __future__ import annotations
 
-import sys
-
-import math
-
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cardiolake.functions.labels import effect_label
+from cardiolake.operators.ranking import with_average_rank
 from cardiolake.operators.windows import average_rank
 
-# Python code of this module runs in Spark's Python workers; ship it with the
-# task so executors need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def pearson(df: DataFrame, x: str, y: str, group=("subject_id",)) -> DataFrame:
     """A36 + A38: n, r, R^2, slope and intercept of y ~ x (rows with both values)."""
@@ -38,22 +28,53 @@ def pearson(df: DataFrame, x: str, y: str, group=("subject_id",)) -> DataFrame:
 
 
 def spearman(df: DataFrame, x: str, y: str, group=("subject_id",), tie_digits: int | None = 9) -> DataFrame:
-    """Pearson r of the average ranks.
+    """Pearson r of the average ranks, for groups bounded by the calendar (one window per group).
 
     Values are ranked after rounding to ``tie_digits`` so that equal values
-    computed along different float paths still tie.
+    computed along different float paths still tie. ``spearman_spread`` is for
+    groups of any size.
     """
     g = list(group)
-    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if tie_digits is not None:
-        d = d.select(*g, F.round(x, tie_digits).alias(x), F.round(y, tie_digits).alias(y))
+    d = _tied(df, x, y, g, tie_digits)
     r = d.select(*g, average_rank(x, g).alias("_rx"), average_rank(y, g).alias("_ry"))
-    return r.groupBy(*g).agg(F.corr("_rx", "_ry").alias("rho"))
+    return r.groupBy(*g).agg(F.corr("_rx", "_ry").alias("rho"), F.count(F.lit(1)).alias("n"))
+
+
+def spearman_spread(df: DataFrame, x: str, y: str, group=(), tie_digits: int | None = 9,
+                    ranges: int | None = None) -> DataFrame:
+    """A37 over groups of any size (``group=()``: over all subjects and rows): rho and the number of pairs.
+
+    Ranks come from counts by value range (``operators.ranking``): no window spans a
+    group, and a value that most rows share is one row per task.
+    """
+    g = list(group)
+    # equal pairs travel as one row with their number
+    pairs = _tied(df, x, y, g, tie_digits).groupBy(*g, x, y).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = _ranked(_ranked(pairs, x, "_rx", g, ranges), y, "_ry", g, ranges)
+    n, rx, ry, total = F.col("_n"), F.col("_rx"), F.col("_ry"), F.sum("_n")
+    middle = total * ((total + 1) / 2.0) * ((total + 1) / 2.0)  # the mean rank is (n + 1) / 2, with ties too
+    return (ranked.groupBy(*g).agg((F.sum(n * rx * ry) - middle).alias("xy"), (F.sum(n * rx * rx) - middle).alias("xx"),
+                                   (F.sum(n * ry * ry) - middle).alias("yy"), total.alias("n"))
+            .select(*g, F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("rho"), "n"))
+
+
+def _tied(df: DataFrame, x: str, y: str, g: list[str], digits: int | None) -> DataFrame:
+    d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    if digits is None:
+        return d.select(*g, x, y)
+    return d.select(*g, F.round(x, digits).alias(x), F.round(y, digits).alias(y))
+
+
+def _ranked(pairs: DataFrame, value: str, name: str, g: list[str], ranges: int | None) -> DataFrame:
+    """``pairs`` (with their number ``_n``) and the average rank of ``value``."""
+    return with_average_rank(pairs, value, g, name, ranges, weight="_n")
 
 
 def correlation_report(df: DataFrame, x: str, y: str, group=("subject_id",)) -> DataFrame:
+    """Pearson and Spearman with their p-values, and the fitted line."""
     g = list(group)
-    return pearson(df, x, y, g).join(spearman(df, x, y, g), g, "left")
+    rho = spearman(df, x, y, g).select(*g, "rho", r_p_value(F.col("rho"), F.col("n")).alias("rho_p_value"))
+    return pearson(df, x, y, g).withColumn("r_p_value", r_p_value(F.col("r"), F.col("n"))).join(rho, g, "left")
 
 
 def fit_line(stats: DataFrame, lo: str, hi: str, points: int = 100, group=("subject_id",)) -> DataFrame:
@@ -67,66 +88,44 @@ def fit_line(stats: DataFrame, lo: str, hi: str, points: int = 100, group=("subj
 
 # -- U02: p-value of r (Student t with n-2 degrees of freedom) ---------------
 
-def _betacf(a: float, b: float, x: float) -> float:
-    # continued fraction for the incomplete beta function (modified Lentz)
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log(1.0 - x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
-
-
-def r_p_value(r: float | None, n: int | None) -> float | None:
-    """Two-sided p of Pearson's r with n pairs (t-test, n - 2 df)."""
-    if r is None or n is None or n < 3 or (isinstance(r, float) and math.isnan(r)):
-        return None
-    df = n - 2
-    if abs(r) >= 1.0:
-        return 0.0
-    t2 = r * r * df / (1.0 - r * r)
-    return betainc(df / 2.0, 0.5, df / (df + t2))
-
-
-@F.pandas_udf(T.DoubleType())
-def t_test_p(r: pd.Series, n: pd.Series) -> pd.Series:
-    out = [r_p_value(None if pd.isna(a) else float(a), None if pd.isna(b) else int(b))
-           for a, b in zip(r, n)]
-    return pd.Series(np.array([np.nan if v is None else v for v in out], dtype="float64"))
+#: Gauss-Legendre nodes and weights of 16 points, in four panels over [0, 1].
+_X, _W = np.polynomial.legendre.leggauss(16)
+_NODES = [(float((k + (1 + x) / 2) / 4), float(w / 8)) for k in range(4) for x, w in zip(_X, _W, strict=True)]
+
+
+def _cosine_tail(theta: Column, df: Column) -> Column:
+    """Integral of cos(u)^(df - 1) from ``theta`` to pi/2, ``theta`` in [0, pi/2).
+
+    Beyond the integration width the integrand is below 1e-17 of its value at
+    ``theta``: it falls like a Gaussian of variance 1/(df-1), and at the rate
+    (df-1) tan(theta).
+    """
+    power = df - 1.0
+    width = F.least(F.lit(float(np.pi / 2)) - theta, 9.0 / F.sqrt(F.greatest(power, F.lit(1e-9))),
+                    40.0 / F.greatest(power * F.tan(theta), F.lit(1e-9)))
+    nodes = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(w).alias("w")) for x, w in _NODES])
+    log_cos = F.log(F.cos(theta))
+    inner = F.aggregate(nodes, F.lit(0.0), lambda acc, p: acc + p["w"] * F.exp(
+        power * (F.log(F.cos(theta + width * p["x"])) - log_cos)))
+    return F.exp(power * log_cos) * width * inner
+
+
+def r_p_value(r: Column, n: Column) -> Column:
+    """Two-sided p of a correlation ``r`` of ``n`` pairs, null below three pairs.
+
+    With t = r sqrt(df / (1 - r^2)) and t = sqrt(df) tan(theta), so that
+    sin(theta) = |r|, the tail of Student's t is the integral of cos^(df-1) from
+    theta over the one from 0: no gamma function and no Python.
+    """
+    df = (n - 2).cast("double")
+    theta = F.asin(F.least(F.abs(r), F.lit(1.0)))
+    p = F.least(F.lit(1.0), _cosine_tail(theta, df) / _cosine_tail(F.lit(0.0), df))
+    return F.when(r.isNull() | F.isnan(r) | (n < 3), F.lit(None).cast("double")).when(
+        F.abs(r) >= 1.0, F.lit(0.0)).otherwise(p)
 
 
 def with_p_values(stats: DataFrame, r: str = "r", n: str = "n", alpha: float = 0.05) -> DataFrame:
     """Add p, significance and the effect label (F16) to a one-row-per-subject frame."""
-    return (stats.withColumn("p_value", t_test_p(F.col(r), F.col(n)))
+    return (stats.withColumn("p_value", r_p_value(F.col(r), F.col(n)))
             .withColumn("significant", F.col("p_value") < alpha)
             .withColumn("effect", effect_label(F.col(r))))

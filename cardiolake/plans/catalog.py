@@ -361,6 +361,17 @@ wk AS (SELECT subject_id, period, training_min, resting_hr FROM t_full JOIN h_fu
        WHERE training_min IS NOT NULL AND resting_hr IS NOT NULL)"""
 
 
+def p_sql(r: str, n: str) -> str:
+    """Two-sided p of a correlation as the finite series of Student's t with n - 2 degrees of freedom."""
+    c = f"greatest(1 - {r} * {r}, 0)"
+    even = (f"abs({r}) * list_sum(list_transform(range(0, ({n} - 2) // 2), lambda k: "
+            f"exp(lgamma(2 * k + 1) - 2 * lgamma(k + 1) - k * ln(4) + k * ln({c}))))")
+    odd = (f"2 / pi() * (asin(abs({r})) + abs({r}) * sqrt({c}) * coalesce(list_sum(list_transform(range(0, ({n} - 3) // 2), lambda k: "
+           f"exp(k * ln(4) + 2 * lgamma(k + 1) - lgamma(2 * k + 2) + k * ln({c})))), 0))")
+    return (f"CASE WHEN {r} IS NULL OR isnan({r}) OR {n} < 3 THEN NULL WHEN abs({r}) >= 1 THEN 0 "
+            f"WHEN {n} % 2 = 0 THEN greatest(1 - {even}, 0) ELSE greatest(1 - {odd}, 0) END")
+
+
 def corr_sql(src: str, x: str, y: str) -> str:
     return f"""rk AS (
   SELECT subject_id, {x}, {y},
@@ -369,12 +380,13 @@ def corr_sql(src: str, x: str, y: str) -> str:
     rank() OVER (PARTITION BY subject_id ORDER BY round({y}, 9))
       + (count(*) OVER (PARTITION BY subject_id, round({y}, 9)) - 1) / 2.0 AS ry
   FROM {src} WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
-SELECT subject_id, count(*) AS n, corr({x}, {y}) AS r, regr_r2({y}, {x}) AS r2,
+, st AS (SELECT subject_id, count(*) AS n, corr({x}, {y}) AS r, regr_r2({y}, {x}) AS r2,
   regr_slope({y}, {x}) AS slope, regr_intercept({y}, {x}) AS intercept, corr(rx, ry) AS rho
-FROM rk GROUP BY subject_id"""
+FROM rk GROUP BY subject_id)
+SELECT *, {p_sql('r', 'n')} AS r_p_value, {p_sql('rho', 'n')} AS rho_p_value FROM st"""
 
 
-CORR_D = ["r", "r2", "slope", "intercept", "rho"]
+CORR_D = ["r", "r2", "slope", "intercept", "rho", "r_p_value", "rho_p_value"]
 
 
 @register("weekly_training_hr", f"WITH {WEEKLY} SELECT * FROM wk", ["training_min", "resting_hr"])
@@ -1233,17 +1245,24 @@ def q_year_span(spark, sf):
     return AG.year_span(hr).join(X.date_span(hr), "subject_id")
 
 
-# ==================================== batch 8: statistics without SQL oracle
-NO_ORACLE = {"hypothesis_p_values"}
+# ==================================== batch 8: tests of significance, statistics of raw samples
+def _p_values_sql() -> str:
+    """Both hypotheses; the second one's names are made distinct, as both start from the same tables."""
+    return f"""WITH {WEEKLY},
+h1 AS (SELECT subject_id, 'training_vs_resting_hr' AS hypothesis, count(*) AS n, corr(training_min, resting_hr) AS r
+       FROM wk GROUP BY subject_id),
+h2 AS (SELECT subject_id, 'sleep_vs_next_day_resting_hr' AS hypothesis, count(*) AS n, corr(sleep_hours, hr_next) AS r
+       FROM (WITH {SLEEP} SELECT * FROM sl) GROUP BY subject_id),
+b AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2),
+p AS (SELECT *, {p_sql('r', 'n')} AS p_value FROM b)
+SELECT subject_id, hypothesis, n, r, p_value, p_value < 0.05 AS significant,
+  CASE WHEN abs(r) < 0.3 THEN 'weak' WHEN abs(r) < 0.6 THEN 'moderate' WHEN r IS NOT NULL THEN 'strong' END AS effect FROM p"""
 
 
-@register("hypothesis_p_values")
+@register("hypothesis_p_values", _p_values_sql(), ["r", "p_value"])
 def q_hypothesis_p_values(spark, sf):
-    """U02 + A36 + F16: both hypotheses per subject with Pearson r, two-sided p
-    (t-test, n - 2 df, regularised incomplete beta in a pandas UDF over the
-    one-row-per-subject result), significance at 0.05 and the effect label.
-    No SQL oracle: SQL engines here lack the incomplete beta function; the
-    p-value itself is unit-tested against t-table values."""
+    """U02 + A36 + F16: both hypotheses per subject with Pearson r, two-sided p (t-test, n - 2 df),
+    significance at 0.05 and the effect label."""
     tr, hr, act = tr_s(spark, sf), hr_daily_lines(spark, sf), act_s(spark, sf)
     h1 = ST.pearson(DS.weekly_training_hr(tr, hr), "training_min", "resting_hr") \
         .withColumn("hypothesis", F.lit("training_vs_resting_hr"))
@@ -1251,3 +1270,68 @@ def q_hypothesis_p_values(spark, sf):
         .withColumn("hypothesis", F.lit("sleep_vs_next_day_resting_hr"))
     return ST.with_p_values(h1.unionByName(h2)).select(
         "subject_id", "hypothesis", "n", "r", "p_value", "significant", "effect")
+
+
+def _spread_sql(group: str, per: str) -> str:
+    by, names = (f"PARTITION BY {group} ", f"{group}, ") if group else ("", "")
+    return f"""WITH {TR},
+d AS (SELECT {names}round(duration_min, 9) AS x, round(calories, 9) AS y FROM tr WHERE duration_min IS NOT NULL AND calories IS NOT NULL),
+k AS (SELECT {names}rank() OVER ({by}ORDER BY x) + (count(*) OVER (PARTITION BY {names}x) - 1) / 2.0 AS rx,
+             rank() OVER ({by}ORDER BY y) + (count(*) OVER (PARTITION BY {names}y) - 1) / 2.0 AS ry FROM d),
+s AS (SELECT {names}corr(rx, ry) AS rho, count(*) AS n FROM k {per})
+SELECT *, {p_sql('rho', 'n')} AS rho_p_value FROM s"""
+
+
+@register("spearman_all_subjects", _spread_sql("", ""), ["rho", "rho_p_value"])
+def q_spearman_all_subjects(spark, sf):
+    """A37 + U02 + W07: rank correlation of session length and calories over all subjects at once."""
+    s = ST.spearman_spread(tr_s(spark, sf), "duration_min", "calories")
+    return s.withColumn("rho_p_value", ST.r_p_value(F.col("rho"), F.col("n")))
+
+
+@register("spearman_by_sport", _spread_sql("sport", "GROUP BY sport"), ["rho", "rho_p_value"])
+def q_spearman_by_sport(spark, sf):
+    """A37 + U02: the same per sport, whose groups hold all subjects (one sport holds most sessions)."""
+    s = ST.spearman_spread(tr_s(spark, sf), "duration_min", "calories", group=("sport",))
+    return s.withColumn("rho_p_value", ST.r_p_value(F.col("rho"), F.col("n")))
+
+
+@register("describe_hr_samples", f"""
+WITH {HR_LI}, {HR_EV},
+long AS (SELECT subject_id, 'daily' AS col_name, CAST(hr AS DOUBLE) AS value FROM hrl_s
+         UNION ALL SELECT subject_id, 'sample', CAST(hr AS DOUBLE) FROM hr_s)
+SELECT subject_id, col_name, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+  quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75,
+  max(value) AS max FROM long GROUP BY ALL""", ["mean", "std", "min", "p25", "p50", "p75", "max"])
+def q_describe_hr_samples(spark, sf):
+    """A28 on raw samples: quartiles by value ranges, no subject's samples in one task."""
+    both = (A.hr_samples_lines(spark, sf).select("subject_id", F.col("hr").alias("daily"), F.lit(None).cast("int").alias("sample"))
+            .unionByName(A.hr_samples_events(spark, sf).select("subject_id", F.lit(None).cast("int").alias("daily"),
+                                                               F.col("hr").alias("sample"))))
+    return AG.describe(both, ["daily", "sample"], spread=True)
+
+
+@register("box_stats_price", """
+WITH v AS (SELECT CAST(l_suppkey % 5 AS BIGINT) AS subject_id, l_returnflag AS grp, CAST(l_extendedprice AS DOUBLE) AS v
+           FROM lineitem WHERE l_extendedprice IS NOT NULL),
+q AS (SELECT subject_id, grp, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+        quantile_cont(v, 0.75) AS q3 FROM v GROUP BY ALL)
+SELECT v.subject_id, v.grp, q1, median, q3,
+  min(CASE WHEN round(v, 9) >= round(q1 - 1.5 * (q3 - q1), 9) THEN v END) AS whisker_lo,
+  max(CASE WHEN round(v, 9) <= round(q3 + 1.5 * (q3 - q1), 9) THEN v END) AS whisker_hi,
+  count(*) FILTER (WHERE round(v, 9) < round(q1 - 1.5 * (q3 - q1), 9)
+                      OR round(v, 9) > round(q3 + 1.5 * (q3 - q1), 9)) AS n_outliers, count(*) AS n
+FROM v JOIN q USING (subject_id, grp) GROUP BY ALL""", ["q1", "median", "q3", "whisker_lo", "whisker_hi"])
+def q_box_stats_price(spark, sf):
+    """A32 on raw rows with nearly all values distinct (the case in which ``percentile`` holds a whole group)."""
+    li = A.table(spark, sf, "lineitem").select(A._subject("l_suppkey"), F.col("l_extendedprice").cast("double").alias("v"),
+                                               "l_returnflag")
+    return AG.box_stats(li, "v", "l_returnflag", spread=True)
+
+
+@register("median_price", """
+SELECT l_returnflag, median(CAST(l_extendedprice AS DOUBLE)) AS median FROM lineitem GROUP BY ALL""", ["median"])
+def q_median_price(spark, sf):
+    """A35 on raw rows, per group over all subjects."""
+    li = A.table(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("double").alias("v"), "l_returnflag")
+    return AG.median_marker(li, "v", group=("l_returnflag",), spread=True)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardiolake import schemas as S
 from cardiolake.operators import daily, extract as X
 from cardiolake.sources import json_docs as JD
-from conftest import files_df
+from tests.helpers import files_df
 
 D = dt.date
 

@@ -1,20 +1,82 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
-from cardiolake.operators import aggregate as AG, stats as ST, topk as TK
+from cardiolake.operators import aggregate as AG, ranking as RK, stats as ST, topk as TK
 
 D = dt.date
 
 
-def test_p_value_against_t_table():
+def _p(spark, rows):
+    df = spark.createDataFrame(rows, "r double, n long")
+    return [x.p for x in df.select(ST.r_p_value(F.col("r"), F.col("n")).alias("p")).collect()]
+
+
+def test_p_value_against_t_table(spark):
     # two-sided p of r with n pairs; reference values from the t distribution
-    assert abs(ST.r_p_value(0.5, 10) - 0.141) < 1e-3
-    assert abs(ST.r_p_value(0.632, 10) - 0.0499) < 1e-3
-    assert abs(ST.r_p_value(-0.3, 50) - 0.0343) < 1e-3
-    assert ST.r_p_value(0.0, 20) == 1.0
-    assert ST.r_p_value(0.5, 2) is None
+    p = _p(spark, [(0.5, 10), (0.632, 10), (-0.3, 50), (0.0, 20), (0.5, 2), (1.0, 9), (None, 9), (float("nan"), 9)])
+    assert abs(p[0] - 0.141) < 1e-3 and abs(p[1] - 0.0499) < 1e-3 and abs(p[2] - 0.0343) < 1e-3
+    assert p[3] == 1.0 and p[4] is None and p[5] == 0.0 and p[6] is None and p[7] is None
+
+
+def _tail(r, n):
+    """Student's t as a finite series in the angle whose sine is |r|."""
+    nu, s, c = n - 2, abs(r), math.sqrt(1 - r * r)
+    total, term = 0.0, 1.0 if nu % 2 == 0 else c
+    for k in range(nu // 2):
+        total += term
+        term *= ((2 * k + 1) / (2 * k + 2) if nu % 2 == 0 else (2 * k + 2) / (2 * k + 3)) * c * c
+    return 1 - (s * total if nu % 2 == 0 else 2 / math.pi * (math.asin(s) + s * total))
+
+
+def test_p_value_equals_finite_series(spark):
+    rows = [(r, n) for r in (0.001, 0.1, 0.3, -0.5, 0.9, 0.999) for n in (3, 4, 5, 6, 7, 10, 11, 50, 99, 1000, 20001)]
+    for (r, n), p in zip(rows, _p(spark, rows), strict=True):
+        assert abs(p - _tail(r, n)) < 1e-10, (r, n)
+    tiny = _p(spark, [(0.9, 400)])[0]  # no cancellation far out in the tail
+    assert 0 < tiny < 1e-140
+
+
+def test_spread_spearman_and_quantiles_equal_whole_group_versions(spark):
+    rng = np.random.default_rng(0)
+    n = 3000
+    pdf = pd.DataFrame({"g": np.where(rng.random(n) < .6, 0, rng.integers(1, 5, n)), "x": np.round(rng.normal(size=n), 2),
+                        "y": np.where(rng.random(n) < .4, 7.0, rng.normal(size=n))})
+    df = spark.createDataFrame(pdf).withColumn("x", F.when(F.pmod(F.xxhash64("y", "x"), F.lit(50)) != 0, F.col("x")))
+    d = df.toPandas().dropna()
+    got = {x.g: (x.rho, x.n) for x in ST.spearman_spread(df, "x", "y", ("g",)).collect()}
+    for g, part in d.groupby("g"):
+        assert abs(part.x.rank().corr(part.y.rank()) - got[g][0]) < 1e-12 and got[g][1] == len(part)
+    whole = ST.spearman_spread(df, "x", "y").collect()[0]
+    assert abs(d.x.rank().corr(d.y.rank()) - whole.rho) < 1e-12
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for group in (("g",), ()):
+        new = {tuple(r[c] for c in group): (r.quantiles, r.n) for r in RK.exact_quantiles(df, "x", qs, group, ranges=5).collect()}
+        old = df.groupBy(*group).agg(F.percentile("x", F.array(*map(F.lit, qs))).alias("q"), F.count("x").alias("n"))
+        assert new == {tuple(r[c] for c in group): (r.q, r.n) for r in old.collect()}
+
+
+def test_ranks_of_one_value_one_row_nulls_and_nothing(spark):
+    df = spark.createDataFrame([(1, 2.0, None)] * 7 + [(2, -0.0, 1.0), (2, 0.0, 1.0), (3, None, 1.0)], "g long, x double, y double")
+    ranks = {(r.g, r.x): r["rank"] for r in RK.with_average_rank(df, "x", ("g",)).collect()}
+    assert ranks == {(1, 2.0): 4.0, (2, 0.0): 1.5, (3, None): None}
+    assert RK.exact_quantiles(df, "y", [0.5], ("g",)).where("g = 1").count() == 0
+    empty = df.limit(0)
+    assert RK.exact_quantiles(empty, "x", [0.5], ("g",)).count() == 0
+    assert RK.with_row_rank(empty, [("x", True)]).count() == 0
+    lone = ST.spearman_spread(df.where("g = 2"), "x", "y").collect()[0]
+    assert lone.rho is None and lone.n == 2
+
+
+def test_rows_are_numbered_over_ranges(spark):
+    df = spark.range(0, 1000, numPartitions=7).select("id", (F.col("id") % 10).cast("double").alias("x"))
+    got = RK.with_row_rank(df, [("x", True), ("id", False)], ranges=6).collect()
+    want = sorted(range(1000), key=lambda i: (-(i % 10), i))
+    assert [r.id for r in sorted(got, key=lambda r: r["rank"])] == want
+    assert sorted(r["rank"] for r in got) == list(range(1, 1001))
 
 
 def test_pearson_spearman_match_pandas(spark):
