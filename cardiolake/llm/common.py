@@ -49,6 +49,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table behind a ``stored`` frame that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("table-"):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus`` (a null counts as '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
@@ -129,31 +138,81 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, how: str = "inner") ->
     return r.join(g, [key, "_mix"], how).drop("_mix")
 
 
+#: Edges that a task of ``components`` contracts; sets how many tasks there are.
+EDGES = 250_000
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """(u, v) with u > v: stars that connect what the edges of a partition connect, at most 2 * ``EDGES`` at a time."""
+    kind = edges.schema["u"].dataType.simpleString().replace("bigint", "long")
+    arrow = _arrow_schema(edges.sparkSession, f"u {kind}, v {kind}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict = {}
+
+        def stars():
+            rows = [(x, top(x)) for x in above]
+            rows = [r for r in rows if r[0] != r[1]]
+            for lo in range(0, len(rows), 10_000):
+                yield _batch(rows[lo:lo + 10_000], arrow)
+            above.clear()
+
+        def top(x):
+            while (up := above.setdefault(x, x)) != x:
+                above[x] = x = above[up]
+            return x
+
+        held = 0
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x, y = top(x), top(y)
+                if x < y:
+                    above[y] = x
+                elif y < x:
+                    above[x] = y
+            held += batch.num_rows
+            if held >= 2 * EDGES:
+                yield from stars()
+                held = 0
+        yield from stars()
+
+    return edges.select("u", "v").mapInArrow(run, f"u {kind}, v {kind}")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """True if every node stands below one root or is a root."""
+    ends = edges.select(F.col("u").alias("x"), F.col("v").alias("root")).unionByName(
+        edges.select(F.col("v").alias("x"), F.col("v").alias("root")))
+    mixed = ends.groupBy("x").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    return mixed.limit(1).count() == 0
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list: (node, root).
 
-    Large-star / small-star rounds (a number logarithmic in the longest chain);
-    each is two aggregates with map-side minima and skew-splittable joins, and
-    ends in a checkpoint. ``root`` is the smallest node; nodes without edges
-    are not returned.
+    Each task first contracts its edges to stars. While stars of different tasks
+    overlap, large-star / small-star rounds follow (a number logarithmic in the
+    longest chain); each is two aggregates with map-side minima and skew-splittable
+    joins, and ends in a table, after which the one before is deleted. The
+    number of tasks follows from the number of edges. ``root`` is the smallest
+    node; nodes without edges are not returned. Null nodes must not occur.
     """
-    cur = settle(edges.where(F.col(a) != F.col(b))
-                 .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    seen = None
-    while True:
+    first = stored(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
+    tasks = max(1, -(-first.count() // EDGES))
+    cur = stored(_contracted(first.coalesce(tasks)))
+    discard(first)
+    while not _are_stars(cur):
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")).coalesce(tasks)
         large = (attach(both, low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks))
+        low = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
         small = (attach(large, low, "u")
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u != v").distinct())
-        cur = settle(small)
-        state = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
-    return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        last, cur = cur, stored(_contracted(small.coalesce(tasks)))
+        discard(last)
+    # an edge that several tasks hold is there several times
+    below = cur.distinct().select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return below.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
