@@ -101,6 +101,23 @@ def api_physical_info(p: DataFrame, ingest_date: str) -> DataFrame:
     return best_per_key(rows, ["subject_id", "day"], [F.col("json_data")])
 
 
+def undated(p: DataFrame, endpoint: str) -> DataFrame:
+    """Payloads, or nights of one, that no row is made of because their day cannot be read:
+    (subject_id, endpoint, hash_md5, reason, json_text). ``p`` carries ``json_text``."""
+    if endpoint == "physical_info":  # these fall back to the day of the load
+        bad = p.where(F.lit(False)).select("subject_id", "json_text", F.lit("").alias("reason"))
+    elif endpoint in ("sleep", "nightly_recharge"):
+        field = "nights" if endpoint == "sleep" else "recharges"
+        entry = p.select("subject_id", "json_text", F.posexplode_outer(field).alias("_at", "_e"))
+        reason = F.when(F.col("_e").isNull(), F.lit(f"no entry in {field}")).otherwise(
+            F.concat(F.lit("no day in entry "), F.col("_at").cast("string")))
+        bad = entry.where(F.col("_e").isNull() | _day10(F.col("_e")["date"]).isNull()).select("subject_id", "json_text", reason.alias("reason"))
+    else:
+        day = "start-time" if endpoint == "exercise" else "date"
+        bad = p.where(_day10(F.col(f"`{day}`")).isNull()).select("subject_id", "json_text", F.lit(f"no day in {day}").alias("reason"))
+    return bad.select("subject_id", F.lit(endpoint).alias("endpoint"), F.md5(F.col("json_text")).alias("hash_md5"), "reason", "json_text")
+
+
 def api_recharge(p: DataFrame) -> DataFrame:
     """One raw document per night: ``nightly_recharge_<date>``."""
     r = p.select("subject_id", F.explode("recharges").alias("r"))

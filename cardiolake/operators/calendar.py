@@ -25,20 +25,6 @@ def period_key(period: str, day: str | Column = "day") -> Column:
     return PERIOD_KEYS[period](d)
 
 
-def period_spine(df: DataFrame, period: str, key: str = "period", group=("subject_id",)) -> DataFrame:
-    """Every period between each subject's first and last observed period."""
-    g = list(group)
-    rng = df.groupBy(*g).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    lo, hi = F.col("_lo"), F.col("_hi")
-    if period == "month":  # step from month starts, then take each month's end
-        lo, hi = F.trunc(lo, "month"), F.trunc(hi, "month")
-    seq = F.sequence(lo, hi, F.expr(PERIOD_STEP[period]))
-    out = rng.select(*g, F.explode(seq).alias(key))
-    if period == "month":
-        out = out.select(*g, F.last_day(key).alias(key))
-    return out
-
-
 def _gap_periods(period: str, key: Column, nxt: Column) -> Column:
     """Periods from ``key`` up to (not including) ``nxt``; just ``key`` when last."""
     if period == "month":
@@ -107,10 +93,17 @@ def missing_per_year(df: DataFrame, day: str = "day", group=("subject_id",)) ->
             .agg(F.count(F.lit(1)).alias("days_missing")))
 
 
-def fixed_spine(df: DataFrame, key: str, lo: int, hi: int, group=("subject_id",)) -> DataFrame:
-    """Each subject x ``lo..hi`` (months 1-12, weekdays 0-6)."""
-    g = list(group)
-    return df.select(*g).distinct().select(*g, F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(key))
+def _fixed(agg: DataFrame, key: str, lo: int, hi: int, g: list[str], cols: list[str]) -> DataFrame:
+    """The aggregate ``agg`` (one row per group and ``key``) with all keys ``lo..hi`` of every group.
+
+    A group's few rows become a map and are laid out again: the input is not read a second time.
+    """
+    entry = F.struct(F.col(key).cast("int").alias("k"), F.struct(*cols).alias("v"))
+    # at most hi - lo + 1 entries
+    filled = (agg.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.when(F.col(key).between(lo, hi), entry))).alias("_m"))
+              .select(*g, F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(key), "_m"))
+    row = F.try_element_at("_m", F.col(key))
+    return filled.select(*g, key, *[row[c].alias(c) for c in cols])
 
 
 def grid_pivot(df: DataFrame, value: str, row: str = "month", col: str = "weekday_no",
@@ -119,25 +112,22 @@ def grid_pivot(df: DataFrame, value: str, row: str = "month", col: str = "weekda
     and all columns (7 weekdays, fixed pivot values: no extra pass to find them)."""
     g = list(group)
     labels = labels or [str(i) for i in range(7)]
-    piv = (df.where(F.col(value).isNotNull())
-           .groupBy(*g, row).pivot(col, list(range(len(labels)))).agg(F.avg(value)))
+    piv = df.groupBy(*g, row).pivot(col, list(range(len(labels)))).agg(F.avg(value))
     for i, lab in enumerate(labels):
         piv = piv.withColumnRenamed(str(i), lab)
-    spine = fixed_spine(df, row, rows[0], rows[1], g)
-    return spine.join(piv, g + [row], "left")
+    return _fixed(piv, row, rows[0], rows[1], g, labels)
 
 
 def weekday_counts(df: DataFrame, day: str = "day", group=("subject_id",)) -> DataFrame:
     """Rows per weekday, all seven weekdays present (0 when none)."""
     g = list(group)
     c = df.groupBy(*g, F.weekday(day).alias("weekday_no")).agg(F.count(F.lit(1)).alias("n"))
-    spine = fixed_spine(df, "weekday_no", 0, 6, g)
-    return spine.join(c, g + ["weekday_no"], "left").select(
-        *g, "weekday_no", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return (_fixed(c, "weekday_no", 0, 6, g, ["n"])
+            .select(*g, "weekday_no", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
 
 
 def monthly_profile(df: DataFrame, value: str, group=("subject_id",)) -> DataFrame:
     """Mean per calendar month, all 12 months present."""
     g = list(group)
     m = df.groupBy(*g, F.month("day").alias("month")).agg(F.avg(value).alias(f"{value}_mean"))
-    return fixed_spine(df, "month", 1, 12, g).join(m, g + ["month"], "left")
+    return _fixed(m, "month", 1, 12, g, [f"{value}_mean"])

@@ -60,7 +60,8 @@ def successive_diff_stats(samples: DataFrame, group: list[str], order: list[str]
     before); the top level orders the top chunks of a group. With a time
     chunk (minutes of a day) one level suffices; order-key chunks get more
     levels so that no single window holds a growing number of rows.
-    n, mean and std come from a plain aggregate (merged map-side).
+    n, mean and std come from sums that the chunks carry along, so the samples
+    are read once.
     """
     levels = chunk if isinstance(chunk, list) else [chunk]
     names = [f"_c{i}" for i in range(len(levels))]
@@ -72,20 +73,23 @@ def successive_diff_stats(samples: DataFrame, group: list[str], order: list[str]
     cur = (s.select(*group, *names, *order, "_v", d.alias("_d"))
            .groupBy(*group, *names)
            .agg(F.sum(F.col("_d") * F.col("_d")).alias("_ssd"), F.count("_d").alias("_nd"),
+                F.count("_v").alias("_n"), F.sum("_v").alias("_s"), F.sum(F.col("_v") * F.col("_v")).alias("_ss"),
                 F.min_by("_v", ordkey).alias("_first"), F.max_by("_v", ordkey).alias("_last")))
     for i in range(1, len(names) + 1):
         child, parents = names[i - 1], names[i:]
         part = group + parents[:1]
         border = F.col("_first") - F.lag("_last").over(Window.partitionBy(*part).orderBy(child))
-        b = cur.select(*group, *parents, child, "_ssd", "_nd", "_first", "_last", border.alias("_b"))
+        b = cur.select(*group, *parents, child, "_ssd", "_nd", "_n", "_s", "_ss", "_first", "_last", border.alias("_b"))
         cur = (b.groupBy(*group, *parents)
                .agg((F.coalesce(F.sum("_ssd"), F.lit(0.0))
                      + F.coalesce(F.sum(F.col("_b") * F.col("_b")), F.lit(0.0))).alias("_ssd"),
                     (F.sum("_nd") + F.count("_b")).alias("_nd"),
+                    *[F.sum(c).alias(c) for c in ("_n", "_s", "_ss")],
                     F.min_by("_first", child).alias("_first"), F.max_by("_last", child).alias("_last")))
-    basic = samples.groupBy(*group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
-                                        F.stddev_samp(value).alias("sd"))
-    return basic.join(cur.select(*group, F.col("_ssd").alias("ssd"), F.col("_nd").alias("n_diff")), group)
+    n, total = F.col("_n"), F.col("_s")
+    spread = F.greatest(F.lit(0.0), F.col("_ss") - total * total / n)
+    return cur.select(*group, n.alias("n"), (total / n).alias("mean"),
+                      F.when(n > 1, F.sqrt(spread / (n - 1))).alias("sd"), F.col("_ssd").alias("ssd"), F.col("_nd").alias("n_diff"))
 
 
 def daily_hrv(samples: DataFrame, group=("subject_id", "day"), order=("ts", "event_id"),

@@ -8,12 +8,15 @@ row-local and partitions like the files do.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, StructType
 
 from cardiolake.dims import (PACE_LIMIT_MIN_PER_KM, PACE_RELABEL_SPORTS, SPORT_CATEGORY,
                              SPORT_IDS, TREADMILL_MARKERS, map_expr)
 from cardiolake.functions.convert import falsy_fallback, round_to, safe_double, safe_int, safe_long
-from cardiolake.functions.dates import utc_timestamp, weekday_name
+from cardiolake.functions.dates import add_seconds, utc_timestamp, weekday_name
 from cardiolake.functions.durations import iso_duration_minutes
 from cardiolake.operators.windows import first_per_key
 
@@ -152,9 +155,9 @@ def explode_hr_samples(docs: DataFrame, lo: int = 20, hi: int = 250) -> DataFram
                     F.to_date(utc_timestamp(F.col("dd")["date"])).alias("day"),
                     F.posexplode(F.col("dd")["samples"]).alias("pos", "s"))
     hr = safe_int(F.col("s")["heartRate"])
-    return (s.select("subject_id", "day", "file_name", "day_idx", "pos",
-                     F.floor(safe_double(F.col("s")["secondsFromDayStart"])).try_cast("int").alias("seconds_from_day_start"),
-                     hr.alias("hr"))
+    seconds = F.floor(safe_double(F.col("s")["secondsFromDayStart"])).try_cast("int")
+    return (s.select("subject_id", "day", "file_name", "day_idx", "pos", seconds.alias("seconds_from_day_start"), hr.alias("hr"))
+            .withColumn("ts", add_seconds(F.col("day").cast("timestamp"), "seconds_from_day_start"))
             .where(F.col("day").isNotNull() & F.col("hr").between(lo, hi)))
 
 
@@ -225,6 +228,60 @@ def expand_json_column(df: DataFrame, col: str, schema: str, keep: list[str] | N
     return df.select(*rest, parsed.alias("_j")).select(*rest, "_j.*")
 
 
+def _ddl(variant_schema: str) -> str:
+    """Schema as ``schema_of_variant_agg`` writes it -> DDL: objects are structs, whole and decimal numbers
+    longs and doubles; what has no single type (conflicts, only nulls) stays text."""
+    def swap(m: re.Match) -> str:
+        if m.group("name"):
+            return m.group(0)
+        word = m.group("type")
+        return {"OBJECT": "STRUCT", "VARIANT": "STRING", "VOID": "STRING"}.get(word, "DOUBLE" if m.group("size") else word)
+
+    return re.sub(r"(?P<name>`(?:[^`]|``)*`\s*:|\w+\s*:)|(?P<type>\b[A-Z]+\b)(?P<size>\(\d+,\s*\d+\))?", swap, variant_schema)
+
+
+def discover_schema(df: DataFrame, col: str) -> StructType | None:
+    """The one schema that holds the JSON objects of all rows, or None if there is no object.
+
+    An aggregate merges the types of the rows of a task, then those of the tasks; the driver sees the
+    schema alone. Text that is no JSON is passed over.
+    """
+    v = F.try_parse_json(F.col(col))
+    found = df.agg(F.schema_of_variant_agg(F.when(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), v)).alias("s")).first()["s"]
+    if not found or not found.startswith("OBJECT"):
+        return None
+    kind = DataType.fromDDL(_ddl(found))
+    return kind if isinstance(kind, StructType) and kind.fields else None
+
+
+def expand_discovered(df: DataFrame, col: str, wanted: list[str] | None = None, nested: bool = False,
+                      joint: str = ".") -> DataFrame:
+    """JSON text column -> one column for each field that occurs (of ``wanted``, those that do).
+
+    Columns of the same name as a field are replaced by it. A field whose types conflict keeps its
+    JSON text. With ``nested`` the fields of objects become columns ``a.b`` (``joint`` between the names).
+    """
+    schema = discover_schema(df, col)
+    if schema is None:
+        return df.drop(col)
+    flat: list[tuple[str, Column]] = []
+
+    def walk(fields, base: Column, prefix: str):
+        for f in fields:
+            if nested and isinstance(f.dataType, StructType):
+                walk(f.dataType.fields, base.getField(f.name), f"{prefix}{f.name}{joint}")
+            else:
+                flat.append((f"{prefix}{f.name}", base.getField(f.name)))
+
+    walk(schema.fields, F.col("_j"), "")
+    if wanted is not None:
+        flat = [(n, c) for n, c in flat if n in wanted]
+    names = {n for n, _ in flat}
+    rest = [c for c in df.columns if c != col and c not in names]
+    return df.withColumn("_j", F.from_json(F.col(col), schema)).select(
+        *[F.col(f"`{c}`") for c in rest], *[c.alias(n) for n, c in flat])
+
+
 def hr_duration_pairs(training: DataFrame) -> DataFrame:
     """Sessions with both heart-rate values present."""
     return training.dropna(subset=["hr_avg", "hr_max"]).select(
@@ -253,8 +310,3 @@ def typed_projection(df: DataFrame, schema) -> DataFrame:
         cols.append(c.try_cast(f.dataType).alias(f.name) if f.name in df.columns
                     else c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
-
-
-def round_columns(df: DataFrame, digits: int | None, cols=None) -> DataFrame:
-    cols = cols or [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.select(*[round_to(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])

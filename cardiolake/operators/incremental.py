@@ -49,11 +49,6 @@ def changed_only(status: DataFrame) -> DataFrame:
     return status.where(F.col("status").isin(NEW, CHANGED))
 
 
-def affected_days(changed_rows: DataFrame, keys=("subject_id", "day")) -> DataFrame:
-    """Distinct subject-days touched by new or changed files."""
-    return changed_rows.select(*keys).where(F.col("day").isNotNull()).distinct()
-
-
 def rows_of_affected_days(all_rows: DataFrame, days: DataFrame, keys=("subject_id", "day")) -> DataFrame:
     """All rows (from every file) of the affected days, for a full re-aggregation."""
     return all_rows.join(days, list(keys), "left_semi")

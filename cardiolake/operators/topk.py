@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 OTHER = "Other"
 
 
-def ranked_counts(df: DataFrame, label: str, group=("subject_id",)) -> DataFrame:
+def ranked_counts(df: DataFrame, label: str, group=("subject_id",), weight: str | None = None) -> DataFrame:
+    """Labels by frequency; ``weight`` names a column that tells how many rows a row stands for."""
     g = list(group)
-    c = df.where(F.col(label).isNotNull()).groupBy(*g, label).agg(F.count(F.lit(1)).alias("n"))
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    c = df.where(F.col(label).isNotNull()).groupBy(*g, label).agg(n.alias("n"))
     w = Window.partitionBy(*g).orderBy(F.desc("n"), F.asc(label))
     return c.withColumn("rank", F.row_number().over(w))
 
@@ -45,12 +47,19 @@ def restrict_to_top(df: DataFrame, label: str, k: int, group=("subject_id",), ke
 
 def counts_per_year_top(df: DataFrame, label: str, k: int, group=("subject_id",),
                         other: str = OTHER) -> DataFrame:
-    """Rows per year for each top-k label, the rest as ``other``."""
+    """Rows per year for each top-k label, the rest as ``other``.
+
+    Rows are counted by year and label once; ranking and joining run over those counts.
+    """
     g = list(group)
-    top = top_k(df, label, k, g).select(*g, label, F.lit(True).alias("_top"))
-    j = df.join(top, g + [label], "left")
-    lab = F.when(F.col("_top"), F.col(label)).otherwise(F.lit(other))
-    return j.groupBy(*g, "year", lab.alias(label)).agg(F.count(F.lit(1)).alias("n"))
+    c = df.groupBy(*g, "year", label).agg(F.count(F.lit(1)).alias("n"))
+    top = _top_of(c, label, k, g)
+    lab = F.when(F.col("rank").isNotNull(), F.col(label)).otherwise(F.lit(other))
+    return c.join(top, g + [label], "left").groupBy(*g, "year", lab.alias(label)).agg(F.sum("n").alias("n"))
+
+
+def _top_of(counts: DataFrame, label: str, k: int, g: list[str]) -> DataFrame:
+    return ranked_counts(counts, label, g, weight="n").where(F.col("rank") <= k).select(*g, label, "rank")
 
 
 def hours_year_top(df: DataFrame, label: str, k: int, value: str = "duration_min",
@@ -58,10 +67,10 @@ def hours_year_top(df: DataFrame, label: str, k: int, value: str = "duration_min
     """Hours per year for the top-k labels, one column per rank
     (fixed pivot values 1..k, 0 when none), plus the label of each rank."""
     g = list(group)
-    top = top_k(df, label, k, g).select(*g, label, "rank")
-    j = df.join(top, g + [label])
+    c = df.groupBy(*g, "year", label).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("_v"))
+    j = c.join(_top_of(c, label, k, g), g + [label])
     p = (j.groupBy(*g, "year").pivot("rank", list(range(1, k + 1)))
-         .agg(F.sum(value) / 60.0))
+         .agg(F.sum("_v") / 60.0))
     for i in range(1, k + 1):
         p = p.withColumn(str(i), F.coalesce(F.col(str(i)), F.lit(0.0))).withColumnRenamed(str(i), f"top{i}_hours")
     return p

@@ -90,6 +90,17 @@ def merge_plan(target: DataFrame | None, source: DataFrame, keys: list[str],
                         for c in cols], "_action")
 
 
+def not_null(source: DataFrame, schema: T.StructType, table: str) -> DataFrame:
+    """``source`` whose write fails if a column that ``schema`` declares NOT NULL holds a null."""
+    out = source
+    for f in schema.fields:
+        if not f.nullable and f.name in source.columns:
+            what = F.lit(f"{table}.{f.name} must not be null")
+            out = out.withColumn(f.name, F.when(F.col(f.name).isNull(), F.raise_error(what).cast(f.dataType))
+                                 .otherwise(F.col(f.name)))
+    return out
+
+
 def insert_only(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key is not in the target (left anti join)."""
     return source if target is None else source.join(target.select(*keys), keys, "left_anti")
@@ -101,6 +112,23 @@ def merge_counts(merged: DataFrame) -> DataFrame:
     return merged.agg(*[F.count_if(a == x).alias(x) for x in (INSERTED, UPDATED, UNCHANGED, KEPT)])
 
 
+def commented(table: str, schema: T.StructType) -> T.StructType:
+    """The schema with a comment on each column (kept in the Parquet schema of the table)."""
+    from cardiolake.schemas import COLUMN_COMMENTS
+
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {"comment": c} if (c := COLUMN_COMMENTS.get(f.name)) else {})
+                         for f in schema.fields])
+
+
+def with_comments(df: DataFrame) -> DataFrame:
+    from cardiolake.schemas import COLUMN_COMMENTS
+
+    for c in df.columns:
+        if c in COLUMN_COMMENTS:
+            df = df.withMetadata(c, {"comment": COLUMN_COMMENTS[c]})
+    return df
+
+
 class TableStore:
     """Tables as versioned Parquet directories under a shared root.
 
@@ -153,11 +181,13 @@ class TableStore:
         return df.drop(BUCKET) if BUCKET in df.columns else df
 
     def upsert_bucketed(self, table: str, source: DataFrame, keys: list[str], watched: list[str] | None = None,
-                        null_safe: bool = False, n_buckets: int = 256, by: str = "subject_id",
+                        null_safe: bool = False, n_buckets: int = 256, by: tuple[str, ...] | None = None,
                         fill: tuple[str, ...] = (), whole: tuple[str, ...] = ()) -> dict[str, int]:
         """Partition-scoped merge for tables that grow with the number of files.
 
-        Rows live in ``n_buckets`` partitions by a hash of ``by``. Only the
+        Rows live in ``n_buckets`` partitions by a hash of ``by`` (the merge keys or, with ``whole``,
+        those columns; a table must be merged with the same ones every time), so a subject's new file
+        touches the buckets of its rows and not the subject's whole history. Only the
         buckets the source touches are read (dynamic partition pruning on the
         semi join), merged, staged with ``checkpoint()`` in the shared
         checkpoint dir, and overwritten in place (dynamic partition overwrite);
@@ -165,7 +195,8 @@ class TableStore:
         bucket from before and one from after the run.
         """
         path = f"{self.root}/{table}/{self.BUCKETED}"
-        src = source.withColumn(BUCKET, F.pmod(F.xxhash64(by), F.lit(n_buckets)).cast("int"))
+        bucket = F.pmod(F.xxhash64(*(by or whole or keys)), F.lit(n_buckets)).cast("int")
+        src = source.withColumn(BUCKET, bucket)
         if self._exists(path):
             # a stated schema also reads the folder of a first run that was lost before it wrote any row
             full = self.spark.read.schema(f"{_ddl(source)}, {BUCKET} int").parquet(path)
@@ -174,9 +205,10 @@ class TableStore:
         else:
             target = None
         merged = merge_plan(target, source, keys, watched, null_safe, fill=fill, whole=whole)
-        merged = merged.withColumn(BUCKET, F.pmod(F.xxhash64(by), F.lit(n_buckets)).cast("int")).checkpoint()
+        # one task writes a bucket, so it is one file
+        merged = merged.withColumn(BUCKET, bucket).repartition(F.col(BUCKET)).checkpoint()
         counts = merge_counts(merged).collect()[0].asDict()
-        (merged.drop("_action").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (with_comments(merged.drop("_action")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(path))
         return {k: int(v) for k, v in counts.items()}
 
@@ -196,7 +228,7 @@ class TableStore:
         merged = merged.observe(obs, *[F.count_if(a == x).alias(x)
                                        for x in (INSERTED, UPDATED, UNCHANGED, KEPT)])
         out = self.next_path(table)
-        w = merged.drop("_action").write.mode("errorifexists")
+        w = with_comments(merged.drop("_action")).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(out)
@@ -205,11 +237,12 @@ class TableStore:
     def merge_table(self, table: str, source: DataFrame, **how) -> dict[str, int]:
         """Merge into one of the known tables with its keys, watched columns and layout
         (``how``: arguments of the merge that differ from the table's)."""
-        from cardiolake.schemas import BUCKETED_TABLES, TABLES
-        _schema, keys, watched = TABLES[table]
+        from cardiolake.schemas import BUCKET_BY, BUCKETED_TABLES, TABLES
+        schema, keys, watched = TABLES[table]
         how = {"watched": watched, **how}
+        source = not_null(source, schema, table)
         if table in BUCKETED_TABLES:
-            return self.upsert_bucketed(table, source, keys, **how)
+            return self.upsert_bucketed(table, source, keys, by=BUCKET_BY.get(table), **how)
         return self.upsert(table, source, keys, **how)
 
     def create_tables(self, tables: dict | None = None) -> list[str]:
@@ -220,11 +253,20 @@ class TableStore:
         made = []
         for name, (schema, _keys, _watched) in (tables or TABLES).items():
             if name not in BUCKETED_TABLES and self.current_path(name) is None:
-                self.spark.createDataFrame([], schema).write.mode("errorifexists").parquet(
+                self.spark.createDataFrame([], commented(name, schema)).write.mode("errorifexists").parquet(
                     f"{self.root}/{name}/v=0")
                 made.append(name)
         return made
 
+    def describe(self) -> DataFrame:
+        """table_name, table_comment, column, type, nullable, comment of all known tables."""
+        from cardiolake.schemas import TABLE_COMMENTS, TABLES
+
+        rows = [(name, TABLE_COMMENTS.get(name), f.name, f.dataType.simpleString(), f.nullable, f.metadata.get("comment"))
+                for name, (schema, _keys, _watched) in TABLES.items() for f in commented(name, schema).fields]
+        return self.spark.createDataFrame(rows, "table_name string, table_comment string, column string, type string, "
+                                                "nullable boolean, comment string")
+
     def check_not_null(self, table: str, schema: T.StructType) -> DataFrame:
         """Rows violating the NOT NULL columns of ``schema`` (empty when fine)."""
         df = self.read(table, schema)
@@ -237,11 +279,3 @@ class TableStore:
     def append_new(self, table: str, rows: DataFrame, keys: list[str]) -> int:
         """Append rows whose key is not yet present (as a new version)."""
         return self.upsert(table, rows, keys, watched=[])["inserted"]
-
-
-def default_root(spark: SparkSession, name: str = "cardiolake_tables") -> str:
-    """A table root next to the session's shared checkpoint directory."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir (a shared folder) or pass a table root")
-    return os.path.join(os.path.dirname(base.rstrip("/")), name)

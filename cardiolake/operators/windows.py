@@ -58,10 +58,10 @@ def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
 def first_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, bool, bool]]) -> DataFrame:
     """One row per key: the first by ``order`` = [(column, descending, nulls_last)].
 
-    A hash aggregate (``min_by`` over an order struct) instead of a window:
-    duplicates collapse map-side before the shuffle, nothing is sorted, and a
-    hot key is combined in many tasks. Descending order needs numeric
-    columns (negated); remaining ties fall back to all other columns.
+    An aggregate (the least struct of order values and columns) instead of a
+    window: duplicates collapse map-side before the shuffle, and a hot key is
+    combined in many tasks. Descending order needs numeric columns (negated);
+    remaining ties fall back to all other columns.
     """
     others = [c for c in df.columns if c not in keys]
     okey = []
@@ -69,15 +69,10 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[tuple[str, bool, b
         col = F.col(c)
         okey.append(col.isNull() if nulls_last else col.isNotNull())
         okey.append(-col if desc else col)
-    okey += [F.col(c) for c in others]
-    packed = F.struct(*[F.col(c) for c in others])
-    agg = df.groupBy(*keys).agg(F.min_by(packed, F.struct(*okey)).alias("_row"))
-    return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
-
-
-def successive_difference(col: str, partition, order) -> Column:
-    w = Window.partitionBy(*partition).orderBy(*order)
-    return F.col(col) - F.lag(col).over(w)
+    # the columns end the struct, so they break ties and are the row that is kept: nothing is carried twice
+    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(okey)], *[F.col(c).alias(f"_c{i}") for i, c in enumerate(others)])
+    agg = df.groupBy(*keys).agg(F.min(packed).alias("_row"))
+    return agg.select(*keys, *[F.col("_row")[f"_c{i}"].alias(c) for i, c in enumerate(others)])
 
 
 def average_rank(col: str, partition=("subject_id",)) -> Column:
@@ -86,10 +81,3 @@ def average_rank(col: str, partition=("subject_id",)) -> Column:
     wt = Window.partitionBy(*partition, col)
     r = F.rank().over(w) + (F.count(F.lit(1)).over(wt) - 1) / 2.0
     return F.when(F.col(col).isNotNull(), r.cast("double"))
-
-
-def resting_hr_trend(daily: DataFrame, value: str = "resting_hr", n_mean: int = 30,
-                     min_mean: int = 7, digits: int | None = 2) -> DataFrame:
-    """``(subject, day, value, trend)`` with a centred rolling mean."""
-    return daily.select("subject_id", "day", value,
-                        rolling_mean(value, n_mean, min_mean, digits=digits).alias(f"{value}_trend"))

@@ -211,7 +211,7 @@ def q_resting_hr_trend(spark, sf):
 
 # =========================================================== batch 2: tables
 from cardiolake.dims import SPORT_CATEGORY, values_sql  # noqa: E402
-from cardiolake.operators import aggregate as AG, calendar as C, stats as ST, topk as TK  # noqa: E402
+from cardiolake.operators import aggregate as AG, calendar as C, series as SE, stats as ST, topk as TK  # noqa: E402
 from cardiolake.plans import datasets as DS  # noqa: E402
 
 ACT = """act AS (
@@ -1335,3 +1335,54 @@ def q_median_price(spark, sf):
     """A35 on raw rows, per group over all subjects."""
     li = A.table(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("double").alias("v"), "l_returnflag")
     return AG.median_marker(li, "v", group=("l_returnflag",), spread=True)
+
+
+# ==================================== batch 9: series of any length, discovered schemas
+@register("sample_trends", f"""
+WITH {HR_EV}
+SELECT subject_id, event_id, hr,
+  CASE WHEN count(hr) OVER c31 >= 5 THEN avg(hr) OVER c31 END AS mean_centred,
+  CASE WHEN count(hr) OVER t60 >= 10 THEN avg(hr) OVER t60 END AS mean_trailing,
+  CASE WHEN count(hr) OVER c20 >= 5 THEN quantile_cont(hr, 0.25) OVER c20 END AS p25
+FROM hr_s
+WINDOW c31 AS (PARTITION BY subject_id ORDER BY ts, event_id ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING),
+       t60 AS (PARTITION BY subject_id ORDER BY ts, event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW),
+       c20 AS (PARTITION BY subject_id ORDER BY ts, event_id ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING)""",
+          ["mean_centred", "mean_trailing", "p25"])
+def q_sample_trends(spark, sf):
+    """W01 / W02 / W03 on raw samples: blocks with halos, no subject's series in one task."""
+    hr = A.hr_samples_events(spark, sf).select("subject_id", "ts", "event_id", "hr")
+    return SE.blockwise(hr, {"mean_centred": SE.mean_of("hr", 31, 5), "mean_trailing": SE.mean_of("hr", 60, 10, center=False),
+                             "p25": SE.quantile_of("hr", 0.25, 20, 5)},
+                        order=("ts", "event_id"), block=1024).drop("ts")
+
+
+@register("expand_props_discovered", """
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_expand_props_discovered(spark, sf):
+    """The schema is an aggregate over all rows; the JSON column becomes the columns that occur."""
+    e = A.table(spark, sf, "events").select("event_id", "event_type", "props")
+    return X.expand_discovered(e, "props")
+
+
+@register("discovered_fields", """
+WITH d AS (SELECT doc_id, source, lang, n_chars FROM documents),
+j AS (
+  SELECT doc_id % 3 AS kind, doc_id, source, lang, n_chars FROM d)
+SELECT doc_id, CASE WHEN kind <> 2 THEN source END AS source,
+  CASE kind WHEN 0 THEN CAST(n_chars AS VARCHAR) WHEN 1 THEN 'about ' || CAST(n_chars AS VARCHAR) END AS n,
+  CASE WHEN kind = 1 THEN CAST(n_chars AS DOUBLE) / 4 END AS quarter,
+  CASE WHEN kind = 2 THEN lang END AS meta_lang
+FROM j""", ["quarter"])
+def q_discovered_fields(spark, sf):
+    """X16 with rows of three kinds: a field some rows lack, one whose types conflict (kept as text), a nested one."""
+    d = A.table(spark, sf, "documents")
+    n, kind = F.col("n_chars"), F.pmod("doc_id", F.lit(3))
+    text = F.when(kind == 0, F.to_json(F.struct("source", n.alias("n")))) \
+        .when(kind == 1, F.to_json(F.struct("source", F.concat(F.lit("about "), n.cast("string")).alias("n"),
+                                            (n.cast("double") / 4).alias("quarter")))) \
+        .otherwise(F.to_json(F.struct(F.struct("lang").alias("meta"))))
+    return X.expand_discovered(d.select("doc_id", text.alias("j")), "j", nested=True, joint="_")
+
+
+from cardiolake.plans import catalog_more  # noqa: E402,F401  (registers its queries)

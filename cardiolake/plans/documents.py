@@ -21,6 +21,13 @@ def table(spark, sf_dir, name) -> DataFrame:
     return _scan(spark, sf_dir, name)
 
 
+def _spread(spark, df: DataFrame, *key: str) -> DataFrame:
+    """Rows dealt over as many tasks as the session works with: a document costs far more to write and to parse
+    than its row is long, so neither scan splits nor sizes in bytes tell how many tasks it takes."""
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *key)
+
+
 #: Digits of the widest bigint: ids padded to it are never cut and sort as numbers.
 ID_DIGITS = 19
 
@@ -45,7 +52,7 @@ def _q(c) -> Column:
 def hr_documents(spark, sf_dir) -> DataFrame:
     """events -> one ``247ohr_*.json`` per event; the heart rate is written as
     a quoted integer, a JSON decimal, a JSON integer or a quoted decimal."""
-    e = table(spark, sf_dir, "events")
+    e = _spread(spark, table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), "event_id")
     k = F.pmod("event_id", F.lit(4))
     hr_int = F.floor("value").cast("int")
     hr_txt = (F.when(k == 0, _q(hr_int)).when(k == 1, _s("value"))
@@ -60,7 +67,7 @@ def hr_documents(spark, sf_dir) -> DataFrame:
 
 def ppi_documents(spark, sf_dir) -> DataFrame:
     """events -> one ``ppi_*.json`` per event; even ids use a list root, odd an object root."""
-    e = table(spark, sf_dir, "events")
+    e = _spread(spark, table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), "event_id")
     ppi = F.floor(F.col("value") * 10).cast("int")
     obj = F.concat(F.lit('{"date":"'), F.date_format("ts", "yyyy-MM-dd"),
                    F.lit('","devicePpiSamplesList":[{"ppiSamples":[{"pulseLength":'), _s(ppi),
@@ -80,7 +87,9 @@ def training_documents(spark, sf_dir) -> DataFrame:
     """lineitem + orders -> one ``training-session-*.json`` per line."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    j = _spread(spark, li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag",
+        "o_custkey", "o_orderdate"), "l_orderkey", "l_linenumber")
     local = F.timestamp_add("HOUR", F.col("l_linenumber") * 3 - 2, F.col("o_orderdate"))
     start = F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00"))
     names = F.array(*[F.lit(x) for x in DOC_SPORT_NAMES])
@@ -119,7 +128,8 @@ _EX_TYPE = ("struct<sport:struct<id:string>,durationMillis:double,duration:strin
 
 def activity_documents(spark, sf_dir) -> DataFrame:
     """orders -> one ``activity-*.json`` per order (several per subject-day)."""
-    o = table(spark, sf_dir, "orders")
+    o = _spread(spark, table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"),
+                "o_orderkey")
     k4 = F.pmod("o_orderkey", F.lit(4))
     n = F.floor(F.col("o_totalprice") / 10).cast("long")
     steps = (F.when(k4 == 0, _q(n)).when(k4 == 1, F.concat(F.lit('"'), _s(n), F.lit('.5"')))
@@ -138,7 +148,8 @@ def activity_documents(spark, sf_dir) -> DataFrame:
 
 def fitness_documents(spark, sf_dir) -> DataFrame:
     """orders -> one ``fitness-test-results-*.json`` per order."""
-    o = table(spark, sf_dir, "orders")
+    o = _spread(spark, table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+                "o_orderkey")
     own = F.when(F.pmod("o_orderkey", F.lit(11)) != 0, F.lit(20) + F.pmod("o_orderkey", F.lit(60)))
     phys = F.struct(
         F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.pmod("o_custkey", F.lit(3650)).cast("int") + 3650),

@@ -53,18 +53,25 @@ class Ingest:
     # -- steps -------------------------------------------------------------
     def detect(self, files: DataFrame) -> DataFrame:
         """One row per ``(subject_id, file_name)``: of entries that several archives repeat, the one
-        of the newest archive (``modified_at``, then ``archive``; then the smallest hash)."""
-        age = [c for c in ("modified_at", "archive") if c in files.columns]
-        f = INC.with_category(INC.with_hash(files.select("subject_id", "file_name", "content", *age)))
+        of the newest archive that could be read (``modified_at``, then ``archive``; then the smallest
+        hash). Rows with an ``error`` (damaged archives and entries) are files that cannot be parsed;
+        their hash changes with the archive, so that a replaced one is tried again."""
+        f = files
+        for c, t in (("modified_at", "timestamp"), ("archive", "string"), ("error", "string")):
+            if c not in files.columns:
+                f = f.withColumn(c, F.lit(None).cast(t))
+        f = INC.with_category(INC.with_hash(f.select("subject_id", "file_name", "content", "modified_at", "archive", "error")))
+        f = f.withColumn("hash_md5", F.coalesce("hash_md5", F.md5(F.concat_ws("|", "archive", "modified_at", "error"))))
         f = best_per_key(f, ["subject_id", "file_name"],
-                         [*[F.col(c).desc_nulls_last() for c in age], F.col("hash_md5")]).drop(*age)
+                         [F.col("error").isNotNull(), F.col("modified_at").desc_nulls_last(),
+                          F.col("archive").desc_nulls_last(), F.col("hash_md5")]).drop("modified_at")
         log = self.store.read("import_log", S.IMPORT_LOG)
         status = INC.change_detection(f, log)
         # bytes are kept of what this run loads
         status = status.withColumn("content", F.when(F.col("status") != INC.UNCHANGED, F.col("content")))
         # reused by every category below; recomputed from the files if an executor is lost
         return JD.with_parse_error(status, schemas=DOC_SCHEMAS).withColumn(
-            "parse_error", F.when(F.col("status") != INC.UNCHANGED, F.col("parse_error"))
+            "parse_error", F.when(F.col("status") != INC.UNCHANGED, F.coalesce("error", "parse_error"))
         ).persist(StorageLevel.MEMORY_AND_DISK)
 
     def silver_path(self, table: str) -> str:
@@ -95,12 +102,12 @@ class Ingest:
         days = affected.select("day").distinct()
         silver = self.read_silver(table, rows.schema)
         if silver is None:
-            rows.write.mode("errorifexists").partitionBy("day").parquet(self.silver_path(table))
+            by_day(rows).write.mode("errorifexists").partitionBy("day").parquet(self.silver_path(table))
         else:
             # day partitions of affected days only (dynamic partition pruning on the join)
             keep = (silver.join(days, "day", "left_semi")
                     .join(changed.select(*keys), keys, "left_anti"))
-            staged = keep.unionByName(rows.select(*keep.columns)).checkpoint()
+            staged = by_day(keep.unionByName(rows.select(*keep.columns))).checkpoint()
             (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("day").parquet(self.silver_path(table)))
             # days left without rows: the overwrite does not reach them (a calendar's days at most)
@@ -119,8 +126,9 @@ class Ingest:
         gold, keys = gold.checkpoint(), ["subject_id", "day"]
         return self.store.merge_table(table, gold, remove=days.join(gold.select(*keys), keys, "left_anti"))
 
-    def _reported(self, report: dict, began: float) -> dict:
-        """The run's counts and seconds, also appended to the table ``import_runs``."""
+    def _reported(self, report: dict, began: float, archives: DataFrame) -> dict:
+        """The run's counts and seconds, also appended to the table ``import_runs``, and those of
+        each archive (null: files outside archives) to ``import_archives``."""
         report["seconds"] = round(time.monotonic() - began, 3)
         row = (self.imported_at, report["seconds"], *[report[k] for k in ("new", "changed", "unchanged", "errors")])
         names = ["imported_at", *S.IMPORT_RUNS.names[1:]]
@@ -128,20 +136,25 @@ class Ingest:
             f"{n} {t}" for n, t in zip(names, ["string", "double"] + ["long"] * 4, strict=True)))
         (X.typed_projection(run, S.IMPORT_RUNS).write.mode("append")
          .parquet(f"{self.store.root}/import_runs/{self.store.BUCKETED}"))
+        each = archives.select(F.lit(self.imported_at).alias("imported_at"), "archive",
+                               F.lit(report["seconds"]).alias("seconds"),
+                               *[F.col(f"n_{n}").alias(f"{n}_files") for n in ("new", "changed", "unchanged")],
+                               F.col("n_errors").alias("errors"))
+        (X.typed_projection(each, S.IMPORT_ARCHIVES).coalesce(1).write.mode("append")
+         .parquet(f"{self.store.root}/import_archives/{self.store.BUCKETED}"))
         return report
 
     def run(self, files: DataFrame) -> dict:
         began = time.monotonic()
         st = self.detect(files)
         changed = INC.changed_only(st).where(F.col("parse_error").isNull())
-        counts = {r["status"]: r["n"] for r in st.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
-        report = {"new": counts.get("new", 0), "changed": counts.get("changed", 0),
-                  "unchanged": counts.get("unchanged", 0),
-                  "errors": st.where(F.col("parse_error").isNotNull()
-                                     & F.col("status").isin("new", "changed")).count()}
+        archives = INC.import_report(st, group=("archive",)).persist(StorageLevel.MEMORY_AND_DISK)  # a row per archive
+        total = archives.agg(*[F.coalesce(F.sum(f"n_{n}"), F.lit(0)).alias(n)
+                               for n in ("new", "changed", "unchanged", "errors")]).first()
+        report = total.asDict()
         if report["new"] + report["changed"] == 0:
             st.unpersist()
-            return self._reported(report, began)
+            return self._reported(report, began, archives)
         # categories present in this run (at most a few dozen values)
         present = {r["category"] for r in changed.select("category").distinct().collect()}
         for cat, (table, schema, fn, how) in ROW_TABLES.items():
@@ -183,8 +196,19 @@ class Ingest:
         # every new/changed file is logged, unparseable ones too (they are counted as errors)
         log_rows = INC.new_log_entries(INC.changed_only(st), self.imported_at)
         report["import_log"] = self.store.merge_table("import_log", X.typed_projection(log_rows, S.IMPORT_LOG))
+        report = self._reported(report, began, archives)
+        archives.unpersist()
         st.unpersist()
-        return self._reported(report, began)
+        return report
+
+
+#: Files of a day partition.
+DAY_FILES = 16
+
+
+def by_day(rows: DataFrame) -> DataFrame:
+    """Rows dealt so that a day is written by few tasks (else by all of them, a file each)."""
+    return rows.repartition(F.col("day"), F.pmod(F.xxhash64("subject_id"), F.lit(DAY_FILES)))
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -204,9 +228,3 @@ def _read_if_exists(spark: SparkSession, path: str, schema=None) -> DataFrame |
 
 def _schema_of(table: str):
     return S.TABLES[table][0]
-
-
-def preview_merge(target: DataFrame | None, source: DataFrame, table: str) -> DataFrame:
-    """Dry run of one table's merge: the merged rows with their action."""
-    schema, keys, watched = S.TABLES[table]
-    return merge_plan(target, X.typed_projection(source, schema), keys, watched)

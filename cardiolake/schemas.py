@@ -109,11 +109,39 @@ QUARANTINE = _st(("subject_id", _L, False), ("file_name", _S, False), ("category
 IMPORT_RUNS = _st(("imported_at", _TS, True), ("seconds", _D, True), ("n_new", _L, True), ("n_changed", _L, True),
                   ("n_unchanged", _L, True), ("n_errors", _L, True))
 
+IMPORT_ARCHIVES = _st(("imported_at", _TS, True), ("archive", _S, True), ("seconds", _D, True), ("new_files", _L, True),
+                      ("changed_files", _L, True), ("unchanged_files", _L, True), ("errors", _L, True))
+
 HR_SAMPLES = _st(("subject_id", _L, False), ("day", _DT, False), ("ts", _TS, True),
                  ("seconds_from_day_start", _I, True), ("hr", _I, False))
 
 # tables that grow with the number of files/sessions: bucketed, partition-scoped merges
 BUCKETED_TABLES = {"training", "raw_documents", "import_log"}
+# columns that deal their rows into buckets: the merge key, but for sessions, which are given whole
+BUCKET_BY = {"training": ("subject_id", "start_ts"), "raw_documents": ("subject_id", "file_name"),
+             "import_log": ("subject_id", "file_name")}
+
+# what tables and columns hold (written into the Parquet schema)
+TABLE_COMMENTS = {
+    "activity": "daily steps, calories and sleep", "training": "training sessions, one row per exercise",
+    "heartrate": "daily heart-rate metrics", "hrv": "daily heart-rate variability from pulse intervals",
+    "fitness_tests": "fitness tests, the best of a day", "orthostatic_tests": "orthostatic tests as JSON",
+    "physical_info": "physical data as JSON", "products_devices": "devices as JSON",
+    "raw_documents": "documents kept whole", "import_log": "files loaded, with their hash",
+}
+COLUMN_COMMENTS = {
+    "subject_id": "person", "day": "calendar day (UTC)", "steps": "steps of the day", "calories": "energy in kcal",
+    "sleep_hours": "hours asleep", "sleep_quality": "sleep quality as exported", "met_minutes": "metabolic equivalent minutes",
+    "start_ts": "start of the session (UTC)", "ordinal": "place of the exercise in its session", "sport": "sport, e.g. RUNNING",
+    "category": "category of the sport or file", "duration_min": "minutes", "distance_km": "kilometres",
+    "hr_avg": "mean heart rate (bpm)", "hr_max": "highest heart rate (bpm)", "weekday": "Monday .. Sunday", "year": "year of the day",
+    "resting_hr": "5th percentile of the day's heart rates (bpm)", "hr_mean": "mean heart rate of the day (bpm)",
+    "weekday_no": "0 = Monday .. 6 = Sunday", "month": "1 .. 12", "rmssd": "root mean square of successive differences (ms)",
+    "sdnn": "standard deviation of pulse intervals (ms)", "ppi_mean_ms": "mean pulse interval (ms)",
+    "hr_from_ppi": "heart rate from the mean pulse interval (bpm)", "n_samples": "pulse intervals of the day",
+    "own_index": "fitness index", "vo2max": "VO2max (ml/kg/min)", "json_data": "the document's JSON text",
+    "file_name": "name of the export file", "hash_md5": "MD5 of the file's bytes", "imported_at": "time of the load",
+}
 
 # table name -> (schema, merge keys, watched columns or None = unconditional update)
 TABLES = {

@@ -36,11 +36,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``.
 
     On a cluster this is a shared folder set by the deployment and is only
-    read here. Only when it is unset (local tests) a scratch folder is made.
+    read here; without it an error is raised, as executors do not see a folder of
+    the driver's machine. A local session without it gets a scratch folder.
     """
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="cardiolake-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(cur)

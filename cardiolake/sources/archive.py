@@ -1,9 +1,10 @@
 """Export archives (ZIP) and unpacked folders as DataFrames of files.
 
-``binaryFile`` lists and reads the archives; unzipping is the one place that
-needs Python (``mapInPandas``): it streams entry by entry, never holding more
-than one archive per task. Right after it the entries are repartitioned so
-that the many small entries of one archive spread over the cluster.
+``archive_source`` reads archives through the data source of ``zip_source``: many
+tasks an archive, one entry in memory. For stores that only Spark's own readers
+reach there is ``unzip_entries`` over ``binaryFile`` (``mapInPandas``, one archive
+in memory per task; the entries are then spread over the cluster). In both a
+damaged archive or entry is a row without content and with an ``error``.
 """
 
 from __future__ import annotations
@@ -12,18 +13,20 @@ import sys
 
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardiolake.functions.labels import file_category
+from cardiolake.sources import zip_source
 
 # Python code of this module runs in Spark's Python workers; ship it with the
 # task so executors need no installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ENTRY_SCHEMA = "subject_id long, archive string, modified_at timestamp, file_name string, content binary"
+ENTRY_SCHEMA = "subject_id long, archive string, modified_at timestamp, file_name string, content binary, error string"
 #: A batch of entries is passed on at so many entries or bytes.
 BATCH_ENTRIES, BATCH_BYTES = 512, 32 << 20
 
@@ -42,20 +45,37 @@ def archive_listing(spark: SparkSession, path: str, glob: str = "*.zip") -> Data
                      F.col("modificationTime").alias("modified_at"))
 
 
+def _entries(path, content):
+    """(file name, content, error) of an archive's entries."""
+    try:
+        archive = zipfile.ZipFile(io.BytesIO(content))
+    except (zipfile.BadZipFile, ValueError, EOFError) as bad:
+        yield path.rsplit("/", 1)[-1], None, f"damaged_archive: {bad}"
+        return
+    with archive:
+        for info in archive.infolist():
+            if info.is_dir():
+                continue
+            if info.flag_bits & 1:
+                yield info.filename, None, "encrypted_entry"
+                continue
+            try:
+                yield info.filename, archive.read(info), None
+            except (zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError, RuntimeError) as bad:
+                yield info.filename, None, f"damaged_entry: {bad}"
+
+
 def _unzip(batches):
-    names = ["subject_id", "archive", "modified_at", "file_name", "content"]
+    names = ["subject_id", "archive", "modified_at", "file_name", "content", "error"]
     for pdf in batches:
         out, held = [], 0
         for subject, path, modified, content in zip(pdf["subject_id"], pdf["path"], pdf["modified_at"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for info in zf.infolist():
-                    if info.is_dir():
-                        continue
-                    out.append((int(subject), path, modified, info.filename, zf.read(info)))
-                    held += info.file_size
-                    if len(out) >= BATCH_ENTRIES or held >= BATCH_BYTES:
-                        yield pd.DataFrame(out, columns=names)
-                        out, held = [], 0
+            for name, data, error in _entries(path, content):
+                out.append((int(subject), path, modified, name, data, error))
+                held += len(data or b"")
+                if len(out) >= BATCH_ENTRIES or held >= BATCH_BYTES:
+                    yield pd.DataFrame(out, columns=names)
+                    out, held = [], 0
         if out:
             yield pd.DataFrame(out, columns=names)
 
@@ -64,7 +84,7 @@ def unzip_entries(archives: DataFrame, default_subject: int = 0,
                   partitions: int | None = None) -> DataFrame:
     """Rows ``(path, modificationTime, content[, subject_id])`` of ZIP files -> one row
     per entry. An archive is one value of Spark's binary file source, which ends the job beyond 2 GiB:
-    larger archives must be unpacked into a folder (``folder_source``)."""
+    larger ones need ``archive_source`` or must be unpacked into a folder (``folder_source``)."""
     src = archives.select(_subject_col(archives, default_subject).alias("subject_id"), "path",
                           F.col("modificationTime").alias("modified_at"), "content")
     entries = src.mapInPandas(_unzip, ENTRY_SCHEMA)
@@ -72,12 +92,26 @@ def unzip_entries(archives: DataFrame, default_subject: int = 0,
     return entries.repartition(n, "subject_id", "file_name")
 
 
+def wanted(entries: DataFrame, json_only: bool = True) -> DataFrame:
+    """JSON entries, and the rows that tell of an error."""
+    return entries.where(F.lower("file_name").endswith(".json") | F.col("error").isNotNull()) if json_only else entries
+
+
 def archive_source(spark: SparkSession, path: str, default_subject: int = 0,
-                   json_only: bool = True) -> DataFrame:
-    """ZIP archives under ``path`` -> ``(subject_id, archive, modified_at, file_name, content)``."""
-    arch = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    e = unzip_entries(arch, default_subject)
-    return e.where(F.lower("file_name").endswith(".json")) if json_only else e
+                   json_only: bool = True, by_spark: bool = False, part_bytes: int | None = None) -> DataFrame:
+    """ZIP archives under ``path`` -> ``(subject_id, archive, modified_at, file_name, content, error)``.
+
+    ``by_spark`` reads them as Spark's binary files, for stores that Python cannot open.
+    """
+    if by_spark:
+        arch = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+        return wanted(unzip_entries(arch, default_subject), json_only)
+    zip_source.register(spark)
+    reader = (spark.read.format("export_zip").option("default_subject", default_subject)
+              .option("json_only", str(json_only).lower()))
+    if part_bytes:
+        reader = reader.option("part_bytes", part_bytes)
+    return reader.load(path)
 
 
 def folder_source(spark: SparkSession, path: str, default_subject: int = 0) -> DataFrame:
@@ -88,7 +122,7 @@ def folder_source(spark: SparkSession, path: str, default_subject: int = 0) -> D
                      F.lit(None).cast("string").alias("archive"),
                      F.col("modificationTime").alias("modified_at"),
                      F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                     "content")
+                     "content", F.lit(None).cast("string").alias("error"))
 
 
 def route_by_name(files: DataFrame, category: str) -> DataFrame:

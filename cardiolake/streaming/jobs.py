@@ -4,6 +4,8 @@
   the same idempotent ``Ingest`` as the batch load. The stream checkpoint
   remembers which *paths* were seen; the import log still decides per entry
   (a new archive repeats old entries).
+* T01 / L19 ``archive_stream``: ZIP archives by a seeking data source, with a
+  journal of which archives were assigned, loaded and moved.
 * T02 ``payload_stream``: landed API payloads -> extract -> upsert. Offsets
   are committed only after the merge succeeded (at-least-once + idempotent
   merge = effectively once).
@@ -46,7 +48,7 @@ def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str =
     the import log, not the move, is what marks a file as processed.
     """
     from cardiolake.plans.ingest import Ingest
-    from cardiolake.sources.archive import unzip_entries
+    from cardiolake.sources.archive import unzip_entries, wanted
 
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob))
@@ -59,11 +61,12 @@ def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str =
 
     def batch(df: DataFrame, epoch: int):
         zipped = F.lower("path").endswith(".zip")
-        names = ["subject_id", "archive", "modified_at", "file_name", "content"]
+        names = ["subject_id", "archive", "modified_at", "file_name", "content", "error"]
         plain = df.where(~zipped).select(
             "subject_id", F.lit(None).cast("string").alias("archive"), F.col("modificationTime").alias("modified_at"),
-            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content")
-        entries = unzip_entries(df.where(zipped), default_subject).where(F.lower("file_name").endswith(".json"))
+            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "content",
+            F.lit(None).cast("string").alias("error"))
+        entries = wanted(unzip_entries(df.where(zipped), default_subject))
         reports.append(Ingest(spark, store, imported_at).run(plain.unionByName(entries.select(*names))))
 
     q = (files.writeStream.foreachBatch(batch).option("checkpointLocation", _ckpt(spark, name))
@@ -72,13 +75,49 @@ def file_stream(spark: SparkSession, folder: str, store: TableStore, name: str =
     return reports
 
 
+def archive_stream(spark: SparkSession, folder: str, store: TableStore, journal: str, name: str = "archives",
+                   archive_dir: str | None = None, default_subject: int = 0, imported_at: str | None = None,
+                   part_bytes: int | None = None) -> list[dict]:
+    """T01 + L19 for ZIP archives: load every archive under ``folder`` that ``journal`` does not know, and
+    with ``archive_dir`` move it there (availableNow run; returns the reports of its batches).
+
+    Order of steps: the batch's archives are written in the journal; tables and import log are merged;
+    the journal notes *loaded*; files are moved; the journal notes *moved*. A run that dies before
+    *loaded* is loaded again (merges are idempotent), one that dies later only moves what is left.
+    """
+    from cardiolake.plans.ingest import Ingest
+    from cardiolake.sources import zip_source
+
+    zip_source.register(spark)
+    pages = zip_source.ArchiveJournal(journal)
+    if archive_dir:
+        pages.move(folder, archive_dir)  # what an earlier run left
+    reader = (spark.readStream.format("export_zip").option("default_subject", default_subject)
+              .option("journal", journal))
+    if part_bytes:
+        reader = reader.option("part_bytes", part_bytes)
+    reports = []
+
+    def batch(df: DataFrame, epoch: int):
+        reports.append(Ingest(spark, store, imported_at).run(df))
+        pages.loaded()
+        if archive_dir:
+            pages.move(folder, archive_dir)
+
+    q = (reader.load(folder).writeStream.foreachBatch(batch).option("checkpointLocation", _ckpt(spark, name))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return reports
+
+
 def payload_stream(spark: SparkSession, root: str, endpoint: str, store: TableStore, name: str | None = None,
                    ingest_date: str = "1970-01-01", default_subject: int = 0):
     """Landed payloads of one endpoint -> rows -> upsert (availableNow run).
 
     Subjects come from ``subject_id=<n>/`` directories as in the batch read. A NULL of a
     payload never erases a value of another source: activity days and nights of sleep meet
-    in one row of ``activity``, whichever comes first."""
+    in one row of ``activity``, whichever comes first. Payloads without a readable day are kept in the
+    table ``payload_quarantine`` and counted (``undated``)."""
     from cardiolake import schemas as S
     from cardiolake.operators import api_extract as AX
     from cardiolake.operators.extract import typed_projection
@@ -107,7 +146,13 @@ def payload_stream(spark: SparkSession, root: str, endpoint: str, store: TableSt
             rows, table = AX.api_recharge(df), "raw_documents"
         else:
             raise ValueError(f"no table for endpoint {endpoint}")
-        counts.append(store.merge_table(table, typed_projection(rows, S.TABLES[table][0]), **how))
+        report = store.merge_table(table, typed_projection(rows, S.TABLES[table][0]), **how)
+        lost = AX.undated(df, endpoint).persist()
+        report["undated"] = lost.count()
+        if report["undated"]:
+            store.upsert("payload_quarantine", lost, ["subject_id", "endpoint", "hash_md5", "reason"])
+        lost.unpersist()
+        counts.append(report)
 
     q = (p.writeStream.foreachBatch(batch).option("checkpointLocation", _ckpt(spark, name or endpoint))
          .trigger(availableNow=True).start())
