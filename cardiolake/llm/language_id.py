@@ -33,6 +33,8 @@ BUCKETS = 1 << 15
 SWITCH, SHARE, SMOOTH = 12.0, 0.01, 0.3
 #: Languages whose counts come to the driver at once, and cells (letter, language) scored at once.
 TOGETHER, CELLS = 200, 1 << 24
+#: Letters of texts labelled together, and words of a stretch that is decoded in one go.
+LETTERS, STRETCH = 1 << 20, 256
 #: Code points looked up for being a letter; those above count as none.
 TOP = 0x33000
 #: First code points of script ranges, ascending, with their script; fixed values.
@@ -66,8 +68,9 @@ class Letters:
         self.is_letter = np.fromiter((chr(i).isalpha() for i in range(TOP)), bool, TOP)
         self.is_letter[0xD800:0xE000] = False
 
-    def __call__(self, text: str | None) -> Words:
-        x = np.frombuffer(f"\0{(text or '').lower()}\0".encode("utf-32-le"), "<u4")
+    def __call__(self, text: str | None, lowered: bool = False) -> Words:
+        low = (text or "") if lowered else (text or "").lower()
+        x = np.frombuffer(f"\0{low}\0".encode("utf-32-le"), "<u4")
         ok = self.is_letter[np.minimum(x, TOP - 1)]
         x = np.where(ok, x, 0)
         step = np.diff(ok.astype(np.int8))
@@ -140,15 +143,114 @@ class Reader:
                 out.append([k, a, b, b - a])
         return [(self.m.languages[k], a, b, n) for k, a, b, n in out]
 
+    def labels(self, texts: list[str | None]) -> list[tuple[str, float, int]]:
+        """(language, share of letters, number of spans) of each text; some are looked at together."""
+        out = [("und", 0.0, 0)] * len(texts)
+        most = max(1, min(LETTERS, CELLS // max(1, 4 * len(self.m.languages))))
+        group, size = [], 0
+        for i, t in enumerate(texts if self.m.languages else []):
+            if t:
+                group.append(i)
+                size += len(t)
+                if size >= most:
+                    self._label(texts, group, out)
+                    group, size = [], 0
+        if group:
+            self._label(texts, group, out)
+        return out
+
+    def _label(self, texts: list[str | None], group: list[int], out: list) -> None:
+        low = [texts[i].lower() for i in group]
+        w = self.letters("\0".join(low), lowered=True)  # the separator is no letter
+        if not len(w.starts):
+            return
+        ends = np.cumsum([len(t) + 1 for t in low]) + 1  # in x, which has one place before the first text
+        text = np.searchsorted(ends, w.starts, side="right")
+        first = np.searchsorted(text, np.arange(len(group)))
+        count = np.diff(np.append(first, len(text)))
+        many = len(self.m.languages)
+        path = paths(self.scores(w), first, count)
+        letters = np.bincount(text * many + path, weights=w.stops - w.starts,
+                              minlength=len(group) * many).reshape(len(group), many)
+        best, total = letters.argmax(axis=1), letters.sum(axis=1)
+        change = (path[1:] != path[:-1]) & (text[1:] == text[:-1])
+        spans = 1 + np.bincount(text[1:][change], minlength=len(group))
+        for j in np.flatnonzero(total).tolist():
+            out[group[j]] = (self.m.languages[best[j]], float(letters[j, best[j]] / total[j]), int(spans[j]))
+
     def label(self, text: str | None) -> tuple[str, float, int]:
-        """(language, share of letters, number of spans)."""
-        w = self.letters(text)
-        if not len(w.starts) or not self.m.languages:
-            return "und", 0.0, 0
-        path = viterbi(self.scores(w))
-        letters = np.bincount(path, weights=w.stops - w.starts, minlength=len(self.m.languages))
-        best = int(letters.argmax())
-        return self.m.languages[best], float(letters[best] / letters.sum()), 1 + int((path[1:] != path[:-1]).sum())
+        return self.labels([text])[0]
+
+
+def paths(score: np.ndarray, first: np.ndarray, count: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """``viterbi`` of many texts, each given by its first word and number of words.
+
+    Texts are cut into stretches of at most ``STRETCH`` words, and all stretches go forward together, a word
+    at a time. A text of several stretches goes twice: first from each language it may come in with, which
+    gives the best language at every cut, and then with these fixed.
+    """
+    k, path = score.shape[1], np.empty(len(score), np.int64)
+    parts = -(-count // STRETCH)
+    text = np.repeat(np.arange(len(count)), parts)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+    start, size = first[text] + nth * STRETCH, np.minimum(STRETCH, count[text] - nth * STRETCH)
+    enter, leave = np.full(len(text), -1), np.full(len(text), -1)  # languages before and at the end of a stretch
+    several = np.flatnonzero(parts[text] > 1)
+    if len(several):
+        gain = np.empty((len(several), k, k))
+        for some in _batches(size[several], k * k):
+            at = several[some]
+            value = np.where(np.eye(k, dtype=bool) | (nth[at] == 0)[:, None, None], 0.0, -np.inf)
+            gain[some] = _forward(score, start[at], size[at], value, switch)
+        ends = np.append(np.flatnonzero(nth[several] == 0), len(several))
+        for lo, hi in zip(ends, ends[1:]):
+            best, came = gain[lo][0], []
+            for g in gain[lo + 1:hi]:
+                total = best[:, None] + g
+                came.append(total.argmax(axis=0))
+                best = total.max(axis=0)
+            at = int(best.argmax())
+            for j in range(hi - 1, lo, -1):
+                leave[several[j]] = at
+                at = enter[several[j]] = int(came[j - lo - 1][at])
+            leave[several[lo]] = at
+    for some in _batches(size, STRETCH * k // 4 + 1):
+        n, steps = len(some), int(size[some[0]])
+        value = np.where((enter[some] < 0)[:, None] | (enter[some][:, None] == np.arange(k)), 0.0, -np.inf)
+        back = np.empty((steps, n, k), bool), np.empty((steps, n), np.int32)
+        value = _forward(score, start[some], size[some], value, switch, back)
+        at = np.where(leave[some] >= 0, leave[some], value.argmax(axis=1))
+        active = _active(size[some])
+        for i in range(steps - 1, -1, -1):
+            a = active[i]
+            path[start[some[:a]] + i] = at[:a]
+            at[:a] = np.where(back[0][i, np.arange(a), at[:a]], at[:a], back[1][i, :a])
+    return path
+
+
+def _batches(size: np.ndarray, cells: int):
+    """Places of the stretches, longest first, in batches of so many cells each."""
+    order = np.argsort(-size, kind="stable")
+    step = max(1, CELLS // cells)
+    return [order[lo:lo + step] for lo in range(0, len(order), step)]
+
+
+def _active(size: np.ndarray) -> np.ndarray:
+    """How many of the stretches (longest first) have a word at each step."""
+    return np.searchsorted(-size, -np.arange(size[0]), side="left")
+
+
+def _forward(score, start, size, value, switch, back=None):
+    """Values of the languages behind each stretch (longest first), from those before it: [n, k] or [n, from, k]."""
+    for i, a in enumerate(_active(size).tolist()):
+        v = value[:a]
+        top = v.argmax(axis=-1)
+        moved = np.take_along_axis(v, top[..., None], axis=-1) - switch
+        if back is not None:
+            back[0][i, :a], back[1][i, :a] = v >= moved, top
+        s = score[start[:a] + i]
+        value[:a] = np.maximum(v, moved) + (s if v.ndim == 2 else s[:, None])
+    return value
 
 
 def viterbi(score: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -236,7 +338,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """Per input row: doc_id, lang_pred, score, n_spans."""
     def make():
         reader = model.reader()
-        return lambda c: [(i, *reader.label(t)) for i, t in zip(c["doc_id"], c["text"], strict=True)]
+        return lambda c: [(i, *x) for i, x in zip(c["doc_id"], reader.labels(c["text"]), strict=True)]
 
     return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), make,
                     "doc_id long, lang_pred string, score double, n_spans int", rows_per_output=500)
