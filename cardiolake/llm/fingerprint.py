@@ -18,6 +18,7 @@ with a standard error of at most about ``1 / sqrt(LANES)``. Below 0 it counts as
 Null counts as empty text; the fingerprint of a text without paragraphs is all
 zeros. Documents are ordered by descending doc_id, null last, equal ids by text
 hash; the one after the last is the first, so a lone document is its own next.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from cardiolake.llm.common import read_table
 LANES, BITS, SIGN_BITS = 64, 48, 32
 MASK = (1 << BITS) - 1
 PARAGRAPH = r"\n|(?<=[.!?]) "
-#: Ranges of doc_id the documents are dealt into, at most (bounds the literal list of limits).
-MOST_RANGES, ROWS_PER_RANGE = 2048, 4096
+#: Rows of a range of doc_id, and limits of one level: a literal list of so many numbers, and a table of as many such lists.
+ROWS_PER_RANGE, LIMITS = 4096, 2048
 
 
 def fingerprint(text: Column) -> Column:
@@ -80,35 +81,62 @@ def likeness(a: Column, b: Column) -> Column:
             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), product(x, y) / norm))))
 
 
+def _limits(rows: DataFrame, key: str, parts: int, by: list[str]) -> DataFrame:
+    """(by, limits descending): the largest key and about ``parts`` - 1 quantiles, all of them keys that occur."""
+    steps = F.array(*[F.lit(i / parts) for i in range(1, parts)]) if parts > 1 else None
+    found = F.array(F.max(key)) if steps is None else F.array_append(F.percentile_approx(key, steps, 10 * parts), F.max(key))
+    return rows.groupBy(*by).agg(F.sort_array(F.array_distinct(found), asc=False).alias("limits"))
+
+
+def _number(key: str, limits: Column) -> Column:
+    """Which range of the descending ``limits`` a key is in: the first begins with the first limit."""
+    return F.size(F.filter(limits, lambda x: x >= F.col(key))) - 1
+
+
 def with_next(docs: DataFrame, columns: list[str], key: str) -> DataFrame:
     """Each row with ``next``, a struct of the next row's ``columns`` by descending ``key`` (cyclic).
 
-    No window spans the table: rows are dealt into ranges of ``key`` whose
-    limits are quantiles (a literal list of at most ``MOST_RANGES`` numbers),
-    and each range's first row is also put, marked, at the end of the range before it.
+    No window spans the table. Rows are dealt into ranges of ``key`` of about ``ROWS_PER_RANGE`` rows by two
+    levels of limits; limits are keys that occur, so a range begins with the rows of its limit, which are also
+    put, marked, at the end of the range before. Texts move once. Rows without a key are the last range; they
+    and the rows of one key stay together.
     """
-    n = docs.count()
-    if n == 0:
-        return docs.withColumn("next", F.struct(*columns))
-    parts = max(1, min(MOST_RANGES, n // ROWS_PER_RANGE))
-    steps = [i / parts for i in range(1, parts)]
-    limits = sorted(set(docs.agg(F.percentile_approx(key, steps, 10 * parts)).first()[0] or [])) if steps else []
-    at = F.lit(0) if not limits else F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x >= F.col(key)))
-    # ranges are numbered from the largest ids down; nulls come last
-    placed = docs.withColumn("_range", F.when(F.col(key).isNull(), F.lit(len(limits) + 1)).otherwise(at))
-    order = [F.col(key).desc_nulls_last(), F.col("_tie")]
-    firsts = (placed.groupBy("_range").agg(F.min(F.struct((-F.col(key)).alias("k"), "_tie")).alias("first"))
-              .withColumn("_before", F.lag("_range").over(Window.partitionBy(F.lit(0)).orderBy("_range")))
-              .withColumn("_last", F.max("_range").over(Window.partitionBy(F.lit(0))))
-              .select("_range", (-F.col("first.k")).alias("_k"), F.col("first._tie").alias("_t"),
-                      F.coalesce("_before", "_last").alias("_to")))
-    # at most MOST_RANGES + 1 rows: a size bound that does not depend on the data
-    heads = (placed.join(F.broadcast(firsts), (placed["_range"] == firsts["_range"]) & placed[key].eqNullSafe(F.col("_k"))
-                         & (placed["_tie"] == F.col("_t")))
-             .drop(placed["_range"]).drop(firsts["_range"]).dropDuplicates(["_to"])
-             .withColumn("_range", F.col("_to")).withColumn("_head", F.lit(True)).drop("_k", "_t", "_to"))
-    every = placed.withColumn("_head", F.lit(False)).unionByName(heads)
-    w = Window.partitionBy("_range").orderBy("_head", *order)
+    keyed = docs.where(F.col(key).isNotNull())
+    n = keyed.count()
+    low = docs.where(F.col(key).isNull()).agg(F.min("_tie")).first()[0]  # None: every row has a key
+    parts = max(1, -(-n // ROWS_PER_RANGE))
+    coarse = min(LIMITS, parts)
+    top = (_limits(keyed, key, coarse, []).first()["limits"] if n else []) or []
+    placed = docs
+    if parts > coarse:
+        # at most LIMITS rows of lists of as many numbers: a bound that does not depend on the data
+        fine = (_limits(keyed.withColumn("_c", _number(key, F.array(*map(F.lit, top)))), key, min(LIMITS, -(-parts // coarse)), ["_c"])
+                .select("_c", F.col("limits").alias("_fine")))
+        sizes = {r["_c"]: r["s"] for r in fine.select("_c", F.size("_fine").alias("s")).collect()}
+        starts = [sum(sizes.get(j, 0) for j in range(i)) for i in range(len(top))]
+        ranges = sum(sizes.values())
+        placed = (docs.withColumn("_c", F.when(F.col(key).isNotNull(), _number(key, F.array(*map(F.lit, top)))))
+                  .join(F.broadcast(fine), "_c", "left"))
+        own = F.get(F.array(*map(F.lit, starts)), F.col("_c")) + _number(key, F.col("_fine"))
+        begins = F.array_contains("_fine", F.col(key))
+    else:
+        ranges = len(top)
+        own = _number(key, F.array(*map(F.lit, top))) if top else F.lit(0)
+        begins = F.col(key).isin(*top) if top else F.lit(False)
+    null_range = ranges  # behind all others
+    last = ranges if low is not None else ranges - 1
+    keyless = F.col(key).isNull()
+    own = F.when(keyless, F.lit(null_range)).otherwise(own)
+    first = F.when(keyless, F.col("_tie") == F.lit(low)).otherwise(begins)
+    placed = placed.withColumn("_own", own).withColumn("_first", first)
+    before = F.when(F.col("_own") == 0, F.lit(last)).otherwise(F.col("_own") - 1)
+    if ranges == 0:
+        before = F.lit(null_range)
+    spots = F.array_compact(F.array(F.struct(F.col("_own").alias("r"), F.lit(False).alias("head")),
+                                    F.when(F.col("_first"), F.struct(before.alias("r"), F.lit(True).alias("head")))))
+    every = (placed.withColumn("_e", F.explode(spots)).withColumn("_range", F.col("_e.r")).withColumn("_head", F.col("_e.head"))
+             .drop("_e", "_own", "_first", "_c", "_fine"))
+    w = Window.partitionBy("_range").orderBy("_head", F.col(key).desc_nulls_last(), F.col("_tie"))
     return (every.withColumn("next", F.lead(F.struct(*columns)).over(w))
             .where(~F.col("_head")).drop("_head", "_range"))
 
