@@ -15,9 +15,13 @@ Score: features are words and, of longer words, the first 4, 5 and 6
 characters, once per document. From the labelled training documents (a sample of at most
 ``MOST_LABELLED``, by hash of the id, so that its ids can be broadcast) a feature
 has a smoothed log-likelihood ratio, toxic against clean; those in at least
-``LEAST`` toxic documents with a ratio of at least ``RATIO`` make the lexicon, at
-most ``MOST_FEATURES`` of them. A document's log-odds are the prior plus, for
-every distinct word, its strongest feature.
+``LEAST`` toxic documents with a ratio of at least ``RATIO`` make the lexicon (the
+sample bounds it). A document's log-odds are the prior plus, for every distinct
+word, its strongest feature.
+
+A word of digits alone is decoded if it may spell a whole lexicon word. It weighs
+what that word does, less the price ``BY_DIGITS`` of such a spelling and less how
+often the number stands in clean training texts, where it is just a number.
 
 Null and empty texts have no features: their score is the prior. Labels other
 than 0 and 1 are no labels; an id with several labels is toxic if one is 1.
@@ -31,7 +35,8 @@ import math
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import product
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,7 +44,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardiolake.llm.common import add_column, fold, map_rows, read_table, settle
 
 THRESHOLD = 0.7
-LEAST, RATIO, MOST_FEATURES, MOST_LABELLED = 5, 50.0, 50_000, 200_000
+LEAST, RATIO, MOST_LABELLED = 5, 50.0, 200_000
+#: Share of the spellings of a word that use digits alone.
+BY_DIGITS = 0.02
 FLUSH = 300_000
 #: Readings up to this length are decoded once and kept; longer ones (rare and seldom repeated) are decoded each time.
 KEPT = 64
@@ -54,7 +61,9 @@ SET_APART = re.compile(r"(?<![^\W_])[^\W_](?:[\s.\-_*'·,/\\|~]{1,2}[^\W_]){2,}(
 EDGE = " .,;:?\"'()[]{}<>|-_~`"
 #: The edges that stand for no letter.
 MARKS = "".join(c for c in EDGE if c not in SIGNS)
-#: Numbers, dates and times hide nothing.
+#: Words of digits alone.
+DIGITS = re.compile(r"(?<![^\W])\d{2,}(?![^\W])")
+#: Numbers, dates and times open no lattice (digits alone may: see ``spellings``).
 NUMBER = re.compile(r"[-+#$£€(]{0,2}\d+(?:[-.,:/()'–]{1,2}\d+)*[%+$£€)]{0,2}")
 #: Sizes of the hashed tables of the language model and of the feature filter: fixed, whatever the corpus.
 BUCKETS, FILTER = 1 << 16, 1 << 20
@@ -169,10 +178,11 @@ class Model:
     lexicon: dict[str, float]       # feature -> log-likelihood ratio
     tri: np.ndarray                 # counts of hashed letter trigrams
     bi: np.ndarray                  # and of their first two letters
+    numbers: dict[str, float] = field(default_factory=dict)  # digits that may spell a lexicon word -> weight as that word
 
     def scorer(self):
         decode, lexicon, known = Decoder(self.tri, self.bi), self.lexicon, {}
-        prior, hidden = self.prior, {}
+        prior, hidden, numbers = self.prior, {}, self.numbers
 
         def best(word: str) -> float:
             return max((lexicon.get(f, 0.0) for f in features(word)), default=0.0)
@@ -204,11 +214,47 @@ class Model:
                     hidden.clear()
                 for readings in suspects(low):
                     total += max(sum(v for w, v in restored(r) if w not in got) for r in readings)
+                if numbers:
+                    for token in set(DIGITS.findall(low)):
+                        v = numbers.get(token, 0.0)
+                        if v > 0 and (w := decode(token)) in lexicon and w not in got:
+                            total += v
             return 0.0 if prior < -100 else 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, prior + total))))
 
         return score
 
 
+def spellings(lexicon: dict[str, float]) -> dict[str, str]:
+    """Digits that spell a whole lexicon word -> the word (of several, the one with the largest ratio)."""
+    digits: dict[str, str] = {}
+    for d, letters in SIGNS.items():
+        if d.isdigit():
+            for x in letters:
+                digits[x] = digits.get(x, "") + d
+    out: dict[str, str] = {}
+    for w in sorted(lexicon, key=lambda w: (lexicon[w], w)):
+        if len(w) > 1 and all(x in digits for x in w):  # two letters have two digits each, so spellings are few
+            out.update(("".join(p), w) for p in product(*(digits[x] for x in w)))
+    return out
+
+
+def number_weights(clean: DataFrame, lexicon: dict[str, float]) -> dict[str, float]:
+    """Weight of each number that may spell a lexicon word: less where clean texts hold the number."""
+    words = spellings(lexicon)
+    if not words:
+        return {}
+
+    def make():
+        def each(c):
+            seen = Counter(x for t in c["text"] for x in set(DIGITS.findall((t or "").lower())) if x in words)
+            return list(seen.items())
+        return each
+
+    rows = map_rows(clean.select("text"), make, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    often = {r["token"]: r["n"] for r in rows.collect()}  # at most the spellings of the lexicon
+    return {d: lexicon[w] + math.log(BY_DIGITS) - math.log((often.get(d, 0) + 0.5) / 0.5) for d, w in words.items()}
+
+
 def toxic_counts(rows: DataFrame) -> DataFrame:
     """(feature, toxic): the number of texts it stands in or, if fewer, of different words it stands
     behind. Copies and near copies of a text add no such words, so their rare words do not look like insults."""
@@ -345,10 +391,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ratio = F.log(((F.col("toxic") + 0.5) / F.lit(toxic + 1.0)) / ((F.col("clean") + 0.5) / F.lit(clean + 1.0)))
     strong = (often.join(others, "feature", "left").withColumn("clean", F.coalesce("clean", F.lit(0)))
               .withColumn("ratio", ratio).where(F.col("ratio") >= math.log(RATIO))
-              .orderBy(F.desc("toxic"), "feature").limit(MOST_FEATURES)
-              .select("feature", "ratio").collect())  # at most MOST_FEATURES rows
+              .select("feature", "ratio").collect())  # features of LEAST texts or more of the bounded sample
     lexicon = {r["feature"]: r["ratio"] for r in strong}
-    return Model(math.log((toxic + 0.5) / (clean + 0.5)), lexicon, *favoured(tri, bi, lexicon))
+    return Model(math.log((toxic + 0.5) / (clean + 0.5)), lexicon, *favoured(tri, bi, lexicon),
+                 number_weights(rows.where("toxic = 0"), lexicon))
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
