@@ -3,9 +3,10 @@
 Records hash into ``SLOTS`` virtual slots for good. A slot-to-shard map, a table
 of ``SLOTS`` rows with a version, says where a slot lives; rebalancing edits the
 map and gives the edit the next version, so a record moves only if its slot
-does. The query keeps the maps of each input in the shared folder: it goes on from
+does. A version counts once it is written whole; a lost write leaves a number unused. The query keeps the maps of each input in the shared folder: it goes on from
 the newest one and stores an edit as the next version (without a move, no new
-version). Loads are bytes per slot (an aggregate with map-side sums); the map is
+version), so its shards follow from the documents and the version it began with,
+which it reports. Loads are bytes per slot (an aggregate with map-side sums); the map is
 edited on the driver, which sees ``SLOTS`` numbers whatever the size of the data.
 
 Law: ``bytes``. ``rebalanced`` moves slots from shards above the mean to shards
@@ -22,6 +23,7 @@ text hash), so no window holds more than a slot.
 
 from __future__ import annotations
 
+import json
 from hashlib import blake2b
 
 from pyspark.errors import AnalysisException
@@ -87,10 +89,29 @@ def _swap(top, low, gap):
     return found
 
 
-def map_table(spark: SparkSession, placing: list[int], version: int) -> DataFrame:
-    """(virtual_slot, shard, version) of one map version."""
-    return spark.range(1).select(F.posexplode(F.array(*[F.lit(k) for k in placing])).alias("virtual_slot", "shard")
-                                 ).withColumn("version", F.lit(version))
+def map_table(spark: SparkSession, placing: list[int], version: int, offsets: list[int] | None = None) -> DataFrame:
+    """(virtual_slot, shard, version) of one map version, and ``offset`` if given. The map is one literal."""
+    kind = "array<struct<shard:int" + (",offset:long>>" if offsets else ">>")
+    rows = json.dumps([{"shard": k, **({"offset": offsets[i]} if offsets else {})} for i, k in enumerate(placing)])
+    return (spark.range(1).select(F.posexplode(F.from_json(F.lit(rows), kind)).alias("virtual_slot", "_m"))
+            .select("virtual_slot", "_m.*", F.lit(version).alias("version")))
+
+
+def versions(spark: SparkSession, path: str) -> tuple[list[int], int]:
+    """(numbers of the versions that were written whole, largest number there is a folder for)."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return [], 0
+    whole, last = [], 0
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("version=") and name[8:].isdigit():
+            last = max(last, int(name[8:]))
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                whole.append(int(name[8:]))
+    return sorted(whole), last
 
 
 def save_map(spark: SparkSession, placing: list[int], version: int, path: str) -> None:
@@ -98,23 +119,29 @@ def save_map(spark: SparkSession, placing: list[int], version: int, path: str) -
     map_table(spark, placing, version).drop("version").coalesce(1).write.mode("error").parquet(f"{path}/version={version}")
 
 
+def store_map(spark: SparkSession, placing: list[int], path: str) -> int:
+    """Store a map under the next free number, also past folders that a lost write left; the number."""
+    while True:
+        version = versions(spark, path)[1] + 1
+        try:
+            save_map(spark, placing, version, path)
+            return version
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise  # another writer took the number: try the next one
+
+
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> tuple[int, list[int]]:
-    """(version, placing) of the given or the newest version."""
-    t = spark.read.parquet(path)
+    """(version, placing) of the given or the newest whole version."""
     if version is None:
-        version = t.agg(F.max("version")).first()[0]
-    rows = t.where(F.col("version") == version).orderBy("virtual_slot").select("shard").collect()
+        version = versions(spark, path)[0][-1]
+    rows = spark.read.parquet(f"{path}/version={version}").orderBy("virtual_slot").select("shard").collect()
     return version, [r[0] for r in rows]
 
 
 def newest_map(spark: SparkSession, path: str) -> tuple[int, list[int]] | None:
-    """(version, placing) of the newest version, None if there is none."""
-    try:
-        return load_map(spark, path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    """(version, placing) of the newest whole version, None if there is none."""
+    return load_map(spark, path) if versions(spark, path)[0] else None
 
 
 def slotted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -134,10 +161,11 @@ def slot_loads(records: DataFrame) -> DataFrame:
 def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
                id_col: str = "doc_id", text_col: str = "text", placing: list[int] | None = None,
                version: int = 0, maps: str | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version.
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version, from_version.
 
     ``placing`` continues the map of that ``version``, and ``maps`` the newest one stored in that folder, where
-    an edit is stored as the next version; without one, version 0 deals slots round-robin.
+    an edit is stored as the next version; without one, version 0 deals slots round-robin. Rows follow from the
+    documents and the map of ``from_version``: equal input from an equal map gives equal rows.
     """
     spark = docs.sparkSession
     records = settle(slotted(docs, id_col, text_col, slots))
@@ -145,25 +173,24 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS,
     if maps and (stored := newest_map(spark, maps)):
         version, placing = stored
     before = placing or first_map(shards, slots)
+    began = version
     if len(before) != slots:
         raise ValueError(f"the map has {len(before)} slots, not {slots}")
     placing = rebalanced(before, {s: b for s, (b, _) in loads.items()}, shards)
     if placing != before or version == 0:
-        version += 1
-        if maps:
-            save_map(spark, placing, version, maps)
+        version = store_map(spark, placing, maps) if maps else version + 1
     offset, filled = [], [0] * shards
     for s, k in enumerate(placing):
         offset.append(filled[k])
         filled[k] += loads.get(s, (0, 0))[1]
-    places = map_table(spark, placing, version).withColumn(
-        "offset", F.element_at(F.array(*[F.lit(o).cast("long") for o in offset]), F.col("virtual_slot") + 1))
+    places = map_table(spark, placing, version, offset)
     within = F.row_number().over(Window.partitionBy("virtual_slot").orderBy(F.col("doc_id").asc_nulls_first(), "_tie"))
     # the map has `slots` rows by construction
     return (records.withColumn("_at", within).join(F.broadcast(places), "virtual_slot")
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                     (F.col("offset") + F.col("_at") - 1).cast("long").alias("slot"),
-                    F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version")))
+                    F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.col("version").alias("map_version"),
+                    F.lit(began).alias("from_version")))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
