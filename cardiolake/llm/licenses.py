@@ -7,8 +7,10 @@ Texts are lower-cased (A-Z) and read as words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\
   into ``edits + 1`` pieces; by the pigeonhole principle any such match holds one
   piece unchanged, so one automaton over all pieces finds every candidate place.
   The regex library then matches the notice with bounded errors (best match)
-  in a window around the piece, and again in what the match leaves before and
-  behind it; the matches are reported as spans of the text.
+  in a window around each piece, no wider than a match can reach; of matches that
+  overlap the best one stays, and the other's window is searched again without it.
+  So the work grows with the number of pieces found, however many notices stand
+  together. The matches are reported as spans of the text.
 
 Labels are the base labels and those of the matched notices. Null counts as
 empty text: no words, no labels, score 0. score: 1 with a base phrase, otherwise
@@ -17,6 +19,8 @@ the largest share of unchanged characters of a matched notice, otherwise 0.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -49,6 +53,8 @@ NOTICES = [
     ("boost software license", "boost", 2),
     ("permission to use copy modify and or distribute this software", "isc", 5),
 ]
+#: Windows whose match a task remembers; emptied when full.
+KNOWN = 50_000
 SPANS = "array<struct<label:string,start:int,stop:int,first_word:long,edits:int,base:boolean>>"
 
 
@@ -64,6 +70,7 @@ class Scanner:
         import ahocorasick
         import regex
 
+        self.known: dict = {}
         self.phrases = {tuple(p.encode().split()): label for p, label in (PHRASES if phrases is None else phrases).items()}
         self.notices = [(t, label, e, regex.compile(f"(?b)(?:{regex.escape(t)}){{e<={e}}}"))
                         for t, label, e in (NOTICES if notices is None else notices)]
@@ -100,30 +107,23 @@ class Scanner:
 
     def _fuzzy(self, tokens):
         line = b" ".join(tokens).decode()
-        windows: dict[int, list[list[int]]] = {}
+        # the best match around each seed, in a window that holds every match with this seed in its place
+        queues: dict[int, list] = {}
         for end, (size, uses) in self.seeds.iter(line):
             start = end - size + 1
             for k, offset in uses:
                 t, _, e, _ = self.notices[k]
-                lo, hi = max(0, start - offset - e), start - offset + len(t) + e
-                spans = windows.setdefault(k, [])
-                while spans and lo <= spans[-1][1]:  # windows merge; a later seed's may start before earlier ones
-                    a, b = spans.pop()
-                    lo, hi = min(lo, a), max(hi, b)
-                spans.append([lo, hi])
+                lo, hi = max(0, start - offset - e), min(len(line), start - offset + len(t) + e)
+                if m := self._around(k, line, lo, hi, start, end + 1):
+                    queues.setdefault(k, []).append((*m, lo, hi, start, end + 1))
         hits = {}
-        for k, spans in windows.items():
-            t, label, e, pattern = self.notices[k]
-            for lo, hi in spans:
-                for m in _matches(pattern, line, lo, hi, len(t) - e):
-                    edits = sum(m.fuzzy_counts)
-                    key = (label, m.start(), m.end())
-                    hits[key] = min(edits, hits.get(key, edits))
+        for k, queue in queues.items():
+            for edits, s, z in self._apart(k, line, queue):
+                key = (self.notices[k][1], s, z)
+                hits[key] = min(edits, hits.get(key, edits))
         if not hits:
             return []
         # offsets of the joined line back to word numbers
-        import bisect
-
         starts, at = [], 0
         for w in tokens:
             starts.append(at)
@@ -135,15 +135,46 @@ class Scanner:
             out.append((label, i, max(j, i + 1), e, False))
         return out
 
-
-def _matches(pattern, line, lo, hi, least):
-    """Best match of a stretch, then those of what is left on either side (``least``: size of the shortest match)."""
-    todo = [(lo, min(hi, len(line)))]
-    while todo:
-        lo, hi = todo.pop()
-        if hi - lo >= least and (m := pattern.search(line, lo, hi)):
-            yield m
-            todo += [(lo, m.start()), (m.end(), hi)]
+    def _around(self, k: int, line: str, lo: int, hi: int, a: int, b: int):
+        """(edits, start, stop) of the best match within ``lo..hi`` that touches the seed ``a..b``, or None.
+
+        Windows repeat (a notice set many times): results are kept by the window's text.
+        """
+        key = (k, a - lo, b - lo, line[lo:hi])
+        if key in self.known:
+            found = self.known[key]
+        else:
+            if len(self.known) > KNOWN:
+                self.known.clear()
+            text, _, e, pattern = self.notices[k]
+            x, y, found = 0, hi - lo, None
+            while y - x >= len(text) - e and (m := pattern.search(key[3], x, y)):
+                if m.start() < b - lo and m.end() > a - lo:
+                    found = (sum(m.fuzzy_counts), m.start(), m.end())
+                    break
+                x, y = (m.end(), y) if m.end() <= a - lo else (x, m.start())
+            self.known[key] = found
+        return found and (found[0], found[1] + lo, found[2] + lo)
+
+    def _apart(self, k: int, line: str, queue: list):
+        """Matches that do not overlap, best first; one that a better one cuts into is looked for in what is left."""
+        heapq.heapify(queue)
+        starts, stops = [], []  # of the matches taken, ascending
+        seen = set()
+        while queue:
+            edits, s, z, lo, hi, a, b = heapq.heappop(queue)
+            i = bisect.bisect_right(stops, s)
+            if i == len(starts) or starts[i] >= z:
+                starts.insert(i, s)
+                stops.insert(i, z)
+                yield edits, s, z
+                continue
+            i = bisect.bisect_right(stops, a)  # free room around the seed
+            left, right = (stops[i - 1] if i else 0), (starts[i] if i < len(starts) else len(line))
+            lo, hi = max(lo, left), min(hi, right)
+            if b <= hi and (lo, hi, a) not in seen and (m := self._around(k, line, lo, hi, a, b)):
+                seen.add((lo, hi, a))
+                heapq.heappush(queue, (*m, lo, hi, a, b))
 
 
 def _places(tokens, phrase):
@@ -167,6 +198,21 @@ def _code_points(data: bytes, offsets: set[int]) -> dict[int, int]:
     return out
 
 
+def notices_of(table: DataFrame, text_col: str = "text", label_col: str = "label", edits_col: str = "edits") -> list:
+    """Notices from a table (words in lower case, label, edits allowed): a list for ``scan_licenses``.
+
+    Every task holds the automaton over all notices, so the table is a vocabulary of thousands, not data.
+    """
+    rows = table.select(F.col(text_col), F.col(label_col), F.col(edits_col).cast("int")).where(
+        F.col(text_col).isNotNull() & F.col(label_col).isNotNull()).collect()
+    out = []
+    for text, label, edits in rows:
+        words = b" ".join(WORD.findall(text.encode().lower())).decode()
+        if words:
+            out.append((words, label, min(max(edits or 0, 0), len(words) - 1)))
+    return out
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   phrases: dict | None = None, notices: list | None = None) -> DataFrame:
     """Per input row: doc_id, n_words, spans (label, start, stop, first_word, edits, base)."""
