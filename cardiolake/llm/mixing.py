@@ -7,7 +7,8 @@ source's slot number j takes block ``p(j mod n)`` where ``p`` is a pseudorandom
 permutation of the n block indexes, another one for each round j div n. Slots
 and documents meet by a join on (source, block).
 
-Counts of a source over the shards are multinomial given the source's total, so
+Counts of a source over the shards are multinomial given the source's total (drawn
+by halves of the shards, so that no task draws them all), so
 totals are exact and only their spread over the shards is random. A round uses
 each block once and a target is at most twice its source's size, so no block is
 taken more than twice. Everything random is a hash of the seed: reruns agree.
@@ -26,6 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from cardiolake.llm.common import map_rows, read_table, settle
 
 BLOCK, SHARD, PLACES, SEED = 64, 16384, 4096, 20240
+#: Ranges of shards a source's slots are dealt over first (up to twice as many).
+RANGES = 1024
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0  # rounds: a target stops at so many times its source's size
@@ -110,7 +113,7 @@ def placed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
 def quotas(rows: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """One row per source: source, source_size, target, n_blocks, slots, shards, seed."""
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    # one row per source comes to the driver: names and sizes
+    # one row per source comes to the driver: sources are kinds of data, thousands at most, not documents
     known = sorted(((r[0], r[1]) for r in sums.collect()), key=lambda x: (x[0] is None, (x[0] or "").encode("utf-8")))
     aim = targets(known)
     shards = max(1, round(sum(aim) / block / shard))
@@ -124,29 +127,55 @@ def quotas(rows: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame
         out, "source string, source_size long, target double, n_blocks long, slots long, shards long, k long")
 
 
+def halves(key: list[int], lo: int, hi: int, first: int, count: int, leaf: int):
+    """(lo, hi, first, count): ranges of at most ``leaf`` shards with their slots, which are numbered from ``first``.
+
+    The slots of a range fall on its halves binomially, drawn by a generator of the range's own, so all
+    ranges together are multinomial and any task can go on from any range.
+    """
+    todo = [(lo, hi, first, count)]
+    while todo:
+        lo, hi, first, count = todo.pop()
+        if not count:
+            continue
+        if hi - lo <= leaf:
+            yield lo, hi, first, count
+            continue
+        mid = (lo + hi) // 2
+        left = int(np.random.default_rng([*key, lo, hi]).binomial(count, (mid - lo) / (hi - lo)))
+        todo += [(mid, hi, first + left, count - left), (lo, mid, first, left)]
+
+
 def multiplicities(plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """(source, block, round, shard): one row per slot of the mix."""
-    def draw():
-        def each(c):
-            out = []
-            for s, n, slots, shards, k in zip(c["source"], c["n_blocks"], c["slots"], c["shards"], c["k"], strict=True):
-                if slots:
-                    rng = np.random.default_rng([seed, k])
-                    first = 0
-                    for h, count in enumerate(rng.multinomial(slots, np.full(shards, 1 / shards)).tolist()):
-                        if count:
-                            out.append((s, n, k, h, first, count))
-                        first += count
-            return out
-        return each
+    """(source, block, round, shard): one row per slot of the mix.
 
-    drawn = map_rows(plan.select("source", "n_blocks", "slots", "shards", "k"), draw,
-                     "source string, n_blocks long, k long, shard long, first long, count long", rows_per_output=1)
+    A source's shards are drawn in two steps, ``RANGES`` ranges and then their shards, each range by a task of its own.
+    """
+    def draw(to_shards: bool):
+        def make():
+            def each(c):
+                out = []
+                for s, n, k, lo, hi, first, count in zip(*(c[x] for x in ("source", "n_blocks", "k", "lo", "hi", "first", "count")),
+                                                         strict=True):
+                    leaf = 1 if to_shards else max(1, -(-(hi - lo) // RANGES))
+                    out += [(s, n, k, *r) for r in halves([seed, k], lo, hi, first, count, leaf)]
+                return out
+            return each
+        return make
+
+    ddl = "source string, n_blocks long, k long, lo long, hi long, first long, count long"
+    # a row here stands for many slots, so the number of tasks is not left to the bytes measured
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = plan.where("slots > 0").select("source", "n_blocks", "k", F.lit(0).cast("long").alias("lo"),
+                                           F.col("shards").alias("hi"), F.lit(0).cast("long").alias("first"),
+                                           F.col("slots").alias("count"))
+    ranges = map_rows(whole, draw(False), ddl, rows_per_output=1).repartition(tasks, "k", "lo")
+    drawn = map_rows(ranges, draw(True), ddl, rows_per_output=1)
 
     def take():
         def each(c):
             out = []
-            for s, n, k, h, first, count in zip(*(c[x] for x in ("source", "n_blocks", "k", "shard", "first", "count")), strict=True):
+            for s, n, k, h, first, count in zip(*(c[x] for x in ("source", "n_blocks", "k", "lo", "first", "count")), strict=True):
                 j = np.arange(first, first + count)
                 for r in np.unique(j // n).tolist():
                     at = permuted(j[j // n == r] % n, n, seed * 1_000_003 + k * 31 + r)
@@ -154,9 +183,7 @@ def multiplicities(plan: DataFrame, seed: int = SEED) -> DataFrame:
             return out
         return each
 
-    # a row here stands for many slots, so the number of tasks is not left to the bytes measured
-    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = drawn.repartition(tasks, F.xxhash64("source", "shard"))
+    spread = drawn.repartition(tasks, F.xxhash64("k", "lo"))
     return map_rows(spread, take, "source string, block long, round long, shard long", rows_per_output=1)
 
 
