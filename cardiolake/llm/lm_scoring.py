@@ -6,7 +6,9 @@ marginal probability. Pieces carry unigram log-probabilities, estimated from
 how often they stand in the training documents' words (segmented by the
 vocabulary's own scores), smoothed so that every piece and every byte has some.
 No piece crosses a space, so the lattice of a text is that of its words in a
-row: a text's score is the sum over its words, and the end of the text.
+row: a text's score is the sum over its words, each with the choice to go on, and
+the choice to end. A word is one piece that begins words and any number of others,
+so the likelihoods of all words sum to 1, and so do those of all texts.
 
 The base columns come from word counts of the whole training part (lower-cased
 A-Z, words ``[^\\x20\\x09-\\x0D]+``, then one end). Counts of at most
@@ -251,7 +253,9 @@ def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None =
     # at most FREQUENT words and one number for each piece
     shared = spark.sparkContext.broadcast((known, piece_log10(counts, blob)))
     room = math.log10(n_train + n_kinds + 1)
-    stop = math.log10((ends + 1) / (n_train + ends + 2))  # end of text against going on
+    # after every word a text ends or goes on: with them the scores of all texts sum to 1 at most
+    p_stop = (ends + 1) / (n_train + 2)
+    stop, go_on = math.log10(p_stop), math.log10(1 - p_stop)
     extra = list(carry or {})
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                       F.col(text_col).alias("text"), *[c.alias(n) for n, c in (carry or {}).items()])
@@ -274,7 +278,7 @@ def score_documents(docs: DataFrame, train: DataFrame, model_path: str | None =
                 row = c["row"][k]
                 for w, tf in tokens.items():
                     n += tf
-                    total += tf * score_of[w]
+                    total += tf * (score_of[w] + go_on)
                     x = gain_of.get(w)
                     if x is None:
                         out.append((row, w, tf, None, None, None, None, None, *[None] * len(extra)))
