@@ -58,6 +58,21 @@ def discard(df: DataFrame) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+class Tables:
+    """``stored`` that remembers its tables, so that they can be deleted when the result stands."""
+
+    def __init__(self):
+        self.frames: list[DataFrame] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.frames.append(stored(df))
+        return self.frames[-1]
+
+    def drop(self) -> None:
+        while self.frames:
+            discard(self.frames.pop())
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus`` (a null counts as '')."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
@@ -187,7 +202,7 @@ def _are_stars(edges: DataFrame) -> bool:
     return mixed.limit(1).count() == 0
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", tables: Tables | None = None) -> DataFrame:
     """Connected components of an undirected edge list: (node, root).
 
     Each task first contracts its edges to stars. While stars of different tasks
@@ -195,7 +210,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     longest chain); each is two aggregates with map-side minima and skew-splittable
     joins, and ends in a table, after which the one before is deleted. The
     number of tasks follows from the number of edges. ``root`` is the smallest
-    node; nodes without edges are not returned. Null nodes must not occur.
+    node; nodes without edges are not returned. Null nodes must not occur. The result
+    reads a table that ``tables``, if given, remembers.
     """
     first = stored(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
     tasks = max(1, -(-first.count() // EDGES))
@@ -213,6 +229,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .select("e.u", "e.v").where("u != v").distinct())
         last, cur = cur, stored(_contracted(small.coalesce(tasks)))
         discard(last)
+    if tables is not None:
+        tables.frames.append(cur)
     # an edge that several tasks hold is there several times
     below = cur.distinct().select(F.col("u").alias("node"), F.col("v").alias("root"))
     return below.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -7,9 +7,9 @@ of the E8 lattice (scaled by ``width``); the points are its *own* cell. It also
 by one of E8's 240 shortest vectors). Two classes meet in a cell that is the own
 cell of one of them.
 
-* First pass, on narrow rows (cell, class, 128 signs of random projections): which
+* First pass, on narrow rows (cell, class, 256 signs of random projections): which
   entries have a partner in the cell whose signs differ in few enough bits
-  (six standard deviations over what the threshold leaves: 1e-9 is lost). The
+  (5.5 standard deviations over what the threshold leaves: 2e-8 is lost). The
   vectors of all others never move.
 * Second pass: the entries that are left carry their vectors, and the cosine of
   every pair that meets is computed in double precision. A pair that meets in
@@ -44,10 +44,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardiolake.llm.common import attach, components, read_table, settle, stored
+from cardiolake.llm.common import Tables, attach, components, read_table, stored
 
 TABLES, PROBES, BLOCKS, WIDTH, SEED = 4, 4, 1, 1.75, 11
-SIGNS = 128
+#: Signs per class (a multiple of 64), and standard deviations of the number that differ that a pair is granted.
+SIGNS, GRANTED = 256, 5.5
 #: Entries of one block of a cell, and own entries compared at once.
 BLOCK, CHUNK = 4096, 256
 
@@ -130,7 +131,7 @@ class Lattice:
         return own, self._cells(moved)
 
     def signs(self, unit: np.ndarray) -> np.ndarray:
-        """Two 64-bit words of signs [n, 2]."""
+        """64-bit words of signs [n, SIGNS / 64]."""
         bits = np.packbits(_product(unit, self.sign_lines) >= 0, axis=1)
         return np.ascontiguousarray(bits).view(np.int64)
 
@@ -147,10 +148,13 @@ class Lattices(dict):
         return self[size]
 
 
-def sign_limit(numerator: float) -> int:
-    """Signs in which a pair at the threshold differs: mean and six standard deviations."""
-    p = math.acos(max(-1.0, min(1.0, numerator))) / math.pi
-    return math.ceil(SIGNS * p + 6 * math.sqrt(SIGNS * p * (1 - p)))
+def sign_limit(threshold: float) -> int:
+    """Signs in which a pair at the threshold differs at most: the mean and ``GRANTED`` standard deviations."""
+    p = math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    return math.ceil(SIGNS * p + GRANTED * math.sqrt(SIGNS * p * (1 - p)))
+
+
+SIGN_WORDS = [f"s{i}" for i in range(SIGNS // 64)]
 
 
 def marks(own: np.ndarray) -> np.ndarray:
@@ -200,11 +204,11 @@ def _by_length(payloads: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes]]
 
 
 def entries(classes: DataFrame, kind: str, options: tuple) -> DataFrame:
-    """One narrow row per class and cell: cell, cid, tab, own, s0, s1 (signs), m0... (marks of own cells)."""
+    """One narrow row per class and cell: cell, cid, tab, own, s0... (signs), m0... (marks of own cells)."""
     tables = options[0]
     words = -(-tables // 4)
-    names = ["cell", "cid", "tab", "own", "s0", "s1", *[f"m{i}" for i in range(words)]]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()] + [pa.int64()] * (2 + words)
+    names = ["cell", "cid", "tab", "own", *SIGN_WORDS, *[f"m{i}" for i in range(words)]]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_()] + [pa.int64()] * (len(names) - 4)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grids = Lattices(options)
@@ -227,7 +231,7 @@ def entries(classes: DataFrame, kind: str, options: tuple) -> DataFrame:
                                *[np.repeat(wide[:, i], per) for i in range(wide.shape[1])]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    ddl = "cell long, cid long, tab int, own boolean, s0 long, s1 long" + "".join(f", m{i} long" for i in range(words))
+    ddl = "cell long, cid long, tab int, own boolean" + "".join(f", {n} long" for n in names[4:])
     return classes.select("cid", "payload").mapInArrow(run, ddl)
 
 
@@ -308,13 +312,14 @@ def live_entries(rows: DataFrame, tables: int, limit: int) -> DataFrame:
             if not len(a_at) or not len(b_at):
                 return None
             tab = t.column("tab").to_numpy()
-            signs = _matrix(t, ["s0", "s1"]).view(np.uint64)
+            signs = _matrix(t, SIGN_WORDS).view(np.uint64)
             mark = np.ascontiguousarray(_matrix(t, words)).view(np.uint16)
             cid, keep = t.column("cid").to_numpy(), np.zeros(t.num_rows, bool)
             for lo in range(0, len(a_at), CHUNK):
                 some = a_at[lo:lo + CHUNK]
-                off = np.bitwise_count(signs[some, None, 0] ^ signs[None, b_at, 0]).astype(np.uint16)
-                off += np.bitwise_count(signs[some, None, 1] ^ signs[None, b_at, 1])
+                off = np.zeros((len(some), len(b_at)), np.uint16)
+                for k in range(len(SIGN_WORDS)):
+                    off += np.bitwise_count(signs[some, None, k] ^ signs[None, b_at, k])
                 x, y = np.nonzero(off <= limit)
                 x, y = some[x], b_at[y]
                 other = cid[x] != cid[y]
@@ -433,18 +438,20 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         F.min(F.struct(F.col("vec_id").isNull().alias("z"), "vec_id")).alias("m"), F.count(F.lit(1)).alias("n"),
         F.first("payload").alias("payload"))
     # written as a table first: the number of a class must not change
-    classes = stored(found.select("cls", F.col("m.vec_id").alias("low"), "n", "payload")
+    scratch = Tables()
+    classes = scratch(found.select("cls", F.col("m.vec_id").alias("low"), "n", "payload")
                      .withColumn("cid", F.monotonically_increasing_id()))
-    live = stored(live_entries(entries(classes, kind, options), tables, sign_limit(threshold)))
-    near = stored(links(attach(live, classes.select("cid", "n", "payload"), "cid"), kind, options, threshold))
+    live = scratch(live_entries(entries(classes, kind, options), options[0], sign_limit(threshold)))
+    near = scratch(links(attach(live, classes.select("cid", "n", "payload"), "cid"), kind, options, threshold))
     counts = near.groupBy("cid").agg(F.sum("links").alias("links"))
-    roots = components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")))
+    roots = components(near.select(F.col("cid").alias("a"), F.col("root").alias("b")), tables=scratch)
     placed = (classes.select("cls", "cid", "low", "n").join(counts, "cid", "left")
               .join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
               .withColumn("root", F.coalesce("root", "cid")))
     least = placed.groupBy("root").agg(F.min(F.struct(F.col("low").isNull().alias("z"), "low")).alias("m"))
-    named = settle(attach(placed, least, "root").select(
+    named = stored(attach(placed, least, "root").select(
         "cls", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("m.low").alias("component_id")))
+    scratch.drop()  # the result reads the input and ``named`` alone
     # classes are joined null-safe: a row without one links with nothing
     out = attach(rows.select("vec_id", "cls"), named, "cls", "left")
     none = F.col("cls").isNull()
