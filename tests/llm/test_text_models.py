@@ -241,8 +241,8 @@ def test_lm_scores_whole_words(make_docs):
         blob = f.read()
     got = {r["doc_id"]: r["score"] for r in S.score_documents(docs, docs).collect()}
     lattice = S.Lattice(blob, S.piece_log10(S.word_counts(docs), blob))
-    stop = math.log10((2 + 1) / (4 + 2 + 2))  # two ends among four tokens
-    assert math.isclose(got[1], lattice([MARK + "international" * 40])[0] + stop, rel_tol=1e-9)
+    end = (2 + 1) / (4 + 2)  # two ends among four tokens; a word goes on, then the text ends
+    assert math.isclose(got[1], lattice([MARK + "international" * 40])[0] + math.log10(1 - end) + math.log10(end), rel_tol=1e-9)
 
 
 def test_lm_empty_tables(make_docs):
