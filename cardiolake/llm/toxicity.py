@@ -41,7 +41,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardiolake.llm.common import add_column, fold, map_rows, read_table, settle
+from cardiolake.llm.common import add_column, fold, map_rows, read_table, settle, stored
 
 THRESHOLD = 0.7
 LEAST, RATIO, MOST_LABELLED = 5, 50.0, 200_000
@@ -377,7 +377,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> Model:
-    rows = training_rows(docs, labels, id_col, text_col, **options)
+    # read several times: a table of at most MOST_LABELLED texts instead of a scan of all documents each time
+    rows = stored(training_rows(docs, labels, id_col, text_col, **options))
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     tri, bi = letter_counts(docs, text_col)
