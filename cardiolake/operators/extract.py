@@ -161,17 +161,17 @@ def explode_hr_samples(docs: DataFrame, lo: int = 20, hi: int = 250) -> DataFram
             .where(F.col("day").isNotNull() & F.col("hr").between(lo, hi)))
 
 
-def explode_ppi_samples(docs: DataFrame, lo: int = 300, hi: int = 2000) -> DataFrame:
+def explode_ppi_samples(docs: DataFrame, lo: int = 300, hi: int = 2000, keep: tuple[str, ...] = ()) -> DataFrame:
     """``[entry].devicePpiSamplesList[].ppiSamples[]`` with ordinals kept
-    (``file_name, entry, device, pos`` is the sample order used for RMSSD)."""
-    e = docs.select("subject_id", "file_name", F.posexplode(F.col("doc")).alias("entry", "en"))
-    dv = e.select("subject_id", "file_name", "entry",
+    (``file_name, entry, device, pos`` is the sample order used for RMSSD), and the document's ``keep`` columns."""
+    e = docs.select("subject_id", "file_name", *keep, F.posexplode(F.col("doc")).alias("entry", "en"))
+    dv = e.select("subject_id", "file_name", "entry", *keep,
                   F.to_date(utc_timestamp(F.col("en")["date"])).alias("day"),
                   F.posexplode(F.col("en")["devicePpiSamplesList"]).alias("device", "dev"))
-    s = dv.select("subject_id", "file_name", "entry", "day", "device",
+    s = dv.select("subject_id", "file_name", "entry", "day", "device", *keep,
                   F.posexplode(F.col("dev")["ppiSamples"]).alias("pos", "p"))
     ppi = safe_int(F.col("p")["pulseLength"])
-    return (s.select("subject_id", "day", "file_name", "entry", "device", "pos", ppi.alias("ppi"))
+    return (s.select("subject_id", "day", "file_name", "entry", "device", "pos", ppi.alias("ppi"), *keep)
             .where(F.col("day").isNotNull() & F.col("ppi").between(lo, hi)))
 
 

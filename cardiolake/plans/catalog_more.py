@@ -239,9 +239,8 @@ def q_ppi_many_devices(spark, sf):
                     F.to_json(F.array(F.struct(F.date_format("day", "yyyy-MM-dd").alias("date"),
                                                F.col("devices").alias("devicePpiSamplesList")))).alias("content"),
                     F.transform("devices", lambda d: d["device"]).alias("ids")))
-    found = X.explode_ppi_samples(parsed(docs.drop("ids"), S.PPI_DOC))
-    j = found.join(docs.select("subject_id", "file_name", "ids"), ["subject_id", "file_name"])
-    return (j.groupBy("subject_id", "day", F.get("ids", F.col("device")).cast("int").alias("device"))
+    found = X.explode_ppi_samples(parsed(docs, S.PPI_DOC), keep=("ids",)).where("subject_id IS NOT NULL")
+    return (found.groupBy("subject_id", "day", F.get("ids", F.col("device")).cast("int").alias("device"))
             .agg(F.count(F.lit(1)).alias("n"), F.sum("ppi").alias("total"), F.max("ppi").alias("longest")))
 
 
