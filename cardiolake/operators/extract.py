@@ -147,16 +147,17 @@ def explode_training(docs: DataFrame, round_values: bool = True) -> DataFrame:
                     weekday_name("day").alias("weekday"), F.year("day").alias("year"), "file_name")
 
 
-def explode_hr_samples(docs: DataFrame, lo: int = 20, hi: int = 250) -> DataFrame:
-    """``deviceDays[].samples[]`` -> one row per sample within ``lo..hi`` bpm."""
-    days = docs.select("subject_id", "file_name",
+def explode_hr_samples(docs: DataFrame, lo: int = 20, hi: int = 250, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``deviceDays[].samples[]`` -> one row per sample within ``lo..hi`` bpm, with the document's ``keep`` columns."""
+    days = docs.select("subject_id", "file_name", *keep,
                        F.posexplode(F.col("doc")["deviceDays"]).alias("day_idx", "dd"))
-    s = days.select("subject_id", "file_name", "day_idx",
+    s = days.select("subject_id", "file_name", "day_idx", *keep,
                     F.to_date(utc_timestamp(F.col("dd")["date"])).alias("day"),
                     F.posexplode(F.col("dd")["samples"]).alias("pos", "s"))
     hr = safe_int(F.col("s")["heartRate"])
     seconds = F.floor(safe_double(F.col("s")["secondsFromDayStart"])).try_cast("int")
-    return (s.select("subject_id", "day", "file_name", "day_idx", "pos", seconds.alias("seconds_from_day_start"), hr.alias("hr"))
+    return (s.select("subject_id", "day", "file_name", "day_idx", "pos", seconds.alias("seconds_from_day_start"), hr.alias("hr"),
+                     *keep)
             .withColumn("ts", add_seconds(F.col("day").cast("timestamp"), "seconds_from_day_start"))
             .where(F.col("day").isNotNull() & F.col("hr").between(lo, hi)))
 

@@ -215,8 +215,8 @@ def q_hr_many_devices(spark, sf):
     docs = (per.groupBy("subject_id", "user_id", "day", "h").agg(F.array_sort(F.collect_list(device)).alias("deviceDays"))
             .select("subject_id", F.concat_ws("_", F.lit("247ohr"), "user_id", "day", "h").alias("file_name"),
                     F.to_json(F.struct("deviceDays")).alias("content"), F.transform("deviceDays", lambda d: d["device"]).alias("ids")))
-    found = X.explode_hr_samples(parsed(docs.drop("ids"), S.HR_DOC))
-    s = found.join(docs.select("subject_id", "file_name", "ids"), ["subject_id", "file_name"])
+    # the devices' ids travel with their document: joined to it again, all documents would be built twice
+    s = X.explode_hr_samples(parsed(docs, S.HR_DOC), keep=("ids",)).where("subject_id IS NOT NULL")
     at = add_seconds(F.col("day").cast("timestamp"), F.col("seconds_from_day_start"))
     return (s.select("subject_id", "day", F.get("ids", F.col("day_idx")).cast("int").alias("device"), "hr", at.alias("ts"))
             .groupBy("subject_id", "day", "device").agg(F.count(F.lit(1)).alias("n"), F.sum("hr").alias("total"),
