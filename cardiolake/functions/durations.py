@@ -20,10 +20,18 @@ def iso_duration_minutes(col: Column | str, digits: int | None = 4) -> Column:
     anything unparseable counts as 0. Minutes are only read after the ``T``
     so that a month (``P1M``) is not taken for minutes. NULL/empty -> 0.0.
     """
+    return time_part_minutes(time_part(col), digits)
+
+
+def time_part(col: Column | str) -> Column:
+    """What follows the last "T"; a "P..." duration without "T" has none (P1M is a month)."""
     s = F.col(col) if isinstance(col, str) else col
-    # time part: after "T"; a "P..." duration without "T" has none (P1M is a month)
-    t = (F.when(F.instr(s, "T") > 0, F.substring_index(s, "T", -1))
-         .when(F.startswith(s, F.lit("P")), F.lit("")).otherwise(s))
+    return (F.when(F.instr(s, "T") > 0, F.substring_index(s, "T", -1))
+            .when(F.startswith(s, F.lit("P")), F.lit("")).otherwise(s))
+
+
+def time_part_minutes(t: Column, digits: int | None = 4) -> Column:
+    """Minutes of a ``time_part``; reads ``t`` several times, so a column of its own serves best."""
     secs = _part(t, "H") * 3600 + _part(t, "M") * 60 + _part(t, "S")
     mins = secs / 60.0 if digits is None else F.round(secs / 60.0, digits)
     return F.coalesce(mins, F.lit(0.0))

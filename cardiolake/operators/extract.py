@@ -17,7 +17,7 @@ from cardiolake.dims import (PACE_LIMIT_MIN_PER_KM, PACE_RELABEL_SPORTS, SPORT_C
                              SPORT_IDS, TREADMILL_MARKERS, map_expr)
 from cardiolake.functions.convert import falsy_fallback, round_to, safe_double, safe_int, safe_long
 from cardiolake.functions.dates import add_seconds, utc_timestamp, weekday_name
-from cardiolake.functions.durations import iso_duration_minutes
+from cardiolake.functions.durations import iso_duration_minutes, time_part, time_part_minutes
 from cardiolake.operators.windows import first_per_key
 
 
@@ -53,18 +53,19 @@ def classify_training(df: DataFrame, sport: str = "sport_raw", name: str = "name
     s0, dur, dist = F.col(sport), F.col(duration), F.col(distance)
     fast = (s0.isin(*PACE_RELABEL_SPORTS) & (dist != 0) & (dur != 0)
             & (F.try_divide(dur, dist) < PACE_LIMIT_MIN_PER_KM))
-    nm = F.lower(F.trim(F.coalesce(F.col(name), F.lit(""))))
+    nm = F.col("_nm")
     tread = None
     for m in TREADMILL_MARKERS:
         tread = nm.contains(m) if tread is None else (tread | nm.contains(m))
-    staged = df.withColumn("_s1", F.when(fast, F.lit("RUNNING")).otherwise(s0)).withColumn("_tread", tread)
+    staged = (df.withColumn("_nm", F.lower(F.trim(F.coalesce(F.col(name), F.lit("")))))
+              .withColumn("_s1", F.when(fast, F.lit("RUNNING")).otherwise(s0)).withColumn("_tread", tread))
     s1 = F.col("_s1")
     cat = (F.when(F.col("_tread"), F.lit("TREADMILL"))
            .when(s1 == "TRAIL_RUNNING", F.lit("TRAIL"))
            .when(s1 == "RUNNING", F.lit("OUTDOOR"))
            .otherwise(map_expr(SPORT_CATEGORY, s1)))
     out = F.when(s1 == "TRAIL_RUNNING", F.lit("RUNNING")).otherwise(s1)
-    return staged.withColumn("category", cat).withColumn("sport", out).drop("_s1", "_tread")
+    return staged.withColumn("category", cat).withColumn("sport", out).drop("_s1", "_tread", "_nm")
 
 
 def _r(c: Column, digits: int, on: bool) -> Column:
@@ -101,36 +102,29 @@ def explode_training(docs: DataFrame, round_values: bool = True) -> DataFrame:
         safe_double(d["calories"]).alias("_kcal_top"),
         safe_double(d["hrAvg"]).alias("_hra_top"),
         safe_double(d["hrMax"]).alias("_hrm_top"),
-        decode_sport(d["sport"]).alias("_sport_top"),  # once per document, before the explode
+        d["sport"].alias("_sport_top"),
     ).where(F.col("start_ts").isNotNull())
     ex_rows = base.select("*", F.posexplode_outer(F.col("doc")["exercises"]).alias("_pos", "_ex"))
     ex = F.col("_ex")
-    no_ex = ex.isNull()
     rv = round_values
-    # stage 1: per-exercise values after the session fallback, each computed once
+    # stage 1: per-exercise values after the session fallback, each computed once (without an exercise its fields
+    # are NULL and the session's stay). The steps after the explode make one generated method, which the JVM leaves
+    # uncompiled above 8,000 bytes: conversions that are written once keep it below
     st1 = ex_rows.select(
-        "subject_id", "file_name", "start_ts", "_pos", no_ex.alias("_no_ex"),
+        "subject_id", "file_name", "start_ts", "_pos", ex.isNull().alias("_no_ex"),
         F.col("doc")["name"].alias("name"),
-        F.when(no_ex, F.col("_dist_top")).otherwise(
-            falsy_fallback(safe_double(F.coalesce(ex["distanceMeters"], ex["distance"])), F.col("_dist_top"))
-        ).alias("_dist_m"),
-        F.when(no_ex, F.col("_dur_top")).otherwise(
-            F.coalesce(falsy_fallback(safe_double(ex["durationMillis"]), F.col("_dur_top")), F.lit(0.0))
-        ).alias("_dur_ms"),
-        ex["duration"].alias("_iso"),
-        F.when(no_ex | ex["sport"].isNull(), F.col("_sport_top")).otherwise(decode_sport(ex["sport"]))
-        .alias("sport_raw"),
-        F.when(no_ex, F.col("_hra_top")).otherwise(
-            falsy_fallback(safe_double(ex["heartRate"]["average"]), F.col("_hra_top"))).alias("hr_avg"),
-        F.when(no_ex, F.col("_hrm_top")).otherwise(
-            falsy_fallback(safe_double(ex["heartRate"]["maximum"]), F.col("_hrm_top"))).alias("hr_max"),
-        F.when(no_ex, F.col("_kcal_top")).otherwise(
-            falsy_fallback(safe_double(ex["calories"]), F.col("_kcal_top"))).alias("calories"),
+        falsy_fallback(safe_double(F.coalesce(ex["distanceMeters"], ex["distance"])), F.col("_dist_top")).alias("_dist_m"),
+        falsy_fallback(safe_double(ex["durationMillis"]), F.col("_dur_top")).alias("_dur_ms"),
+        time_part(ex["duration"]).alias("_iso"),
+        decode_sport(F.coalesce(ex["sport"], F.col("_sport_top"))).alias("sport_raw"),
+        falsy_fallback(safe_double(ex["heartRate"]["average"]), F.col("_hra_top")).alias("hr_avg"),
+        falsy_fallback(safe_double(ex["heartRate"]["maximum"]), F.col("_hrm_top")).alias("hr_max"),
+        falsy_fallback(safe_double(ex["calories"]), F.col("_kcal_top")).alias("calories"),
     )
     dur_ms, dist_m = F.col("_dur_ms"), F.col("_dist_m")
     dur_min = (F.when(dur_ms != 0, _r(dur_ms / 60000.0, 2, rv))
                .when(F.col("_no_ex"), F.lit(None).cast("double"))
-               .otherwise(iso_duration_minutes(F.col("_iso"), 4 if rv else None)))
+               .otherwise(time_part_minutes(F.col("_iso"), 4 if rv else None)))
     rows = st1.select(
         "subject_id", "file_name", "start_ts",
         F.to_date("start_ts").alias("day"),

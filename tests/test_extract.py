@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -206,3 +207,18 @@ def test_expand_json_and_typed_projection(spark):
     assert t.columns == [f.name for f in S.ACTIVITY.fields]
     r = t.collect()[0]
     assert r.day == D(2024, 1, 1) and r.steps == 12 and r.calories is None
+
+
+def test_training_steps_stay_small_enough_to_be_compiled(spark, capsys):
+    """The JVM leaves methods above 8,000 bytes uncompiled; the steps after the explode are one method."""
+    ex = [{"sport": {"id": "27"}, "duration": "PT2M30S", "heartRate": {"average": "0"}}, None,
+          {"durationMillis": "120000", "distance": 500, "distanceMeters": None, "calories": "7"}]
+    docs = [("training-a.json", json.dumps({"startTime": "2024-01-15T08:00:00Z", "sport": " 'YOGA' ", "hrAvg": 99, "calories": 5,
+                                            "exercises": ex}))]
+    t = X.explode_training(parse(spark, docs, S.TRAINING_DOC), round_values=False)
+    t.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+    assert [(r.ordinal, r.sport, r.category, r.duration_min, r.hr_avg, r.distance_km, r.calories) for r in t.collect()] == [
+        (0, "RUNNING", "TRAIL", 2.5, 99.0, None, 5.0), (1, "YOGA", "INDOOR", None, 99.0, None, 5.0),
+        (2, "YOGA", "INDOOR", 2.0, 99.0, 0.5, 7.0)]
