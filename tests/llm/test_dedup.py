@@ -172,3 +172,22 @@ def test_components_of_chains_and_stars(spark):
     got = dict(rows_of(components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 160)}, 299: 299, 300: 299}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_classes_meet_their_components_in_one_join(spark, tmp_path, monkeypatch):
+    """The table of classes and components is read twice and must not be joined twice."""
+    from cardiolake.llm import minhash_dedup as MD
+
+    plans, store = {}, MD.stored
+
+    def noted(df):
+        plans[tuple(df.columns)] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df)
+
+    monkeypatch.setattr(MD, "stored", noted)
+    text = " ".join(f"w{i}" for i in range(40))
+    spark.createDataFrame([(1, text), (2, f"{text} more"), (3, "something else altogether, and longer"), (4, None)],
+                          "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    got = MD.near_dedup(spark.read.parquet(f"{tmp_path}/d")).select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(tuple, got)) == [(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True)]
+    assert plans["cls", "component_id", "_rep"].count("Join ") == 1
