@@ -148,7 +148,8 @@ class Ingest:
         began = time.monotonic()
         st = self.detect(files)
         changed = INC.changed_only(st).where(F.col("parse_error").isNull())
-        archives = INC.import_report(st, group=("archive",)).persist(StorageLevel.MEMORY_AND_DISK)  # a row per archive
+        # a row per archive; not a cache, which Spark computes anew when the log it reads is written
+        archives = INC.import_report(st, group=("archive",)).checkpoint()
         total = archives.agg(*[F.coalesce(F.sum(f"n_{n}"), F.lit(0)).alias(n)
                                for n in ("new", "changed", "unchanged", "errors")]).first()
         report = total.asDict()
@@ -197,7 +198,6 @@ class Ingest:
         log_rows = INC.new_log_entries(INC.changed_only(st), self.imported_at)
         report["import_log"] = self.store.merge_table("import_log", X.typed_projection(log_rows, S.IMPORT_LOG))
         report = self._reported(report, began, archives)
-        archives.unpersist()
         st.unpersist()
         return report
 
